@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from strata.catalogue.common import Query
 from strata.catalogue.flagship import flagship
+from strata.catalogue.ingest import ingest
 
-_PARTS = [flagship]
+_PARTS = [flagship, ingest]
 
 
 def all_queries() -> dict[str, Query]:

@@ -1,8 +1,10 @@
 """Typed parsing of landed text.
 
-Dates come in many layouts. Trying every pattern in turn means up to sixteen failing parses per value, each paid for
-with an exception inside the parser. Instead, digits and letters are folded to a shape ('99/99/9999') once, and only
-the patterns of that shape are tried, in their fixed order. Texts of any other shape go to the ISO cast.
+Dates come in many layouts. Trying patterns in turn costs an exception inside the parser for every one that does not
+fit, and a long expression besides. Here numeric layouts are put into ISO order by pattern replacement and one cast
+decides; only month names need a formatter, whose pattern follows from the length. Where month and day cannot be told
+apart the month comes first; a first number above 12 can only be a day. That gives what the ordered pattern list in
+``fixed`` gives.
 """
 
 from __future__ import annotations
@@ -13,68 +15,81 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from strata import fixed
-from strata.functions.text import has_value, without_percent
+from strata.functions.text import is_null_word, number_text
 
-_DIGITS = "0123456789"
-_LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+_CLOCK = r"( \d{2}:\d{2}:\d{2})?$"
+_DAY_FIRST = r"^(1[3-9]|[2-9]\d)([/-])(\d{2})\2(\d{4})" + _CLOCK
+_MONTH_FIRST = r"^(\d{2})([/-])(\d{2})\2(\d{4})" + _CLOCK
+_SLASHED = r"^(\d{4})/(\d{2})/(\d{2})" + _CLOCK
+_BARE_CLOCK = r"^\s*T?\d{1,2}:"
+_MONTH_NAME = r"^\d{2}-[A-Za-z]{3}-\d{2}"
+_NOT_TIMESTAMP = r"^(\d{2}([/-])\d{2}\2\d{4}|\d{4}/\d{2}/\d{2}|\d{2}-[A-Za-z]{3}-.*)$"
+_NUMBER = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?[dDfF]?|[iI]nf(inity)?)\s*$"
 
 
-def _shape(c: Column) -> Column:
-    return F.translate(c, _DIGITS + _LETTERS, "9" * len(_DIGITS) + "A" * len(_LETTERS))
+def _year_last(c: Column) -> Column:
+    return F.substring(c, 3, 1).isin("/", "-")
 
 
-def _shape_of_pattern(pattern: str) -> str:
-    return re.sub(r"[yMdHms]", "9", pattern.replace("MMM", "AAA"))
+def _year_slash(c: Column) -> Column:
+    return F.substring(c, 5, 1) == "/"
 
 
-def _by_shape(patterns: list[str]) -> dict[str, list[str]]:
-    shapes: dict[str, list[str]] = {}
-    for pattern in patterns:
-        shapes.setdefault(_shape_of_pattern(pattern), []).append(pattern)
-    return shapes
+def iso_text(c: Column) -> Column:
+    """Numeric date text in ISO order, any clock kept; null for a bare time of day, which a cast would take for today.
 
+    One look at a separator decides which pattern may apply, so texts already in order meet no pattern at all.
+    """
+    month_known = F.regexp_replace(c, _DAY_FIRST, "$4-$3-$1$5")
+    return (
+        F.when(_year_last(c), F.regexp_replace(month_known, _MONTH_FIRST, "$4-$1-$3$5"))
+        .when(_year_slash(c), F.regexp_replace(c, _SLASHED, "$1-$2-$3$4"))
+        .when(~(c.contains(":") & c.rlike(_BARE_CLOCK)), c)
+    )
+
+
+def _named_month(c: Column) -> Column:
+    patterns = {9: "dd-MMM-yy", 11: "dd-MMM-yyyy", 18: "dd-MMM-yy HH:mm:ss", 20: "dd-MMM-yyyy HH:mm:ss"}
+    pattern = F.try_element_at(F.create_map(*[F.lit(x) for pair in patterns.items() for x in pair]), F.length(c))
+    return F.when(_year_last(c) & c.rlike(_MONTH_NAME), F.try_to_timestamp(c, pattern))
+
+
+def parse_moment(c: Column) -> Column:
+    """The instant a date or timestamp text stands for."""
+    return F.coalesce(iso_text(c).try_cast("timestamp"), _named_month(c))
+
+
+def is_timestamp_text(c: Column) -> Column:
+    """Whether the timestamp layouts cover a text: month names do not belong to them, nor bare dates out of ISO order."""
+    return ~((_year_last(c) | _year_slash(c)) & c.rlike(_NOT_TIMESTAMP))
 
-def _dispatch(c: Column, patterns: list[str], parse, fallback: Column) -> Column:
-    shape = _shape(c)
-    chain = None
-    for text, same_shape in _by_shape(patterns).items():
-        parsed = F.coalesce(*[parse(p) for p in same_shape])
-        chain = F.when(shape == text, parsed) if chain is None else chain.when(shape == text, parsed)
-    return chain.otherwise(fallback)
 
+def whole_number(c: Column) -> Column:
+    return F.when((F.length(c) <= 21) & c.rlike(r"^\s*[+-]?\d+\s*$"), c.try_cast("bigint"))
 
-def _iso_timestamp(c: Column) -> Column:
-    """ISO cast, but not for a bare time of day, which would silently become today."""
-    return F.when(~c.rlike(r"^\s*T?\d{1,2}:"), c.try_cast("timestamp"))
+
+def real_number(c: Column) -> Column:
+    """Double from text. The pattern is cheaper than the exception a cast pays for every text that is no number."""
+    return F.when(c.rlike(_NUMBER), c.try_cast("double"))
 
 
 def parse_date(c: Column, patterns: list[str] | None = None) -> Column:
     """Date from text; ``patterns`` narrows a column to its own layouts (day-first, say)."""
     if patterns:
-        return F.coalesce(*[F.try_to_timestamp(c, F.lit(p)).try_cast("date") for p in patterns])
-    timed = [f"{p} HH:mm:ss" for p in fixed.DATE_PATTERNS]
-    return _dispatch(
-        c,
-        fixed.DATE_PATTERNS + timed,
-        lambda p: F.try_to_timestamp(c, F.lit(p)).try_cast("date"),
-        _iso_timestamp(c).try_cast("date"),
-    )
+        return F.coalesce(*[F.try_to_timestamp(c, F.lit(p)) for p in patterns]).try_cast("date")
+    return parse_moment(c).cast("date")
 
 
 def parse_timestamp(c: Column, patterns: list[str] | None = None) -> Column:
     if patterns:
         return F.coalesce(*[F.try_to_timestamp(c, F.lit(p)) for p in patterns])
-    return _dispatch(
-        c, fixed.TIMESTAMP_PATTERNS, lambda p: F.try_to_timestamp(c, F.lit(p)), _iso_timestamp(c)
-    )
-
+    return F.when(is_timestamp_text(c), parse_moment(c))
 
-def parse_number(c: Column, spark_type: str) -> Column:
-    return without_percent(c).try_cast(spark_type)
 
-
-def has_time_of_day(ts: Column) -> Column:
-    return F.date_trunc("day", ts) != ts
+def parse_number(c: Column, target: str) -> Column:
+    """Number from text, percent sign ignored. The word nan means no value, so it never becomes a number."""
+    value = number_text(c).try_cast(target)
+    return F.nullif(value, F.lit(float("nan")).cast(target)) if target in ("float", "double") else value
 
 
 def spark_type(data_type: str) -> str | None:
@@ -86,13 +101,16 @@ def spark_type(data_type: str) -> str | None:
 
 
 def typed(c: Column, target: str, patterns: list[str] | None = None) -> Column:
-    """``c`` as ``target``. Null words give null for every type but string, which keeps its text."""
+    """``c`` as ``target``, null where it does not parse. Null words parse as nothing but text."""
     if target == "string":
         return c.try_cast("string")
     if target == "date":
-        value = parse_date(c, patterns)
-    elif target == "timestamp":
-        value = parse_timestamp(c, patterns)
-    else:
-        value = parse_number(c, target)
-    return F.when(has_value(c), value)
+        return parse_date(c, patterns)
+    if target == "timestamp":
+        return parse_timestamp(c, patterns)
+    return parse_number(c, target)
+
+
+def fails(c: Column, target: str, patterns: list[str] | None = None) -> Column:
+    """True where a text means something but is not a ``target``. The word list is looked at only after a failed parse."""
+    return typed(c, target, patterns).isNull() & ~is_null_word(c)

@@ -20,14 +20,9 @@ def is_null_word(c: Column) -> Column:
     return c.isNull() | F.lower(F.trim(c)).isin(*fixed.NULL_WORDS)
 
 
-def has_value(c: Column) -> Column:
-    return ~is_null_word(c)
-
-
-def without_percent(c: Column) -> Column:
-    """'12 %' -> '12': trims, then drops one trailing percent sign and the blanks before it."""
-    trimmed = F.trim(c)
-    return F.when(trimmed.endswith("%"), F.regexp_replace(trimmed, r"\s*%\s*$", "")).otherwise(trimmed)
+def number_text(c: Column) -> Column:
+    """'12 %' -> '12': one trailing percent sign and the blanks around it dropped."""
+    return F.when(c.contains("%"), F.regexp_replace(c, r"\s*%\s*$", "")).otherwise(c)
 
 
 _WORD_BREAKS = [

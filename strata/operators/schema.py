@@ -6,21 +6,22 @@ them into one ``agg`` together with whatever else they want to know about the sa
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata import fixed
 from strata.functions.parsing import (
-    has_time_of_day,
-    parse_date,
-    parse_timestamp,
+    fails,
+    is_timestamp_text,
+    parse_moment,
+    real_number,
     spark_type,
     typed,
+    whole_number,
 )
-from strata.functions.text import col, has_value, without_percent
+from strata.functions.text import col, is_null_word, number_text
+from strata.session import small_methods
 
 # ---- configured schemas ------------------------------------------------------------------------------------
 
@@ -52,14 +53,24 @@ def struct_type(schema_config) -> T.StructType:
 # ---- enforcement -------------------------------------------------------------------------------------------
 
 
-def _casts(columns: list[str], entries: list[dict]) -> dict[str, Column]:
-    """Cast expression per configured column that is present and has a known type."""
-    casts = {}
+def _targets(columns: list[str], entries: list[dict]) -> dict[str, tuple]:
+    """(column, type, own date patterns) per configured column that is present and has a known type."""
+    targets = {}
     for entry in entries:
         name, target = entry["column_name"], spark_type(entry["data_type"])
         if name in columns and target:
-            casts[name] = typed(col(name), target, entry.get("formats"))
-    return casts
+            targets[name] = (col(name), target, entry.get("formats"))
+    return targets
+
+
+def _casts(columns: list[str], entries: list[dict]) -> dict[str, Column]:
+    return {name: typed(*how) for name, how in _targets(columns, entries).items()}
+
+
+def _failing(columns: list[str], schema_config) -> dict[str, Column]:
+    """Per column that can fail: whether a value means something but does not parse."""
+    targets = _targets(columns, schema_entries(schema_config))
+    return {name: fails(*how) if how[1] != "string" else F.lit(False) for name, how in targets.items()}
 
 
 def enforced(df: DataFrame, schema_config) -> DataFrame:
@@ -73,8 +84,7 @@ def enforced(df: DataFrame, schema_config) -> DataFrame:
 
 def failure_counters(columns: list[str], schema_config) -> dict[str, Column]:
     """Per column: how many values mean something but do not parse."""
-    casts = _casts(columns, schema_entries(schema_config))
-    return {name: F.count_if(has_value(col(name)) & cast.isNull()) for name, cast in casts.items()}
+    return {name: F.count_if(failing) for name, failing in _failing(columns, schema_config).items()}
 
 
 def raise_on_failures(failures: dict[str, int], schema_config) -> None:
@@ -101,8 +111,7 @@ def cast_failures(df: DataFrame, schema_config) -> DataFrame:
 
 def cast_failure_rows(df: DataFrame, schema_config) -> DataFrame:
     """The rows that would fail, unchanged, with the names of the columns that do not parse."""
-    casts = _casts(df.columns, schema_entries(schema_config))
-    named = [F.when(has_value(col(name)) & cast.isNull(), F.lit(name)) for name, cast in casts.items()]
+    named = [F.when(failing, F.lit(name)) for name, failing in _failing(df.columns, schema_config).items()]
     marked = df.withColumn("failed_columns", F.array_compact(F.array(*named)))
     return marked.where(F.size("failed_columns") > 0)
 
@@ -127,26 +136,36 @@ def text_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
 
 
-def accepted_types(c: Column) -> Column:
-    """AND of the type bits of all values; null when no value means anything."""
-    number = without_percent(c)
-    timestamp = parse_timestamp(c)
-    dated = parse_date(c)
-    looks_numeric = number.rlike(r"^[+-]?[0-9.]") | F.lower(number).isin("infinity", "-infinity", "inf", "-inf", "+inf")
-
-    def bit(test: Column, value: int) -> Column:
-        return F.when(test, value).otherwise(0)
-
-    has_time = F.coalesce(has_time_of_day(timestamp), c.contains(":") & ~c.endswith(" 00:00:00"))
-    bits = (
-        bit(looks_numeric & number.try_cast("int").isNotNull(), _INT)
-        .bitwiseOR(bit(looks_numeric & number.try_cast("bigint").isNotNull(), _BIGINT))
-        .bitwiseOR(bit(looks_numeric & number.try_cast("double").isNotNull(), _DOUBLE))
-        .bitwiseOR(bit(dated.isNotNull(), _DATE))
-        .bitwiseOR(bit(timestamp.isNotNull(), _TIMESTAMP))
-        .bitwiseOR(bit(~has_time, _MIDNIGHT))
-    )
-    return F.bit_and(F.when(has_value(c), bits))
+def with_type_bits(df: DataFrame, names: list[str]) -> DataFrame:
+    """Adds, per named text column, the set of types that accept its value (null for a null word) as ``__bits_<i>``.
+
+    Intermediate values get columns of their own step by step; as one expression they would be computed, and compiled,
+    once for every use.
+    """
+    if not names:
+        return df
+    read, judged = {}, {}
+    for i, name in enumerate(names):
+        c = col(name)
+        read[f"__whole_{i}"] = whole_number(number_text(c))
+        read[f"__instant_{i}"] = parse_moment(c)
+        whole, instant = F.col(f"__whole_{i}"), F.col(f"__instant_{i}")
+        judged[f"__numeric_{i}"] = (
+            F.when((whole >= -(2**31)) & (whole < 2**31), _INT | _BIGINT | _DOUBLE)
+            .when(whole.isNotNull(), _BIGINT | _DOUBLE)
+            .when(real_number(number_text(c)).isNotNull(), _DOUBLE)
+            .otherwise(0)
+        )
+        has_time = c.contains(":") & (F.date_trunc("day", instant) != instant)
+        stamp = F.when(is_timestamp_text(c), _TIMESTAMP).otherwise(0)
+        dated = F.lit(_DATE).bitwiseOR(F.when(has_time, 0).otherwise(_MIDNIGHT)).bitwiseOR(stamp)
+        judged[f"__dated_{i}"] = F.when(instant.isNotNull(), dated).otherwise(0)
+    bits = {}
+    for i, name in enumerate(names):
+        accepted = F.col(f"__numeric_{i}").bitwiseOR(F.col(f"__dated_{i}"))
+        bits[f"__bits_{i}"] = F.when((accepted != 0) | ~is_null_word(col(name)), accepted)
+    helpers = [f"__{kind}_{i}" for kind in ("whole", "instant", "numeric", "dated") for i in range(len(names))]
+    return df.withColumns(read).withColumns(judged).withColumns(bits).drop(*helpers)
 
 
 def type_of_bits(bits: int | None) -> str | None:
@@ -160,8 +179,9 @@ def type_of_bits(bits: int | None) -> str | None:
     return "timestamp" if bits & _TIMESTAMP else None
 
 
-def type_counters(df: DataFrame) -> dict[str, Column]:
-    return {name: accepted_types(col(name)) for name in text_columns(df)}
+def type_counters(names: list[str]) -> dict[str, Column]:
+    """AND of the type bits of each column over a DataFrame made by ``with_type_bits``."""
+    return {name: F.bit_and(F.col(f"__bits_{i}")) for i, name in enumerate(names)}
 
 
 def inferred_entries(bits: dict[str, int | None]) -> list[dict]:
@@ -172,11 +192,13 @@ def inferred_entries(bits: dict[str, int | None]) -> list[dict]:
 def infer_types(df: DataFrame, sample_rows: int | None = None, columns_per_pass: int = 200) -> list[dict]:
     """Types of the text columns over all rows; ``sample_rows`` looks at that many only, as an opt-in."""
     rows = df.limit(sample_rows) if sample_rows else df
-    counters = list(type_counters(df).items())
-    bits = {}
-    for i in range(math.ceil(len(counters) / columns_per_pass)):
-        chunk = counters[i * columns_per_pass : (i + 1) * columns_per_pass]
-        bits |= rows.agg(*[c.alias(name) for name, c in chunk]).first().asDict()
+    names, bits = text_columns(df), {}
+    for start in range(0, len(names), columns_per_pass):
+        chunk = names[start : start + columns_per_pass]
+        counters = type_counters(chunk)
+        with small_methods(df.sparkSession):
+            counted = with_type_bits(rows, chunk).agg(*[c.alias(name) for name, c in counters.items()]).first()
+        bits |= counted.asDict()
     return inferred_entries(bits)
 
 

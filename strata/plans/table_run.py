@@ -24,6 +24,7 @@ from strata.operators.checks import ChecksFailed, run_checks
 from strata.operators.loads import load
 from strata.plans.config import enabled, locations
 from strata.plans.run_log import RunLog
+from strata.session import small_methods
 from strata.sources.folders import latest_run
 from strata.sources.landing_files import read_source_files, reader_options
 from strata.sources.producers import run_producer
@@ -129,10 +130,11 @@ def refine(run: RunContext, landed: DataFrame) -> DataFrame:
     filled = clean.any_filled(business + suspects)
     enforce = settings.get("schema_config", "infer") == "enforce"
     if enforce:
-        counters = schema.failure_counters(business, entries)
+        counters, counted_rows = schema.failure_counters(business, entries), renamed
     else:
-        counters = schema.type_counters(renamed.select(*[col(n) for n in business]))
-    counted = _count_landing(renamed, filled, suspects, counters)
+        names = schema.text_columns(renamed.select(*[col(n) for n in business]))
+        counters, counted_rows = schema.type_counters(names), schema.with_type_bits(renamed, names)
+    counted = _count_landing(counted_rows, filled, suspects, counters)
     measured = {name: counted[f"__c_{i}"] for i, name in enumerate(counters)}
 
     run.log.event(
@@ -246,7 +248,8 @@ def _run_layers(run: RunContext, rows: DataFrame | None) -> int | None:
     elif "raw_trusted" in wanted:
         df = run.spark.read.option("mergeSchema", True).parquet(latest_run(run.spark, run.paths["raw_runs"]))
     if "raw" in wanted:
-        df = refine(run, df)
+        with small_methods(run.spark):
+            df = refine(run, df)
     return promote(run, df) if "raw_trusted" in wanted else None
 
 

@@ -3,11 +3,17 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+import strata
+
+_SHIPPED: set[str] = set()
+
 
 def local_session(app_name: str = "strata", cpus: int | str = 8, **conf) -> SparkSession:
     """A session for tests and for bench.py. A cluster brings its own."""
@@ -40,3 +46,28 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     return tempfile.mkdtemp(prefix=f"strata-{label}-") + os.sep + "out"
+
+
+@contextmanager
+def small_methods(spark: SparkSession):
+    """Runs actions with generated methods kept to what the JVM's compiler takes (8000 bytes of bytecode).
+
+    A projection that parses dozens of columns becomes one larger method otherwise, which is then interpreted.
+    """
+    name = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "8000")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the executors once per application, for operators with Python in their tasks."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        root = os.path.dirname(os.path.dirname(os.path.abspath(strata.__file__)))
+        archive = os.path.join(tempfile.mkdtemp(prefix="strata-package-"), "strata")
+        context.addPyFile(shutil.make_archive(archive, "zip", root_dir=root, base_dir="strata"))
+        _SHIPPED.add(context.applicationId)

@@ -15,7 +15,6 @@ LANDING_CSV = {
     "quote": '"',
     "escape": '"',
     "nullValue": "\\N",
-    "emptyValue": "",
     "ignoreLeadingWhiteSpace": False,
     "ignoreTrailingWhiteSpace": False,
 }
@@ -98,11 +97,11 @@ def reader_for(file_format: str):
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).options(**LANDING_CSV).csv(path)
+    df.write.mode(mode).options(**LANDING_CSV, emptyValue='""').csv(path)
 
 
 def read_landing_csv(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.options(**LANDING_CSV, multiLine=True, maxCharsPerColumn=-1).csv(path)
+    return spark.read.options(**LANDING_CSV, emptyValue="", multiLine=True, maxCharsPerColumn=-1).csv(path)
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:

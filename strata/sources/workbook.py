@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from strata import fixed
 from strata.functions.text import col
+from strata.session import ship_package
 
 PATH_COLUMN = "__path"
 _BATCH = 4096
@@ -253,6 +254,7 @@ def read_workbooks(files: DataFrame, options: dict) -> DataFrame:
     """``files`` has ``path`` and ``content``. All cells come back as text, blank rows and blank columns left out;
     columns are matched by name between workbooks. The path of each row is in ``__path``."""
     row_window(options)
+    ship_package(files.sparkSession)
     drift = options.get("drift", "error")
     profile = files.select("content").mapInArrow(_profile(options), "header array<string>, filled array<bigint>")
     per_header = (
