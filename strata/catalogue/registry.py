@@ -5,8 +5,9 @@ from __future__ import annotations
 from strata.catalogue.common import Query
 from strata.catalogue.flagship import flagship
 from strata.catalogue.ingest import ingest
+from strata.catalogue.quality import quality
 
-_PARTS = [flagship, ingest]
+_PARTS = [flagship, ingest, quality]
 
 
 def all_queries() -> dict[str, Query]:
