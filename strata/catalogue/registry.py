@@ -5,9 +5,10 @@ from __future__ import annotations
 from strata.catalogue.common import Query
 from strata.catalogue.flagship import flagship
 from strata.catalogue.ingest import ingest
+from strata.catalogue.loads import loads
 from strata.catalogue.quality import quality
 
-_PARTS = [flagship, ingest, quality]
+_PARTS = [flagship, ingest, quality, loads]
 
 
 def all_queries() -> dict[str, Query]:
