@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from strata.catalogue.common import Query
+from strata.catalogue.configs import configs
 from strata.catalogue.flagship import flagship
 from strata.catalogue.ingest import ingest
 from strata.catalogue.loads import loads
 from strata.catalogue.quality import quality
+from strata.catalogue.reports import reports
 
-_PARTS = [flagship, ingest, quality, loads]
+_PARTS = [flagship, ingest, quality, loads, reports, configs]
 
 
 def all_queries() -> dict[str, Query]:

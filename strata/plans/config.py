@@ -118,6 +118,10 @@ def _options_key() -> Column:
     return F.try_element_at(F.filter(keys, lambda k: k.endswith("_options")), F.lit(1))
 
 
+def _options_block(key: Column) -> Column:
+    return F.call_function("get_json_object", F.get_json_object("config", _LANDING), F.concat(F.lit("$."), key))
+
+
 def _top_rules() -> list[tuple[Column, Column]]:
     rules = [(_Json(f"$.{name}").nothing(), F.lit(f"Missing required field: '{name}'")) for name in fixed.REQUIRED_FIELDS]
     active = _Json("$.is_active")
@@ -136,7 +140,7 @@ def _landing_rules() -> list[tuple[Column, Column]]:
     name = F.lower(F.coalesce(file_format.string(), F.lit("")))
     needs_options = file & name.isin(*fixed.FORMATS_WITH_OPTIONS)
     key = _options_key()
-    block = F.get_json_object(F.get_json_object("config", _LANDING), F.concat(F.lit("$."), key))
+    block = _options_block(key)
     entries = F.transform(pii.elements(), lambda e: F.to_json(e))
     return [
         (api & ~parameters.is_object(), F.lit("'parameters' must be a dict (api source)")),
@@ -240,7 +244,7 @@ def control_rows(configs: DataFrame, sync_timestamp) -> DataFrame:
     )
     c = v.withColumn("c", typed).withColumn("__key", _options_key())
     no_text = F.array().cast("array<string>")
-    block = F.get_json_object(F.get_json_object("config", _LANDING), F.concat(F.lit("$."), F.col("__key")))
+    block = _options_block(F.col("__key"))
     step = "c.ingestion_steps"
     landing = F.when(
         ~_Json(_LANDING).empty(),

@@ -109,7 +109,7 @@ def run_rollup(report: DataFrame) -> DataFrame:
         F.when(F.bool_or(failed), "FAILED").when(F.bool_and(ok), "SUCCESS").otherwise("UNKNOWN").alias("dashboard_status"),
         F.when(F.bool_and(ok), "SUCCESS").when(F.bool_and(failed), "FAILED").otherwise("PARTIAL").alias("email_status"),
         F.when(F.bool_and(ok), "SUCCESS").otherwise("PARTIAL/FAILED").alias("job_status"),
-        F.round(F.avg("dq_score") * 100, 1).alias("dq_pct"),
+        F.round(F.avg(F.col("dq_score").cast("decimal(9,4)")) * 100, 1).cast("double").alias("dq_pct"),
     )
     return rolled.withColumns({"dq_text": percent_text(F.col("dq_pct")), "dq_band": score_band(F.col("dq_pct"))})
 
