@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from strata.catalogue.arrivals import arrivals
 from strata.catalogue.common import Query
 from strata.catalogue.configs import configs
 from strata.catalogue.flagship import flagship
@@ -10,7 +11,7 @@ from strata.catalogue.loads import loads
 from strata.catalogue.quality import quality
 from strata.catalogue.reports import reports
 
-_PARTS = [flagship, ingest, quality, loads, reports, configs]
+_PARTS = [flagship, ingest, quality, loads, reports, configs, arrivals]
 
 
 def all_queries() -> dict[str, Query]:

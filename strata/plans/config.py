@@ -59,13 +59,40 @@ def jobs_without_configs(wanted: DataFrame, configs: DataFrame) -> DataFrame:
 # ---- rules -------------------------------------------------------------------------------------------------
 
 
+_LANDING, _RAW, _TRUSTED = "$.ingestion_steps.landing", "$.ingestion_steps.raw", "$.ingestion_steps.raw_trusted"
+
+# Every place the rules look at. Each becomes one column of JSON text, computed once per config.
+_PLACES = [
+    *[f"$.{name}" for name in fixed.REQUIRED_FIELDS],
+    *["$.is_active", "$.notify", "$.notify.emails", "$.trigger", "$.trigger.type", "$.trigger.cron", "$.trigger.timezone", "$.schema"],
+    _LANDING,
+    *[f"{_LANDING}.{name}" for name in ("parameters", "parameters.notebook_path", "source_path", "file_format", "pii_columns")],
+    _RAW,
+    *[f"{_RAW}.{name}" for name in ("schema_config", "deduplication")],
+    _TRUSTED,
+    *[f"{_TRUSTED}.{name}" for name in ("load_type", "schema_evolution")],
+]
+
+
+def _column_of(path: str) -> str:
+    return "__at" + path.replace("$", "").replace(".", "_")
+
+
+def _located(configs: DataFrame) -> DataFrame:
+    parsed = configs.withColumn("__v", F.expr("try_parse_json(config)"))
+    return parsed.withColumns({_column_of(p): F.to_json(F.try_variant_get(F.col("__v"), F.lit(p), "variant")) for p in _PLACES})
+
+
+def _without_places(df: DataFrame) -> DataFrame:
+    return df.drop("__v", *[_column_of(p) for p in _PLACES])
+
+
 class _Json:
     """One place in a config: its JSON text, null where there is nothing."""
 
-    def __init__(self, path: str, variant: Column | None = None):
+    def __init__(self, path: str):
         self.path = path
-        self.variant = F.try_variant_get(F.col("__v") if variant is None else variant, F.lit(path), "variant")
-        self.text = F.to_json(self.variant)
+        self.text = F.col(_column_of(path))
 
     def absent(self) -> Column:
         return self.text.isNull()
@@ -93,10 +120,10 @@ class _Json:
         return self._starts('"')
 
     def string(self) -> Column:
-        return F.when(self.is_text(), F.try_variant_get(self.variant, F.lit("$"), "string"))
+        return F.when(self.is_text(), F.try_variant_get(F.col("__v"), F.lit(self.path), "string"))
 
     def elements(self) -> Column:
-        return F.try_variant_get(self.variant, F.lit("$"), "array<variant>")
+        return F.try_variant_get(F.col("__v"), F.lit(self.path), "array<variant>")
 
     def type_name(self) -> Column:
         return (
@@ -110,9 +137,6 @@ class _Json:
         )
 
 
-_LANDING, _RAW, _TRUSTED = "$.ingestion_steps.landing", "$.ingestion_steps.raw", "$.ingestion_steps.raw_trusted"
-
-
 def _options_key() -> Column:
     keys = F.json_object_keys(F.get_json_object("config", _LANDING))
     return F.try_element_at(F.filter(keys, lambda k: k.endswith("_options")), F.lit(1))
@@ -208,7 +232,7 @@ def _schema_errors() -> Column:
 
 def config_errors(configs: DataFrame) -> DataFrame:
     """``configs`` plus ``errors``: every broken rule of each config, in rule order; an empty array is a good config."""
-    parsed = configs.withColumn("__v", F.expr("try_parse_json(config)"))
+    parsed = _located(configs)
     always = _top_rules()
     later = [
         *_landing_rules(),
@@ -225,7 +249,7 @@ def config_errors(configs: DataFrame) -> DataFrame:
     has_steps = ~_Json("$.ingestion_steps").empty()
     errors = F.when(has_steps, F.concat(found(always), more)).otherwise(found(always))
     unreadable = F.array(F.lit("not valid JSON"))
-    return parsed.withColumn("errors", F.when(F.col("__v").isNull(), unreadable).otherwise(errors)).drop("__v")
+    return _without_places(parsed.withColumn("errors", F.when(F.col("__v").isNull(), unreadable).otherwise(errors)))
 
 
 # ---- control table -----------------------------------------------------------------------------------------
@@ -233,7 +257,7 @@ def config_errors(configs: DataFrame) -> DataFrame:
 
 def control_rows(configs: DataFrame, sync_timestamp) -> DataFrame:
     """Config texts as rows of the control table. Absent layers stay null."""
-    v = configs.withColumn("__v", F.expr("try_parse_json(config)"))
+    v = _located(configs)
     typed = F.from_json(
         "config",
         "region string, market string, domain string, source_name string, is_active boolean, "
