@@ -1,10 +1,9 @@
 """Typed parsing of landed text.
 
 Dates come in many layouts. Trying patterns in turn costs an exception inside the parser for every one that does not
-fit, and a long expression besides. Here numeric layouts are put into ISO order by pattern replacement and one cast
-decides; only month names need a formatter, whose pattern follows from the length. Where month and day cannot be told
-apart the month comes first; a first number above 12 can only be a day. That gives what the ordered pattern list in
-``fixed`` gives.
+fit, and a long expression besides. Here the separators of a text tell its layout, its pieces are put into ISO order,
+and one cast decides. Where month and day cannot be told apart the month comes first; a first number above 12 can only
+be a day. That gives what the ordered pattern list in ``fixed`` gives.
 """
 
 from __future__ import annotations
@@ -17,46 +16,61 @@ from pyspark.sql import functions as F
 from strata import fixed
 from strata.functions.text import is_null_word, number_text
 
-_CLOCK = r"( \d{2}:\d{2}:\d{2})?$"
-_DAY_FIRST = r"^(1[3-9]|[2-9]\d)([/-])(\d{2})\2(\d{4})" + _CLOCK
-_MONTH_FIRST = r"^(\d{2})([/-])(\d{2})\2(\d{4})" + _CLOCK
-_SLASHED = r"^(\d{4})/(\d{2})/(\d{2})" + _CLOCK
 _BARE_CLOCK = r"^\s*T?\d{1,2}:"
-_MONTH_NAME = r"^\d{2}-[A-Za-z]{3}-\d{2}"
 _NOT_TIMESTAMP = r"^(\d{2}([/-])\d{2}\2\d{4}|\d{4}/\d{2}/\d{2}|\d{2}-[A-Za-z]{3}-.*)$"
 _NUMBER = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?[dDfF]?|[iI]nf(inity)?)\s*$"
+_MONTHS = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"]
+
+
+def _at(c: Column, start: int, length: int = 1) -> Column:
+    return F.substring(c, start, length)
+
+
+def _rest(c: Column, start: int) -> Column:
+    return F.substring(c, start, 9)
+
+
+def _ends(c: Column, date_length: int) -> Column:
+    """The text ends with its date, or goes on with ' HH:mm:ss'."""
+    clock = (_at(c, date_length + 1) == " ") & (_at(c, date_length + 4) == ":") & (_at(c, date_length + 7) == ":")
+    return (F.length(c) == date_length) | ((F.length(c) == date_length + 9) & clock)
 
 
 def _year_last(c: Column) -> Column:
-    return F.substring(c, 3, 1).isin("/", "-")
+    return _at(c, 3).isin("/", "-")
 
 
 def _year_slash(c: Column) -> Column:
-    return F.substring(c, 5, 1) == "/"
+    return (_at(c, 5) == "/") & (_at(c, 8) == "/")
 
 
-def iso_text(c: Column) -> Column:
-    """Numeric date text in ISO order, any clock kept; null for a bare time of day, which a cast would take for today.
+def _numbers_to_iso(c: Column) -> Column:
+    first, second, year = _at(c, 1, 2), _at(c, 4, 2), _at(c, 7, 4)
+    dash = F.lit("-")
+    day_first = F.concat(year, dash, second, dash, first, _rest(c, 11))
+    month_first = F.concat(year, dash, first, dash, second, _rest(c, 11))
+    return F.when((_at(c, 6) == _at(c, 3)) & _ends(c, 10), F.when(first > "12", day_first).otherwise(month_first))
 
-    One look at a separator decides which pattern may apply, so texts already in order meet no pattern at all.
-    """
-    month_known = F.regexp_replace(c, _DAY_FIRST, "$4-$3-$1$5")
+
+def _month_name_to_iso(c: Column) -> Column:
+    pairs = [F.lit(x) for i, name in enumerate(_MONTHS, 1) for x in (name, f"-{i:02d}-")]
+    month, day = F.try_element_at(F.create_map(*pairs), F.lower(_at(c, 4, 3))), _at(c, 1, 2)
+    short = F.when(_ends(c, 9), F.concat(F.lit("20"), _at(c, 8, 2), month, day, _rest(c, 10)))
+    return F.when((_at(c, 7) == "-") & (_at(c, 3) == "-"), short.when(_ends(c, 11), F.concat(_at(c, 8, 4), month, day, _rest(c, 12))))
+
+
+def iso_text(c: Column) -> Column:
+    """Date text in ISO order, any clock kept; null for a bare time of day, which a cast would take for today."""
     return (
-        F.when(_year_last(c), F.regexp_replace(month_known, _MONTH_FIRST, "$4-$1-$3$5"))
-        .when(_year_slash(c), F.regexp_replace(c, _SLASHED, "$1-$2-$3$4"))
+        F.when(_year_last(c), F.coalesce(_numbers_to_iso(c), _month_name_to_iso(c)))
+        .when(_year_slash(c), F.when(_ends(c, 10), F.translate(c, "/", "-")))
         .when(~(c.contains(":") & c.rlike(_BARE_CLOCK)), c)
     )
 
 
-def _named_month(c: Column) -> Column:
-    patterns = {9: "dd-MMM-yy", 11: "dd-MMM-yyyy", 18: "dd-MMM-yy HH:mm:ss", 20: "dd-MMM-yyyy HH:mm:ss"}
-    pattern = F.try_element_at(F.create_map(*[F.lit(x) for pair in patterns.items() for x in pair]), F.length(c))
-    return F.when(_year_last(c) & c.rlike(_MONTH_NAME), F.try_to_timestamp(c, pattern))
-
-
 def parse_moment(c: Column) -> Column:
     """The instant a date or timestamp text stands for."""
-    return F.coalesce(iso_text(c).try_cast("timestamp"), _named_month(c))
+    return iso_text(c).try_cast("timestamp")
 
 
 def is_timestamp_text(c: Column) -> Column:
