@@ -52,7 +52,8 @@ def read_source_files(
 
     ``drift`` says what to do when CSV or workbook headers differ between files: 'error' fails, 'by_name' accepts
     another column order, 'allow' also accepts missing columns, which become null. CSV under 'error' is one scan, in
-    which Spark itself compares every file's header; the other two read the first lines first.
+    which Spark itself compares every file's header; the others, and files with blank headers, have their first lines
+    read first.
     """
     if drift not in ("error", "by_name", "allow"):
         raise ValueError(f"unknown drift policy '{drift}'")
@@ -66,14 +67,20 @@ def read_source_files(
         df = reader_for(name)(spark, folder, workbook, **options)
         file_name = F.element_at(F.split(F.col(PATH_COLUMN), "/"), -1)
         return df.withColumn(fixed.LINEAGE_COLUMN, file_name).drop(PATH_COLUMN)
-    if name == "csv" and drift != "error":
-        return _csv_by_header(spark, folder, options, drift)
-    if name == "csv":
+    if name == "csv" and len(files) > 1:
+        if drift != "error" or not _headers_comparable(spark, files[0], options):
+            return _csv_by_header(spark, folder, options, drift)
         options["enforceSchema"] = False
     df = reader_for(name)(spark, folder, **options)
     return df.select("*", F.col("_metadata.file_name").alias(fixed.LINEAGE_COLUMN))
 
 
+def _headers_comparable(spark: SparkSession, file: str, options: dict) -> bool:
+    """Whether Spark's own header comparison applies: it renames blank and repeated headers and then objects to them."""
+    written = read_csv(spark, file, **{**options, "header": False}).first()
+    return written is None or list(written) == read_csv(spark, file, **options).columns
+
+
 def _csv_by_header(spark: SparkSession, folder: str, options: dict, drift: str) -> DataFrame:
     settings = {**fixed.CSV_READ_DEFAULTS, **options}
     lines = (
@@ -88,10 +95,11 @@ def _csv_by_header(spark: SparkSession, folder: str, options: dict, drift: str)
     parts, expected = [], None
     for row in groups.collect():
         names = next(csv.reader([row["header"]], delimiter=settings["sep"], quotechar=settings["quote"]))
-        names = {n.strip() for n in names}
+        names = [n.strip() for n in names]
         expected = expected or names
-        if drift == "by_name" and names != expected:
-            raise ValueError(f"columns differ between files: {sorted(names ^ expected)} in {row['paths'][0]}")
+        same = sorted(names) == sorted(expected) if drift == "by_name" else names == expected or drift == "allow"
+        if not same:
+            raise ValueError(f"columns differ between files: {expected} and {names} in {row['paths'][0]}")
         part = read_csv(spark, row["paths"], **options)
         parts.append(part.select("*", F.col("_metadata.file_name").alias(fixed.LINEAGE_COLUMN)))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=drift == "allow"), parts)
