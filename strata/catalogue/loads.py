@@ -11,6 +11,7 @@ from strata.functions.hashing import with_row_hash
 from strata.operators.loads import load, upsert_all
 from strata.operators.schema import evolve_catalog_table
 from strata.operators.snapshots import SnapshotTable, ensure_namespace, open_table
+from strata.sources.readers import reader_for
 
 loads = Catalogue()
 
@@ -177,8 +178,9 @@ def catalog_table_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
 def snapshot_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The table as it was by version, and as it is by a later time."""
     target = _twice(spark, sf_dir, "scd1")
-    first = target.read(version=0).select(F.lit(1).alias("asked"), *COLUMNS)
-    second = target.read(as_of="2024-01-02 18:00:00").select(F.lit(2).alias("asked"), *COLUMNS)
+    read = reader_for("delta")
+    first = read(spark, target.path, versionAsOf=0).select(F.lit(1).alias("asked"), *COLUMNS)
+    second = read(spark, target.path, timestampAsOf="2024-01-02 18:00:00").select(F.lit(2).alias("asked"), *COLUMNS)
     return first.unionByName(second)
 
 
@@ -191,7 +193,7 @@ def snapshot_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 def snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Changes from the first delivery to the second, which replaced it."""
     target = _twice(spark, sf_dir, "overwrite")
-    changes = target.changes(["o_orderkey"], 0, 1)
+    changes = reader_for("delta")(spark, target.path, readChangeFeed=True, keys=["o_orderkey"], startingVersion=0, endingVersion=1)
     return changes.select(*COLUMNS, F.col("_change_type").alias("change"))
 
 

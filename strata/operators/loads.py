@@ -83,11 +83,18 @@ def overwrite(table: SnapshotTable, df: DataFrame, now=None) -> int:
 
 
 def upsert(
-    table: SnapshotTable, df: DataFrame, keys: list[str], evolve: bool = False, mode: str = "scd_type1", now=None
+    table: SnapshotTable,
+    df: DataFrame,
+    keys: list[str],
+    evolve: bool = False,
+    mode: str = "scd_type1",
+    keys_checked: bool = False,
+    now=None,
 ) -> int:
     """Source rows replace table rows of the same key and are added otherwise. Table columns the source lacks keep
     their value on replaced rows."""
-    require_unique_keys(df, keys)
+    if not keys_checked:
+        require_unique_keys(df, keys)
     commit = _latest(table)
     if commit is None:
         return table.publish(df.schema, table.write_part(df), mode, now)
@@ -125,6 +132,7 @@ def scd2(
     evolve: bool = False,
     expire_only: bool = False,
     expire_missing: bool = False,
+    keys_checked: bool = False,
     now: str | datetime | None = None,
 ) -> int:
     """History load. A changed row ends the current version of its key and starts a new one; equal rows (by
@@ -133,7 +141,8 @@ def scd2(
     ``expire_only`` ends every matched version and starts a new one only in the next load. ``expire_missing`` takes
     the source for a full snapshot and ends versions whose key is not in it. Closed versions are never read again.
     """
-    require_unique_keys(df, keys)
+    if not keys_checked:
+        require_unique_keys(df, keys)
     moment = F.lit(now or _now()).cast("timestamp")
     fresh = df.withColumns(
         {fixed.VALID_FROM: moment, fixed.VALID_TO: F.lit(None).cast("timestamp"), fixed.IS_CURRENT: F.lit(True)}
@@ -190,9 +199,11 @@ def load(
     expire_only: bool = False,
     batch_id: str | None = None,
     hash_exclude: list[str] = (fixed.LINEAGE_COLUMN,),
+    keys_checked: bool = False,
     now=None,
 ) -> int:
-    """Adds ``row_hash`` (by default without lineage, which changes with every file) and loads ``df`` into the table at ``target`` (a path or catalog.schema.table)."""
+    """Adds ``row_hash`` (by default without lineage, which changes with every file) and loads ``df`` into the table at ``target`` (a path or catalog.schema.table).
+    ``keys_checked`` says that a check has found the keys unique, so that they need not be counted again."""
     kind, keys = load_type_name(load_type), list(keys or [])
     if kind.startswith("scd") and not keys:
         raise ValueError("an SCD load needs a primary key")
@@ -202,6 +213,6 @@ def load(
     if kind == "overwrite":
         return overwrite(table, hashed, now)
     if kind == "scd_type1":
-        return upsert(table, hashed, keys, evolve, now=now)
-    return scd2(table, hashed, keys, evolve, expire_only, expire_missing, now)
+        return upsert(table, hashed, keys, evolve, keys_checked=keys_checked, now=now)
+    return scd2(table, hashed, keys, evolve, expire_only, expire_missing, keys_checked, now)
 

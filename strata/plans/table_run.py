@@ -215,6 +215,7 @@ def promote(run: RunContext, raw: DataFrame) -> int:
         evolve=bool(settings.get("schema_evolution")),
         expire_missing=bool(settings.get("enable_expiration")),
         batch_id=run.batch_id,
+        keys_checked=any(r.name == fixed.KEY_CHECK for r in results) and bool(keys),
         now=run.now,
     )
     run.log.event(

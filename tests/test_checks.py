@@ -98,3 +98,18 @@ def test_messages_stand_in_for_rows(spark, table):
     results = checks.run_checks(table, config(keys=KEYS))
     records = errors.failure_records(spark, results).collect()
     assert {r.column_name for r in records} == {"N/A", "k2"}
+
+
+def test_one_hot_key_and_one_hot_row(spark):
+    """A third of all rows share a key, another third are copies of one row; nothing is lost or capped."""
+    n = 30_000
+    df = spark.range(n).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN -1 WHEN id % 3 = 1 THEN -2 ELSE id END AS k",
+        "CASE WHEN id % 3 = 1 THEN 'copy' ELSE concat('v', id) END AS v",
+    )
+    counts = checks.count_table(df, ["k"])
+    assert (counts.total, counts.distinct_keys, counts.distinct_rows) == (n, n // 3 + 2, n - n // 3 + 1)
+    assert checks.count_table(df) == checks.TableCounts(n, counts.distinct_rows)
+    records = errors.key_violation_records(df, ["k"])
+    assert records.count() == n // 3 + 1
+    assert errors.duplicate_row_records(df).count() == 1
