@@ -7,9 +7,11 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.catalogue.common import Catalogue, table
+from strata.catalogue.common import Catalogue, moment, scratch, table
 from strata.functions import pii
+from strata.operators.snapshots import SnapshotTable
 from strata.plans import column_specs, config
+from strata.plans.jobs import register_configs
 
 configs = Catalogue()
 
@@ -175,6 +177,31 @@ def target_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return config.target_locations(places, "/landing", "/raw", "lake", "20240101_000000").select("c_custkey", "landing", "raw", "raw_trusted")
 
 
+@configs.query(
+    "control_table_sync",
+    """SELECT concat('job ', p_brand) AS job_name, concat('t', p_partkey) AS table_name, CASE WHEN p_size > 25 THEN 'M2' ELSE 'US' END AS market,
+              CASE WHEN p_size > 25 THEN '2024-01-02 00:00:00' ELSE '2024-01-01 00:00:00' END AS synced, 'append' AS load_type,
+              'c:int' AS first_column FROM part""",
+)
+def control_table_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A good config per part, registered; half of them changed and registered again."""
+    part = table(spark, sf_dir, "part")
+    named = [F.concat(F.lit("job "), "p_brand").alias("job_name"), F.concat(F.lit("t"), F.col("p_partkey").cast("string")).alias("table_name")]
+    control = SnapshotTable(spark, scratch(spark, "control"))
+    register_configs(part.select(*named, F.lit(_GOOD).alias("config")), control, "2024-01-01 00:00:00")
+    changed = part.where("p_size > 25").select(*named, F.lit(_GOOD.replace('"US"', '"M2"')).alias("config"))
+    register_configs(changed, control, "2024-01-02 00:00:00")
+    entry = F.col("schema")[0]
+    return control.read().select(
+        "job_name",
+        "table_name",
+        "market",
+        moment("sync_timestamp").alias("synced"),
+        "ingestion_steps.raw_trusted.load_type",
+        F.concat(entry["column_name"], F.lit(":"), entry["data_type"]).alias("first_column"),
+    )
+
+
 # ---- column specs: twenty parts make one spec --------------------------------------------------------------
 
 _TYPES = ["VARCHAR(20)", "INT", "DECIMAL(10,2)", "DATE", "datetime", "BOOLEAN", "GEOGRAPHY", "text"]

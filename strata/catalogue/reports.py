@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from strata.catalogue.common import Catalogue, moment, scratch, table
 from strata.functions import naming
 from strata.functions.wording import clipped, column_in_message, failure_digest
+from strata.operators.snapshots import SnapshotTable
 from strata.plans import reports as r
+from strata.plans.jobs import publish_board
 from strata.plans.run_log import LOG_SCHEMA, read_log, value_of
 
 reports = Catalogue()
@@ -183,6 +185,22 @@ def freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return board.select("table_name", "status", "cadence", "data_age_hours", "freshness_status")
 
 
+@reports.query(
+    "status_board",
+    """SELECT concat('t', user_id) AS table_name,
+              concat('run-2024-01-', CASE WHEN bool_or(day(ts) = 30) THEN '30' ELSE '29' END) AS run_id
+       FROM events WHERE day(ts) IN (29, 30) GROUP BY user_id""",
+)
+def status_board(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The boards of two runs published one after the other: tables the second run left alone keep their row."""
+    board, log = SnapshotTable(spark, scratch(spark, "board")), event_log(spark, sf_dir)
+    none = spark.createDataFrame([], "job_name string, table_name string, last_table_update_time timestamp")
+    for run in ("run-2024-01-29", "run-2024-01-30"):
+        rows = r.monitoring_rows(_control(spark, sf_dir), r.table_status(log, run), none, job_id="1", trigger_type="MANUAL", run_url="", now=NOW)
+        publish_board(rows, board, NOW)
+    return board.read().select("table_name", "run_id")
+
+
 @reports.query(
     "job_of_run",
     f"""SELECT concat('run-', strftime(ts, '%Y-%m-%d')) AS job_run_id, true AS job_known FROM events GROUP BY 1""",

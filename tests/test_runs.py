@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 from strata import fixed
 from strata.catalogue.arrivals import COLUMNS, events_config
 from strata.operators.checks import ChecksFailed
-from strata.operators.snapshots import open_table
+from strata.operators.snapshots import SnapshotTable, open_table
 from strata.plans import config as cfg
-from strata.plans import reports
-from strata.plans.run_log import read_log
+from strata.plans import jobs, reports
+from strata.plans.run_log import LOG_SCHEMA, read_log
 from strata.plans.table_run import run_table
 from strata.streaming.arrivals import ingest_arrivals
 
@@ -164,3 +164,37 @@ def test_notify_settings(spark):
     assert reports.notify_settings(control, "JOB_SHOP", "JOB_") == ["a@b.c"]
     with pytest.raises(ValueError, match="no notify"):
         reports.notify_settings(control, "other")
+
+
+def test_run_job_and_control_table(spark, source, tmp_path):
+    base = str(tmp_path / "lake")
+    good = settings(source)
+    good["ingestion_steps"]["landing"]["csv_options"] = {"delimiter": ","}
+    good["ingestion_steps"]["raw"]["deduplication"] = True
+    good["schema"] = [{"column_name": c, "data_type": t} for c, t in good["schema"]]
+    texts = [("shop", "orders", json.dumps(good)), ("shop", "empty", json.dumps(good))]
+    configs = spark.createDataFrame(texts, "job_name string, table_name string, config string")
+    control = SnapshotTable(spark, str(tmp_path / "control"))
+    jobs.register_configs(configs, control, "2024-01-01 00:00:00")
+    jobs.register_configs(configs.where("table_name = 'orders'"), control, "2024-01-02 00:00:00")
+    assert control.read().count() == 2
+    done = jobs.run_job(spark, control.read(), "shop", base, ["orders", "empty", "other"], job_run_id="j1")
+    assert done["missing"] == ["other"] and done["tables"]["orders"] == 0
+    assert isinstance(done["tables"]["empty"], FileNotFoundError)
+    report = {r.table_name: r.status for r in reports.table_results(read_log(spark, f"{base}/run_log"), "j1").collect()}
+    assert report == {"orders": "SUCCESS", "empty": "FAILED"}
+    with pytest.raises(ValueError, match="no active config"):
+        jobs.run_job(spark, control.read(), "other", base)
+
+
+def test_broken_configs_are_not_registered(spark, tmp_path):
+    configs = spark.createDataFrame([("shop", "orders", "{")], "job_name string, table_name string, config string")
+    with pytest.raises(ValueError, match="1 broken config.*shop/orders: not valid JSON"):
+        jobs.register_configs(configs, SnapshotTable(spark, str(tmp_path / "control")), "2024-01-01")
+
+
+def test_framework_tables(spark):
+    for _ in range(2):
+        jobs.ensure_table(spark, "spark_catalog.strata_frame.control", cfg.CONTROL_SCHEMA)
+        jobs.ensure_table(spark, "spark_catalog.strata_frame.log", LOG_SCHEMA)
+    assert spark.table("strata_frame.log").columns[0] == "timestamp"
