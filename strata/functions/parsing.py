@@ -101,8 +101,9 @@ def parse_timestamp(c: Column, patterns: list[str] | None = None) -> Column:
 
 
 def parse_number(c: Column, target: str) -> Column:
-    """Number from text, percent sign ignored. The word nan means no value, so it never becomes a number."""
-    value = number_text(c).try_cast(target)
+    """Number from text, percent sign ignored. The word nan means no value, so it never becomes a number. No number
+    begins with an n, and most null words do; they are spared the exception of a failed cast."""
+    value = F.when(~F.substring(c, 1, 1).isin("n", "N"), number_text(c).try_cast(target))
     return F.nullif(value, F.lit(float("nan")).cast(target)) if target in ("float", "double") else value
 
 

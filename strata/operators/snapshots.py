@@ -59,7 +59,7 @@ class SnapshotTable:
     def history(self) -> DataFrame:
         """version, committed_at and mode of every commit."""
         rows = self.spark.read.schema(f"version int, {_COMMIT}").json(f"{self.path}/commits")
-        return rows.select("version", "committed_at", "mode")
+        return rows.where(F.col("version").isin(self.versions())).select("version", "committed_at", "mode")
 
     def commit(self, version: int | None = None) -> Commit:
         known = self.versions()
@@ -117,7 +117,9 @@ class SnapshotTable:
         return [Part(f"{name}/part={role}", role) for role in (LIVE, CLOSED) if any(f.endswith(f"part={role}") for f in written)]
 
     def publish(self, schema: T.StructType, parts, mode: str, now: datetime | str | None = None) -> int:
-        version = (self.versions() or [-1])[-1] + 1
+        # a commit that died half-way keeps its number, so the next one takes another
+        taken = folders.matching(self.spark, f"{self.path}/commits/version=*")
+        version = max([int(f.rsplit("=", 1)[1]) for f in taken], default=-1) + 1
         nullable = T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
         moment = F.lit(now or datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp")
         row = self.spark.createDataFrame(
@@ -137,7 +139,12 @@ class SnapshotTable:
         distinct row on either side, so repeated rows and hot keys need no pairing.
         """
         new = self.commit(to_version)
-        old = self.commit(new.version - 1 if from_version is None else from_version)
+        if from_version is None:
+            earlier = [v for v in self.versions() if v < new.version]
+            if not earlier:
+                raise ValueError("the table has no earlier version to compare with")
+            from_version = earlier[-1]
+        old = self.commit(from_version)
         schema = new.schema
         before = self.read_parts(schema, [p for p in old.parts if p not in new.parts]).withColumn("__side", F.lit(-1))
         after = self.read_parts(schema, [p for p in new.parts if p not in old.parts]).withColumn("__side", F.lit(1))

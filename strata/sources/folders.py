@@ -5,11 +5,17 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
-def matching(spark: SparkSession, pattern: str) -> list[str]:
+def matching(spark: SparkSession, pattern: str, files_only: bool = False) -> list[str]:
     """Paths that match a glob, sorted; an empty list when nothing does."""
     path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
     found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
-    return sorted(str(status.getPath().toString()) for status in found or [])
+    return sorted(status.getPath().toString() for status in found or [] if status.isFile() or not files_only)
+
+
+def source_files(spark: SparkSession, folder: str) -> list[str]:
+    """Files lying in a source folder itself; hidden ones and folders do not count."""
+    files = matching(spark, f"{folder.rstrip('/')}/*", files_only=True)
+    return [f for f in files if not f.rsplit("/", 1)[1].startswith(("_", "."))]
 
 
 def latest_run(spark: SparkSession, base: str) -> str:

@@ -58,7 +58,7 @@ def read_source_files(
     if drift not in ("error", "by_name", "allow"):
         raise ValueError(f"unknown drift policy '{drift}'")
     options = dict(options or {})
-    files = [f for f in folders.matching(spark, f"{folder.rstrip('/')}/*") if not f.rsplit("/", 1)[1].startswith(("_", "."))]
+    files = folders.source_files(spark, folder)
     if not files:
         raise FileNotFoundError(f"no input files in {folder}")
     name = format_name(file_format)

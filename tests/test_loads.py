@@ -162,3 +162,14 @@ def test_named_targets(spark, frame):
     name = "spark_catalog.strata_named.t1"
     load(spark, frame((1, "a")), name)
     assert values(open_table(spark, name).read(), "k", "v") == [(1, "a")]
+
+
+def test_commit_that_died_is_passed_over(spark, frame, target, tmp_path):
+    load(spark, frame((1, "a")), target, now=T1)
+    (tmp_path / "table" / "commits" / "version=1").mkdir()
+    load(spark, frame((2, "b")), target, now=T2)
+    table = open_table(spark, target)
+    assert table.versions() == [0, 2]
+    assert values(table.read(), "k") == [(1,), (2,)]
+    assert values(table.read(as_of=T1), "k") == [(1,)]
+    assert values(table.changes(["k"]), "k", "_change_type") == [(2, "insert")]

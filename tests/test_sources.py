@@ -1,11 +1,13 @@
 import io
 import zipfile
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 from strata import fixed
 from strata.catalogue.workbook_maker import workbook_bytes
+from strata.session import scratch_dir
 from strata.sources import folders, readers, workbook
 from strata.sources.landing_files import read_source_files, reader_options
 from strata.sources.payload import weather_rows
@@ -156,3 +158,13 @@ def test_producers(spark, tmp_path):
     assert rows(df, "n", fixed.LINEAGE_COLUMN) == [("5", "notebook")]
     with pytest.raises(ValueError, match="no producer"):
         run_producer(spark, {"notebook_path": "unknown"}, "t", "r", "/o")
+
+
+def test_scratch_folder():
+    def session(shared, master):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: shared), sparkContext=SimpleNamespace(master=master))
+
+    assert scratch_dir(session("hdfs:///cp/", "yarn"), "x").startswith("hdfs:///cp/strata-x-")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_dir(session(None, "yarn"), "x")
+    assert scratch_dir(session(None, "local[2]"), "x").endswith("out")
