@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from strata import fixed
 from strata.catalogue.common import Catalogue, day, moment, scratch, table
 from strata.functions.hashing import with_row_hash
-from strata.functions.parsing import parse_date, parse_timestamp
+from strata.functions.parsing import typed
 from strata.operators import checks, clean, errors, schema
 
 quality = Catalogue()
@@ -163,7 +163,7 @@ def parse_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
         "yyyy-MM-dd'T'HH:mm:ss",
     ]
     text = F.coalesce(*[F.when(F.col("o_orderkey") % len(layouts) == i, F.date_format(when, p)) for i, p in enumerate(layouts)])
-    return table(spark, sf_dir, "orders").select("o_orderkey", day(parse_date(text)).alias("parsed"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", text.alias("t")).select("o_orderkey", day(typed("t", "date")).alias("parsed"))
 
 
 @quality.query(
@@ -178,7 +178,7 @@ def parse_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five layouts by key; a bare date out of ISO order is no timestamp."""
     layouts = ["yyyy-MM-dd HH:mm:ss", "MM/dd/yyyy HH:mm:ss", "dd/MM/yyyy HH:mm:ss", "yyyy/MM/dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "MM/dd/yyyy"]
     text = F.coalesce(*[F.when(F.col("event_id") % len(layouts) == i, F.date_format("ts", p)) for i, p in enumerate(layouts)])
-    return table(spark, sf_dir, "events").select("event_id", moment(parse_timestamp(text)).alias("parsed"))
+    return table(spark, sf_dir, "events").select("event_id", text.alias("t")).select("event_id", moment(typed("t", "timestamp")).alias("parsed"))
 
 
 @quality.query(

@@ -1,4 +1,4 @@
-"""Text helpers: null words, header names, slugs, JSON text."""
+"""Text helpers: names, header names, slugs, JSON text."""
 
 from __future__ import annotations
 
@@ -7,22 +7,14 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from strata import fixed
+
+def quoted(name: str) -> str:
+    return f"`{name.replace('`', '``')}`"
 
 
 def col(name: str) -> Column:
     """Column by exact name, whatever characters the name holds."""
-    return F.col(f"`{name.replace('`', '``')}`")
-
-
-def is_null_word(c: Column) -> Column:
-    """True for null and for texts that mean null (never null itself)."""
-    return c.isNull() | F.lower(F.trim(c)).isin(*fixed.NULL_WORDS)
-
-
-def number_text(c: Column) -> Column:
-    """'12 %' -> '12': one trailing percent sign and the blanks around it dropped."""
-    return F.when(c.contains("%"), F.regexp_replace(c, r"\s*%\s*$", "")).otherwise(c)
+    return F.col(quoted(name))
 
 
 _WORD_BREAKS = [

@@ -11,16 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata import fixed
-from strata.functions.parsing import (
-    fails,
-    is_timestamp_text,
-    parse_moment,
-    real_number,
-    spark_type,
-    typed,
-    whole_number,
-)
-from strata.functions.text import col, is_null_word, number_text
+from strata.functions import parsing
+from strata.functions.parsing import spark_type, typed
+from strata.functions.text import col, quoted
 from strata.session import small_methods
 
 # ---- configured schemas ------------------------------------------------------------------------------------
@@ -52,12 +45,12 @@ def struct_type(schema_config) -> T.StructType:
 
 
 def _targets(columns: list[str], entries: list[dict]) -> dict[str, tuple]:
-    """(column, type, own date patterns) per configured column that is present and has a known type."""
+    """(name, type, own date patterns) per configured column that is present and has a known type."""
     targets = {}
     for entry in entries:
         name, target = entry["column_name"], spark_type(entry["data_type"])
         if name in columns and target:
-            targets[name] = (col(name), target, entry.get("formats"))
+            targets[name] = (name, target, entry.get("formats"))
     return targets
 
 
@@ -68,7 +61,7 @@ def _casts(columns: list[str], entries: list[dict]) -> dict[str, Column]:
 def _failing(columns: list[str], schema_config) -> dict[str, Column]:
     """Per column that can fail: whether a value means something but does not parse."""
     targets = _targets(columns, schema_entries(schema_config))
-    return {name: fails(*how) if how[1] != "string" else F.lit(False) for name, how in targets.items()}
+    return {name: F.expr(parsing.fails_sql(*how)) for name, how in targets.items()}
 
 
 def enforced(df: DataFrame, schema_config) -> DataFrame:
@@ -142,28 +135,21 @@ def with_type_bits(df: DataFrame, names: list[str]) -> DataFrame:
     """
     if not names:
         return df
-    read, judged = {}, {}
+    read, judged, bits = [], [], []
     for i, name in enumerate(names):
-        c = col(name)
-        read[f"__whole_{i}"] = whole_number(number_text(c))
-        read[f"__instant_{i}"] = parse_moment(c)
-        whole, instant = F.col(f"__whole_{i}"), F.col(f"__instant_{i}")
-        judged[f"__numeric_{i}"] = (
-            F.when((whole >= -(2**31)) & (whole < 2**31), _INT | _BIGINT | _DOUBLE)
-            .when(whole.isNotNull(), _BIGINT | _DOUBLE)
-            .when(real_number(number_text(c)).isNotNull(), _DOUBLE)
-            .otherwise(0)
+        read.append(f"{parsing.whole_sql(name)} AS __whole_{i}")
+        read.append(f"{parsing.moment_sql(name)} AS __instant_{i}")
+        judged.append(
+            f"""CASE WHEN __whole_{i} BETWEEN -2147483648 AND 2147483647 THEN {_INT | _BIGINT | _DOUBLE}
+                     WHEN __whole_{i} IS NOT NULL THEN {_BIGINT | _DOUBLE} WHEN {parsing.is_real_sql(name)} THEN {_DOUBLE} ELSE 0 END
+                | CASE WHEN __instant_{i} IS NULL THEN 0 ELSE {_DATE}
+                     | CASE WHEN contains({quoted(name)}, ':') AND date_trunc('day', __instant_{i}) <> __instant_{i} THEN 0 ELSE {_MIDNIGHT} END
+                     | CASE WHEN {parsing.is_timestamp_sql(name)} THEN {_TIMESTAMP} ELSE 0 END END AS __accepted_{i}"""
         )
-        has_time = c.contains(":") & (F.date_trunc("day", instant) != instant)
-        stamp = F.when(is_timestamp_text(c), _TIMESTAMP).otherwise(0)
-        dated = F.lit(_DATE).bitwiseOR(F.when(has_time, 0).otherwise(_MIDNIGHT)).bitwiseOR(stamp)
-        judged[f"__dated_{i}"] = F.when(instant.isNotNull(), dated).otherwise(0)
-    bits = {}
-    for i, name in enumerate(names):
-        accepted = F.col(f"__numeric_{i}").bitwiseOR(F.col(f"__dated_{i}"))
-        bits[f"__bits_{i}"] = F.when((accepted != 0) | ~is_null_word(col(name)), accepted)
-    helpers = [f"__{kind}_{i}" for kind in ("whole", "instant", "numeric", "dated") for i in range(len(names))]
-    return df.withColumns(read).withColumns(judged).withColumns(bits).drop(*helpers)
+        bits.append(f"CASE WHEN __accepted_{i} <> 0 OR NOT {parsing.is_null_word_sql(name)} THEN __accepted_{i} END AS __bits_{i}")
+    kept = [quoted(name) for name in df.columns]
+    accepted = [f"__accepted_{i}" for i in range(len(names))]
+    return df.selectExpr("*", *read).selectExpr(*kept, *judged).selectExpr(*kept, *accepted, *bits).drop(*accepted)
 
 
 def type_of_bits(bits: int | None) -> str | None:

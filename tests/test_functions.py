@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from strata import fixed
 from strata.functions import naming, pii
 from strata.functions.hashing import hashed_columns, with_row_hash
-from strata.functions.parsing import parse_date, parse_number, parse_timestamp, spark_type
+from strata.functions.parsing import spark_type, typed
 from strata.functions.text import json_text, slug, snake_case
 
 
@@ -56,12 +56,12 @@ def test_dates(texts):
         "n/a": None,
         "": None,
     }
-    df = texts(["c"], *[(c,) for c in cases]).select(parse_date(F.col("c")))
+    df = texts(["c"], *[(c,) for c in cases]).select(typed("c", "date"))
     assert one(df) == list(cases.values())
 
 
 def test_own_patterns_settle_ambiguity(texts):
-    df = texts(["c"], ("05/06/2024",)).select(parse_date(F.col("c"), ["dd/MM/yyyy"]))
+    df = texts(["c"], ("05/06/2024",)).select(typed("c", "date", ["dd/MM/yyyy"]))
     assert one(df) == [dt.date(2024, 6, 5)]
 
 
@@ -75,7 +75,7 @@ def test_timestamps(texts):
         "05-Mar-2024 10:11:12": None,
         "10:11:12": None,
     }
-    df = texts(["c"], *[(c,) for c in cases]).select(parse_timestamp(F.col("c")))
+    df = texts(["c"], *[(c,) for c in cases]).select(typed("c", "timestamp"))
     assert one(df) == list(cases.values())
 
 
@@ -99,14 +99,14 @@ def test_dates_equal_the_ordered_pattern_list(texts, values):
     tries += [F.try_to_timestamp(c, F.lit(f"{p} HH:mm:ss")).try_cast("date") for p in fixed.DATE_PATTERNS]
     stamps = [c.try_cast("timestamp")] + [F.try_to_timestamp(c, F.lit(p)) for p in fixed.TIMESTAMP_PATTERNS]
     df = texts(["c"], *[(v,) for v in values])
-    both = df.select("c", parse_date(c).alias("d"), F.coalesce(*tries).alias("dd"), parse_timestamp(c).alias("t"), F.coalesce(*stamps).alias("tt"))
+    both = df.select("c", typed("c", "date").alias("d"), F.coalesce(*tries).alias("dd"), typed("c", "timestamp").alias("t"), F.coalesce(*stamps).alias("tt"))
     assert both.where("NOT (d <=> dd) OR NOT (t <=> tt)").collect() == []
 
 
 def test_numbers(texts):
     df = texts(["c"], ("12 %",), ("12%",), ("1.5",), ("12%%",), ("12s%",), ("NaN",), (" 7 ",))
-    assert one(df.select(parse_number(F.col("c"), "double"))) == [12.0, 12.0, 1.5, None, None, None, 7.0]
-    assert one(df.select(parse_number(F.col("c"), "int")))[:3] == [12, 12, None]
+    assert one(df.select(typed("c", "double"))) == [12.0, 12.0, 1.5, None, None, None, 7.0]
+    assert one(df.select(typed("c", "int")))[:3] == [12, 12, None]
 
 
 def test_types():
