@@ -14,7 +14,7 @@ from strata import fixed
 from strata.functions import parsing
 from strata.functions.parsing import spark_type, typed
 from strata.functions.text import col, quoted
-from strata.session import small_methods
+from strata.session import keep_methods_small
 
 # ---- configured schemas ------------------------------------------------------------------------------------
 
@@ -66,6 +66,7 @@ def _failing(columns: list[str], schema_config) -> dict[str, Column]:
 
 def enforced(df: DataFrame, schema_config) -> DataFrame:
     """Configured columns first and cast, in config order; the others follow as they are."""
+    keep_methods_small(df.sparkSession)
     entries = schema_entries(schema_config)
     casts = _casts(df.columns, entries)
     configured = [e["column_name"] for e in entries if e["column_name"] in df.columns]
@@ -87,6 +88,7 @@ def raise_on_failures(failures: dict[str, int], schema_config) -> None:
 
 def cast_failures(df: DataFrame, schema_config) -> DataFrame:
     """(column_name, data_type, failures), one row per checked column, from one pass."""
+    keep_methods_small(df.sparkSession)
     counters = failure_counters(df.columns, schema_config)
     types = {e["column_name"]: e["data_type"] for e in schema_entries(schema_config)}
     counted = df.agg(
@@ -102,6 +104,7 @@ def cast_failures(df: DataFrame, schema_config) -> DataFrame:
 
 def cast_failure_rows(df: DataFrame, schema_config) -> DataFrame:
     """The rows that would fail, unchanged, with the names of the columns that do not parse."""
+    keep_methods_small(df.sparkSession)
     named = [F.when(failing, F.lit(name)) for name, failing in _failing(df.columns, schema_config).items()]
     marked = df.withColumn("failed_columns", F.array_compact(F.array(*named)))
     return marked.where(F.size("failed_columns") > 0)
@@ -110,6 +113,7 @@ def cast_failure_rows(df: DataFrame, schema_config) -> DataFrame:
 def enforce_schema(df: DataFrame, schema_config, gate: bool = True) -> DataFrame:
     if not schema_entries(schema_config):
         return df
+    keep_methods_small(df.sparkSession)
     counters = failure_counters(df.columns, schema_config)
     if gate and counters:
         raise_on_failures(df.agg(*[c.alias(name) for name, c in counters.items()]).first().asDict(), schema_config)
@@ -135,6 +139,7 @@ def with_type_bits(df: DataFrame, names: list[str]) -> DataFrame:
     """
     if not names:
         return df
+    keep_methods_small(df.sparkSession)
     read, judged, bits = [], [], []
     for i, name in enumerate(names):
         read.append(f"{parsing.whole_sql(name)} AS __whole_{i}")
@@ -180,8 +185,7 @@ def infer_types(df: DataFrame, sample_rows: int | None = None, columns_per_pass:
     for start in range(0, len(names), columns_per_pass):
         chunk = names[start : start + columns_per_pass]
         counters = type_counters(chunk)
-        with small_methods(df.sparkSession):
-            counted = with_type_bits(rows, chunk).agg(*[c.alias(name) for name, c in counters.items()]).first()
+        counted = with_type_bits(rows, chunk).agg(*[c.alias(name) for name, c in counters.items()]).first()
         bits |= counted.asDict()
     return inferred_entries(bits)
 

@@ -24,7 +24,7 @@ from strata.operators.checks import ChecksFailed, run_checks
 from strata.operators.loads import load
 from strata.plans.config import enabled, locations
 from strata.plans.run_log import RunLog
-from strata.session import small_methods
+from strata.session import keep_methods_small
 from strata.sources.folders import latest_run
 from strata.sources.landing_files import read_source_files, reader_options
 from strata.sources.producers import run_producer
@@ -118,6 +118,7 @@ def _count_landing(df: DataFrame, filled: Column, suspects: list[str], counters:
 def refine(run: RunContext, landed: DataFrame) -> DataFrame:
     """Landing -> Raw Parquet: empty rows and columns out, headers in snake_case, types enforced or inferred, repeats
     removed. Two scans of Landing: one that counts, one that writes."""
+    keep_methods_small(run.spark)
     settings, entries = run.layer("raw"), schema.schema_entries(run.config.get("schema"))
     business = clean.business_columns(landed)
     suspects = clean.headerless_columns(business)
@@ -249,8 +250,7 @@ def _run_layers(run: RunContext, rows: DataFrame | None) -> int | None:
     elif "raw_trusted" in wanted:
         df = run.spark.read.option("mergeSchema", True).parquet(latest_run(run.spark, run.paths["raw_runs"]))
     if "raw" in wanted:
-        with small_methods(run.spark):
-            df = refine(run, df)
+        df = refine(run, df)
     return promote(run, df) if "raw_trusted" in wanted else None
 
 

@@ -6,7 +6,6 @@ import os
 import shutil
 import tempfile
 import uuid
-from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -48,19 +47,16 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return tempfile.mkdtemp(prefix=f"strata-{label}-") + os.sep + "out"
 
 
-@contextmanager
-def small_methods(spark: SparkSession):
-    """Runs actions with generated methods kept to what the JVM's compiler takes (8000 bytes of bytecode).
+def keep_methods_small(spark: SparkSession) -> None:
+    """Lowers the size up to which a query stage becomes one Java method to what the JVM's compiler takes (8000 bytes
+    of bytecode), unless the session has its own value.
 
-    A projection that parses dozens of columns becomes one larger method otherwise, which is then interpreted.
+    A projection that parses dozens of columns exceeds that. As one method it would be interpreted, several times
+    slower; beyond the limit Spark generates many small methods instead.
     """
-    name = "spark.sql.codegen.hugeMethodLimit"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "8000")
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
+    name, default = "spark.sql.codegen.hugeMethodLimit", "65535"
+    if spark.conf.get(name, default) == default:
+        spark.conf.set(name, "8000")
 
 
 def ship_package(spark: SparkSession) -> None:
