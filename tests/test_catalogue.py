@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__
+from strata.catalogue import registry
 from strata.catalogue.common import table
 from strata.catalogue.quality import LINE_KEYS
 from strata.operators import errors
@@ -19,7 +20,7 @@ def plan(df):
 
 
 def test_every_sql_has_its_query():
-    queries, sql = __spark_entry__.queries(), __spark_entry__.oracle_sql()
+    queries, sql = registry.all_queries(), registry.all_sql()
     assert set(sql) == set(queries) and len(queries) >= 60
 
 
