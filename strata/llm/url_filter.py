@@ -26,6 +26,7 @@ Rule = tuple[str, str]  # "allow" or "block", host and path as one text: ("block
 
 SEGMENT_KEYS = 50_000
 BROADCAST_BYTES = 64 * 2**20
+HASHES = ["h1", "h2", "segment"]
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -122,7 +123,7 @@ def with_membership(df: DataFrame, key: Column, cascade: DataFrame, segments: in
 
         def judge(batches):
             for batch in batches:
-                yield _judged(batch, known.value)
+                yield _judged(batch, known.value, name)
 
         return rows.mapInArrow(judge, out)
     parts = 16  # a frequent key's rows spread over so many tasks
@@ -131,14 +132,15 @@ def with_membership(df: DataFrame, key: Column, cascade: DataFrame, segments: in
 
     def judge_segment(key: tuple[pa.Scalar, ...], pages: pa.Table, filters: pa.Table) -> pa.Table:
         known = {key[0].as_py(): filters.column("cascade")[0].as_py()} if filters.num_rows else {}
-        return pa.Table.from_batches([_judged(b, known) for b in pages.drop_columns(["part"]).to_batches()], to_arrow(out))
-
-    from pyspark.sql.pandas.types import to_arrow_schema as to_arrow
+        whole = pages.drop_columns(["part"]).combine_chunks()
+        judged = [_judged(b, known, name) for b in whole.to_batches()]
+        empty = whole.drop_columns(HASHES).append_column(name, pa.array([], pa.bool_())) if not judged else None
+        return pa.Table.from_batches(judged) if judged else empty
 
     return salted.groupBy("segment", "part").cogroup(copies.groupBy("segment", "part")).applyInArrow(judge_segment, out)
 
 
-def _judged(batch: pa.RecordBatch, known: dict[int, bytes]) -> pa.RecordBatch:
+def _judged(batch: pa.RecordBatch, known: dict[int, bytes], name: str) -> pa.RecordBatch:
     h1 = batch.column("h1").to_numpy(zero_copy_only=False).view(np.uint64)
     h2 = batch.column("h2").to_numpy(zero_copy_only=False).view(np.uint64)
     segment = batch.column("segment").to_numpy(zero_copy_only=False)
@@ -146,8 +148,8 @@ def _judged(batch: pa.RecordBatch, known: dict[int, bytes]) -> pa.RecordBatch:
     order = np.argsort(segment, kind="stable")
     for rows in np.split(order, np.flatnonzero(np.diff(segment[order])) + 1) if len(order) else []:
         listed[rows] = listed_by(known.get(int(segment[rows[0]])), h1[rows], h2[rows])
-    kept = batch.drop_columns(["h1", "h2", "segment"])
-    return pa.RecordBatch.from_arrays([*kept.columns, pa.array(listed)], names=[*kept.schema.names, "listed"])
+    kept = batch.drop_columns(HASHES)
+    return pa.RecordBatch.from_arrays([*kept.columns, pa.array(listed)], names=[*kept.schema.names, name])
 
 
 def judge_urls(pages: DataFrame, rules: list[Rule], url: str = "url") -> DataFrame:
