@@ -30,7 +30,8 @@ from pyspark.sql import functions as F
 from strata.llm.common import HASH_BASE, HASH_INVERSE, byte_buffer, mixed, powers, slices, tasks_need_package, written
 from strata.llm.links import components
 
-GROUPS = 32
+GROUPS, COARSE = 256, 32
+FULL = 255  # a count of so many or more
 BLOCK = 1024
 PAGE = 32
 BUCKET_KEYS = 2**20
@@ -98,7 +99,7 @@ def document_sets(docs: DataFrame, k: int) -> DataFrame:
                 found = shingle_sets(data[starts[lo] : starts[hi]], starts[lo : hi + 1] - starts[lo], k)
                 stored = [_stored(s) for s in found]
                 nodes = [int.from_bytes(hashlib.blake2b(s, digest_size=8).digest(), "little", signed=True) for s in stored]
-                points = [np.bincount((s & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS).astype("<u4").tobytes() for s in found]
+                points = [np.minimum(np.bincount((s & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS), FULL).astype("u1").tobytes() for s in found]
                 columns = [pa.array([len(s) for s in found], pa.int64()), pa.array(nodes, pa.int64())]
                 columns += [pa.array(points, pa.binary()), pa.array(stored, pa.binary())]
                 yield pa.RecordBatch.from_arrays(
@@ -257,7 +258,13 @@ def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
 
 
 def _points(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), "<u4").reshape(-1, GROUPS).astype(np.int64)
+    return np.frombuffer(b"".join(column.to_pylist()), "u1").reshape(-1, GROUPS)
+
+
+def overlap_bound(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Summed coordinate minima, an upper bound of the overlap; without bound where both have a full count."""
+    least = np.minimum(a, b)
+    return np.where((least == FULL).any(-1), np.iinfo(np.int64).max, least.sum(-1, dtype=np.int64))
 
 
 def bounded(pairs: DataFrame, points: DataFrame, num: int, den: int) -> DataFrame:
@@ -267,7 +274,7 @@ def bounded(pairs: DataFrame, points: DataFrame, num: int, den: int) -> DataFram
 
     def check(batches):
         for batch in batches:
-            room = np.minimum(_points(batch.column("pa")), _points(batch.column("pb"))).sum(1)
+            room = overlap_bound(_points(batch.column("pa")), _points(batch.column("pb")))
             want = needed(batch.column("na").to_numpy(), batch.column("nb").to_numpy(), num, den)
             yield batch.select(["a", "b"]).filter(pa.array(room >= want))
 
@@ -275,13 +282,17 @@ def bounded(pairs: DataFrame, points: DataFrame, num: int, den: int) -> DataFram
 
 
 class CountTree:
-    """An R-tree over count vectors: entries sorted by size, pages of PAGE entries, boxes by the pages' maxima."""
+    """An R-tree over count vectors: entries sorted by size, pages of PAGE entries, boxes by the pages' maxima.
+
+    Boxes and the first look at an entry use sums over neighbouring groups, the second look all groups.
+    """
 
     def __init__(self, points: np.ndarray, n: np.ndarray):
-        self.order = np.lexsort((points.argmax(1), n))
-        self.points, self.n = points[self.order], n[self.order]
+        coarse = _coarse(points)
+        self.order = np.lexsort((coarse.argmax(1), n))
+        self.points, self.coarse, self.n = points[self.order], coarse[self.order], n[self.order]
         self.levels = []
-        tops, low, high = self.points, self.n, self.n
+        tops, low, high = self.coarse, self.n, self.n
         while len(tops) > 1 or not self.levels:
             at = np.arange(0, len(tops), PAGE)
             tops, low, high = np.maximum.reduceat(tops, at), np.minimum.reduceat(low, at), np.maximum.reduceat(high, at)
@@ -289,17 +300,25 @@ class CountTree:
 
     def search(self, point: np.ndarray, n: int, num: int, den: int) -> np.ndarray:
         """Entries whose overlap with the point may reach the threshold."""
+        own = _coarse(point[None])[0]
         nodes = np.arange(len(self.levels[-1][0]))
         for level in range(len(self.levels) - 1, -1, -1):
             tops, low, high = self.levels[level]
-            room = np.minimum(tops[nodes], point).sum(1)
+            room = np.minimum(tops[nodes], own).sum(1)
             fits = (room >= needed(low[nodes], n, num, den)) & (den * n >= num * low[nodes]) & (den * high[nodes] >= num * n)
-            below = len(self.levels[level - 1][0]) if level else len(self.points)
+            below = len(self.levels[level - 1][0]) if level else len(self.n)
             nodes = (nodes[fits][:, None] * PAGE + np.arange(PAGE)).ravel()
             nodes = nodes[nodes < below]
-        room = np.minimum(self.points[nodes], point).sum(1)
         other = self.n[nodes]
-        return self.order[nodes[(room >= needed(other, n, num, den)) & (den * n >= num * other) & (den * other >= num * n)]]
+        fits = (np.minimum(self.coarse[nodes], own).sum(1) >= needed(other, n, num, den)) & (den * n >= num * other) & (den * other >= num * n)
+        nodes = nodes[fits]
+        return self.order[nodes[overlap_bound(self.points[nodes], point) >= needed(self.n[nodes], n, num, den)]]
+
+
+def _coarse(points: np.ndarray) -> np.ndarray:
+    """Counts of COARSE groups; a full count makes its sum too large to leave anything out."""
+    wide = np.where(points == FULL, 2**30, points.astype(np.int64))
+    return wide.reshape(len(points), COARSE, -1).sum(2)
 
 
 def _between_components(members: DataFrame, labels: DataFrame, points: DataFrame, num: int, den: int) -> DataFrame:

@@ -79,13 +79,14 @@ def test_no_links_in_nothing(documents):
 
 def test_count_tree_loses_nothing():
     rng = np.random.default_rng(2)
-    points = rng.poisson(4, (500, jaccard_join.GROUPS))
-    points[250:] = np.maximum(points[:250] + (rng.random((250, jaccard_join.GROUPS)) < 0.05), 0)
-    n = points.sum(1)
+    points = rng.poisson(2, (500, jaccard_join.GROUPS)).astype(np.uint8)
+    points[250:] = points[:250] + (rng.random((250, jaccard_join.GROUPS)) < 0.05)
+    points[::9, 3] = jaccard_join.FULL
+    n = points.sum(1, dtype=np.int64)
     tree = jaccard_join.CountTree(points, n)
     for q in range(0, 500, 25):
-        room = np.minimum(points, points[q]).sum(1)
-        wanted = {i for i in range(500) if 100 * room[i] >= 85 * (n[i] + n[q] - room[i])}
+        room = jaccard_join.overlap_bound(points, points[q])
+        wanted = {i for i in range(500) if room[i] >= jaccard_join.needed(n[i], n[q], 85, 100) and 85 * n[i] <= 100 * n[q] and 85 * n[q] <= 100 * n[i]}
         assert wanted <= set(tree.search(points[q], int(n[q]), 85, 100).tolist())
 
 
