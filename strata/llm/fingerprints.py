@@ -97,18 +97,31 @@ def edited_fingerprints(docs: DataFrame, k: int = 3, window: int = 4) -> DataFra
     edited text (near_edited) and of the next document (near_next). Hashes are computed after the text is shuffled: they
     would take more room in a shuffle than the text does.
     """
-    whole = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("tie", F.xxhash64("text"))
+    # plain equality of (key, tie): the joins and the grouping between them then share one partitioning
+    whole = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumns(
+        {"key": F.coalesce("doc_id", F.lit(0)).cast("long"), "tie": F.xxhash64("text", F.isnull("doc_id"))}
+    )
     ids = whole.groupBy("doc_id", "tie").agg(F.first(F.char_length("text")).cast("long").alias("n_chars"))
     ring = written(next_documents(ids), "ring")
+
+    def key(name: str):
+        return F.coalesce(name, F.lit(0)).cast("long")
+
     wanted = ring.select(
-        F.col("doc_id").alias("for_id"), F.col("tie").alias("for_tie"), "n_chars", F.col("next_id").alias("n_id"), F.col("next_tie").alias("n_tie")
+        key("doc_id").alias("for_key"), F.col("tie").alias("for_tie"), "n_chars", key("next_id").alias("key"), F.col("next_tie").alias("tie")
     )
     heads = (
-        whole.join(wanted, whole.doc_id.eqNullSafe(wanted.n_id) & (whole.tie == wanted.n_tie))
-        .select("for_id", "for_tie", "n_chars", F.expr("substring(text, 1, cast(n_chars div 3 as int))").alias("head"), hashes(chosen(F.col("text"), k, window)).alias("next_hashes"))
-        .dropDuplicates(["for_id", "for_tie"])
+        whole.join(wanted, ["key", "tie"])
+        .select(
+            F.col("for_key").alias("key"),
+            F.col("for_tie").alias("tie"),
+            "n_chars",
+            F.expr("substring(text, 1, cast(n_chars div 3 as int))").alias("head"),
+            hashes(chosen(F.col("text"), k, window)).alias("next_hashes"),
+        )
+        .dropDuplicates(["key", "tie"])
     )
-    edited = whole.join(heads, whole.doc_id.eqNullSafe(heads.for_id) & (whole.tie == heads.for_tie)).withColumn(
+    edited = whole.join(heads, ["key", "tie"]).withColumn(
         "edited_text", F.concat(F.expr("substring(text, 1, cast(n_chars - n_chars div 3 as int))"), "head")
     )
     both = edited.select(
