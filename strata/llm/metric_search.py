@@ -41,53 +41,65 @@ class Tree:
     """One subtree. Nodes are (pivot, radius, distance to the parent's pivot, children or a page's row numbers)."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, norm2: float):
-        self.ids, self.vectors = ids, vectors
         real = vectors.astype(np.float64)
-        self.lift = np.sqrt(np.maximum(norm2 - (real**2).sum(1), 0.0))
-        self.points = np.column_stack([real, self.lift])
+        points = np.column_stack([real, np.sqrt(np.maximum(norm2 - (real**2).sum(1), 0.0))])
         self.nodes: list[tuple] = []
-        self.root = self._grow(np.arange(len(ids)), 0, None)
-        del self.points
-
-    def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k != "points"}
-
-    def _grow(self, rows: np.ndarray, first: int, parent: np.ndarray | None) -> int:
-        pivot = self.points[rows[first]]
-        far = np.sqrt(((self.points[rows] - pivot) ** 2).sum(1))
+        self.pages: list[np.ndarray] = []
+        self.fars: list[np.ndarray] = []
+        self.filled = 0
+        self.root = self._grow(points, np.arange(len(ids)), 0, None)
+        order = np.concatenate(self.pages)  # rows of a page lie side by side
+        self.ids, self.vectors, self.far = ids[order], vectors[order], np.concatenate(self.fars)
+        del self.pages, self.fars
+
+    def _grow(self, points: np.ndarray, rows: np.ndarray, first: int, parent: np.ndarray | None) -> int:
+        pivot = points[rows[first]]
+        far = np.sqrt(((points[rows] - pivot) ** 2).sum(1))
         radius, up = float(far.max()), float(np.sqrt(((pivot - parent) ** 2).sum())) if parent is not None else 0.0
         if len(rows) <= PAGE_ROWS or radius == 0.0:
             order = np.argsort(far, kind="stable")
-            self.nodes.append((pivot, radius, up, None, rows[order], far[order]))
+            self.pages.append(rows[order])
+            self.fars.append(far[order])
+            self.nodes.append((pivot, radius, up, None, self.filled, self.filled + len(rows)))
+            self.filled += len(rows)
             return len(self.nodes) - 1
         # pivots of the children: each the farthest from those before it, nearest pivot takes a row
         wanted = min(16, -(-len(rows) // PAGE_ROWS) + 1)
         chosen, nearest, owner = [first], far, np.zeros(len(rows), np.int64)
         while len(chosen) < wanted and nearest.max() > 0:
             chosen.append(int(nearest.argmax()))
-            away = np.sqrt(((self.points[rows] - self.points[rows[chosen[-1]]]) ** 2).sum(1))
+            away = np.sqrt(((points[rows] - points[rows[chosen[-1]]]) ** 2).sum(1))
             owner[away < nearest] = len(chosen) - 1
             nearest = np.minimum(nearest, away)
-        children = []
+        numbers = []
         for c, row in enumerate(chosen):
             members = np.flatnonzero(owner == c)
-            children.append(self._grow(rows[members], int(np.flatnonzero(members == row)[0]), pivot))
-        self.nodes.append((pivot, radius, up, children, None, None))
+            numbers.append(self._grow(points, rows[members], int(np.flatnonzero(members == row)[0]), pivot))
+        below = [self.nodes[i] for i in numbers]
+        children = (np.array(numbers), np.array([n[0] for n in below]), np.array([n[1] for n in below]), np.array([n[2] for n in below]))
+        self.nodes.append((pivot, radius, up, children, 0, 0))
         return len(self.nodes) - 1
 
+    def prepare(self) -> Tree:
+        """Numbers in the form searches multiply; done once per block of queries."""
+        self.exact = 2 * float((self.vectors.astype(np.float64) ** 2).sum(1).max()) < 2**50
+        self.rows = self.vectors.astype(np.float64 if self.exact else object)
+        return self
+
     def search(self, query_id: int, query: np.ndarray, k: int, floor: int | None, norm2: float) -> list[tuple[int, int]]:
         """The best k (score, vec_id), of those that reach ``floor`` if given."""
         real = np.append(query.astype(np.float64), 0.0)
         base = float(real @ real) + norm2
-        wide = np.float64 if base < 2**50 else object  # products of such integers are exact in doubles
-        asked = query.astype(wide)
+        exact = self.exact and base < 2**50  # sums of such products are exact in doubles
+        rows = self.rows if exact == self.exact else self.vectors.astype(object)
+        asked = query.astype(np.float64 if exact else object)
         best: list[tuple[int, int]] = []  # heap of (score, -vec_id)
 
         def reach() -> float:
             least = best[0][0] if len(best) == k else floor
             if least is None:
                 return np.inf
-            return np.sqrt(max(base - 2.0 * least, 0.0)) * (1 + SLACK) + base * 1e-12 + 1e-6
+            return float(np.sqrt(max(base - 2.0 * least, 0.0))) * (1 + SLACK) + base * 1e-12 + 1e-6
 
         pivot, radius = self.nodes[self.root][:2]
         away = float(np.sqrt(((real - pivot) ** 2).sum()))
@@ -97,28 +109,26 @@ class Tree:
             limit = reach()
             if bound > limit:
                 break
-            _, _, _, children, rows, far = self.nodes[node]
+            _, _, _, children, start, end = self.nodes[node]
             if children is not None:
-                for child in children:
-                    pivot, radius, up = self.nodes[child][:3]
-                    if abs(away - up) - radius > limit:
-                        continue
-                    near = float(np.sqrt(((real - pivot) ** 2).sum()))
-                    if near - radius <= limit:
-                        heapq.heappush(agenda, (max(0.0, near - radius), child, near))
+                numbers, pivots, radii, ups = children
+                near = np.flatnonzero(np.abs(away - ups) - radii <= limit)  # stored distances leave out the others
+                distance = np.sqrt(((pivots[near] - real) ** 2).sum(1))
+                low = np.maximum(distance - radii[near], 0.0)
+                for i in np.flatnonzero(low <= limit).tolist():
+                    heapq.heappush(agenda, (float(low[i]), int(numbers[near[i]]), float(distance[i])))
                 continue
-            lo, hi = np.searchsorted(far, [away - limit, away + limit]) if np.isfinite(limit) else (0, len(far))
-            rows = rows[lo : min(hi + 1, len(rows))]
-            rows = rows[self.ids[rows] != query_id]
-            scores = self.vectors[rows].astype(wide) @ asked
+            if np.isfinite(limit):
+                lo, hi = np.searchsorted(self.far[start:end], [away - limit, away + limit])
+                start, end = start + int(lo), min(start + int(hi) + 1, end)
+            scores = rows[start:end] @ asked
             least = best[0][0] if len(best) == k else floor
-            if least is not None:
-                rows, scores = rows[scores >= least], scores[scores >= least]
-            if len(rows) > k:
-                order = np.lexsort((self.ids[rows], -scores))[:k]
-                rows, scores = rows[order], scores[order]
-            for row, score in zip(rows.tolist(), scores.tolist(), strict=True):
-                entry = (int(score), -int(self.ids[row]))
+            at = np.arange(start, end) if least is None else start + np.flatnonzero(scores >= least)
+            at = at[self.ids[at] != query_id]
+            if len(at) > k:
+                at = at[np.lexsort((self.ids[at], -scores[at - start]))[:k]]
+            for row in at.tolist():
+                entry = (int(scores[row - start]), -int(self.ids[row]))
                 if len(best) < k:
                     heapq.heappush(best, entry)
                 elif entry > best[0]:
@@ -226,7 +236,7 @@ def _search(rows: DataFrame, n: int, norm2: float, k: int) -> DataFrame:
     def ask(left: pa.Table, right: pa.Table) -> pa.Table:
         out: list[tuple[int, int, int]] = []
         if left.num_rows and right.num_rows:
-            tree = pickle.loads(right.column("tree")[0].as_py())
+            tree = pickle.loads(right.column("tree")[0].as_py()).prepare()
             vectors = _matrix(left.column("v").combine_chunks())
             for name, query, floor in zip(left.column("vec_id").to_pylist(), vectors, left.column("floor").to_pylist(), strict=True):
                 out += [(name, other, score) for score, other in tree.search(name, query, k, floor, norm2)]
