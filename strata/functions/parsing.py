@@ -98,9 +98,9 @@ def number_sql(name: str, target: str) -> str:
 
 
 def whole_sql(name: str) -> str:
-    """A bigint where a text is a whole number."""
+    """A bigint where a text is a whole number, of any length."""
     text = number_text_sql(name)
-    return rf"CASE WHEN length({quoted(name)}) <= 30 AND ({text}) RLIKE r'^\s*[+-]?\d+\s*$' THEN try_cast({text} AS bigint) END"
+    return rf"CASE WHEN ({text}) RLIKE r'^\s*[+-]?\d+\s*$' THEN try_cast({text} AS bigint) END"
 
 
 def is_real_sql(name: str) -> str:

@@ -1,6 +1,6 @@
 """Error records: which rows and which messages made a check fail.
 
-Rows never pass through the driver; records are a DataFrame that is written where it is computed. No cap by default.
+Rows never pass through the driver; records are a DataFrame that is written where it is computed. There is no cap.
 """
 
 from __future__ import annotations
@@ -38,17 +38,16 @@ def any_null(keys: list[str]) -> Column:
     return reduce(or_, [col(k).isNull() for k in keys])
 
 
-def duplicate_row_records(df: DataFrame, limit: int | None = None) -> DataFrame:
+def duplicate_row_records(df: DataFrame) -> DataFrame:
     """One record per row value that occurs more than once."""
     columns = business_columns(df)
     repeated = repeated_rows(df, columns)
-    records = repeated.select(
+    return repeated.select(
         F.lit(fixed.DUPLICATE_CHECK).alias("expectation_type"),
         F.lit(fixed.ALL_COLUMNS).alias("column_name"),
         F.lit(fixed.NOT_APPLICABLE).alias("failed_value"),
         json_text(*[col(c) for c in columns]).alias("full_record"),
     )
-    return records.limit(limit) if limit else records
 
 
 def key_violations(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -62,17 +61,16 @@ def key_violations(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.where(any_null(keys)).unionByName(df.join(shared, keys, "left_semi").select(*df.columns))
 
 
-def key_violation_records(df: DataFrame, keys: list[str], limit: int | None = None) -> DataFrame:
+def key_violation_records(df: DataFrame, keys: list[str]) -> DataFrame:
     """One record per distinct offending row. The distinct runs on the record texts: it has a partial step of its own,
     and needs a shuffle other than the join's, so the join stays free to split a hot key."""
     bad = key_violations(df, keys)
-    records = bad.select(
+    return bad.select(
         F.lit(fixed.KEY_CHECK).alias("expectation_type"),
         F.lit(", ".join(keys)).alias("column_name"),
         json_text(*[col(k) for k in keys]).alias("failed_value"),
         json_text(*[col(c) for c in business_columns(df)]).alias("full_record"),
     ).distinct()
-    return records.limit(limit) if limit else records
 
 
 def message_records(checks: DataFrame) -> DataFrame:
@@ -92,16 +90,15 @@ def failure_records(
     results: list[CheckResult],
     df: DataFrame | None = None,
     keys: list[str] = (),
-    limit_per_check: int | None = None,
 ) -> DataFrame | None:
     """Records of all failed checks: rows where a check is about rows, messages elsewhere. None if nothing failed."""
     failed = [r for r in results if not r.passed]
     parts, by_message = [], []
     for result in failed:
         if result.name == fixed.DUPLICATE_CHECK and df is not None:
-            parts.append(duplicate_row_records(df, limit_per_check))
+            parts.append(duplicate_row_records(df))
         elif result.name == fixed.KEY_CHECK and df is not None and keys:
-            parts.append(key_violation_records(df, list(keys), limit_per_check))
+            parts.append(key_violation_records(df, list(keys)))
         else:
             by_message.append(result)
     if by_message:

@@ -178,23 +178,19 @@ def inferred_entries(bits: dict[str, int | None]) -> list[dict]:
     return [{"column_name": name, "data_type": kind} for name, kind in found.items() if kind]
 
 
-def infer_types(df: DataFrame, sample_rows: int | None = None, columns_per_pass: int = 200) -> list[dict]:
-    """Types of the text columns over all rows; ``sample_rows`` looks at that many only, as an opt-in."""
-    rows = df.limit(sample_rows) if sample_rows else df
+def infer_types(df: DataFrame, columns_per_pass: int = 200) -> list[dict]:
+    """Types of the text columns over all rows."""
     names, bits = text_columns(df), {}
     for start in range(0, len(names), columns_per_pass):
         chunk = names[start : start + columns_per_pass]
         counters = type_counters(chunk)
-        counted = with_type_bits(rows, chunk).agg(*[c.alias(name) for name, c in counters.items()]).first()
+        counted = with_type_bits(df, chunk).agg(*[c.alias(name) for name, c in counters.items()]).first()
         bits |= counted.asDict()
     return inferred_entries(bits)
 
 
-def infer_schema(df: DataFrame, sample_rows: int | None = None) -> DataFrame:
-    entries = infer_types(df, sample_rows)
-    casts = _casts(df.columns, entries)
-    if sample_rows and casts:
-        enforce_schema(df, entries)
+def infer_schema(df: DataFrame) -> DataFrame:
+    casts = _casts(df.columns, infer_types(df))
     return df.select(*[casts.get(name, col(name)).alias(name) for name in df.columns])
 
 

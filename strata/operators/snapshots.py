@@ -94,10 +94,13 @@ class SnapshotTable:
         """Those of ``parts`` that hold a key of ``wanted``: a scan of the key columns alone."""
         if len(parts) < 2:
             return list(parts)
-        folder = F.regexp_extract("_metadata.file_path", r"/data/(.+)/[^/]+$", 1).alias("__folder")
+        # names are of our making, so they are told from any other /data/ the table's path may have
+        folder = F.regexp_extract("_metadata.file_path", r"/data/([0-9a-f]{16}(?:/part=[a-z]+)?)/[^/]+$", 1).alias("__folder")
         held = self.read_parts(commit.schema, parts).select(*[col(k) for k in keys], folder)
         hit = held.join(wanted.select(*[col(k) for k in keys]), keys, "left_semi").select("__folder").distinct()
         names = {row[0] for row in hit.collect()}
+        if strange := names - {p.folder for p in parts}:
+            raise RuntimeError(f"files outside the folders of version {commit.version}: {sorted(strange)}")
         return [p for p in parts if p.folder in names]
 
     # ---- writing -------------------------------------------------------------------------------------------

@@ -13,6 +13,7 @@ from strata.operators.schema import align_to
 from strata.operators.snapshots import SnapshotTable, ensure_namespace
 from strata.plans import config as cfg
 from strata.plans.table_run import run_table
+from strata.session import scratch_dir
 
 MAX_PARALLEL_TABLES = 100
 
@@ -26,10 +27,12 @@ def ensure_table(spark: SparkSession, name: str, schema: str) -> None:
 def require_valid(configs: DataFrame) -> None:
     """Fails when any config breaks a rule, naming some of them and how many there are."""
     broken = cfg.config_errors(configs).where(F.size("errors") > 0).select("job_name", "table_name", "errors")
-    some = broken.limit(20).collect()
-    if some:
-        told = "; ".join(f"{r.job_name}/{r.table_name}: {', '.join(r.errors)}" for r in some)
-        raise ValueError(f"{broken.count()} broken config(s): {told}")
+    count = broken.count()
+    if count:
+        path = scratch_dir(broken.sparkSession, "broken-configs")
+        broken.write.json(path)
+        told = "; ".join(f"{r.job_name}/{r.table_name}: {', '.join(r.errors)}" for r in broken.take(3))
+        raise ValueError(f"{count} broken config(s), all of them in {path}; the first are {told}")
 
 
 def register_configs(configs: DataFrame, control: SnapshotTable, now: str) -> int:

@@ -17,12 +17,14 @@ LOG_SCHEMA = (
 
 
 class RunLog:
-    """Events of one run. They are kept until ``flush``, which appends them all in one write."""
+    """Events of one run. They are kept until ``flush``, which writes them to a folder of the run's own, so runs side by
+    side never share a writer's temporary folder."""
 
     def __init__(self, spark: SparkSession, path: str, job_name: str, run_id: str, job_run_id: str | None = None):
         self.spark, self.path = spark, path
         self.job_name, self.run_id, self.job_run_id = job_name, run_id, job_run_id or run_id
         self.events: list[tuple] = []
+        self.flushes = 0
 
     def event(self, level, message, *, function=None, status=None, table=None, record_count=None, **data) -> None:
         extra = {} if record_count is None else {"record_count": str(record_count)}
@@ -36,8 +38,8 @@ class RunLog:
     def flush(self) -> None:
         if self.events:
             rows = self.spark.createDataFrame(self.events, LOG_SCHEMA)
-            rows.coalesce(1).write.mode("append").parquet(self.path)
-            self.events = []
+            rows.coalesce(1).write.mode("append").parquet(f"{self.path}/{self.run_id}/{self.flushes:04d}")
+            self.events, self.flushes = [], self.flushes + 1
 
     def summary(self, table: str, succeeded: bool, failure_reason=None, dq_message=None) -> None:
         """The outcome event every report starts from."""
@@ -55,7 +57,7 @@ class RunLog:
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(LOG_SCHEMA).parquet(path)
+    return spark.read.schema(LOG_SCHEMA).option("recursiveFileLookup", True).parquet(path)
 
 
 def value_of(key: str):

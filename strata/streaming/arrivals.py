@@ -7,6 +7,8 @@ itself, and only those it has read.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -53,7 +55,9 @@ def ingest_arrivals(
     def run_batch(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        run_table(spark, config, base, rows=batch, run_ts=f"batch_{batch_id:012d}", batch_id=str(batch_id), **run_options)
+        # batch numbers start anew with a new checkpoint, so the stream's lasting id goes before them
+        stream = json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0])["id"]
+        run_table(spark, config, base, rows=batch, run_ts=f"batch_{batch_id:012d}", batch_id=f"{stream}-{batch_id}", **run_options)
 
     trigger = {"availableNow": True} if available_now else {"processingTime": f"{MIN_SECONDS_BETWEEN_RUNS} seconds"}
     return rows.writeStream.option("checkpointLocation", checkpoint).foreachBatch(run_batch).trigger(**trigger).start()

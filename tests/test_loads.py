@@ -173,3 +173,11 @@ def test_commit_that_died_is_passed_over(spark, frame, target, tmp_path):
     assert values(table.read(), "k") == [(1,), (2,)]
     assert values(table.read(as_of=T1), "k") == [(1,)]
     assert values(table.changes(["k"]), "k", "_change_type") == [(2, "insert")]
+
+
+def test_merges_below_another_data_folder(frame, spark, tmp_path):
+    table = SnapshotTable(spark, str(tmp_path / "data" / "lake" / "tbl"))
+    loads.append(table, frame((1, "a")))
+    loads.append(table, frame((2, "b")))
+    loads.upsert(table, frame((2, "c")), ["k"])
+    assert sorted((r.k, r.v) for r in table.read().collect()) == [(1, "a"), (2, "c")]
