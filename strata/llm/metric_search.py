@@ -6,8 +6,8 @@ dealt on into subtrees of bounded size. A subtree is an M-tree: a node has a piv
 its parent's pivot, a page has its entries' distances to the page's pivot.
 
 A query first searches one subtree, which gives it a k-th best score, and then each subtree that the bound of its region
-does not exclude. In a subtree it goes best first; stored distances and the triangle inequality leave out nodes and
-entries before their own distances are computed. Scores are exact integers; bounds only leave out what is surely worse.
+does not exclude. In a subtree a block of queries goes best first; stored distances and the triangle inequality leave out
+nodes and entries before their own distances are computed. Scores are exact integers; bounds only leave out what is surely worse.
 
 Query blocks meet subtrees; nothing is broadcast but the pivots, at most ``MOST_REGIONS``.
 
@@ -41,6 +41,8 @@ class Tree:
     """One subtree. Nodes are (pivot, radius, distance to the parent's pivot, children or a page's row numbers)."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, norm2: float):
+        by_id = np.argsort(ids, kind="stable")  # so that of equal vectors the smallest ids come first
+        ids, vectors = ids[by_id], vectors[by_id]
         real = vectors.astype(np.float64)
         points = np.column_stack([real, np.sqrt(np.maximum(norm2 - (real**2).sum(1), 0.0))])
         self.nodes: list[tuple] = []
@@ -80,60 +82,83 @@ class Tree:
         self.nodes.append((pivot, radius, up, children, 0, 0))
         return len(self.nodes) - 1
 
-    def prepare(self) -> Tree:
-        """Numbers in the form searches multiply; done once per block of queries."""
-        self.exact = 2 * float((self.vectors.astype(np.float64) ** 2).sum(1).max()) < 2**50
-        self.rows = self.vectors.astype(np.float64 if self.exact else object)
-        return self
-
-    def search(self, query_id: int, query: np.ndarray, k: int, floor: int | None, norm2: float) -> list[tuple[int, int]]:
-        """The best k (score, vec_id), of those that reach ``floor`` if given."""
-        real = np.append(query.astype(np.float64), 0.0)
-        base = float(real @ real) + norm2
-        exact = self.exact and base < 2**50  # sums of such products are exact in doubles
-        rows = self.rows if exact == self.exact else self.vectors.astype(object)
-        asked = query.astype(np.float64 if exact else object)
-        best: list[tuple[int, int]] = []  # heap of (score, -vec_id)
-
-        def reach() -> float:
-            least = best[0][0] if len(best) == k else floor
-            if least is None:
-                return np.inf
-            return float(np.sqrt(max(base - 2.0 * least, 0.0))) * (1 + SLACK) + base * 1e-12 + 1e-6
-
+    def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int, floors: np.ndarray, norm2: float) -> tuple[np.ndarray, ...]:
+        """(number of the query, vec_id, score) of each query's best k, of those that reach its floor (nan: none given).
+
+        The queries share one agenda, so that a node meets all queries it may still serve in one product: the node with
+        the smallest bound of any query comes first, and a query leaves a node its own bound excludes.
+        """
+        real = np.column_stack([queries.astype(np.float64), np.zeros(len(queries))])
+        base = (real**2).sum(1) + norm2
+        longest = float((self.vectors.astype(np.float64) ** 2).sum(1).max(initial=0.0))
+        exact = max(2 * longest, float(base.max(initial=0.0))) < 2**50  # sums of such products are exact in doubles
+        kind, number = (np.float64, np.int64) if exact else (object, object)
+        rows, asked = self.vectors.astype(kind), queries.astype(kind)
+        best = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, number)
+        least = np.where(np.isnan(floors), -np.inf, _rounded_down(floors))  # a score below it is of no use,
+        last = np.full(len(queries), np.iinfo(np.int64).max)  # nor one equal to it with an id above this
+        limits = _reach(base, least)
+
+        first = np.arange(len(queries))
         pivot, radius = self.nodes[self.root][:2]
-        away = float(np.sqrt(((real - pivot) ** 2).sum()))
-        agenda = [(max(0.0, away - radius), self.root, away)]
+        away = np.sqrt(((real - pivot) ** 2).sum(1))
+        low = np.maximum(away - radius, 0.0)
+        agenda = [(float(low.min(initial=np.inf)), self.root, first, away, low)]
         while agenda:
-            bound, node, away = heapq.heappop(agenda)
-            limit = reach()
-            if bound > limit:
-                break
+            _, node, who, away, low = heapq.heappop(agenda)
+            open_ = low <= limits[who]
+            who, away = who[open_], away[open_]
+            if not len(who):
+                continue
             _, _, _, children, start, end = self.nodes[node]
             if children is not None:
-                numbers, pivots, radii, ups = children
-                near = np.flatnonzero(np.abs(away - ups) - radii <= limit)  # stored distances leave out the others
-                distance = np.sqrt(((pivots[near] - real) ** 2).sum(1))
-                low = np.maximum(distance - radii[near], 0.0)
-                for i in np.flatnonzero(low <= limit).tolist():
-                    heapq.heappush(agenda, (float(low[i]), int(numbers[near[i]]), float(distance[i])))
+                for child, pivot, radius, up in zip(*children, strict=True):
+                    near = np.abs(away - up) - radius <= limits[who]  # stored distances leave out the others
+                    some = who[near]
+                    distance = np.sqrt(((real[some] - pivot) ** 2).sum(1))
+                    low = np.maximum(distance - radius, 0.0)
+                    reached = low <= limits[some]
+                    if reached.any():
+                        low = low[reached]
+                        heapq.heappush(agenda, (float(low.min()), int(child), some[reached], distance[reached], low))
                 continue
-            if np.isfinite(limit):
-                lo, hi = np.searchsorted(self.far[start:end], [away - limit, away + limit])
-                start, end = start + int(lo), min(start + int(hi) + 1, end)
-            scores = rows[start:end] @ asked
-            least = best[0][0] if len(best) == k else floor
-            at = np.arange(start, end) if least is None else start + np.flatnonzero(scores >= least)
-            at = at[self.ids[at] != query_id]
-            if len(at) > k:
-                at = at[np.lexsort((self.ids[at], -scores[at - start]))[:k]]
-            for row in at.tolist():
-                entry = (int(scores[row - start]), -int(self.ids[row]))
-                if len(best) < k:
-                    heapq.heappush(best, entry)
-                elif entry > best[0]:
-                    heapq.heapreplace(best, entry)
-        return [(score, -negative) for score, negative in best]
+            # entries that no query's stored distances let in are left out
+            lo = np.searchsorted(self.far[start:end], float((away - limits[who]).min()))
+            hi = np.searchsorted(self.far[start:end], float((away + limits[who]).max()), side="right")
+            start, end = start + int(lo), start + int(hi)
+            for begin in range(start, end, PAGE_ROWS):  # a page of equal vectors may be longer
+                upto = min(begin + PAGE_ROWS, end)
+                scores = asked[who] @ rows[begin:upto].T
+                q, at = np.nonzero((scores >= least[who][:, None]) & (self.ids[begin:upto] != query_ids[who][:, None]))
+                found = who[q], self.ids[begin + at], scores[q, at].astype(number)
+                useful = (found[2] > least[found[0]]) | (found[1] < last[found[0]])
+                if not useful.any():
+                    continue
+                best = _best(*(np.concatenate([old, new[useful]]) for old, new in zip(best, found, strict=True)), k)
+                full = np.flatnonzero(np.bincount(best[0], minlength=len(queries)) == k)
+                worst = np.searchsorted(best[0], full, side="right") - 1
+                least[full], last[full] = _rounded_down(best[2][worst]), best[1][worst]
+                limits[full] = _reach(base[full], least[full])
+        return best
+
+
+def _reach(base: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """The distance beyond which no vector reaches the score ``least``, and a little more for rounding."""
+    return np.sqrt(np.maximum(base - 2.0 * least, 0.0)) * (1 + SLACK) + base * 1e-12 + 1e-6
+
+
+def _rounded_down(scores: np.ndarray) -> np.ndarray:
+    """As doubles, none above the score it stands for."""
+    real = scores.astype(np.float64)
+    return np.where(np.abs(real) < 2.0**53, real, np.nextafter(real, -np.inf))
+
+
+def _best(query: np.ndarray, name: np.ndarray, score: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
+    """The k first of each query by descending score, then name; ordered by query."""
+    order = np.lexsort((name, -score, query))
+    query, name, score = query[order], name[order], score[order]
+    place = np.arange(len(query)) - np.searchsorted(query, query)
+    return query[place < k], name[place < k], score[place < k]
 
 
 def whole_numbers(vector: Column, scale: int) -> Column:
@@ -146,6 +171,11 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1).astype(np.int64)
 
 
+def _counted(numbers: np.ndarray) -> np.ndarray:
+    """0 .. n-1 for each n, one after the other."""
+    return np.arange(int(numbers.sum())) - np.repeat(np.cumsum(numbers) - numbers, numbers)
+
+
 def _narrow(vectors: np.ndarray) -> np.ndarray:
     most = int(np.abs(vectors).max(initial=0))
     return vectors.astype(np.int8 if most < 128 else np.int16 if most < 2**15 else np.int64)
@@ -190,6 +220,10 @@ def _search(rows: DataFrame, n: int, norm2: float, k: int) -> DataFrame:
     placed = written(rows.mapInArrow(place, "vec_id long, v array<long>, asks boolean, region long, far double"), "regions")
     sizes = placed.groupBy("region").agg(F.count("*").alias("n"), F.max("far").alias("radius")).collect()
     parts = {r.region: (-(-r.n // SUBTREE_ROWS), r.radius) for r in sizes}
+    names = np.array(sorted(parts))
+    numbers, radii = np.ones(len(centres), np.int64), np.zeros(len(centres))
+    for region, (number, radius) in parts.items():
+        numbers[region], radii[region] = number, radius
     counts = F.create_map(*[F.lit(x) for r, (p, _) in parts.items() for x in (r, p)])
     part = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.element_at(counts, F.col("region")))
     dealt = placed.select("vec_id", "v", "region", part.alias("part"))
@@ -213,35 +247,32 @@ def _search(rows: DataFrame, n: int, norm2: float, k: int) -> DataFrame:
                 base = (real**2).sum(1) + norm2
                 away = np.sqrt(np.maximum(base[:, None] - 2 * real @ pivots.value.T, 0.0))
                 ids = batch.column("vec_id").to_numpy()
-                nearest = [min(parts, key=lambda r, row=row: row[r]) for row in away]
+                own = names[away[:, names].argmin(1)]
+                home = ids % numbers[own]
                 if not later:
-                    picks = [(i, r, int(ids[i]) % parts[r][0]) for i, r in enumerate(nearest)]
+                    picked = np.arange(len(ids)), own, home
                 else:
-                    floors = batch.column("floor").to_pylist()
-                    picks = []
-                    for i, near in enumerate(nearest):
-                        limit = np.inf if floors[i] is None else np.sqrt(max(base[i] - 2.0 * floors[i], 0.0)) * (1 + SLACK) + base[i] * 1e-12 + 1e-6
-                        for r, (number, radius) in parts.items():
-                            if away[i, r] - radius <= limit + 1e-6 * radius:
-                                picks += [(i, r, p) for p in range(number) if (r, p) != (near, int(ids[i]) % parts[near][0])]
-                taken = pa.array([i for i, _, _ in picks], pa.int64())
+                    floors = batch.column("floor").cast(pa.float64()).to_numpy(zero_copy_only=False)
+                    limits = _reach(base, np.where(np.isnan(floors), -np.inf, floors))[:, None]
+                    i, r = np.nonzero(away[:, names] - radii[names] <= limits + 1e-6 * radii[names])
+                    r = names[r]
+                    i, r, p = np.repeat(i, numbers[r]), np.repeat(r, numbers[r]), _counted(numbers[r])
+                    other = (r != own[i]) | (p != home[i])
+                    picked = i[other], r[other], p[other]
+                taken, *where = (pa.array(x, pa.int64()) for x in picked)
                 kept = [batch.column(c).take(taken) for c in batch.schema.names]
-                yield pa.RecordBatch.from_arrays(
-                    [*kept, pa.array([r for _, r, _ in picks], pa.int64()), pa.array([p for _, _, p in picks], pa.int64())],
-                    names=[*batch.schema.names, "region", "part"],
-                )
+                yield pa.RecordBatch.from_arrays([*kept, *where], names=[*batch.schema.names, "region", "part"])
 
         return route
 
     def ask(left: pa.Table, right: pa.Table) -> pa.Table:
-        out: list[tuple[int, int, int]] = []
-        if left.num_rows and right.num_rows:
-            tree = pickle.loads(right.column("tree")[0].as_py()).prepare()
-            vectors = _matrix(left.column("v").combine_chunks())
-            for name, query, floor in zip(left.column("vec_id").to_pylist(), vectors, left.column("floor").to_pylist(), strict=True):
-                out += [(name, other, score) for score, other in tree.search(name, query, k, floor, norm2)]
-        columns = list(zip(*out, strict=True)) if out else [[], [], []]
-        return pa.table([pa.array(c, pa.int64()) for c in columns], names=["query_id", "vec_id", "score"])
+        if not left.num_rows or not right.num_rows:
+            return pa.table([pa.array([], pa.int64())] * 3, names=["query_id", "vec_id", "score"])
+        tree = pickle.loads(right.column("tree")[0].as_py())
+        ids, vectors = left.column("vec_id").to_numpy(), _matrix(left.column("v").combine_chunks())
+        floors = left.column("floor").cast(pa.float64()).to_numpy()
+        query, name, score = tree.search(ids, vectors, k, floors, norm2)
+        return pa.table([pa.array(c, pa.int64()) for c in (ids[query], name, score)], names=["query_id", "vec_id", "score"])
 
     keys = ["region", "part", "block"]
 
