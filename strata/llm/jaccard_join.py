@@ -7,7 +7,8 @@ shingles of their prefixes; frequent shingles come last in the order. Within a m
 * the node with the fewest shingles is compared with all others. After these links are verified and joined to components,
 * nodes of different components are joined by an R-tree: shingles are hashed into ``GROUPS`` groups, a node is the point
   of its group counts, pages are boxes of points, and the sum of the smaller coordinates bounds the overlap from above.
-  A meeting of many nodes is cut into blocks, each pair of blocks is joined on its own.
+  A meeting of many nodes is cut into blocks, each pair of blocks is joined on its own. A pair that meets often is left
+  to its first meeting where the ``FIRST_MEETINGS`` first meetings of both nodes show one; it never misses its first.
 
 All surviving pairs are verified on their sets, so a link is lost nowhere, and copies are never expanded into all pairs.
 
@@ -36,6 +37,7 @@ BLOCK = 1024
 PAGE = 32
 BUCKET_KEYS = 2**20
 FREQUENT_SHARE = 2000
+FIRST_MEETINGS = 8
 
 _PLACE = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB]
 
@@ -321,26 +323,44 @@ def _coarse(points: np.ndarray) -> np.ndarray:
     return wide.reshape(len(points), COARSE, -1).sum(2)
 
 
+def _before(firsts: pa.ChunkedArray, meeting: int) -> np.ndarray:
+    """The first meetings of every node, those from ``meeting`` on replaced by it."""
+    lists = firsts.combine_chunks()
+    sizes = np.diff(lists.offsets.to_numpy())
+    out = np.full((len(sizes), FIRST_MEETINGS), meeting, np.int64)
+    out[np.arange(FIRST_MEETINGS) < sizes[:, None]] = lists.flatten().to_numpy()
+    return np.minimum(out, meeting)
+
+
 def _between_components(members: DataFrame, labels: DataFrame, points: DataFrame, num: int, den: int) -> DataFrame:
     """Candidate pairs of nodes that meet and are in different components."""
     labelled = members.join(labels.withColumnRenamed("component", "label"), "node", "left").withColumn("label", F.coalesce("label", "node"))
     labelled = written(labelled, "labelled")
     mixed_groups = labelled.groupBy("meeting").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.max("block").alias("last")).where("x <> y")
-    open_rows = labelled.join(mixed_groups.select("meeting", "last"), "meeting").join(points, "node")
+    met = written(labelled.join(mixed_groups.select("meeting", "last"), "meeting"), "open")
+    # two nodes of different components have all their meetings here
+    firsts = met.groupBy("node").agg(F.slice(F.array_sort(F.collect_list("meeting")), 1, FIRST_MEETINGS).alias("firsts"))
+    open_rows = met.join(points, "node").join(firsts, "node")
     others = F.sequence(F.lit(0).cast("long"), F.col("last"))
     dealt = open_rows.withColumn("other", F.explode(others)).select(
-        "meeting", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "label", "n", "point"
+        "meeting", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "label", "n", "point", "firsts"
     )
 
     def join(table: pa.Table) -> pa.Table:
         block = table.column("block").to_numpy()
         node, label, n = (table.column(c).to_numpy() for c in ("node", "label", "n"))
-        point = _points(table.column("point"))
+        point, meeting = _points(table.column("point")), table.column("meeting")[0].as_py()
+        early = _before(table.column("firsts"), meeting)
         left, right = np.flatnonzero(block == block.min()), np.flatnonzero(block == block.max())
         tree, out = CountTree(point[right], n[right]), []
         for r in left:
             hits = right[tree.search(point[r], int(n[r]), num, den)]
-            out += [(node[r], node[h]) for h in hits[label[hits] != label[r]]]
+            hits = hits[label[hits] != label[r]]
+            if not len(hits):
+                continue
+            own = early[r][early[r] < meeting]
+            met_before = np.isin(early[hits], own).any(1)
+            out += [(node[r], node[h]) for h in hits[~met_before]]
         pairs = np.array([(min(p), max(p)) for p in out], np.int64).reshape(-1, 2)
         pairs = np.unique(pairs, axis=0)
         return pa.table([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], names=["a", "b"])
