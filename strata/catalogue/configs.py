@@ -106,13 +106,13 @@ _STEPLESS = next(i for i, v in enumerate(_VARIANTS) if "Missing 'ingestion_steps
                v <> {_STEPLESS} AS has_steps, CASE WHEN v NOT IN (3, {_STEPLESS}) THEN 'csv_options' END AS format_options_key,
                CASE WHEN v = 20 THEN '[1]' WHEN v NOT IN (3, {_STEPLESS}) THEN '{{"delimiter":","}}' END AS format_options,
                CASE v WHEN 8 THEN '{{"x":1}}' END AS parameters, CASE WHEN v NOT IN (9, {_STEPLESS}) THEN 'enforce' END AS schema_config,
-               CASE WHEN v = 6 THEN 'c,d,c' WHEN v = 5 THEN '' WHEN v NOT IN (7, {_STEPLESS}) THEN 'c' END AS pii_columns,
+               CASE WHEN v = 6 THEN 'c,d,c' WHEN v = 5 THEN '' WHEN v <> {_STEPLESS} THEN 'c' END AS pii_columns,
                CASE WHEN v = 15 THEN 'c:int,d:' ELSE 'c:int' END AS schema
-        FROM (SELECT *, p_partkey % {_N} AS v FROM part) WHERE v NOT IN ({_UNREADABLE}, 7)""",
+        FROM (SELECT *, p_partkey % {_N} AS v FROM part) WHERE v <> {_UNREADABLE}""",
 )
 def config_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Config texts as control-table rows. Configs whose personal-data list is no list are left out here."""
-    rows = _control(spark, sf_dir).where(F.regexp_extract("table_name", r"\d+", 0).cast("bigint") % _N != 7)
+    """Config texts as control-table rows. A lone text in place of the personal-data list is a list of one."""
+    rows = _control(spark, sf_dir)
     entry = F.transform("schema", lambda x: F.concat(x["column_name"], F.lit(":"), F.coalesce(x["data_type"], F.lit(""))))
     return rows.select(
         "job_name",

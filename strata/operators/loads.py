@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata import fixed
-from strata.functions.hashing import with_row_hash
+from strata.functions.hashing import hashed_columns, value_digest, with_row_hash
 from strata.functions.text import col
 from strata.operators.schema import align_to, check_types, evolved_schema, schema_changes
 from strata.operators.snapshots import LIVE, Commit, SnapshotTable, open_table
@@ -134,9 +134,11 @@ def scd2(
     expire_missing: bool = False,
     keys_checked: bool = False,
     now: str | datetime | None = None,
+    compare_exclude: list[str] = (fixed.LINEAGE_COLUMN,),
 ) -> int:
-    """History load. A changed row ends the current version of its key and starts a new one; equal rows (by
-    ``row_hash``) change nothing; unknown keys are added.
+    """History load. A changed row ends the current version of its key and starts a new one; equal rows change nothing;
+    unknown keys are added. Rows are compared by their values in the columns that source and table share, except those
+    in ``compare_exclude``; a new version has null in columns that the source lacks.
 
     ``expire_only`` ends every matched version and starts a new one only in the next load. ``expire_missing`` takes
     the source for a full snapshot and ends versions whose key is not in it. Closed versions are never read again.
@@ -155,12 +157,16 @@ def scd2(
     touched = live if expire_missing else table.parts_with(commit, live, df, keys)
     current = table.read_parts(schema, touched)
 
-    hashes = [col(fixed.HASH_COLUMN)]
-    offered = df.select(*[col(k) for k in keys], hashes[0].alias("__offered"), F.lit(True).alias("__hit"))
+    offers = {name.lower() for name in df.columns}
+    shared = [n for n in hashed_columns([f.name for f in schema.fields], compare_exclude) if n.lower() in offers]
+    digest = value_digest(schema, shared)
+    aligned = align_to(fresh, schema).withColumn("__values", digest)
+    current = current.withColumn("__values", digest)
+    offered = aligned.select(*[col(k) for k in keys], F.col("__values").alias("__offered"), F.lit(True).alias("__hit"))
     joined = current.join(offered, keys, "left")
     ends = F.coalesce(F.col("__hit"), F.lit(False))
     if not expire_only:
-        ends = ends & ~hashes[0].eqNullSafe(F.col("__offered"))
+        ends = ends & (F.col("__values") != F.col("__offered"))
     if expire_missing:
         ends = ends | F.col("__hit").isNull()
     settled = joined.withColumn("__ends", ends).select(
@@ -173,11 +179,11 @@ def scd2(
             for f in schema.fields
         ]
     )
-    held = current.select(*[col(k) for k in keys], *hashes).join(offered.select(*[col(k) for k in keys]), keys, "left_semi")
-    same = reduce(and_, [fresh[k] == held[k] for k in keys])
+    held = current.select(*[col(k) for k in keys], "__values").join(offered.select(*[col(k) for k in keys]), keys, "left_semi")
+    same = reduce(and_, [aligned[k] == held[k] for k in keys])
     if not expire_only:
-        same = same & fresh[fixed.HASH_COLUMN].eqNullSafe(held[fixed.HASH_COLUMN])
-    added = align_to(fresh.join(held, same, "left_anti"), schema)
+        same = same & (aligned["__values"] == held["__values"])
+    added = aligned.join(held, same, "left_anti").drop("__values")
 
     written = table.write_split(settled.unionByName(added), col(fixed.IS_CURRENT))
     untouched = [p for p in commit.parts if p not in touched]
@@ -214,5 +220,5 @@ def load(
         return overwrite(table, hashed, now)
     if kind == "scd_type1":
         return upsert(table, hashed, keys, evolve, keys_checked=keys_checked, now=now)
-    return scd2(table, hashed, keys, evolve, expire_only, expire_missing, keys_checked, now)
+    return scd2(table, hashed, keys, evolve, expire_only, expire_missing, keys_checked, now, hash_exclude)
 

@@ -255,6 +255,13 @@ def config_errors(configs: DataFrame) -> DataFrame:
 # ---- control table -----------------------------------------------------------------------------------------
 
 
+def _text_list(path: str, parsed: Column, none: Column) -> Column:
+    """The list, empty if nothing is given. A lone text is a list of one: left out, its column would stay readable."""
+    given = F.get_json_object("config", path)
+    lone = F.when(F.coalesce(F.trim(given), F.lit("")) != "", F.array(F.trim(given)))
+    return F.when(given.startswith("["), F.coalesce(parsed, none)).otherwise(F.coalesce(lone, parsed, none))
+
+
 def control_rows(configs: DataFrame, sync_timestamp) -> DataFrame:
     """Config texts as rows of the control table. Absent layers stay null."""
     v = _located(configs)
@@ -279,7 +286,7 @@ def control_rows(configs: DataFrame, sync_timestamp) -> DataFrame:
             F.col("__key").alias("format_options_key"),
             F.col(f"{step}.landing.parameters.notebook_path"),
             F.get_json_object("config", f"{_LANDING}.parameters").alias("parameters"),
-            F.coalesce(f"{step}.landing.pii_columns", no_text).alias("pii_columns"),
+            _text_list(f"{_LANDING}.pii_columns", F.col(f"{step}.landing.pii_columns"), no_text).alias("pii_columns"),
         ),
     )
     trusted = F.when(
