@@ -108,7 +108,7 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         FROM latest""",
 )
 def latest_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return r.table_status(event_log(spark, sf_dir))
+    return r.table_status(event_log(spark, sf_dir)).drop("job_name")
 
 
 @reports.query("run_report", f"WITH {_REPORT} SELECT * FROM report")

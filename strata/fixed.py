@@ -235,3 +235,7 @@ KEY_FAILED = "PRIMARY KEY FAILED: column '{col}' has {dup} duplicate rows (uniqu
 COMPOSITE_KEY_FAILED = "PRIMARY KEY FAILED: composite key [{cols}] has {dup} duplicate rows"
 MISSING_COLUMN = "SCHEMA FAILED: missing column '{col}'"
 UNEXPECTED_COLUMN = "SCHEMA FAILED: unexpected column '{col}'"
+
+# what a report shows of a failed run: so many failed checks, so many characters of an error
+SHOWN_CHECKS = 3
+SHOWN_ERROR = 150

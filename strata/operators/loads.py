@@ -29,8 +29,8 @@ def load_type_name(load_type: str) -> str:
     return name
 
 
-def _now() -> str:
-    return datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
+def _now() -> datetime:
+    return datetime.now(timezone.utc).replace(microsecond=0)
 
 
 def require_unique_keys(df: DataFrame, keys: list[str]) -> None:

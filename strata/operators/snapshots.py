@@ -27,6 +27,7 @@ from strata.sources import folders
 _COMMIT = "committed_at timestamp, mode string, table_schema string, parts array<struct<folder:string,role:string,batch:string>>"
 
 LIVE, CLOSED = "live", "closed"
+COPIES = 32_768
 
 
 @dataclass(frozen=True)
@@ -120,17 +121,20 @@ class SnapshotTable:
         return [Part(f"{name}/part={role}", role) for role in (LIVE, CLOSED) if any(f.endswith(f"part={role}") for f in written)]
 
     def publish(self, schema: T.StructType, parts, mode: str, now: datetime | str | None = None) -> int:
+        """Makes the data folders the next version. ``now`` as text is read in the session's time zone."""
         # a commit that died half-way keeps its number, so the next one takes another
         taken = folders.matching(self.spark, f"{self.path}/commits/version=*")
         version = max([int(f.rsplit("=", 1)[1]) for f in taken], default=-1) + 1
         nullable = T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
-        moment = F.lit(now or datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp")
+        moment = F.lit(now or datetime.now(timezone.utc)).cast("timestamp")
         row = self.spark.createDataFrame(
             [(mode, nullable.json(), [(p.folder, p.role, p.batch) for p in parts])],
             "mode string, table_schema string, parts array<struct<folder:string,role:string,batch:string>>",
         )
         target = f"{self.path}/commits/version={version}"
         row.withColumn("committed_at", moment).coalesce(1).write.mode("errorifexists").json(target)
+        if version not in self.versions():
+            raise RuntimeError(f"{target} has no _SUCCESS mark; mapreduce.fileoutputcommitter.marksuccessfuljobs must be on")
         return version
 
     # ---- changes -------------------------------------------------------------------------------------------
@@ -164,7 +168,10 @@ class SnapshotTable:
             .otherwise("delete")
         )
         labelled = net.join(by_key, same_key).select(*[col(c) for c in rows], kind.alias("_change_type"), F.abs("__net").alias("__n"))
-        copies = labelled.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__n"))))
+        # in two steps, so that a row repeated a billion times is no array of a billion
+        chunks = labelled.withColumn("__chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("__n") - 1) / COPIES))))
+        left = F.least(F.lit(COPIES).cast("long"), F.col("__n") - F.col("__chunk") * COPIES)
+        copies = chunks.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), left)))
         return copies.select(*[col(c) for c in rows], "_change_type")
 
 

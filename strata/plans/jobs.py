@@ -13,7 +13,7 @@ from strata.operators.schema import align_to
 from strata.operators.snapshots import SnapshotTable, ensure_namespace
 from strata.plans import config as cfg
 from strata.plans.table_run import run_table
-from strata.session import scratch_dir
+from strata.session import scratch_dir, session_like
 
 MAX_PARALLEL_TABLES = 100
 
@@ -65,7 +65,7 @@ def run_job(spark: SparkSession, control: DataFrame, job_name: str, base: str, t
 
     def run(config: dict):
         try:
-            return run_table(spark.newSession(), config, base, **options)
+            return run_table(session_like(spark), config, base, **options)
         except Exception as failure:
             return failure
 

@@ -22,11 +22,11 @@ def _newest() -> list[Column]:
 
 
 def summaries(log: DataFrame, job_run_id: str | None = None) -> DataFrame:
-    """Newest outcome event per run and table."""
+    """Newest outcome event per job, run and table."""
     events = log.where(F.col("function_name") == fixed.SUMMARY_FUNCTION)
     if job_run_id is not None:
         events = events.where(F.col("job_run_id") == job_run_id)
-    return latest_per(events, ["job_run_id", "table_name"], _newest())
+    return latest_per(events, ["job_run_id", "job_name", "table_name"], _newest())
 
 
 def completeness(passed: Column, total: Column) -> Column:
@@ -115,11 +115,12 @@ def run_rollup(report: DataFrame) -> DataFrame:
 
 
 def table_status(log: DataFrame, job_run_id: str | None = None) -> DataFrame:
-    """Newest status per run and table, upper-cased, with the message to show."""
+    """Newest status per job, run and table, upper-cased, with the message to show."""
     newest = summaries(log, job_run_id).where(F.coalesce(F.col("table_name"), F.lit("")) != "")
     message = F.coalesce(F.nullif(value_of("dq_message"), F.lit("")), value_of("failure_reason"), F.lit(""))
     return newest.select(
         "job_run_id",
+        "job_name",
         "table_name",
         F.upper(F.coalesce("status", F.lit("UNKNOWN"))).alias("status"),
         message.alias("error_message"),
@@ -131,10 +132,11 @@ def monitoring_rows(
 ) -> DataFrame:
     """Rows of the status board: control rows of tables this run touched, with status and freshness.
 
-    ``last_updates`` is (job_name, table_name, last_table_update_time). Tables without a status are left alone.
+    A status belongs to a table of its own job, for jobs may have tables of the same name. ``last_updates`` is (job_name,
+    table_name, last_table_update_time). Tables without a status are left alone.
     """
     moment = F.lit(now).cast("timestamp")
-    board = control.join(statuses, "table_name", "inner").join(last_updates, ["job_name", "table_name"], "left")
+    board = control.join(statuses, ["job_name", "table_name"], "inner").join(last_updates, ["job_name", "table_name"], "left")
     cadence = naming.cadence(F.col("job_name"))
     updated = F.col("last_table_update_time").cast("timestamp")
     age = naming.data_age_hours(updated, moment)

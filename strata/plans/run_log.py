@@ -29,7 +29,7 @@ class RunLog:
     def event(self, level, message, *, function=None, status=None, table=None, record_count=None, **data) -> None:
         extra = {} if record_count is None else {"record_count": str(record_count)}
         extra |= {k: str(v) for k, v in data.items()}
-        now = datetime.now(timezone.utc).replace(tzinfo=None)
+        now = datetime.now(timezone.utc)
         self.events.append(
             (now, level.upper(), message, self.job_name, table, function, status, extra or None, self.run_id)
             + (self.job_run_id, extra.get("layer"))

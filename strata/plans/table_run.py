@@ -9,7 +9,7 @@ of a shuffle stage, which a lost executor would count again.
 from __future__ import annotations
 
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -199,7 +199,7 @@ def promote(run: RunContext, raw: DataFrame) -> int:
         records = errors.failure_records(run.spark, results, raw, keys)
         stamped = errors.with_envelope(
             records,
-            now=run.now or _timestamp(),
+            now=run.now or datetime.now(timezone.utc).replace(microsecond=0),
             job_id=run.log.job_run_id,
             run_id=run.log.run_id,
             job_name=run.log.job_name,
@@ -236,8 +236,29 @@ def promote(run: RunContext, raw: DataFrame) -> int:
 # ---- the run -----------------------------------------------------------------------------------------------
 
 
-def _timestamp() -> str:
-    return datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
+@dataclass(frozen=True)
+class Outcome:
+    """How a run ended. ``reason`` and ``findings`` are cut to what a report shows, ``whole`` is all that is known."""
+
+    reason: str | None = None
+    findings: str | None = None
+    whole: dict[str, str] = field(default_factory=dict)
+
+    @staticmethod
+    def of(failure: Exception | None) -> Outcome:
+        if failure is None:
+            return Outcome()
+        if isinstance(failure, ChecksFailed):
+            shown, every = fixed.SHOWN_CHECKS, failure.failed_checks
+            return Outcome("Validation failed", " | ".join(every[:shown]), {"failed_checks": " | ".join(every)})
+        kind = type(failure).__name__
+        return Outcome(f"{kind}: {str(failure)[: fixed.SHOWN_ERROR]}", None, {"error_type": kind, "error_text": str(failure)})
+
+    def tell(self, log: RunLog, table: str) -> None:
+        if self.reason:
+            log.event("ERROR", f"{table}: {self.reason}", function="run", status="failed", table=table, **self.whole)
+        log.summary(table, not self.reason, self.reason, self.findings)
+        log.flush()
 
 
 def _run_layers(run: RunContext, rows: DataFrame | None) -> int | None:
@@ -245,12 +266,14 @@ def _run_layers(run: RunContext, rows: DataFrame | None) -> int | None:
     df = None
     if "landing" in wanted or rows is not None:
         df = land(run, rows)
+        run.log.flush()
     elif "raw" in wanted:
         df = read_landing_csv(run.spark, latest_run(run.spark, run.paths["landing_runs"]))
     elif "raw_trusted" in wanted:
         df = run.spark.read.option("mergeSchema", True).parquet(latest_run(run.spark, run.paths["raw_runs"]))
     if "raw" in wanted:
         df = refine(run, df)
+        run.log.flush()
     return promote(run, df) if "raw_trusted" in wanted else None
 
 
@@ -276,23 +299,11 @@ def run_table(
     run = RunContext(spark, config, locations(config, run_ts, base), log, pii_key, batch_id, now)
     try:
         version = _run_layers(run, rows)
-        log.summary(run.table, True)
-        return version
-    except ChecksFailed as failure:
-        log.event(
-            "ERROR",
-            f"{run.table}: {len(failure.failed_checks)} check(s) failed: {' | '.join(failure.failed_checks[:5])}",
-            function="run",
-            status="failed",
-            table=run.table,
-            failed_checks=" | ".join(failure.failed_checks),
-        )
-        log.summary(run.table, False, "Validation failed", " | ".join(failure.failed_checks[:3]))
-        raise
     except Exception as failure:
-        kind = type(failure).__name__
-        log.event("ERROR", f"{run.table}: {kind}: {str(failure)[:200]}", function="run", status="failed", table=run.table, error_type=kind)
-        log.summary(run.table, False, f"{kind}: {str(failure)[:150]}")
+        try:
+            Outcome.of(failure).tell(log, run.table)
+        except Exception as unlogged:  # the run's own error is the one to see
+            failure.add_note(f"the run log could not be written: {unlogged}")
         raise
-    finally:
-        log.flush()
+    Outcome.of(None).tell(log, run.table)
+    return version

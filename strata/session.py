@@ -67,3 +67,12 @@ def ship_package(spark: SparkSession) -> None:
         archive = os.path.join(tempfile.mkdtemp(prefix="strata-package-"), "strata")
         context.addPyFile(shutil.make_archive(archive, "zip", root_dir=root, base_dir="strata"))
         _SHIPPED.add(context.applicationId)
+
+
+def session_like(spark: SparkSession) -> SparkSession:
+    """A new session with the settings made at run time in ``spark``, the time zone among them."""
+    session = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if session.conf.isModifiable(key):
+            session.conf.set(key, value)
+    return session

@@ -7,9 +7,12 @@ from pyspark.sql import SparkSession
 
 def matching(spark: SparkSession, pattern: str, files_only: bool = False) -> list[str]:
     """Paths that match a glob, sorted; an empty list when nothing does."""
+    return sorted(status.getPath().toString() for status in _statuses(spark, pattern) if status.isFile() or not files_only)
+
+
+def _statuses(spark: SparkSession, pattern: str):
     path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
-    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
-    return sorted(status.getPath().toString() for status in found or [] if status.isFile() or not files_only)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
 
 
 def source_files(spark: SparkSession, folder: str) -> list[str]:
@@ -19,8 +22,9 @@ def source_files(spark: SparkSession, folder: str) -> list[str]:
 
 
 def latest_run(spark: SparkSession, base: str) -> str:
-    """Newest run folder under ``base`` whose write was completed."""
-    finished = [marker.rsplit("/", 1)[0] for marker in matching(spark, f"{base.rstrip('/')}/*/_SUCCESS")]
+    """The run folder under ``base`` that was completed last; names, which may be of several kinds, settle ties."""
+    markers = _statuses(spark, f"{base.rstrip('/')}/*/_SUCCESS")
+    finished = [(marker.getModificationTime(), marker.getPath().getParent().toString()) for marker in markers]
     if not finished:
         raise FileNotFoundError(f"no completed run under {base}")
-    return max(finished, key=lambda folder: folder.rsplit("/", 1)[1])
+    return max(finished)[1]

@@ -52,8 +52,8 @@ def read_source_files(
 
     ``drift`` says what to do when CSV or workbook headers differ between files: 'error' fails, 'by_name' accepts
     another column order, 'allow' also accepts missing columns, which become null. CSV under 'error' is one scan, in
-    which Spark itself compares every file's header; the others, and files with blank headers, have their first lines
-    read first.
+    which Spark itself compares every file's header; for the others, and for files with blank headers, the lines of all
+    files are read first to find the headers. Files without headers are matched by position.
     """
     if drift not in ("error", "by_name", "allow"):
         raise ValueError(f"unknown drift policy '{drift}'")
@@ -67,7 +67,7 @@ def read_source_files(
         df = reader_for(name)(spark, folder, workbook, **options)
         file_name = F.element_at(F.split(F.col(PATH_COLUMN), "/"), -1)
         return df.withColumn(fixed.LINEAGE_COLUMN, file_name).drop(PATH_COLUMN)
-    if name == "csv" and len(files) > 1:
+    if name == "csv" and len(files) > 1 and _has_header(options):
         if drift != "error" or not _headers_comparable(spark, files[0], options):
             return _csv_by_header(spark, folder, options, drift)
         options["enforceSchema"] = False
@@ -75,6 +75,10 @@ def read_source_files(
     return df.select("*", F.col("_metadata.file_name").alias(fixed.LINEAGE_COLUMN))
 
 
+def _has_header(options: dict) -> bool:
+    return str({**fixed.CSV_READ_DEFAULTS, **options}.get("header")).lower() == "true"
+
+
 def _headers_comparable(spark: SparkSession, file: str, options: dict) -> bool:
     """Whether Spark's own header comparison applies: it renames blank and repeated headers and then objects to them."""
     written = read_csv(spark, file, **{**options, "header": False}).first()
@@ -83,11 +87,12 @@ def _headers_comparable(spark: SparkSession, file: str, options: dict) -> bool:
 
 def _csv_by_header(spark: SparkSession, folder: str, options: dict, drift: str) -> DataFrame:
     settings = {**fixed.CSV_READ_DEFAULTS, **options}
+    commented = F.col("value").startswith(settings["comment"]) if settings.get("comment") else F.lit(False)
     lines = (
         spark.read.option("pathGlobFilter", "*.[cC][sS][vV]")
         .text(folder)
         .select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"))
-        .where((F.col("start") == 0) & (F.trim("value") != "") & ~F.col("value").startswith(settings["comment"]))
+        .where((F.col("start") == 0) & (F.trim("value") != "") & ~commented)
         .withColumn("at", F.monotonically_increasing_id())
     )
     first_lines = lines.groupBy("path").agg(F.min_by("value", "at").alias("header"))
@@ -102,6 +107,8 @@ def _csv_by_header(spark: SparkSession, folder: str, options: dict, drift: str)
             raise ValueError(f"columns differ between files: {expected} and {names} in {row['paths'][0]}")
         part = read_csv(spark, row["paths"], **options)
         parts.append(part.select("*", F.col("_metadata.file_name").alias(fixed.LINEAGE_COLUMN)))
+    if not parts:
+        raise FileNotFoundError(f"no file in {folder} has a header")
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=drift == "allow"), parts)
 
 

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata import fixed
+from strata.functions.text import col
 from strata.operators.snapshots import SnapshotTable
 from strata.sources.workbook import read_workbooks
 
 # One option set for writing and reading Landing CSV, so that what comes back is what went in: quotes doubled, null
-# apart from the empty string, blanks kept, line breaks inside quotes allowed.
+# apart from the empty string, blanks kept, line breaks inside quotes allowed. A text of backslashes and an N, which
+# could be taken for null, gets one more backslash in the file.
 LANDING_CSV = {
     "header": True,
     "quote": '"',
@@ -97,11 +101,19 @@ def reader_for(file_format: str):
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).options(**LANDING_CSV, emptyValue='""').csv(path)
+    texts = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
+    told = [_null_like(name, r"^(\\+N)$", r"\\$1") if name in texts else col(name) for name in df.columns]
+    df.select(*told).write.mode(mode).options(**LANDING_CSV, emptyValue='""').csv(path)
 
 
 def read_landing_csv(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.options(**LANDING_CSV, emptyValue="", multiLine=True, maxCharsPerColumn=-1).csv(path)
+    df = spark.read.options(**LANDING_CSV, emptyValue="", multiLine=True, maxCharsPerColumn=-1).csv(path)
+    return df.select(*[_null_like(name, r"^\\(\\+N)$", "$1") for name in df.columns])
+
+
+def _null_like(name: str, pattern: str, into: str) -> Column:
+    text = col(name)
+    return F.when(text.startswith("\\") & text.endswith("N"), F.regexp_replace(text, pattern, into)).otherwise(text).alias(name)
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:

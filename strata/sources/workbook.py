@@ -182,14 +182,17 @@ def sheet_rows(content: bytes, choice: int | str, wanted: set[int] | None):
 
 
 def _header_names(cells: dict[int, str], wanted: set[int] | None, width: int) -> dict[int, str]:
-    """Column index -> name. Blank headers become col_N; repeated ones get .1, .2 and so on."""
-    seen, names = Counter(), {}
+    """Column index -> name. Blank headers become col_N; a name that is taken gets .1, .2 and so on."""
+    repeats, taken, names = Counter(), set(), {}
     for index in sorted(wanted if wanted is not None else range(width)):
         if index >= width:
             break
-        name = cells.get(index, f"col_{index}")
-        names[index] = f"{name}.{seen[name]}" if seen[name] else name
-        seen[name] += 1
+        name = given = cells.get(index, f"col_{index}")
+        while name in taken:
+            repeats[given] += 1
+            name = f"{given}.{repeats[given]}"
+        taken.add(name)
+        names[index] = name
     return names
 
 
