@@ -1,4 +1,4 @@
-"""Arrival-driven ingestion."""
+"""Arrival-driven ingestion, and batch runs that archive what they loaded."""
 
 from __future__ import annotations
 
@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from strata.catalogue.common import Catalogue, moment, scratch, table
 from strata.operators.snapshots import open_table
 from strata.plans.config import locations
+from strata.plans.table_run import run_table
+from strata.sources.folders import source_files
 from strata.streaming.arrivals import ingest_arrivals
 
 arrivals = Catalogue()
@@ -49,3 +51,20 @@ def file_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
     ingest_arrivals(spark, settings, base, f"{base}/checkpoint", COLUMNS, available_now=True).awaitTermination()
     trusted = open_table(spark, locations(settings, "", base)["raw_trusted"]).read()
     return trusted.select("event_id", moment("at").alias("at"), "event_type", "value")
+
+
+@arrivals.query(
+    "batch_archive",
+    "SELECT event_id, event_type, value, true AS nothing_left FROM events",
+)
+def batch_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two deliveries, each appended by a batch run that archives it: no row is loaded twice and no file stays."""
+    base, events = scratch(spark, "batch-archive"), table(spark, sf_dir, "events")
+    settings = events_config(f"{base}/staging")
+    rows = events.select(F.col("event_id").alias("eventId"), moment("ts").alias("at"), F.col("event_type").alias("Event Type"), "value")
+    for parity in (0, 1):
+        rows.where(F.col("eventId") % 2 == parity).write.mode("append").option("header", True).csv(f"{base}/staging/EVENTS")
+        run_table(spark, settings, base, archive=f"{base}/archive")
+    left = source_files(spark, f"{base}/staging/EVENTS")
+    trusted = open_table(spark, locations(settings, "", base)["raw_trusted"]).read()
+    return trusted.select("event_id", "event_type", "value", F.lit(not left).alias("nothing_left"))

@@ -25,7 +25,7 @@ from strata.operators.loads import load
 from strata.plans.config import enabled, locations
 from strata.plans.run_log import RunLog
 from strata.session import keep_methods_small
-from strata.sources.folders import latest_run
+from strata.sources.folders import latest_run, move_into, source_files
 from strata.sources.landing_files import read_source_files, reader_options
 from strata.sources.producers import run_producer
 from strata.sources.readers import format_name, read_landing_csv, write_csv, write_parquet
@@ -54,14 +54,17 @@ class RunContext:
 # ---- Landing -----------------------------------------------------------------------------------------------
 
 
+def source_folder(run: RunContext) -> str:
+    return f"{run.layer('landing')['source_path'].rstrip('/')}/{run.table.upper()}"
+
+
 def source_rows(run: RunContext) -> DataFrame:
     """Rows of the source with lineage: files when a source path is configured, else a producer."""
     landing = run.layer("landing")
     if landing.get("source_path"):
-        folder = f"{landing['source_path'].rstrip('/')}/{run.table.upper()}"
         options = reader_options(landing)
         drift = options.pop("header_drift", "error")
-        return read_source_files(run.spark, folder, landing["file_format"], options, drift)
+        return read_source_files(run.spark, source_folder(run), landing["file_format"], options, drift)
     if landing.get("notebook_path"):
         return run_producer(run.spark, landing, run.table, run.log.run_id, run.paths["landing"] + "-produced")
     raise ValueError(f"landing of '{run.table}' names neither source_path nor notebook_path; it has {sorted(landing)}")
@@ -277,6 +280,14 @@ def _run_layers(run: RunContext, rows: DataFrame | None) -> int | None:
     return promote(run, df) if "raw_trusted" in wanted else None
 
 
+def archive_sources(run: RunContext, folder: str) -> None:
+    """Moves the source files that the Landing rows name. Files without rows, or that came meanwhile, stay."""
+    landed = read_landing_csv(run.spark, run.paths["landing"]).select(fixed.LINEAGE_COLUMN).distinct()
+    names = {row[0] for row in landed.collect()}
+    found = source_files(run.spark, source_folder(run))
+    move_into(run.spark, [file for file in found if file.rsplit("/", 1)[1] in names], folder)
+
+
 def run_table(
     spark: SparkSession,
     config: dict,
@@ -288,11 +299,14 @@ def run_table(
     pii_key: str | None = None,
     batch_id: str | None = None,
     now: str | None = None,
+    archive: str | None = None,
 ) -> int | None:
     """Runs the enabled layers of one table under ``base`` and logs the outcome.
 
     Layers that are switched off are skipped; a run without Landing starts from the newest completed Landing folder,
     one without Raw from the newest completed Raw folder. ``rows`` stands in for the source (a stream's batch).
+    With ``archive``, source files whose rows were landed are moved below it once the load is committed, so that the
+    next run does not load them again.
     """
     run_ts = run_ts or datetime.now(timezone.utc).strftime("%Y%m%d_%H%M%S_%f")
     log = RunLog(spark, f"{base.rstrip('/')}/run_log", config.get("job_name") or "", f"{run_ts}-{uuid.uuid4().hex[:8]}", job_run_id)
@@ -306,4 +320,6 @@ def run_table(
             failure.add_note(f"the run log could not be written: {unlogged}")
         raise
     Outcome.of(None).tell(log, run.table)
+    if archive and rows is None and enabled(run.layer("landing")) and run.layer("landing").get("source_path"):
+        archive_sources(run, f"{archive.rstrip('/')}/{run.table.upper()}/{run_ts}")
     return version

@@ -21,6 +21,16 @@ def source_files(spark: SparkSession, folder: str) -> list[str]:
     return [f for f in files if not f.rsplit("/", 1)[1].startswith(("_", "."))]
 
 
+def move_into(spark: SparkSession, files: list[str], folder: str) -> None:
+    """Moves files into ``folder`` of the same file system."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(target)
+    for file in files:
+        if not system.rename(spark._jvm.org.apache.hadoop.fs.Path(file), target):
+            raise OSError(f"{file} could not be moved to {folder}")
+
+
 def latest_run(spark: SparkSession, base: str) -> str:
     """The run folder under ``base`` that was completed last; names, which may be of several kinds, settle ties."""
     markers = _statuses(spark, f"{base.rstrip('/')}/*/_SUCCESS")
