@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata.session import scratch_dir, ship_package
 
@@ -22,6 +23,14 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+ROW = "__row"
+
+
+def with_row_keys(df: DataFrame) -> DataFrame:
+    """``df`` and a key ``ROW`` of each row, written once: the key tells rows apart whatever their ids and texts."""
+    return written(df.withColumn(ROW, F.monotonically_increasing_id()), "rows")
+
+
 def tasks_need_package(df: DataFrame) -> None:
     """Python in tasks imports this package; executors get it once per application."""
     ship_package(df.sparkSession)

@@ -90,9 +90,11 @@ def _loaded(stored: bytes) -> np.ndarray:
     return np.frombuffer(stored, "<u4", n).astype(np.uint64) << np.uint64(16) | np.frombuffer(stored, "<u2", n, 4 * n).astype(np.uint64)
 
 
-def document_sets(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id, n (size of the set), node (number of the set), point (shingles per group), shingles; written to the shared folder."""
+def document_sets(docs: DataFrame, k: int, row: str | None = None) -> DataFrame:
+    """doc_id, n (size of the set), node (number of the set), point (shingles per group), shingles, and the row key if one is
+    named; written to the shared folder."""
     tasks_need_package(docs)
+    own = [row] if row else []
 
     def sets(batches):
         for batch in batches:
@@ -104,12 +106,14 @@ def document_sets(docs: DataFrame, k: int) -> DataFrame:
                 points = [np.minimum(np.bincount((s & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS), FULL).astype("u1").tobytes() for s in found]
                 columns = [pa.array([len(s) for s in found], pa.int64()), pa.array(nodes, pa.int64())]
                 columns += [pa.array(points, pa.binary()), pa.array(stored, pa.binary())]
+                columns += [batch.column(c).slice(lo, hi - lo) for c in own]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(lo, hi - lo), *columns], names=["doc_id", "n", "node", "point", "shingles"]
+                    [batch.column("doc_id").slice(lo, hi - lo), *columns], names=["doc_id", "n", "node", "point", "shingles", *own]
                 )
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return written(rows.mapInArrow(sets, "doc_id long, n long, node long, point binary, shingles binary"), "sets")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *own)
+    schema = "doc_id long, n long, node long, point binary, shingles binary" + "".join(f", {c} long" for c in own)
+    return written(rows.mapInArrow(sets, schema), "sets")
 
 
 def frequent_shingles(sets: DataFrame, documents: int) -> np.ndarray:
@@ -368,22 +372,40 @@ def _between_components(members: DataFrame, labels: DataFrame, points: DataFrame
     return dealt.groupBy("meeting", "i", "j").applyInArrow(join, "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """doc_id, n_shingles, component_id for every row; component_id is the smallest doc_id reachable by links."""
-    sets = document_sets(docs, k)
+def _components(sets: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """(node, component) of all linked nodes, and the sets' rows that have shingles."""
     sizes = sets.where("n > 0").agg(F.count("*").alias("documents"), F.coalesce(F.sum("n"), F.lit(0)).alias("total")).first()
     keys = sizes.total * (den - num) // den + sizes.documents
     frequent = frequent_shingles(sets, sizes.documents)
     stars, members = _meetings(sets, frequent, max(1, -(-keys // BUCKET_KEYS)), num, den)
-    one = sets.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     points = written(sets.where("n > 0").select("node", "n", "point").dropDuplicates(["node"]), "points")
     first = written(verified(written(bounded(stars, points, num, den), "pairs"), sets, num, den), "links")
     more = _between_components(written(members, "members"), components(first), points, num, den)
     second = verified(written(more, "pairs"), sets, num, den)
-    final = components(first.union(second))
+    return components(first.union(second)), sets.where("n > 0")
+
+
+def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """doc_id, n_shingles, component_id for every row; component_id is the smallest doc_id reachable by links."""
+    sets = document_sets(docs, k)
+    final, full = _components(sets, num, den)
+    one = full.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     named = one.join(final, "node", "left").select("node", F.coalesce("component", "node").alias("component"), "doc_id")
     smallest = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     by_node = named.join(smallest, "component").select("node", "component_id")
     linked = sets.where("n > 0").select("doc_id", "n", "node").join(by_node, "node", "left")
     alone = sets.where("n = 0").select("node", "doc_id", "n", F.col("doc_id").alias("component_id"))
     return linked.select("node", "doc_id", "n", "component_id").union(alone).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+def surplus_rows(docs: DataFrame, row: str, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """Keys ``row`` of all rows but one of each group that links connect. The row of the smallest doc_id stays, null last; of
+    equal doc_ids that of the smallest set number, then of the smallest key. Rows without shingles all stay."""
+    sets = document_sets(docs, k, row)
+    final, full = _components(sets, num, den)
+    rank = F.struct(F.isnull("doc_id").alias("unknown"), "doc_id", F.col("node").alias("set"), F.col(row).alias("kept"))
+    one = full.groupBy("node").agg(F.min(rank).alias("best"))
+    named = one.join(final, "node", "left").select("node", F.coalesce("component", "node").alias("component"), "best")
+    smallest = named.groupBy("component").agg(F.min("best").alias("best"))
+    by_node = named.select("node", "component").join(smallest, "component").select("node", F.col("best.kept").alias("kept"))
+    return full.select(row, "node").join(by_node, "node").where(F.col(row) != F.col("kept")).select(row)

@@ -176,3 +176,30 @@ def test_pipeline_equals_brute_force(spark, tmp_path):
     for r in cut.collect():
         assert r.n_chars == len(r.text) and len(r.text.encode()) <= kept[r.doc_id] - gone[r.doc_id]
         assert gone[r.doc_id] or r.text == dict(rows)[r.doc_id]
+
+
+def repeated_and_null_ids():
+    """(doc_id, text): near copies with repeated and null ids, unique texts that share an id, and passages under one id."""
+    draw = random.Random(11)
+    words = [f"w{draw.randrange(9000)}" for _ in range(60)]
+    other = [f"v{draw.randrange(9000)}" for _ in range(60)]
+    lost = [f"n{draw.randrange(9000)}" for _ in range(60)]
+    rows = [(1, " ".join(words)), (2, " ".join([*words, "more"])), (2, "a text of its own under the id of a near copy")]
+    rows += [(3, " ".join(other))] * 3 + [(None, " ".join(lost)), (None, " ".join(lost)), (None, " ".join([*lost, "tail"]))]
+    return rows + [(None, None), (None, None), (None, "nothing like it"), (4, ""), (4, "")]
+
+
+def test_one_row_of_a_group_stays_whatever_its_ids(spark, documents, tmp_path):
+    rows = repeated_and_null_ids()
+    left = corpus_pipeline.jaccard_dedup(spark, documents(rows), str(tmp_path)).collect()
+    ids = [(r.doc_id, " ".join((r.text or "").split()[:2])) for r in left]
+    wanted = [rows[i] for i in (0, 2, 3, 6, 9, 10, 11, 12, 13)]
+    assert sorted(ids, key=repr) == sorted([(i, " ".join((t or "").split()[:2])) for i, t in wanted], key=repr)
+
+
+def test_cut_texts_go_to_their_own_rows(spark, documents, tmp_path):
+    passage = "".join(random.Random(12).choices("abcdefgh ", k=80))
+    rows = [(1, passage)] + [(5, f"{passage}{i}" * 2) for i in range(6)] + [(None, f"<{i}>" + passage) for i in range(3)] + [(5, "kept"), (None, None)]
+    cut = corpus_pipeline.suffix_array_dedup(spark, documents(rows), str(tmp_path)).collect()
+    by_row = sorted([(1, passage, 80), *[(5, f"{i}{i}", 2) for i in range(6)], *[(None, f"<{i}>", 3) for i in range(3)], (5, "kept", 4), (None, None, None)], key=repr)
+    assert sorted([(r.doc_id, r.text, r.n_chars) for r in cut], key=repr) == by_row
