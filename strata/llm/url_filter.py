@@ -48,8 +48,9 @@ def longest_rule(host: Column, path: Column, rules: list[Rule]) -> tuple[Column,
 
 
 def hashed(df: DataFrame, key: Column, segments: int) -> DataFrame:
-    """Adds the two halves of the key's 128-bit hash and its segment."""
-    return df.withColumns({"h1": F.xxhash64(key), "h2": F.xxhash64(key, F.lit("second"))}).withColumn(
+    """Adds two 64-bit hashes of the key and its segment. The second hash starts from another seed: with the literal after
+    the key it would be a function of the first."""
+    return df.withColumns({"h1": F.xxhash64(key), "h2": F.xxhash64(F.lit("second"), key)}).withColumn(
         "segment", F.pmod("h1", F.lit(segments))
     )
 

@@ -132,3 +132,10 @@ def test_top_k_is_exact(spark, monkeypatch, sizes):
     exact = [(i, None if v is None else [None if x is None else float(np.float32(x)) for x in v]) for i, v in rows]
     assert {tuple(r) for r in found.collect()} == brute(exact, 5)
     assert metric_search.top_k(df.limit(0), F.col("vec_id") % 3 == 0).count() == 0
+
+
+def test_the_second_hash_is_no_function_of_the_first(spark):
+    """xxhash64 of several columns takes the hash so far as the seed: a literal after the key adds nothing to the first hash."""
+    rows = url_filter.hashed(spark.range(50).select(F.col("id").cast("string").alias("key")), F.col("key"), 1)
+    derived = rows.select("h2", F.expr("xxhash64(key, 'second')").alias("after")).collect()
+    assert all(r.h2 != r.after for r in derived) and len({r.h2 for r in derived}) == 50
