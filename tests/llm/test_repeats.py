@@ -203,3 +203,22 @@ def test_cut_texts_go_to_their_own_rows(spark, documents, tmp_path):
     cut = corpus_pipeline.suffix_array_dedup(spark, documents(rows), str(tmp_path)).collect()
     by_row = sorted([(1, passage, 80), *[(5, f"{i}{i}", 2) for i in range(6)], *[(None, f"<{i}>", 3) for i in range(3)], (5, "kept", 4), (None, None, None)], key=repr)
     assert sorted([(r.doc_id, r.text, r.n_chars) for r in cut], key=repr) == by_row
+
+
+def test_contexts_are_told_apart_by_all_bits(monkeypatch):
+    """Hashes that differ in their lowest 24 bits only are different contexts, in a block and after packing."""
+    hashes = repeats._context_hashes
+    monkeypatch.setattr(repeats, "_context_hashes", lambda *of: hashes(*of) & np.uint64(2**24 - 1))
+    core = "a core of thirty-two bytes, equal"
+    texts = [f"{i:030d}{core}{i * 7919:030d}".encode() for i in range(20)]
+    row = {
+        "ids": np.arange(20, dtype="<i8").tobytes(),
+        "starts": np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype("<i8").tobytes(),
+        "data": repeats.zstandard.ZstdCompressor().compress(b"".join(texts)),
+    }
+    block = repeats.Block(row, 50, 1)
+    assert len(np.unique(block.context)) > 1
+    ((_, n, names, packed),) = block.entries()
+    core_hash, context, _ = repeats._unpacked(packed, n, names)
+    assert context.tolist() == block.context[block.first].tolist() and core_hash.tolist() == block.core[block.first].tolist()
+    assert n >= 20
