@@ -1,9 +1,10 @@
 """Subword encoding with seeded merge dropout, for a merge-type (BPE) SentencePiece model.
 
 A word's characters are merged pair by pair, the best-scored pair first (leftmost of equals), as the model's library does.
-Each candidate taken from the agenda is skipped with probability ``dropout``, decided by a hash keyed by the seed and the
-word's variant, so the same call gives the same pieces anywhere, and another seed other pieces. A word takes one of
-``variants`` segmentations, by a hash of its row's key and its place; with dropout 0 the pieces are the library's.
+Each candidate taken from the agenda is skipped with probability ``dropout``, decided for every occurrence of a word by a
+hash of the seed, the row's key, the word's place in the text and the candidate's number on the agenda. So the same call
+gives the same pieces anywhere, and another seed other pieces; with dropout 0 the pieces are the library's. What is kept of
+a word are its segmentations by the candidates skipped; the draws are made anew for each occurrence.
 
 Characters without a piece, and the model's blank mark itself where a text holds it, become their bytes, so decoding
 returns every text exactly.
@@ -17,19 +18,25 @@ from __future__ import annotations
 import functools
 import heapq
 import os
+import struct
 import zlib
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import tasks_need_package
+from strata.llm.common import mixed, slices, tasks_need_package
 
 PIECE_BPE = "piece_bpe_32k.model"
 BLANK = "▁"
-KEPT_WORDS = 300_000
+KEPT_PATHS = 600_000
+LONG_WORD = 32
+RUN_CHARS, RUN_UNITS = 2**18, 2**16
 _MASK = 2**64 - 1
+_STEP = 0x9E3779B97F4A7C15
+_NEVER = float("inf")
 
 
 def _mix(x: int) -> int:
@@ -38,6 +45,20 @@ def _mix(x: int) -> int:
     return x ^ x >> 31
 
 
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}i", *ids)
+
+
+class Path:
+    """A word's segmentation when ``skips`` are the candidates skipped, of ``n`` that the agenda gives; ``after`` has those with
+    one skip more."""
+
+    __slots__ = ("after", "ids", "n", "skips")
+
+    def __init__(self, ids: bytes, n: int, skips: tuple[int, ...]):
+        self.ids, self.n, self.skips, self.after = ids, n, skips, {}
+
+
 class Pieces:
     """The model's pieces and the segmentations found so far."""
 
@@ -60,31 +81,112 @@ class Pieces:
             self.spelled[i] = bytes([b])
         if any(BLANK in piece.lstrip(BLANK) for piece in self.ids):
             raise ValueError("the model has pieces across words, so words cannot be encoded one by one")
-        self.known: dict[tuple, list[int]] = {}
+        self.costs = {piece: -self.scores[i] for piece, i in self.ids.items()}
+        self.neighbours = {piece[i : i + 2] for piece in self.ids for i in range(len(piece) - 1)}
+        self.known: dict[str, Path] = {}
+        self.n_known = 0
+
+    def units(self, text: str) -> list[str]:
+        """Words; a long one is cut wherever no piece holds both neighbours, since no merge reaches across."""
+        words = _words(text)
+        if max(map(len, words)) <= LONG_WORD:
+            return words
+        out: list[str] = []
+        for word in words:
+            start = 0
+            if len(word) > LONG_WORD:
+                for i in range(1, len(word)):
+                    if word[i - 1 : i + 1] not in self.neighbours:
+                        out.append(word[start:i])
+                        start = i
+            out.append(word[start:] if start else word)
+        return out
 
-    def encode(self, text: str, dropout: float = 0.0, seed: int = 0, key: int = 0, variants: int = 16) -> list[int]:
-        if not text:
-            return []
-        if len(self.known) > KEPT_WORDS:
+    def encode(self, text: str, dropout: float = 0.0, seed: int = 0, key: int = 0) -> list[int]:
+        return self.encode_all([text], [key], dropout, seed)[0].tolist()
+
+    def encode_all(self, texts: list[str | None], keys: list[int], dropout: float, seed: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after the other, and their number in each."""
+        found: list[bytes] = []
+        counts: list[int] = []
+        for lo, hi in slices(np.cumsum([0, *[len(t or "") for t in texts]]), RUN_CHARS):
+            units: list[str] = []
+            sizes = []
+            for text in texts[lo:hi]:
+                if text:
+                    units += self.units(text)
+                sizes.append(len(units))
+            rows = np.array([_mix(seed & _MASK) ^ _mix(k + 1 & _MASK) for k in keys[lo:hi]], np.uint64)
+            own = np.diff(sizes, prepend=0)
+            places = np.arange(len(units)) - np.repeat(np.cumsum(own) - own, own)
+            salts = mixed(np.repeat(rows, own) + places.astype(np.uint64))
+            ids: list[bytes] = []
+            for at in range(0, len(units), RUN_UNITS):
+                ids += self._drawn(units[at : at + RUN_UNITS], salts[at : at + RUN_UNITS], int(dropout * 2**64))
+            before = 0
+            for end in sizes:
+                found.append(b"".join(ids[before:end]))
+                counts.append(len(found[-1]) // 4)
+                before = end
+        return np.frombuffer(b"".join(found), "<i4"), np.array(counts, np.int64)
+
+    def _drawn(self, units: list[str], salts: np.ndarray, limit: int) -> list[bytes]:
+        """Ids of each occurrence. Its n-th candidate merge is skipped if the n-th draw from its salt is below ``limit``."""
+        if self.n_known > KEPT_PATHS:
             self.known.clear()
-        out: list[int] = []
-        keyed = _mix(seed & _MASK) ^ _mix(key + 1)
-        for place, word in enumerate(_words(text)):
-            variant = _mix(keyed + place) % variants if dropout else 0
-            ids = self.known.get((word, variant, dropout, seed))
-            if ids is None:
-                ids = self.known[word, variant, dropout, seed] = self.merge(word, dropout, _mix(seed * 1_000_003 + variant & _MASK))
-            out += ids
+            self.n_known = 0
+        paths = [self.known.get(u) or self._path(u, int(s), limit) for u, s in zip(units, salts.tolist(), strict=True)]
+        out = [p.ids for p in paths]
+        if not limit:
+            return out
+        n = np.array([p.n for p in paths])
+        which = np.repeat(np.arange(len(units)), n)
+        nth = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
+        hit = np.flatnonzero(mixed(salts[which] + (nth + 1).astype(np.uint64) * np.uint64(_STEP)) < np.uint64(limit))
+        if not len(hit):
+            return out
+        which, nth = which[hit], nth[hit].tolist()
+        begin = np.flatnonzero(np.diff(which, prepend=-1))
+        for o, a, b in zip(which[begin].tolist(), begin.tolist(), [*begin[1:].tolist(), len(nth)], strict=True):
+            path, known, salt = paths[o], paths[o].n, None
+            for skip in nth[a:b]:
+                if skip >= path.n:
+                    break
+                path = path.after.get(skip) or self._branch(path, units[o], skip)
+            else:
+                at = known
+                while at < path.n:  # a skip may make the agenda longer than that without skips
+                    salt = int(salts[o]) if salt is None else salt
+                    if _mix(salt + (at + 1) * _STEP & _MASK) < limit:
+                        path = path.after.get(at) or self._branch(path, units[o], at)
+                    at += 1
+            out[o] = path.ids
         return out
 
-    def merge(self, word: str, dropout: float, key: int) -> list[int]:
+    def _path(self, unit: str, salt: int, limit: int) -> Path:
+        if len(unit) > LONG_WORD:  # too many ways to keep: every occurrence is merged
+            ids, _ = self.merge(unit, lambda n: _mix(salt + (n + 1) * _STEP & _MASK) < limit)
+            return Path(ids, 0, ())
+        path = self.known[unit] = Path(*self.merge(unit, ().__contains__), ())
+        self.n_known += 1
+        return path
+
+    def _branch(self, path: Path, unit: str, skip: int) -> Path:
+        skips = (*path.skips, skip)
+        branch = path.after[skip] = Path(*self.merge(unit, skips.__contains__), skips)
+        self.n_known += 1
+        return branch
+
+    def merge(self, word: str, skipped: Callable[[int], bool]) -> tuple[bytes, int]:
+        """Ids as little-endian 32-bit integers, and how many candidates the agenda gave; those ``skipped`` are not merged."""
         if word == _LITERAL:
-            return [self.byte_ids[b] for b in BLANK.encode()]
+            return _packed([self.byte_ids[b] for b in BLANK.encode()]), 0
+        if len(word) <= LONG_WORD:
+            return self._merge_short(word, skipped)
         symbols: list[str | None] = list(word)
         after, before = list(range(1, len(word) + 1)), list(range(-1, len(word) - 1))
-        limit = int(dropout * 2**64)
-        salt = key ^ _mix(zlib.crc32(word.encode()) + 1)
         agenda: list[tuple[float, int, int, str]] = []
+        taken = 0
 
         def offer(left: int, right: int) -> None:
             if 0 <= left and right < len(symbols):
@@ -99,7 +201,8 @@ class Pieces:
             _, left, right, both = heapq.heappop(agenda)
             if symbols[left] is None or symbols[right] is None or after[left] != right or symbols[left] + symbols[right] != both:
                 continue
-            if limit and _mix(salt + (left << 32 | right << 16 | len(both)) & _MASK) < limit:
+            taken += 1
+            if skipped(taken - 1):
                 continue
             symbols[left], symbols[right] = both, None
             after[left] = after[right]
@@ -107,16 +210,38 @@ class Pieces:
                 before[after[left]] = left
             offer(before[left], left)
             offer(left, after[left])
+        return self._numbers([s for s in symbols if s is not None]), taken
+
+    def _merge_short(self, word: str, skipped: Callable[[int], bool]) -> tuple[bytes, int]:
+        """The same with a list of all pairs' costs for the agenda."""
+        symbols, taken, cost = list(word), 0, self.costs.get
+        costs = [cost(word[i : i + 2], _NEVER) for i in range(len(word) - 1)]
+        while costs:
+            least = min(costs)
+            if least == _NEVER:
+                break
+            at = costs.index(least)
+            taken += 1
+            if skipped(taken - 1):
+                costs[at] = _NEVER
+                continue
+            symbols[at] += symbols.pop(at + 1)
+            del costs[at]
+            if at:
+                costs[at - 1] = cost(symbols[at - 1] + symbols[at], _NEVER)
+            if at < len(costs):
+                costs[at] = cost(symbols[at] + symbols[at + 1], _NEVER)
+        return self._numbers(symbols), taken
+
+    def _numbers(self, symbols: list[str]) -> bytes:
         ids: list[int] = []
         for symbol in symbols:
-            if symbol is None:
-                continue
             number = self.ids.get(symbol)
             if number is not None:
                 ids.append(number)
             else:
                 ids += [self.byte_ids[b] for b in symbol.encode()]
-        return ids
+        return _packed(ids)
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.spelled.__getitem__, ids)).decode()[1:]
@@ -161,11 +286,11 @@ def pieces(name: str) -> Pieces:
 
 
 def encode(
-    df: DataFrame, keys: list[str], text: str = "text", dropout: float = 0.1, seed: int = 1, variants: int = 16, model: str = PIECE_BPE
+    df: DataFrame, keys: list[str], text: str = "text", dropout: float = 0.1, seed: int = 1, model: str = PIECE_BPE
 ) -> DataFrame:
-    """Adds ``piece_ids``. ``keys`` name the columns that tell rows apart for the choice of segmentations."""
-    if not 0 <= dropout < 1 or variants < 1:
-        raise ValueError("dropout lies in [0, 1), and there is at least one variant")
+    """Adds ``piece_ids``. ``keys`` name the columns that tell rows apart for the draws."""
+    if not 0 <= dropout < 1:
+        raise ValueError("dropout lies in [0, 1)")
     tasks_need_package(df)
     kept = df.drop("piece_ids")
     names = kept.columns
@@ -175,13 +300,11 @@ def encode(
     def encoded(batches):
         table = pieces(model)
         for batch in batches:
-            numbers = batch.column("__key").to_pylist()
-            ids = [
-                table.encode(t or "", dropout, seed, k & _MASK, variants)
-                for t, k in zip(batch.column(text).to_pylist(), numbers, strict=True)
-            ]
-            columns = [batch.column(c) for c in names]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(ids, pa.list_(pa.int32()))], names=[*names, "piece_ids"])
+            numbers = [k & _MASK for k in batch.column("__key").to_pylist()]
+            ids, counts = table.encode_all(batch.column(text).to_pylist(), numbers, dropout, seed)
+            ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(ids))
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], lists], names=[*names, "piece_ids"])
 
     return rows.mapInArrow(encoded, kept.select("*", F.lit(None).cast("array<int>").alias("piece_ids")).schema)
 

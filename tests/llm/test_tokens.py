@@ -134,3 +134,55 @@ def test_dropout_varies_with_the_seed_and_repeats_with_it(spark, awkward):
     text = "the quick brown fox jumps over the lazy dog " * 50
     assert len(table.encode(text, 0.3, 1, 1)) > len(table.encode(text, 0.05, 1, 1)) > len(table.encode(text))
     assert merge_dropout.encode(rows.limit(0), ["doc_id"]).count() == 0
+
+
+def drawn_one_by_one(table, text, dropout, seed, key):
+    """Each occurrence merged on its own, every candidate drawn when the agenda gives it."""
+    mix, mask, step = merge_dropout._mix, 2**64 - 1, 0x9E3779B97F4A7C15
+    ids = b""
+    for place, unit in enumerate(table.units(text)):
+        salt = mix((mix(seed) ^ mix(key + 1)) + place & mask)
+        ids += table.merge(unit, lambda n, salt=salt: mix(salt + (n + 1) * step & mask) < int(dropout * 2**64))[0]
+    return np.frombuffer(ids, "<i4").tolist()
+
+
+def test_every_occurrence_is_drawn_anew(awkward, monkeypatch):
+    monkeypatch.setattr(merge_dropout, "RUN_CHARS", 100)
+    monkeypatch.setattr(merge_dropout, "RUN_UNITS", 7)
+    table = merge_dropout.Pieces(merge_dropout.PIECE_BPE)
+    texts = [t for _, t in awkward if t and len(t) < 10_000] + ["international " * 200, "中文字" * 200, "line\n" * 100]
+    for dropout in (0.1, 0.6):
+        for text in texts:
+            assert table.encode(text, dropout, 3, 5) == drawn_one_by_one(table, text, dropout, 3, 5)
+    plain = table.encode("international")
+    ways = {tuple(table.encode("international", 0.3, 1, key)) for key in range(2000)}
+    assert len(ways) > 16 and tuple(plain) in ways
+
+
+def test_short_and_long_words_merge_alike(monkeypatch):
+    table = merge_dropout.Pieces(merge_dropout.PIECE_BPE)
+    draw = random.Random(8)
+    for _ in range(500):
+        word = "▁" + "".join(draw.choices("aeinorst", k=draw.randint(0, 30)))
+        skips = {n for n in range(60) if draw.random() < 0.2}
+        short = table.merge(word, skips.__contains__)
+        monkeypatch.setattr(merge_dropout, "LONG_WORD", 0)
+        assert table.merge(word, skips.__contains__) == short
+        monkeypatch.undo()
+
+
+def test_a_word_of_one_merge_is_varied_at_the_rate_of_dropout():
+    table = merge_dropout.Pieces(merge_dropout.PIECE_BPE)
+    words = [a + b for a in "abcdefgh" for b in "aeiou" if table.merge(a + b, ().__contains__)[1] == 1]
+    assert len(words) > 10
+    for word in words[:10]:
+        ids = table._drawn([word] * 5000, np.arange(5000, dtype=np.uint64) * np.uint64(2**40 + 7), int(0.1 * 2**64))
+        assert 350 < sum(len(i) > 4 for i in ids) < 650
+
+
+def test_dropout_query_reads_documents(spark, documents, awkward, tmp_path):
+    from strata.llm.queries import llm
+
+    documents(awkward).write.parquet(str(tmp_path / "documents.parquet"))
+    rows = llm.queries["op9_merge_dropout"](spark, str(tmp_path)).collect()
+    assert sorted(repr(r.doc_id) for r in rows) == sorted(repr(i) for i, _ in awkward) and all(r.lossless for r in rows)
