@@ -106,13 +106,20 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @llm.query("op9_merge_dropout")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "conversations")
-    pieces = merge_dropout.decode(merge_dropout.encode(rows, ["conv_id", "turn"], dropout=0.1, seed=1))
+    return _merge_dropout(table(spark, sf_dir, "documents").select("doc_id", "text"), ["doc_id"])
+
+
+@llm.query("op9_merge_dropout_turns")
+def op9_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _merge_dropout(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"), ["conv_id", "turn"], ["role"])
+
+
+def _merge_dropout(rows: DataFrame, keys: list[str], others: list[str] | None = None) -> DataFrame:
+    pieces = merge_dropout.decode(merge_dropout.encode(rows, keys, dropout=0.1, seed=1))
     summed = merge_dropout.ids_crc32(pieces)
     return summed.select(
-        "conv_id",
-        "turn",
-        "role",
+        *keys,
+        *(others or []),
         F.size("piece_ids").cast("long").alias("n_pieces"),
         "ids_crc32",
         F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"),
