@@ -1,10 +1,11 @@
 """Winnowed document fingerprints, with DataFrame functions only.
 
-A text's fields (what spaces separate) are hashed; a k-gram's hash is the polynomial over its fields' hashes modulo a
-prime. Of every ``window`` k-grams in a row the one with the smallest hash is chosen, the rightmost of equals, and its
-position is kept: texts that share window + k - 1 fields in a row share a chosen hash.
+``rolled`` hashes the k-grams of characters (code points) from every place of the whole text on; ``chosen`` those of fields
+(what spaces separate), by a polynomial over the fields' hashes modulo a prime. Of every ``window`` k-grams in a row the one
+with the smallest hash is chosen, the rightmost of equals, and its position is kept: texts that share window + k - 1
+characters (or fields) in a row share a chosen hash.
 
-Defined cases: a null text is empty, and empty text is one empty field; a text with fewer than k fields is one k-gram;
+Defined cases: a null text is empty, and empty text is one empty field or character; a text with fewer than k is one k-gram;
 rows with equal doc_id and text count as one document when the next document is looked up; a null doc_id comes last in
 descending order; an empty table gives no rows. Columns other than doc_id and text are ignored.
 """
@@ -51,6 +52,43 @@ def chosen(text: Column, k: int = 3, window: int = 4) -> Column:
     return F.array_distinct(full)
 
 
+def rolled(text: Column, k: int = 16, window: int = 32) -> Column:
+    """As ``chosen``, over k-grams of characters. ``k`` and ``window`` are powers of two, ``k`` at least 2.
+
+    Four (or two) neighbouring hashes make the hash of a string four times (twice) as long, from every place on; minima
+    widen the same way. A null beyond the end counts for neither.
+    """
+    if window & (window - 1) or k & (k - 1) or k < 2:
+        raise ValueError("k and window must be powers of two, k at least 2")
+
+    def ahead(v: Column, x: Column, i: Column, step: int, times: int) -> list[Column]:
+        return [x, *[F.get(v, i + j * step) for j in range(1, times)]]
+
+    def longer(step: int, times: int, last: bool):
+        def value(v: Column):
+            def one(x: Column, i: Column) -> Column:
+                h = F.xxhash64(*ahead(v, x, i, step, times))
+                return F.pmod(h, F.lit(PRIME)) * 2**31 + (LAST - i) if last else h
+
+            return F.transform(v, one)
+
+        return value
+
+    def least(step: int, times: int):
+        return lambda v: F.transform(v, lambda x, i: F.least(*ahead(v, x, i, step, times)))
+
+    value, step = F.split(text, ""), 1
+    while step < k:
+        times = 4 if step * 4 <= k else 2
+        value, step = bound(value, longer(step, times, step * times == k)), step * times
+    value = bound(value, lambda v: F.slice(v, F.lit(1), F.greatest(F.size(v) - (k - 1), F.lit(1))))
+    step = 1
+    while step < window:
+        times = 4 if step * 4 <= window else 2
+        value, step = bound(value, least(step, times)), step * times
+    return F.array_distinct(bound(value, lambda m: F.slice(m, F.lit(1), F.greatest(F.size(m) - (window - 1), F.lit(1)))))
+
+
 def hashes(marks: Column) -> Column:
     return F.array_distinct(F.transform(marks, lambda x: F.shiftright(x, 31).cast("int")))
 
@@ -90,7 +128,7 @@ def next_documents(ids: DataFrame) -> DataFrame:
     )
 
 
-def edited_fingerprints(docs: DataFrame, k: int = 3, window: int = 4) -> DataFrame:
+def edited_fingerprints(docs: DataFrame, k: int = 16, window: int = 32) -> DataFrame:
     """Fingerprint of each text, and of its edit: the last third replaced by the start of the next document.
 
     Returns doc_id, text, n_chars, edited_text, the marks of both, and how like the document's hashes are to those of the
@@ -117,7 +155,7 @@ def edited_fingerprints(docs: DataFrame, k: int = 3, window: int = 4) -> DataFra
             F.col("for_tie").alias("tie"),
             "n_chars",
             F.expr("substring(text, 1, cast(n_chars div 3 as int))").alias("head"),
-            hashes(chosen(F.col("text"), k, window)).alias("next_hashes"),
+            hashes(rolled(F.col("text"), k, window)).alias("next_hashes"),
         )
         .dropDuplicates(["key", "tie"])
     )
@@ -125,7 +163,7 @@ def edited_fingerprints(docs: DataFrame, k: int = 3, window: int = 4) -> DataFra
         "edited_text", F.concat(F.expr("substring(text, 1, cast(n_chars - n_chars div 3 as int))"), "head")
     )
     both = edited.select(
-        "doc_id", "text", "n_chars", "edited_text", chosen(F.col("text"), k, window).alias("marks"), chosen(F.col("edited_text"), k, window).alias("edited_marks"), "next_hashes"
+        "doc_id", "text", "n_chars", "edited_text", rolled(F.col("text"), k, window).alias("marks"), rolled(F.col("edited_text"), k, window).alias("edited_marks"), "next_hashes"
     )
     own = hashes(F.col("marks"))
     return both.select(

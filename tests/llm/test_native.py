@@ -105,3 +105,35 @@ def test_edits_follow_the_order_of_documents(documents, awkward):
     assert fingerprints.edited_fingerprints(documents([])).count() == 0
     alone = fingerprints.edited_fingerprints(documents([(1, "a b c d e f")])).first()
     assert alone.edited_text == "a b c d " + "a b" and alone.near_next == 1.0
+
+
+ROLLED = ["", "a", "short", "exactly sixteen!", "中文字" * 40, "a\nb\tc\U0001f600é" * 20, "x" * 90, "".join(chr(97 + i * i % 23) for i in range(300))]
+
+
+@pytest.mark.parametrize(("k", "window"), [(16, 32), (8, 4), (2, 1)])
+def test_rolled_grams_by_the_definition(spark, k, window):
+    """Grams are told by their place; equal grams have equal hashes, and the smallest hash of each window is chosen."""
+    rows = spark.createDataFrame([(t,) for t in ROLLED], "t string")
+    every = {r.t: r.m for r in rows.select("t", fingerprints.rolled(F.col("t"), k, 1).alias("m")).collect()}
+    found = {r.t: r.m for r in rows.select("t", fingerprints.rolled(F.col("t"), k, window).alias("m")).collect()}
+    of_gram = {}
+    for text in ROLLED:
+        grams = [m >> 31 for m in every[text]]
+        assert len(grams) == max(1, len(text) - k + 1)
+        assert [fingerprints.LAST - m % 2**31 for m in every[text]] == list(range(len(grams)))
+        for i, h in enumerate(grams):
+            assert of_gram.setdefault(text[i : i + k], h) == h
+        chosen = []
+        for i in range(max(1, len(grams) - window + 1)):
+            least = min(grams[i : i + window])
+            place = max(j for j in range(i, min(i + window, len(grams))) if grams[j] == least)
+            if (place, least) not in chosen:
+                chosen.append((place, least))
+        assert [(fingerprints.LAST - m % 2**31, m >> 31) for m in found[text]] == chosen
+    assert len(set(of_gram.values())) == len(of_gram)
+
+
+def test_texts_without_spaces_stay_like_their_edits(documents):
+    long = "".join(chr(0x4E00 + i * i % 2003) for i in range(900))
+    rows = fingerprints.edited_fingerprints(documents([(1, long), (2, "\n".join(f"line{i}" for i in range(200)))])).collect()
+    assert all(0.4 < r.near_edited < 1 and r.near_next == 0 for r in rows)
