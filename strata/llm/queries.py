@@ -8,14 +8,17 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from strata.catalogue.common import Catalogue
 from strata.llm import (
+    divergence,
     fingerprints,
     jaccard_join,
     merge_dropout,
     metric_search,
     packing,
     quality,
+    ranked_search,
     repeats,
     sharding,
+    signature_join,
     token_files,
     url_filter,
 )
@@ -133,6 +136,121 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@llm.query(
+    "op11_ranked_search",
+    r"""
+    WITH words AS (
+        SELECT row, doc_id, unnest(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM (
+            SELECT row_number() OVER () AS row, doc_id,
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents)
+    ), asked AS (
+        SELECT item_id, term, count(*) AS times FROM (
+            SELECT item_id, unnest(regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark)
+        GROUP BY item_id, term
+    ), lengths AS (
+        SELECT row, doc_id, count(*) AS n FROM words GROUP BY row, doc_id
+    ), sums AS (
+        SELECT count(*) AS docs, sum(n)::BIGINT AS total FROM lengths
+    ), postings AS (
+        SELECT row, term, count(*) AS tf FROM words WHERE term IN (SELECT term FROM asked) GROUP BY row, term
+    ), weights AS (
+        SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+        FROM postings, sums GROUP BY term, docs
+    ), scores AS (
+        SELECT a.item_id, l.doc_id, p.row,
+            sum(a.times * w * (1000000000 * tf // (1000 * tf + 12 * (75 + 25 * l.n * docs // total))))::BIGINT AS score
+        FROM asked a JOIN postings p ON a.term = p.term JOIN weights v ON v.term = p.term JOIN lengths l ON l.row = p.row, sums
+        GROUP BY a.item_id, l.doc_id, p.row
+    ), ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank FROM scores WHERE score > 0
+    )
+    SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
+    """,
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.top_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@llm.query(
+    "op12_source_divergence",
+    r"""
+    WITH d AS (
+        SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+        FROM documents
+    ), words AS (
+        SELECT row, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d
+    ), kept AS (
+        SELECT lang, term, count(*) AS n FROM words GROUP BY lang, term HAVING count(DISTINCT row) >= 30
+    ), groups AS (
+        SELECT DISTINCT lang, source FROM d
+    ), counts AS (
+        SELECT lang, source, term, count(*) AS n FROM words GROUP BY lang, source, term
+    ), cells AS (
+        SELECT g.lang, g.source, k.term, coalesce(c.n, 0)::HUGEINT AS n, k.n::HUGEINT AS lang_n,
+            sum(coalesce(c.n, 0)) OVER (PARTITION BY g.lang, g.source)::HUGEINT AS total,
+            sum(k.n) OVER (PARTITION BY g.lang, g.source)::HUGEINT AS lang_total,
+            count(*) OVER (PARTITION BY g.lang, g.source)::HUGEINT AS v
+        FROM groups g JOIN kept k ON g.lang = k.lang
+        LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+    ), shares AS (
+        SELECT lang, source, term, n, 1 + 1000000000 * (n + 5) // (total + 5 * v) AS p,
+            1 + 1000000000 * (lang_n + 5) // (lang_total + 5 * v) AS q
+        FROM cells
+    ), distances AS (
+        SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+        FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+        GROUP BY a.lang, a.source, b.source
+    ), found AS (
+        SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(x.value, 0)::BIGINT AS value
+        FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+        LEFT JOIN distances x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+        UNION ALL
+        SELECT lang, source, 'term', term, (p - q)::BIGINT FROM shares WHERE n > 0 AND p > q
+    ), ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM found
+    )
+    SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 50
+    """,
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergences(table(spark, sf_dir, "documents"))
+
+
+@llm.query(
+    "op13_signature_join",
+    r"""
+    WITH RECURSIVE words AS (
+        SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+        FROM documents
+    ), shingles AS (
+        SELECT DISTINCT row, doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+            ELSE list_transform(range(1, len(w) - 1), lambda i: concat(w[i], ' ', w[i + 1], ' ', w[i + 2])) END) AS shingle
+        FROM words
+    ), sizes AS (
+        SELECT row, count(*) AS n FROM shingles GROUP BY row
+    ), shared AS (
+        SELECT a.row AS a, b.row AS b, count(*) AS m FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.row < b.row GROUP BY a.row, b.row
+    ), links AS (
+        SELECT a, b FROM shared JOIN sizes x ON x.row = a JOIN sizes y ON y.row = b WHERE 100 * m >= 85 * (x.n + y.n - m)
+    ), edges AS (
+        SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+    ), reached AS (
+        SELECT row AS a, row AS b FROM words UNION SELECT r.a, e.b FROM reached r JOIN edges e ON r.b = e.a
+    ), components AS (
+        SELECT r.a AS row, min(w.doc_id) AS component_id FROM reached r JOIN words w ON w.row = r.b GROUP BY r.a
+    )
+    SELECT w.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, c.component_id, w.doc_id = c.component_id AS kept
+    FROM words w JOIN components c ON c.row = w.row LEFT JOIN sizes s ON s.row = w.row
+    """,
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return signature_join.near_duplicates(table(spark, sf_dir, "documents"), k=3, num=85, den=100)
+
+
 @llm.query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
