@@ -28,7 +28,7 @@ LEAST_DOCS = 30
 TOP_TERMS = 50
 NO_TERM = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 SCALE = 10**9
-SHARD_TERMS, SHARD_SOURCES = 4096, 128
+SHARD_TERMS, SHARD_SOURCES = 1024, 128
 SLICE_BYTES = 2**24
 
 _PARTIAL = "lang string, source string, term string, n long, docs long"
