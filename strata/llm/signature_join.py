@@ -7,10 +7,11 @@ coordinate and value. Coordinates that a node shares with no other go, and with
 Of the others only the rarest are posted, so many that two nodes with ``matches`` agreements meet in one (the prefix).
 
 * In each list the node with the fewest shingles and one chosen by hash are compared with all others; links join nodes to
-  components, in two rounds.
-* What remains are lists of several components. Nodes outside the component of the list's first node meet all nodes of the
-  list, in blocks of ``BLOCK``; agreements are counted coordinate by coordinate, the prefix first, and a candidate that can
-  no longer reach ``matches`` is skipped. A pair is left to its first meeting.
+  components. In a second turn they are compared with the nodes of other components.
+* What remains are lists of several components, of lists with the same nodes one. Nodes outside the component of the list's
+  first node meet all nodes of the list, in blocks of ``BLOCK``. Agreements are counted coordinate by coordinate, the prefix
+  first, and a candidate that can no longer reach ``matches`` is skipped. A pair is left to its first meeting. The overlap of
+  those that reach it is bounded from above on sets shortened to 24 bits a shingle.
 
 Every pair is confirmed on the full sets; copies are never expanded into pairs, and no list goes to one task.
 
@@ -33,13 +34,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import byte_buffer, slices, tasks_need_package, written
-from strata.llm.jaccard_join import shingle_sets, verified
+from strata.llm.jaccard_join import needed, shingle_sets, verified
 from strata.llm.links import components
 
 COORDINATES = 64
 MISS = 1e-9
-BLOCK = 4096
+BLOCK = 2048
 CHUNK = 8
+TURNS = 2
 SLICE_BYTES = 2**22
 
 _ODD = np.random.default_rng(20).integers(0, 2**63, (2, COORDINATES), np.uint64) * np.uint64(2) + np.uint64(1)
@@ -67,6 +69,22 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def stored_set(found: np.ndarray) -> bytes:
+    """Six bytes a shingle: the upper 32 bits of all, then the lower 16."""
+    return (found >> np.uint64(16)).astype("<u4").tobytes() + (found & np.uint64(0xFFFF)).astype("<u2").tobytes()
+
+
+def short_set(stored: bytes) -> bytes:
+    """Three bytes a shingle: its lower 16 bits, then 8 more. Equal shingles stay equal."""
+    n = len(stored) // 6
+    return stored[4 * n :] + np.frombuffer(stored, np.uint8, 4 * n)[::4].tobytes()
+
+
+def _short_values(short: bytes) -> np.ndarray:
+    n = len(short) // 3
+    return np.frombuffer(short, "<u2", n).astype(np.int32) | np.frombuffer(short, np.uint8, n, 2 * n).astype(np.int32) << 16
+
+
 def signed_sets(docs: DataFrame, k: int) -> DataFrame:
     """doc_id, n (size of the set), node (number of the set), signature and shingles; written to the shared folder."""
     tasks_need_package(docs)
@@ -77,7 +95,7 @@ def signed_sets(docs: DataFrame, k: int) -> DataFrame:
             for lo, hi in slices(starts, SLICE_BYTES):
                 sets = shingle_sets(data[starts[lo] : starts[hi]], starts[lo : hi + 1] - starts[lo], k)
                 rows = iter(signatures(sets))
-                stored = [(s >> np.uint64(16)).astype("<u4").tobytes() + (s & np.uint64(0xFFFF)).astype("<u2").tobytes() for s in sets]
+                stored = [stored_set(s) for s in sets]
                 nodes = [int.from_bytes(hashlib.blake2b(s, digest_size=8).digest(), "little", signed=True) for s in stored]
                 columns = [batch.column("doc_id").slice(lo, hi - lo), pa.array([len(s) for s in sets], pa.int64()), pa.array(nodes, pa.int64())]
                 columns += [pa.array([next(rows).tobytes() if len(s) else b"" for s in sets], pa.binary()), pa.array(stored, pa.binary())]
@@ -92,8 +110,7 @@ def _matrix(column) -> np.ndarray:
 
 
 def prefixes(nodes: DataFrame, matches: int) -> DataFrame:
-    """(node, n, key): the rarest shared coordinates of the nodes that can have a partner, and ``mask``, all of them as bits.
-    Written to the shared folder."""
+    """(node, n, key): the rarest shared coordinates of the nodes that can have a partner. Written to the shared folder."""
 
     def posted(batches):
         coordinate = np.arange(COORDINATES, dtype=np.int64) << 32
@@ -104,10 +121,24 @@ def prefixes(nodes: DataFrame, matches: int) -> DataFrame:
 
     postings = nodes.mapInArrow(posted, "node long, n long, key long")
     shared = postings.groupBy("key").agg(F.count("*").alias("df")).where("df > 1")
-    lists = postings.join(shared, "key").groupBy("node", "n").agg(F.collect_list(F.struct("df", "key")).alias("keys"))  # at most COORDINATES
+    lists = postings.join(shared.hint("shuffle_hash"), "key").groupBy("node", "n").agg(F.collect_list(F.struct("df", "key")).alias("keys"))  # at most COORDINATES
     able = lists.where(F.size("keys") >= matches).select("node", "n", F.slice(F.array_sort("keys"), F.lit(1), F.size("keys") - matches + 1)["key"].alias("keys"))
-    mask = F.expr("aggregate(keys, 0L, (bits, key) -> bits | shiftleft(1L, cast(shiftright(key, 32) as int)))")
-    return written(able.select("node", "n", mask.alias("mask"), F.explode("keys").alias("key")), "prefixes")
+    return written(able.select("node", "n", F.explode("keys").alias("key")), "prefixes")
+
+
+def node_bits(nodes: DataFrame) -> np.ndarray:
+    """Which of 2^26 places the nodes hash to: 8 MB at any number of nodes, so every task may have it. It only leaves out."""
+    place = nodes.select(F.pmod(F.col("node"), F.lit(2**26)).alias("place"))
+    words = place.select(F.expr("place div 64").alias("word"), F.expr("shiftleft(1L, cast(place % 64 as int))").alias("bit"))
+    rows = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    out = np.zeros(2**20, np.int64)
+    out[rows.column("word").to_numpy()] = rows.column("bits").to_numpy()
+    return out
+
+
+def in_bits(node: pa.Array, bits: np.ndarray) -> np.ndarray:
+    place = node.to_numpy() & (2**26 - 1)
+    return bits[place >> 6] >> (place & 63) & 1 == 1
 
 
 def agreeing(pairs: DataFrame, nodes: DataFrame, matches: int) -> DataFrame:
@@ -123,7 +154,7 @@ def agreeing(pairs: DataFrame, nodes: DataFrame, matches: int) -> DataFrame:
     return both.mapInArrow(agree, "a long, b long")
 
 
-def star_pairs(posted: DataFrame, turn: int) -> DataFrame:
+def star_pairs(posted: DataFrame, turn: int = 0) -> DataFrame:
     """Pairs of each list's hubs with its nodes of other labels: the node with the fewest shingles, and one by a hash that
     differs by turn."""
     lot = F.xxhash64(F.lit(turn), "node")
@@ -135,12 +166,17 @@ def star_pairs(posted: DataFrame, turn: int) -> DataFrame:
     return met.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct()
 
 
-def labelled(posted: DataFrame, links: DataFrame) -> DataFrame:
-    """``posted`` with the component of each node as its label; only lists of several components stay."""
-    named = posted.drop("label").join(components(links).withColumnRenamed("component", "label"), "node", "left")
-    named = named.withColumn("label", F.coalesce("label", "node"))
-    several = named.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("key")
-    return written(named.join(several, "key"), "labelled")
+def open_lists(posted: DataFrame, links: DataFrame) -> DataFrame:
+    """(key, node, n, label, mask) of the lists that hold several components; of lists with the same nodes one. Label is the
+    node's component, ``mask`` the coordinates of its lists that stay. Written to the shared folder."""
+    named = posted.select("key", "node", "n").join(components(links).withColumnRenamed("component", "label"), "node", "left")
+    named = written(named.select("key", "node", "n", F.coalesce("label", "node").alias("label")), "labelled")
+    sums = [F.sum(F.xxhash64(F.lit(i), "node").cast("decimal(20,0)")).alias(f"h{i}") for i in range(2)]
+    lists = named.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("m"), *sums).where("x <> y")
+    lists = lists.groupBy("m", "h0", "h1").agg(F.min("key").alias("key")).select("key")
+    kept = written(named.join(lists, "key"), "lists")
+    masks = kept.groupBy("node").agg(F.bit_or(F.expr("shiftleft(1L, cast(shiftright(key, 32) as int))")).alias("mask"))
+    return kept.join(masks, "node")
 
 
 def first_meetings(left: dict[str, np.ndarray], right: dict[str, np.ndarray], at: int, matches: int) -> np.ndarray:
@@ -169,30 +205,65 @@ def first_meetings(left: dict[str, np.ndarray], right: dict[str, np.ndarray], at
     return np.concatenate(pairs)
 
 
-def remaining_pairs(posted: DataFrame, nodes: DataFrame, matches: int) -> DataFrame:
-    """Pairs of nodes with different labels that meet in a list and agree in ``matches`` coordinates, each once."""
+def with_room(left: dict[str, list], right: dict[str, list], pairs: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Those of ``pairs`` (in the order of their left places) whose shortened sets leave room for the overlap they need."""
+    kept, inside = [pairs[:0]], np.zeros(2**24, bool)
+    for some in np.split(pairs, np.flatnonzero(np.diff(pairs[:, 0])) + 1) if len(pairs) else []:
+        own = _short_values(left["short"][some[0, 0]])
+        others = [_short_values(right["short"][y]) for y in some[:, 1]]
+        inside[own] = True
+        sizes = np.array([len(o) for o in others])
+        most = np.add.reduceat(inside[np.concatenate(others)].astype(np.int64), np.cumsum(sizes) - sizes)
+        inside[own] = False
+        kept.append(some[most >= needed(len(own), sizes, num, den)])
+    return np.concatenate(kept)
+
+
+def shortened(sets: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, short) of the given nodes. Only their sets are shuffled."""
+    shared = sets.sparkSession.sparkContext.broadcast(node_bits(nodes))
+
+    def shorten(batches):
+        for batch in batches:
+            some = batch.filter(pa.array(in_bits(batch.column("node"), shared.value)))
+            short = pa.array([short_set(x) for x in some.column("shingles").to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([some.column("node"), short], names=["node", "short"])
+
+    return sets.select("node", "shingles").mapInArrow(shorten, "node long, short binary").dropDuplicates(["node"])
+
+
+def remaining_pairs(posted: DataFrame, nodes: DataFrame, sets: DataFrame, matches: int, num: int, den: int) -> DataFrame:
+    """Pairs of nodes with different labels that meet in a list, agree in ``matches`` coordinates and may reach the threshold,
+    each once."""
     parts = posted.groupBy("key", "label").agg(F.count("*").alias("c"), F.min(F.struct("n", "node")).alias("first"))
     lists = parts.groupBy("key").agg(F.sum("c").alias("m"), F.min(F.struct("first", "label", "c")).alias("hub"))
     lists = lists.select("key", "m", F.col("hub.label").alias("hub"), (F.col("m") - F.col("hub.c")).alias("lefts"))
-    met = posted.join(lists, "key").join(nodes.select("node", "signature"), "node").withColumn("is_left", F.col("label") != F.col("hub"))
+    signed = nodes.select("node", "signature").join(shortened(sets, posted.select("node").distinct()), "node")
+    met = posted.join(lists, "key").join(signed, "node").withColumn("is_left", F.col("label") != F.col("hub"))
     met = met.withColumns({"blocks": F.expr(f"(m + {BLOCK} - 1) div {BLOCK}"), "left_blocks": F.expr(f"(lefts + {BLOCK} - 1) div {BLOCK}")})
     place = F.xxhash64("node")
-    others = lambda of: F.explode(F.sequence(F.lit(0).cast("long"), F.col(of) - 1))
-    columns = ["key", "i", "j", "side", "node", "label", "mask", "signature", "is_left"]
-    left = met.where("is_left").withColumns({"side": F.lit(0), "i": F.pmod(place, F.col("left_blocks")), "j": others("blocks")}).select(*columns)
-    right = met.withColumns({"side": F.lit(1), "j": F.pmod(place, F.col("blocks")), "i": others("left_blocks")}).select(*columns)
+    # a node of either side goes to all blocks of the other; a left node is on both sides
+    sides = F.when(F.col("is_left"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(1)))
+    dealt = met.withColumn("side", F.explode(sides))
+    others = F.when(F.col("side") == 0, F.col("blocks")).otherwise(F.col("left_blocks"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), others - 1)))
+    own = F.pmod(place, F.when(F.col("side") == 0, F.col("left_blocks")).otherwise(F.col("blocks")))
+    dealt = dealt.withColumns({"i": F.when(F.col("side") == 0, own).otherwise(F.col("other")), "j": F.when(F.col("side") == 0, F.col("other")).otherwise(own)})
+    dealt = dealt.select("key", "i", "j", "side", "node", "label", "mask", "signature", "short", "is_left")
 
     def join(table: pa.Table) -> pa.Table:
         side = table.column("side").to_numpy()
         both = []
         for s in (0, 1):
             part = table.filter(pa.array(side == s))
-            both.append({c: part.column(c).to_numpy() for c in ("node", "label", "mask", "is_left")} | {"signature": _matrix(part.column("signature"))})
+            both.append({c: part.column(c).to_numpy() for c in ("node", "label", "mask", "is_left")})
+            both[s] |= {"signature": _matrix(part.column("signature")), "short": part.column("short").to_pylist()}
         found = first_meetings(*both, table.column("key")[0].as_py() >> 32, matches)
+        found = with_room(*both, found, num, den)
         a, b = both[0]["node"][found[:, 0]], both[1]["node"][found[:, 1]]
         return pa.table([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
-    return left.union(right).groupBy("key", "i", "j").applyInArrow(join, "a long, b long")
+    return dealt.groupBy("key", "i", "j").applyInArrow(join, "a long, b long")
 
 
 def node_components(sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -201,12 +272,12 @@ def node_components(sets: DataFrame, num: int, den: int) -> DataFrame:
     nodes = written(sets.where("n > 0").select("node", "n", "signature").dropDuplicates(["node"]), "nodes")
     posted = prefixes(nodes, matches).withColumn("label", F.col("node"))
     links = None
-    for turn in range(2):
+    for turn in range(TURNS):
         pairs = written(agreeing(star_pairs(posted, turn), nodes, matches), "pairs")
-        more = verified(pairs, sets, num, den)
-        links = written(more if links is None else links.union(more), "links")
-        posted = labelled(posted, links)
-    rest = written(remaining_pairs(posted, nodes, matches), "pairs")
+        found = verified(pairs, sets, num, den)
+        links = written(found if links is None else links.union(found), "links")
+        posted = open_lists(posted, links)
+    rest = written(remaining_pairs(posted, nodes, sets, matches, num, den), "pairs")
     return components(links.union(verified(rest, sets, num, den)))
 
 

@@ -25,7 +25,6 @@ def test_links_that_no_hub_has(spark, documents, monkeypatch):
     """Without star rounds every link comes from the lists' blocks."""
     monkeypatch.setattr(signature_join, "star_pairs", lambda posted, turn: spark.createDataFrame([], "a long, b long"))
     monkeypatch.setattr(signature_join, "BLOCK", 5)
-    monkeypatch.setattr(signature_join, "labelled", lambda posted, links: posted)
     rows = near_rows(11)
     found = [tuple(r) for r in signature_join.near_duplicates(documents(rows), 3, 85, 100).collect()]
     assert sorted(found, key=repr) == kept(rows, 3, 85, 100)
@@ -49,6 +48,19 @@ def test_a_pair_is_left_to_its_first_meeting():
     assert sorted(met) == want
 
 
+def test_room_is_never_too_small():
+    draw = np.random.default_rng(4)
+    base = np.unique(draw.integers(0, 2**48, 900, np.uint64))
+    sets = [np.unique(np.concatenate([base[: draw.integers(700, 900)], draw.integers(0, 2**48, draw.integers(0, 200), np.uint64)])) for _ in range(20)]
+    side = {"short": [signature_join.short_set(signature_join.stored_set(s)) for s in sets]}
+    pairs = np.array([(x, y) for x in range(20) for y in range(x + 1, 20)])
+    kept = {tuple(p) for p in signature_join.with_room(side, side, pairs, 85, 100).tolist()}
+    for x, y in pairs.tolist():
+        overlap = len(np.intersect1d(sets[x], sets[y]))
+        assert ((x, y) in kept) >= (100 * overlap >= 85 * (len(sets[x]) + len(sets[y]) - overlap))
+    assert 0 < len(kept) < len(pairs)
+
+
 def test_matches_miss_next_to_nothing():
     assert signature_join.matches_for(85, 100) == 34
     assert signature_join.matches_for(100, 100) == signature_join.COORDINATES
