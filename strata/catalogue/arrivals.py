@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.catalogue.common import Catalogue, moment, scratch, table
-from strata.operators.snapshots import open_table
+from strata.operators.trusted import TrustedTable
 from strata.plans.config import locations
 from strata.plans.table_run import run_table
 from strata.sources.folders import source_files
@@ -49,7 +49,7 @@ def file_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows.where(F.col("eventId") % 2 == parity).write.mode("append").option("header", True).csv(f"{base}/staging/EVENTS")
         ingest_arrivals(spark, settings, base, f"{base}/checkpoint", COLUMNS, available_now=True).awaitTermination()
     ingest_arrivals(spark, settings, base, f"{base}/checkpoint", COLUMNS, available_now=True).awaitTermination()
-    trusted = open_table(spark, locations(settings, "", base)["raw_trusted"]).read()
+    trusted = TrustedTable(spark, locations(settings, "", base)["raw_trusted"]).read()
     return trusted.select("event_id", moment("at").alias("at"), "event_type", "value")
 
 
@@ -66,5 +66,5 @@ def batch_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows.where(F.col("eventId") % 2 == parity).write.mode("append").option("header", True).csv(f"{base}/staging/EVENTS")
         run_table(spark, settings, base, archive=f"{base}/archive")
     left = source_files(spark, f"{base}/staging/EVENTS")
-    trusted = open_table(spark, locations(settings, "", base)["raw_trusted"]).read()
+    trusted = TrustedTable(spark, locations(settings, "", base)["raw_trusted"]).read()
     return trusted.select("event_id", "event_type", "value", F.lit(not left).alias("nothing_left"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from strata.catalogue.common import Catalogue, moment, scratch, table
 from strata.functions import pii
-from strata.operators.snapshots import SnapshotTable
+from strata.operators.trusted import TrustedTable
 from strata.plans import column_specs, config
 from strata.plans.jobs import register_configs
 
@@ -187,7 +187,7 @@ def control_table_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A good config per part, registered; half of them changed and registered again."""
     part = table(spark, sf_dir, "part")
     named = [F.concat(F.lit("job "), "p_brand").alias("job_name"), F.concat(F.lit("t"), F.col("p_partkey").cast("string")).alias("table_name")]
-    control = SnapshotTable(spark, scratch(spark, "control"))
+    control = TrustedTable(spark, scratch(spark, "control"))
     register_configs(part.select(*named, F.lit(_GOOD).alias("config")), control, "2024-01-01 00:00:00")
     changed = part.where("p_size > 25").select(*named, F.lit(_GOOD.replace('"US"', '"M2"')).alias("config"))
     register_configs(changed, control, "2024-01-02 00:00:00")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.catalogue.common import Catalogue, scratch, table
-from strata.operators.snapshots import open_table
+from strata.operators.trusted import TrustedTable
 from strata.plans.config import locations
 from strata.plans.table_run import run_table
 
@@ -86,7 +86,7 @@ def deliver(spark: SparkSession, sf_dir: str, base: str) -> dict:
 
 def ingest(spark: SparkSession, settings: dict, base: str) -> DataFrame:
     run_table(spark, settings, base)
-    return open_table(spark, locations(settings, "", base)["raw_trusted"]).read()
+    return TrustedTable(spark, locations(settings, "", base)["raw_trusted"]).read()
 
 
 @flagship.query(

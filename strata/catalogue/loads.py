@@ -1,16 +1,19 @@
-"""Loads into versioned tables. Every query loads orders twice and reads the result back."""
+"""Loads into trusted and into versioned tables. Every query loads orders twice and reads the result back."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata import fixed
 from strata.catalogue.common import Catalogue, moment, scratch, table
 from strata.functions.hashing import with_row_hash
-from strata.operators.loads import load, upsert_all
+from strata.operators.loads import load
 from strata.operators.schema import evolve_catalog_table
 from strata.operators.snapshots import SnapshotTable, ensure_namespace, open_table
+from strata.operators.trusted import TrustedTable
 from strata.sources.readers import reader_for
 
 loads = Catalogue()
@@ -37,11 +40,19 @@ def _delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changed.unionByName(new)
 
 
-def _twice(spark: SparkSession, sf_dir: str, kind: str, **options) -> SnapshotTable:
+def _twice(spark: SparkSession, sf_dir: str, kind: str, versioned: bool = False, **options) -> str:
     target = scratch(spark, kind)
-    load(spark, _base(spark, sf_dir), target, kind, ["o_orderkey"], now=T1)
-    load(spark, _delta(spark, sf_dir), target, kind, ["o_orderkey"], now=T2, **options)
-    return open_table(spark, target)
+    load(spark, _base(spark, sf_dir), target, kind, ["o_orderkey"], versioned=versioned, now=T1)
+    load(spark, _delta(spark, sf_dir), target, kind, ["o_orderkey"], versioned=versioned, now=T2, **options)
+    return target
+
+
+def _twice_trusted(spark: SparkSession, sf_dir: str, kind: str, **options) -> DataFrame:
+    return TrustedTable(spark, _twice(spark, sf_dir, kind, **options)).read()
+
+
+def _twice_versioned(spark: SparkSession, sf_dir: str, kind: str) -> SnapshotTable:
+    return open_table(spark, _twice(spark, sf_dir, kind, versioned=True))
 
 
 @loads.query(
@@ -55,12 +66,12 @@ def load_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     load(spark, _base(spark, sf_dir), target, now=T1)
     delta = _delta(spark, sf_dir).select("o_orderstatus", F.lit("web").alias("channel"), "o_custkey", "o_orderkey")
     load(spark, delta, target, "Append ", hash_exclude=["channel"], now=T2)
-    return open_table(spark, target).read()
+    return TrustedTable(spark, target).read()
 
 
 @loads.query("load_overwrite", _DELTA_SQL)
 def load_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _twice(spark, sf_dir, "overwrite").read().select(*COLUMNS)
+    return _twice_trusted(spark, sf_dir, "overwrite").select(*COLUMNS)
 
 
 _SCD1_SQL = f"{_BASE_SQL} WHERE NOT ({_CHANGED}) UNION ALL {_DELTA_SQL}"
@@ -68,19 +79,19 @@ _SCD1_SQL = f"{_BASE_SQL} WHERE NOT ({_CHANGED}) UNION ALL {_DELTA_SQL}"
 
 @loads.query("load_scd1", _SCD1_SQL)
 def load_scd1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _twice(spark, sf_dir, "scd1").read().select(*COLUMNS)
+    return _twice_trusted(spark, sf_dir, "scd1").select(*COLUMNS)
 
 
 @loads.query("upsert_all", _SCD1_SQL)
 def upsert_whole_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    target = open_table(spark, scratch(spark, "upsert"))
-    upsert_all(target, _base(spark, sf_dir), ["o_orderkey"], now=T1)
-    upsert_all(target, _delta(spark, sf_dir), ["o_orderkey"], now=T2)
+    target = TrustedTable(spark, scratch(spark, "upsert"))
+    target.upsert_all(_base(spark, sf_dir), ["o_orderkey"], now=T1)
+    target.upsert_all(_delta(spark, sf_dir), ["o_orderkey"], now=T2)
     return target.read()
 
 
-def _history(target: SnapshotTable) -> DataFrame:
-    return target.read().select(
+def _history(rows: DataFrame) -> DataFrame:
+    return rows.select(
         *COLUMNS, moment(fixed.VALID_FROM).alias("valid_from"), moment(fixed.VALID_TO).alias("valid_to"), F.col(fixed.IS_CURRENT).alias("is_current")
     )
 
@@ -93,7 +104,7 @@ def _history(target: SnapshotTable) -> DataFrame:
 )
 def load_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Changed rows get a new version, equal rows keep theirs, new keys are added."""
-    return _history(_twice(spark, sf_dir, "scd2"))
+    return _history(_twice_trusted(spark, sf_dir, "scd2"))
 
 
 @loads.query(
@@ -103,7 +114,7 @@ def load_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def load_scd2_expire_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every matched version ends, changed or not; new versions would come with the next load."""
-    return _history(_twice(spark, sf_dir, "scd_type2", expire_only=True))
+    return _history(_twice_trusted(spark, sf_dir, "scd_type2", expire_only=True))
 
 
 @loads.query(
@@ -114,7 +125,7 @@ def load_scd2_expire_only(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def load_scd2_full_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The second delivery is the whole truth: keys it lacks end."""
-    return _history(_twice(spark, sf_dir, "scd2", expire_missing=True))
+    return _history(_twice_trusted(spark, sf_dir, "scd2", expire_missing=True))
 
 
 @loads.query(
@@ -126,7 +137,7 @@ def scd2_current_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = scratch(spark, "scd2-thrice")
     for rows, now in ((_base(spark, sf_dir), T1), (_delta(spark, sf_dir), T2), (_delta(spark, sf_dir), T3)):
         load(spark, rows, target, "scd2", ["o_orderkey"], now=now)
-    current = open_table(spark, target).read().where(F.col(fixed.IS_CURRENT))
+    current = TrustedTable(spark, target).read().where(F.col(fixed.IS_CURRENT))
     return current.groupBy("o_orderkey").agg(F.count("*").alias("current_versions"))
 
 
@@ -137,7 +148,42 @@ def batch_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     load(spark, _base(spark, sf_dir), target, batch_id="1", now=T1)
     load(spark, _base(spark, sf_dir), target, batch_id="2", now=T2)
     load(spark, _delta(spark, sf_dir), target, batch_id="2", now=T3)
-    return open_table(spark, target).read().select(*COLUMNS)
+    return TrustedTable(spark, target).read().select(*COLUMNS)
+
+
+@loads.query(
+    "trusted_by_name",
+    f"""SELECT *, 3 AS loads, 'keyed' AS layout, true AS one_bucket FROM ({_SCD1_SQL})""",
+)
+def trusted_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A merge into a table of the catalog, read by its name; then one order alone, which rewrites one bucket."""
+    name = f"spark_catalog.strata_lake.orders_{uuid.uuid4().hex[:12]}"
+    load(spark, _base(spark, sf_dir), name, "scd1", ["o_orderkey"], buckets=16, now=T1)
+    load(spark, _delta(spark, sf_dir), name, "scd1", ["o_orderkey"], now=T2)
+    files = F.col("_metadata.file_path").alias("file")
+    before = {r.file for r in spark.table(name).select(files).distinct().collect()}
+    load(spark, _delta(spark, sf_dir).orderBy("o_orderkey").limit(1), name, "scd1", ["o_orderkey"], now=T3)
+    after = spark.table(name)
+    changed = after.select(files, "load_bucket").where(~files.isin(before)).agg(F.count_distinct("load_bucket")).first()[0]
+    told = TrustedTable(spark, name).definition()
+    return after.select(*COLUMNS, F.lit(told.loads + 1).alias("loads"), F.lit(told.layout).alias("layout"), F.lit(changed == 1).alias("one_bucket"))
+
+
+@loads.query(
+    "scd2_null_to_text",
+    """SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN NULL ELSE 'a|b' END AS note, CASE WHEN o_orderkey % 2 = 0 THEN 'x' ELSE 'c' END AS more,
+              false AS is_current FROM orders
+       UNION ALL SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN 'NULL' ELSE 'a' END, CASE WHEN o_orderkey % 2 = 0 THEN 'x' ELSE 'b|c' END, true FROM orders""",
+)
+def scd2_null_to_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes that row hashes do not see: null becomes the text NULL, text moves across a '|'. The last load repeats the second."""
+    target, even = scratch(spark, "scd2-values"), F.col("o_orderkey") % 2 == 0
+    orders = table(spark, sf_dir, "orders").select("o_orderkey")
+    first = orders.withColumns({"note": F.when(~even, F.lit("a|b")), "more": F.when(even, F.lit("x")).otherwise(F.lit("c"))})
+    second = orders.withColumns({"note": F.when(even, F.lit("NULL")).otherwise(F.lit("a")), "more": F.when(even, F.lit("x")).otherwise(F.lit("b|c"))})
+    for rows, now in ((first, T1), (second, T2), (second, T3)):
+        load(spark, rows, target, "scd2", ["o_orderkey"], now=now)
+    return TrustedTable(spark, target).read().select("o_orderkey", "note", "more", F.col(fixed.IS_CURRENT).alias("is_current"))
 
 
 @loads.query(
@@ -154,7 +200,7 @@ def schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     load(spark, first, target, evolve=True, now=T1)
     load(spark, second, target, evolve=True, now=T2)
-    rows = open_table(spark, target).read()
+    rows = TrustedTable(spark, target).read()
     return rows.select("o_orderkey", "channel", "amount", (F.col("o_orderkey") < 0).alias("second"))
 
 
@@ -177,7 +223,7 @@ def catalog_table_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
 @loads.query("snapshot_as_of", f"SELECT 1 AS asked, * FROM ({_BASE_SQL}) UNION ALL SELECT 2, * FROM ({_SCD1_SQL})")
 def snapshot_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The table as it was by version, and as it is by a later time."""
-    target = _twice(spark, sf_dir, "scd1")
+    target = _twice_versioned(spark, sf_dir, "scd1")
     read = reader_for("delta")
     first = read(spark, target.path, versionAsOf=0).select(F.lit(1).alias("asked"), *COLUMNS)
     second = read(spark, target.path, timestampAsOf="2024-01-02 18:00:00").select(F.lit(2).alias("asked"), *COLUMNS)
@@ -192,7 +238,7 @@ def snapshot_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Changes from the first delivery to the second, which replaced it."""
-    target = _twice(spark, sf_dir, "overwrite")
+    target = _twice_versioned(spark, sf_dir, "overwrite")
     changes = reader_for("delta")(spark, target.path, readChangeFeed=True, keys=["o_orderkey"], startingVersion=0, endingVersion=1)
     return changes.select(*COLUMNS, F.col("_change_type").alias("change"))
 
@@ -201,7 +247,7 @@ def snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     "table_history", "SELECT v AS version, m AS mode, t AS committed_at FROM (VALUES (0, 'scd_type1', '2024-01-01 00:00:00'), (1, 'scd_type1', '2024-01-02 00:00:00')) AS x(v, m, t)"
 )
 def table_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    history = _twice(spark, sf_dir, "scd1").history()
+    history = _twice_versioned(spark, sf_dir, "scd1").history()
     return history.select("version", "mode", moment("committed_at").alias("committed_at"))
 
 
@@ -210,6 +256,6 @@ def hash_of_loaded_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored hash is the one computed from the rows as read back."""
     target = scratch(spark, "hash")
     load(spark, table(spark, sf_dir, "orders"), target, now=T1)
-    stored = open_table(spark, target).read().withColumnRenamed(fixed.HASH_COLUMN, "stored")
+    stored = TrustedTable(spark, target).read().withColumnRenamed(fixed.HASH_COLUMN, "stored")
     again = with_row_hash(stored, exclude=["stored"])
     return again.agg(F.count("*").alias("row_count"), F.bool_and(F.col("stored") == F.col(fixed.HASH_COLUMN)).alias("all_match"))

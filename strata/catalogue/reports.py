@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from strata.catalogue.common import Catalogue, moment, scratch, table
 from strata.functions import naming
 from strata.functions.wording import clipped, column_in_message, failure_digest
-from strata.operators.snapshots import SnapshotTable
+from strata.operators.trusted import TrustedTable
 from strata.plans import reports as r
 from strata.plans.jobs import publish_board
 from strata.plans.run_log import LOG_SCHEMA, read_log, value_of
@@ -193,7 +193,7 @@ def freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def status_board(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The boards of two runs published one after the other: tables the second run left alone keep their row."""
-    board, log = SnapshotTable(spark, scratch(spark, "board")), event_log(spark, sf_dir)
+    board, log = TrustedTable(spark, scratch(spark, "board")), event_log(spark, sf_dir)
     none = spark.createDataFrame([], "job_name string, table_name string, last_table_update_time timestamp")
     for run in ("run-2024-01-29", "run-2024-01-30"):
         rows = r.monitoring_rows(_control(spark, sf_dir), r.table_status(log, run), none, job_id="1", trigger_type="MANUAL", run_url="", now=NOW)

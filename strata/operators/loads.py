@@ -1,4 +1,6 @@
-"""Loads into versioned tables: append, overwrite, SCD type 1, SCD type 2, whole-row upsert.
+"""Loads by config, and loads into versioned tables: append, overwrite, SCD type 1, SCD type 2, whole-row upsert.
+
+A config's loads go to a table of ``strata.operators.trusted`` unless its versions are wanted, to be read back by number or time.
 
 A merge is a few equi joins. The source side of each is its key columns alone, which Spark broadcasts when the written
 source is small, so that a small batch is merged without shuffling the table; beyond that size both sides shuffle.
@@ -19,6 +21,7 @@ from strata.functions.hashing import hashed_columns, value_digest, with_row_hash
 from strata.functions.text import col
 from strata.operators.schema import align_to, check_types, evolved_schema, schema_changes
 from strata.operators.snapshots import LIVE, Commit, SnapshotTable, open_table
+from strata.operators.trusted import TrustedTable, require_unique_keys
 
 
 def load_type_name(load_type: str) -> str:
@@ -33,15 +36,6 @@ def _now() -> datetime:
     return datetime.now(timezone.utc).replace(microsecond=0)
 
 
-def require_unique_keys(df: DataFrame, keys: list[str]) -> None:
-    """Two source rows for one key leave no right answer. Null keys match nothing and are let through."""
-    complete = df.where(reduce(and_, [col(k).isNotNull() for k in keys]))
-    shared = complete.groupBy(*[col(k) for k in keys]).agg(F.count("*").alias("__n")).where(F.col("__n") > 1)
-    count = shared.count()
-    if count:
-        raise ValueError(f"{count} key value(s) of {keys} occur more than once in the source")
-
-
 def _target_schema(commit: Commit | None, df: DataFrame, evolve: bool) -> T.StructType:
     if commit is None:
         return df.schema
@@ -206,14 +200,32 @@ def load(
     batch_id: str | None = None,
     hash_exclude: list[str] = (fixed.LINEAGE_COLUMN,),
     keys_checked: bool = False,
+    buckets: int | None = None,
+    name: str | None = None,
+    versioned: bool = False,
     now=None,
 ) -> int:
-    """Adds ``row_hash`` (by default without lineage, which changes with every file) and loads ``df`` into the table at ``target`` (a path or catalog.schema.table).
-    ``keys_checked`` says that a check has found the keys unique, so that they need not be counted again."""
+    """Adds ``row_hash`` (by default without lineage, which changes with every file) and loads ``df`` into the table at ``target``
+    (a path or catalog.schema.table; ``name`` gives a path a name in the catalog). Returns the number of the load, from 0.
+    ``keys_checked`` says that a check has found the keys unique, so that they need not be counted again. ``buckets`` is how
+    many parts of the table a merge can replace on their own. ``versioned`` keeps every load readable."""
     kind, keys = load_type_name(load_type), list(keys or [])
     if kind.startswith("scd") and not keys:
         raise ValueError("an SCD load needs a primary key")
-    table, hashed = open_table(spark, target), with_row_hash(df, hash_exclude)
+    hashed = with_row_hash(df, hash_exclude)
+    if versioned:
+        return _load_version(open_table(spark, target), hashed, kind, keys, evolve, expire_missing, expire_only, batch_id, hash_exclude, keys_checked, now)
+    table = TrustedTable(spark, target, name)
+    if kind == "append":
+        return table.append(hashed, evolve, batch_id, now)
+    if kind == "overwrite":
+        return table.overwrite(hashed, now)
+    if kind == "scd_type1":
+        return table.upsert(hashed, keys, evolve, buckets, keys_checked, now)
+    return table.scd2(hashed, keys, evolve, expire_only, expire_missing, buckets, keys_checked, now, hash_exclude)
+
+
+def _load_version(table, hashed, kind, keys, evolve, expire_missing, expire_only, batch_id, hash_exclude, keys_checked, now) -> int:
     if kind == "append":
         return append(table, hashed, evolve, batch_id, now)
     if kind == "overwrite":
@@ -221,4 +233,3 @@ def load(
     if kind == "scd_type1":
         return upsert(table, hashed, keys, evolve, keys_checked=keys_checked, now=now)
     return scd2(table, hashed, keys, evolve, expire_only, expire_missing, keys_checked, now, hash_exclude)
-

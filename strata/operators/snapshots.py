@@ -198,7 +198,3 @@ def ensure_namespace(spark: SparkSession, table_name: str) -> None:
 
 def open_table(spark: SparkSession, target: str) -> SnapshotTable:
     return SnapshotTable(spark, location_of(spark, target))
-
-
-def table_exists(spark: SparkSession, target: str) -> bool:
-    return open_table(spark, target).exists()

@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.operators.loads import upsert_all
 from strata.operators.schema import align_to
-from strata.operators.snapshots import SnapshotTable, ensure_namespace
+from strata.operators.snapshots import ensure_namespace
+from strata.operators.trusted import TrustedTable
 from strata.plans import config as cfg
 from strata.plans.table_run import run_table
 from strata.session import scratch_dir, session_like
@@ -35,21 +35,21 @@ def require_valid(configs: DataFrame) -> None:
         raise ValueError(f"{count} broken config(s), all of them in {path}; the first are {told}")
 
 
-def register_configs(configs: DataFrame, control: SnapshotTable, now: str) -> int:
+def register_configs(configs: DataFrame, control: TrustedTable, now: str) -> int:
     """Valid config texts into the control table, one row per job and table; a config seen before is replaced."""
     require_valid(configs)
     rows = cfg.control_rows(configs, now)
-    wanted = control.commit().schema if control.exists() else T.StructType.fromDDL(cfg.CONTROL_SCHEMA)
-    return upsert_all(control, align_to(rows, wanted), ["job_name", "table_name"], now=now)
+    wanted = control.schema() if control.exists() else T.StructType.fromDDL(cfg.CONTROL_SCHEMA)
+    return control.upsert_all(align_to(rows, wanted), ["job_name", "table_name"], now=now)
 
 
-def publish_board(rows: DataFrame, board: SnapshotTable, now: str | None = None) -> int:
+def publish_board(rows: DataFrame, board: TrustedTable, now: str | None = None) -> int:
     """Status rows into the board, one per job and table; rows of tables this run did not touch stay."""
-    return upsert_all(board, rows, ["job_id", "table_name"], now=now)
+    return board.upsert_all(rows, ["job_id", "table_name"], now=now)
 
 
 def run_job(spark: SparkSession, control: DataFrame, job_name: str, base: str, tables: list[str] | None = None, parallel: int = 4, **options) -> dict:
-    """Runs the active tables of a job, some at a time, and returns {table: version or the exception}.
+    """Runs the active tables of a job, some at a time, and returns {table: number of the load or the exception}.
 
     A failing table does not stop the others. Named tables without a control row are reported under ``missing``.
     """

@@ -42,6 +42,7 @@ class RunContext:
     pii_key: str | None = None
     batch_id: str | None = None
     now: str | None = None
+    catalog: str | None = None
 
     @property
     def table(self) -> str:
@@ -184,7 +185,7 @@ def refine(run: RunContext, landed: DataFrame) -> DataFrame:
 
 
 def promote(run: RunContext, raw: DataFrame) -> int:
-    """Raw -> trusted table: checks in one pass, error records when one fails, then the load. Returns the version."""
+    """Raw -> trusted table: checks in one pass, error records when one fails, then the load. Returns the load's number."""
     settings = run.layer("raw_trusted")
     keys = settings.get("primary_key") or []
     results = run_checks(raw, run.config)
@@ -220,11 +221,13 @@ def promote(run: RunContext, raw: DataFrame) -> int:
         expire_missing=bool(settings.get("enable_expiration")),
         batch_id=run.batch_id,
         keys_checked=any(r.name == fixed.KEY_CHECK for r in results) and bool(keys),
+        buckets=settings.get("merge_buckets"),
+        name=run.catalog and f"{run.catalog}.{run.paths['trusted_name']}",
         now=run.now,
     )
     run.log.event(
         "INFO",
-        f"loaded {run.table}, version {version}",
+        f"loaded {run.table}, load {version}",
         function="process_raw_trusted",
         status="success",
         table=run.table,
@@ -300,17 +303,18 @@ def run_table(
     batch_id: str | None = None,
     now: str | None = None,
     archive: str | None = None,
+    catalog: str | None = None,
 ) -> int | None:
     """Runs the enabled layers of one table under ``base`` and logs the outcome.
 
     Layers that are switched off are skipped; a run without Landing starts from the newest completed Landing folder,
     one without Raw from the newest completed Raw folder. ``rows`` stands in for the source (a stream's batch).
-    With ``archive``, source files whose rows were landed are moved below it once the load is committed, so that the
+    With ``catalog``, the trusted table is there under its schema and name. With ``archive``, source files whose rows were landed are moved below it once the load is committed, so that the
     next run does not load them again.
     """
     run_ts = run_ts or datetime.now(timezone.utc).strftime("%Y%m%d_%H%M%S_%f")
     log = RunLog(spark, f"{base.rstrip('/')}/run_log", config.get("job_name") or "", f"{run_ts}-{uuid.uuid4().hex[:8]}", job_run_id)
-    run = RunContext(spark, config, locations(config, run_ts, base), log, pii_key, batch_id, now)
+    run = RunContext(spark, config, locations(config, run_ts, base), log, pii_key, batch_id, now, catalog)
     try:
         version = _run_layers(run, rows)
     except Exception as failure:

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
+from contextlib import contextmanager
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -38,3 +42,59 @@ def latest_run(spark: SparkSession, base: str) -> str:
     if not finished:
         raise FileNotFoundError(f"no completed run under {base}")
     return max(finished)[1]
+
+
+def _system(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file in one go: written beside its place and moved there."""
+    beside, system = _system(spark, f"{path}.{uuid.uuid4().hex[:8]}")
+    out = system.create(beside, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+    place, _ = _system(spark, path)
+    system.delete(place, False)
+    if not system.rename(beside, place):
+        raise OSError(f"{beside.toString()} could not be moved to {path}")
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    place, system = _system(spark, path)
+    if not system.exists(place):
+        return None
+    stream = system.open(place)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    place, system = _system(spark, path)
+    system.delete(place, True)
+
+
+@contextmanager
+def one_writer(spark: SparkSession, folder: str):
+    """Lets one writer at a time into ``folder``; a second one is refused at once. The mark is a file beside the folder, which a
+    writer that was killed leaves behind: ``remove`` it when no writer runs."""
+    parent, leaf = folder.rstrip("/").rsplit("/", 1)
+    mark = f"{parent}/_{leaf}.writer"
+    place, system = _system(spark, mark)
+    try:
+        system.create(place, False).close()
+    except Py4JJavaError as refused:
+        if not system.exists(place):
+            raise
+        raise ConcurrentLoad(f"another load writes {folder}; if none runs, remove {mark}") from refused
+    try:
+        yield
+    finally:
+        system.delete(place, False)
+
+
+class ConcurrentLoad(RuntimeError):
+    """Two loads of one table at once."""

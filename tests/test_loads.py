@@ -3,8 +3,8 @@ from pyspark.sql import functions as F
 
 from strata import fixed
 from strata.operators import loads
-from strata.operators.loads import load
 from strata.operators.snapshots import SnapshotTable, location_of, open_table
+from strata.operators.trusted import TrustedTable
 
 T1, T2, T3 = "2024-01-01 00:00:00", "2024-01-02 00:00:00", "2024-01-03 00:00:00"
 
@@ -19,68 +19,87 @@ def frame(spark):
     return lambda *rows, ddl="k int, v string": spark.createDataFrame(list(rows), ddl)
 
 
+@pytest.fixture(params=[False, True], ids=["trusted", "versioned"])
+def versioned(request):
+    return request.param
+
+
+@pytest.fixture
+def rows(spark, versioned):
+    return lambda target: (open_table if versioned else TrustedTable)(spark, target).read()
+
+
+@pytest.fixture
+def load(versioned):
+    """Loads of both kinds of table give the same rows."""
+    return lambda *given, **named: loads.load(*given, versioned=versioned, **named)
+
+
+def load_version(*given, **named):
+    return loads.load(*given, versioned=True, **named)
+
+
 def values(df, *columns):
     return sorted((tuple(r) for r in df.select(*columns).collect()), key=repr)
 
 
-def test_load_types(spark, frame, target):
+def test_load_types(spark, frame, target, load, rows):
     with pytest.raises(ValueError, match="unsupported"):
         load(spark, frame((1, "a")), target, "merge")
     with pytest.raises(ValueError, match="primary key"):
         load(spark, frame((1, "a")), target, "scd1")
 
 
-def test_append_keeps_the_tables_columns(spark, frame, target):
+def test_append_keeps_the_tables_columns(spark, frame, target, load, rows):
     load(spark, frame((1, "a")), target)
     load(spark, frame(("b", "x", 2), ddl="v string, more string, k int"), target)
-    assert values(open_table(spark, target).read(), "k", "v") == [(1, "a"), (2, "b")]
+    assert values(rows(target), "k", "v") == [(1, "a"), (2, "b")]
     with pytest.raises(ValueError, match="not in the source"):
         load(spark, frame((1,), ddl="k int"), target)
     with pytest.raises(ValueError, match="do not fit"):
         load(spark, frame(("1", "a"), ddl="k string, v string"), target)
 
 
-def test_scd1_twice_is_once(spark, frame, target):
+def test_scd1_twice_is_once(spark, frame, target, load, rows):
     load(spark, frame((1, "a"), (2, "b")), target, "scd1", ["k"])
     for _ in range(2):
         load(spark, frame((2, "c"), (3, "d")), target, "scd1", ["k"])
-    assert values(open_table(spark, target).read(), "k", "v") == [(1, "a"), (2, "c"), (3, "d")]
+    assert values(rows(target), "k", "v") == [(1, "a"), (2, "c"), (3, "d")]
 
 
-def test_null_keys_match_nothing(spark, frame, target):
+def test_null_keys_match_nothing(spark, frame, target, load, rows):
     for _ in range(2):
         load(spark, frame((None, "a")), target, "scd1", ["k"])
-    assert open_table(spark, target).read().count() == 2
+    assert rows(target).count() == 2
 
 
-def test_source_keys_must_be_unique(spark, frame, target):
+def test_source_keys_must_be_unique(spark, frame, target, load, rows):
     with pytest.raises(ValueError, match="more than once"):
         load(spark, frame((1, "a"), (1, "b")), target, "scd2", ["k"])
 
 
-def test_upsert_keeps_columns_the_source_lacks(spark, frame, target):
+def test_upsert_keeps_columns_the_source_lacks(spark, frame, target, load, rows):
     load(spark, frame((1, "a", 10), (2, "b", 20), ddl="k int, v string, n int"), target, "scd1", ["k"])
     load(spark, frame((2, "c"), (3, "d")), target, "scd1", ["k"])
-    assert values(open_table(spark, target).read(), "k", "v", "n") == [(1, "a", 10), (2, "c", 20), (3, "d", None)]
+    assert values(rows(target), "k", "v", "n") == [(1, "a", 10), (2, "c", 20), (3, "d", None)]
 
 
 def test_merge_rewrites_only_folders_with_matching_keys(spark, frame, target):
-    load(spark, frame((1, "a")), target)
-    load(spark, frame((2, "b")), target)
+    load_version(spark, frame((1, "a")), target)
+    load_version(spark, frame((2, "b")), target)
     table = open_table(spark, target)
     before = table.commit().parts
-    load(spark, frame((2, "c")), target, "scd1", ["k"])
+    load_version(spark, frame((2, "c")), target, "scd1", ["k"])
     after = table.commit().parts
     assert before[0] in after and before[1] not in after
     assert values(table.read(), "k", "v") == [(1, "a"), (2, "c")]
 
 
-def test_scd2_history(spark, frame, target):
+def test_scd2_history(spark, frame, target, load, rows):
     load(spark, frame((1, "a"), (2, "b")), target, "scd2", ["k"], now=T1)
     load(spark, frame((1, "a"), (2, "c"), (3, "d")), target, "scd2", ["k"], now=T2)
     load(spark, frame((2, "e")), target, "scd2", ["k"], now=T3)
-    table = open_table(spark, target)
-    shown = table.read().withColumn("f", F.col(fixed.VALID_FROM).cast("string")).withColumn("t", F.col(fixed.VALID_TO).cast("string"))
+    shown = rows(target).withColumn("f", F.col(fixed.VALID_FROM).cast("string")).withColumn("t", F.col(fixed.VALID_TO).cast("string"))
     assert values(shown, "k", "v", "f", "t", fixed.IS_CURRENT) == [
         (1, "a", T1, None, True),
         (2, "b", T1, T2, False),
@@ -88,35 +107,32 @@ def test_scd2_history(spark, frame, target):
         (2, "e", T3, None, True),
         (3, "d", T2, None, True),
     ]
-    # closed versions stay in the folders they were written to
-    closed = {p.folder for p in table.commit(1).parts if p.role == "closed"}
-    assert closed <= {p.folder for p in table.commit(2).parts}
 
 
-def test_scd2_back_to_an_earlier_value(spark, frame, target):
+def test_scd2_back_to_an_earlier_value(spark, frame, target, load, rows):
     for value, now in (("a", T1), ("b", T2), ("a", T3)):
         load(spark, frame((1, value)), target, "scd2", ["k"], now=now)
-    assert values(open_table(spark, target).read(), "v", fixed.IS_CURRENT) == [("a", False), ("a", True), ("b", False)]
+    assert values(rows(target), "v", fixed.IS_CURRENT) == [("a", False), ("a", True), ("b", False)]
 
 
-def test_expire_only_needs_another_load_for_the_new_version(spark, frame, target):
+def test_expire_only_needs_another_load_for_the_new_version(spark, frame, target, load, rows):
     load(spark, frame((1, "a")), target, "scd2", ["k"], now=T1)
     load(spark, frame((1, "b")), target, "scd2", ["k"], expire_only=True, now=T2)
-    assert values(open_table(spark, target).read(), "v", fixed.IS_CURRENT) == [("a", False)]
+    assert values(rows(target), "v", fixed.IS_CURRENT) == [("a", False)]
     load(spark, frame((1, "b")), target, "scd2", ["k"], expire_only=True, now=T3)
-    assert values(open_table(spark, target).read(), "v", fixed.IS_CURRENT) == [("a", False), ("b", True)]
+    assert values(rows(target), "v", fixed.IS_CURRENT) == [("a", False), ("b", True)]
 
 
-def test_lineage_does_not_make_a_new_version(spark, frame, target):
+def test_lineage_does_not_make_a_new_version(spark, frame, target, load, rows):
     ddl = f"k int, v string, {fixed.LINEAGE_COLUMN} string"
     load(spark, frame((1, "a", "f1"), ddl=ddl), target, "scd2", ["k"], now=T1)
     load(spark, frame((1, "a", "f2"), ddl=ddl), target, "scd2", ["k"], now=T2)
-    assert open_table(spark, target).read().count() == 1
+    assert rows(target).count() == 1
 
 
 def test_time_travel(spark, frame, target):
-    load(spark, frame((1, "a")), target, now=T1)
-    load(spark, frame((2, "b")), target, "overwrite", now=T2)
+    load_version(spark, frame((1, "a")), target, now=T1)
+    load_version(spark, frame((2, "b")), target, "overwrite", now=T2)
     table = open_table(spark, target)
     assert values(table.read(version=0), "k") == [(1,)]
     assert values(table.read(as_of="2024-01-01 12:00:00"), "k") == [(1,)]
@@ -128,8 +144,8 @@ def test_time_travel(spark, frame, target):
 
 
 def test_changes_count_repeated_rows(spark, frame, target):
-    load(spark, frame((1, "a"), (1, "a"), (2, "b"), (3, "c")), target)
-    load(spark, frame((1, "a"), (2, "x"), (4, "d"), (4, "d")), target, "overwrite")
+    load_version(spark, frame((1, "a"), (1, "a"), (2, "b"), (3, "c")), target)
+    load_version(spark, frame((1, "a"), (2, "x"), (4, "d"), (4, "d")), target, "overwrite")
     changes = open_table(spark, target).changes(["k"])
     assert values(changes, "k", "v", "_change_type") == [
         (1, "a", "delete"),
@@ -142,7 +158,7 @@ def test_changes_count_repeated_rows(spark, frame, target):
 
 
 def test_failed_load_leaves_the_table_as_it_was(spark, frame, target):
-    load(spark, frame((1, "a")), target)
+    load_version(spark, frame((1, "a")), target)
     table = open_table(spark, target)
     table.write_part(frame((9, "z")))
     assert values(table.read(), "k") == [(1,)]
@@ -156,18 +172,18 @@ def test_upsert_all_wants_equal_columns(spark, frame, target):
         loads.upsert_all(table, frame((1,), ddl="k int"), ["k"])
 
 
-def test_named_targets(spark, frame):
+def test_named_targets(spark, frame, load, rows, versioned):
     with pytest.raises(ValueError, match="catalog.schema.table"):
         location_of(spark, "schema.table")
-    name = "spark_catalog.strata_named.t1"
+    name = f"spark_catalog.strata_named.t_{versioned}".lower()
     load(spark, frame((1, "a")), name)
-    assert values(open_table(spark, name).read(), "k", "v") == [(1, "a")]
+    assert values(rows(name), "k", "v") == [(1, "a")]
 
 
 def test_commit_that_died_is_passed_over(spark, frame, target, tmp_path):
-    load(spark, frame((1, "a")), target, now=T1)
+    load_version(spark, frame((1, "a")), target, now=T1)
     (tmp_path / "table" / "commits" / "version=1").mkdir()
-    load(spark, frame((2, "b")), target, now=T2)
+    load_version(spark, frame((2, "b")), target, now=T2)
     table = open_table(spark, target)
     assert table.versions() == [0, 2]
     assert values(table.read(), "k") == [(1,), (2,)]
@@ -181,3 +197,11 @@ def test_merges_below_another_data_folder(frame, spark, tmp_path):
     loads.append(table, frame((2, "b")))
     loads.upsert(table, frame((2, "c")), ["k"])
     assert sorted((r.k, r.v) for r in table.read().collect()) == [(1, "a"), (2, "c")]
+
+
+def test_closed_versions_stay_where_they_are(spark, frame, target):
+    for rows, now in (((1, "a"), T1), ((1, "b"), T2), ((1, "c"), T3)):
+        load_version(spark, frame(rows), target, "scd2", ["k"], now=now)
+    table = open_table(spark, target)
+    closed = {p.folder for p in table.commit(1).parts if p.role == "closed"}
+    assert closed and closed <= {p.folder for p in table.commit(2).parts}

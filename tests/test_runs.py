@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from strata import fixed
 from strata.catalogue.arrivals import COLUMNS, events_config
 from strata.operators.checks import ChecksFailed
-from strata.operators.snapshots import SnapshotTable, open_table
+from strata.operators.trusted import TrustedTable
 from strata.plans import config as cfg
 from strata.plans import jobs, reports
 from strata.plans.run_log import LOG_SCHEMA, read_log
@@ -42,7 +42,7 @@ def source(tmp_path):
 
 
 def trusted(spark, config, base):
-    df = open_table(spark, cfg.locations(config, "", base)["raw_trusted"]).read()
+    df = TrustedTable(spark, cfg.locations(config, "", base)["raw_trusted"]).read()
     return sorted(tuple(r) for r in df.selectExpr("order_id", "amount", "CAST(when AS STRING)", fixed.LINEAGE_COLUMN).collect())
 
 
@@ -82,7 +82,7 @@ def test_failed_checks_leave_records_and_a_reason(spark, source, tmp_path):
     assert errors.where("column_name = 'order_id'").count() == 2
     row = reports.table_status(read_log(spark, f"{base}/run_log"), "j1").first()
     assert row.status == "FAILED" and "duplicate rows" in row.error_message
-    assert not open_table(spark, cfg.locations(config, "", base)["raw_trusted"]).exists()
+    assert not TrustedTable(spark, cfg.locations(config, "", base)["raw_trusted"]).exists()
 
 
 def test_values_that_do_not_parse_stop_the_run(spark, source, tmp_path):
@@ -99,7 +99,7 @@ def test_inference_and_pii(spark, source, tmp_path):
         run_table(spark, config, base)
     (source / "ORDERS" / "one.csv").write_text("Order Id,Amount %,when\n1,5 %,05-Mar-2024\n2,N/A,2024-03-06\n")
     run_table(spark, config, base, pii_key="0123456789abcdef")
-    df = open_table(spark, cfg.locations(config, "", base)["raw_trusted"]).read()
+    df = TrustedTable(spark, cfg.locations(config, "", base)["raw_trusted"]).read()
     assert dict(df.dtypes)["order_id"] == "int" and dict(df.dtypes)["when"] == "string"
     assert df.where(F.col("when").contains("2024")).count() == 0
 
@@ -125,7 +125,7 @@ def test_arrivals_are_taken_once_and_archived(spark, tmp_path):
     (staging / "b.csv").write_text("eventId,at,Event Type,value\n2,2024-01-02 10:00:00,y,2\n")
     run()
     run()
-    df = open_table(spark, cfg.locations(config, "", base)["raw_trusted"]).read()
+    df = TrustedTable(spark, cfg.locations(config, "", base)["raw_trusted"]).read()
     assert sorted(r.event_id for r in df.collect()) == [1, 2]
     assert list(archive.rglob("a.csv"))
 
@@ -174,7 +174,7 @@ def test_run_job_and_control_table(spark, source, tmp_path):
     good["schema"] = [{"column_name": c, "data_type": t} for c, t in good["schema"]]
     texts = [("shop", "orders", json.dumps(good)), ("shop", "empty", json.dumps(good))]
     configs = spark.createDataFrame(texts, "job_name string, table_name string, config string")
-    control = SnapshotTable(spark, str(tmp_path / "control"))
+    control = TrustedTable(spark, str(tmp_path / "control"))
     jobs.register_configs(configs, control, "2024-01-01 00:00:00")
     jobs.register_configs(configs.where("table_name = 'orders'"), control, "2024-01-02 00:00:00")
     assert control.read().count() == 2
@@ -190,7 +190,7 @@ def test_run_job_and_control_table(spark, source, tmp_path):
 def test_broken_configs_are_not_registered(spark, tmp_path):
     configs = spark.createDataFrame([("shop", "orders", "{")], "job_name string, table_name string, config string")
     with pytest.raises(ValueError, match="1 broken config.*shop/orders: not valid JSON"):
-        jobs.register_configs(configs, SnapshotTable(spark, str(tmp_path / "control")), "2024-01-01")
+        jobs.register_configs(configs, TrustedTable(spark, str(tmp_path / "control")), "2024-01-01")
 
 
 def test_framework_tables(spark):

@@ -5,14 +5,14 @@ from pyspark.sql import functions as F
 
 from strata.functions import pii
 from strata.operators.loads import load
-from strata.operators.snapshots import open_table
+from strata.operators.trusted import TrustedTable
 from strata.plans import config
 
 KEY = "0123456789abcdef"
 
 
 def versions(spark, target):
-    rows = open_table(spark, target).read().orderBy("k", "__effective_from")
+    rows = TrustedTable(spark, target).read().orderBy("k", "__effective_from")
     return [tuple(r) for r in rows.select("k", "a", "b", "__is_current").collect()]
 
 
@@ -34,7 +34,7 @@ def test_encrypted_columns_are_equal_where_the_texts_are(spark, tmp_path):
     target = str(tmp_path / "t")
     for day in (1, 2):
         load(spark, pii.encrypt_columns(plain, ["a"], KEY), target, "scd2", ["k"], now=f"2024-01-0{day} 00:00:00")
-    assert open_table(spark, target).read().count() == 4
+    assert TrustedTable(spark, target).read().count() == 4
 
 
 def test_a_lone_personal_data_column_is_kept(spark):
