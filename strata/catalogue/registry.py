@@ -10,8 +10,9 @@ from strata.catalogue.ingest import ingest
 from strata.catalogue.loads import loads
 from strata.catalogue.quality import quality
 from strata.catalogue.reports import reports
+from strata.catalogue.runs import runs
 
-_PARTS = [flagship, ingest, quality, loads, reports, configs, arrivals]
+_PARTS = [flagship, ingest, quality, loads, reports, configs, arrivals, runs]
 
 
 def all_queries() -> dict[str, Query]:

@@ -121,10 +121,14 @@ RESERVED_LANDING_KEYS = [
     "notebook_path",
     "parameters",
     "pii_columns",
+    "malformed_rows",
+    "other_files",
+    "only_new_files",
 ]
 
 # ---- reserved column names ---------------------------------------------------------------------------------
 LINEAGE_COLUMN = "source_file_name"
+MALFORMED_COLUMN = "_malformed_line"
 HASH_COLUMN = "row_hash"
 VALID_FROM, VALID_TO, IS_CURRENT = "__effective_from", "__effective_to", "__is_current"
 HASH_EXCLUDED = [

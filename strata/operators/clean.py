@@ -15,8 +15,8 @@ from strata.functions.text import col, snake_case
 
 
 def business_columns(df: DataFrame) -> list[str]:
-    """Columns of the source itself, lineage left out."""
-    return [name for name in df.columns if name != fixed.LINEAGE_COLUMN]
+    """Columns of the source itself, lineage and the lines of malformed rows left out."""
+    return [name for name in df.columns if name not in (fixed.LINEAGE_COLUMN, fixed.MALFORMED_COLUMN)]
 
 
 # ---- headers -----------------------------------------------------------------------------------------------

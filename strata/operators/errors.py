@@ -34,6 +34,19 @@ ERROR_COLUMNS = [
 _RECORD = ["expectation_type", "column_name", "failed_value", "full_record"]
 
 
+MALFORMED = "malformed_row"
+
+
+def malformed_records(df: DataFrame) -> DataFrame:
+    """One record per source row that had more or fewer cells than its file has columns: its line, and the row it became."""
+    return df.where(col(fixed.MALFORMED_COLUMN).isNotNull()).select(
+        F.lit(MALFORMED).alias("expectation_type"),
+        F.lit(fixed.ALL_COLUMNS).alias("column_name"),
+        col(fixed.MALFORMED_COLUMN).alias("failed_value"),
+        json_text(*[col(c) for c in business_columns(df)]).alias("full_record"),
+    )
+
+
 def any_null(keys: list[str]) -> Column:
     return reduce(or_, [col(k).isNull() for k in keys])
 

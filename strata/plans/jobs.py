@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -49,10 +50,12 @@ def publish_board(rows: DataFrame, board: TrustedTable, now: str | None = None)
 
 
 def run_job(spark: SparkSession, control: DataFrame, job_name: str, base: str, tables: list[str] | None = None, parallel: int = 4, **options) -> dict:
-    """Runs the active tables of a job, some at a time, and returns {table: number of the load or the exception}.
+    """Runs the active tables of a job, some at a time, and returns {table: number of the load or the exception} under ``tables``.
 
-    A failing table does not stop the others. Named tables without a control row are reported under ``missing``.
+    A failing table does not stop the others. All of them log under one ``job_run_id``, which is returned. Named tables
+    without a control row are reported under ``missing``.
     """
+    options = {"job_run_id": f"{job_name}-{uuid.uuid4().hex[:12]}", **options}
     rows = cfg.active_rows(control, job_name)
     missing: list[str] = []
     if tables:
@@ -71,4 +74,4 @@ def run_job(spark: SparkSession, control: DataFrame, job_name: str, base: str, t
 
     with ThreadPoolExecutor(max_workers=min(len(configs), parallel, MAX_PARALLEL_TABLES)) as pool:
         outcomes = dict(zip([c["table_name"] for c in configs], pool.map(run, configs)))
-    return {"tables": outcomes, "missing": missing}
+    return {"job_run_id": options["job_run_id"], "tables": outcomes, "missing": missing}

@@ -21,10 +21,11 @@ from strata.functions.pii import encrypt_columns
 from strata.functions.text import col
 from strata.operators import clean, errors, schema
 from strata.operators.checks import ChecksFailed, run_checks
-from strata.operators.loads import load
+from strata.operators.loads import load, load_type_name
 from strata.plans.config import enabled, locations
 from strata.plans.run_log import RunLog
 from strata.session import keep_methods_small
+from strata.sources import manifest
 from strata.sources.folders import latest_run, move_into, source_files
 from strata.sources.landing_files import read_source_files, reader_options
 from strata.sources.producers import run_producer
@@ -43,6 +44,7 @@ class RunContext:
     batch_id: str | None = None
     now: str | None = None
     catalog: str | None = None
+    files: DataFrame | None = None
 
     @property
     def table(self) -> str:
@@ -59,13 +61,32 @@ def source_folder(run: RunContext) -> str:
     return f"{run.layer('landing')['source_path'].rstrip('/')}/{run.table.upper()}"
 
 
-def source_rows(run: RunContext) -> DataFrame:
+def source_listing(run: RunContext) -> DataFrame | None:
+    """The files this run is to load, or None for a source that is not files. Files that the reader would pass over are an
+    error, unless ``other_files`` is 'skip'; with ``only_new_files`` those that an earlier run has loaded are left out."""
+    landing = run.layer("landing")
+    if not landing.get("source_path"):
+        return None
+    if not source_files(run.spark, source_folder(run)):
+        raise FileNotFoundError(f"no input files in {source_folder(run)}")
+    files = manifest.listed(run.spark, source_folder(run))
+    if (landing.get("other_files") or "fail") != "skip":
+        manifest.require_read(files, landing["file_format"])
+    files = files.where(manifest.is_read(landing["file_format"]))
+    if landing.get("only_new_files"):
+        files = manifest.new_files(files, manifest.loaded_before(run.spark, run.paths["manifests"]))
+    return files
+
+
+def source_rows(run: RunContext, files: DataFrame | None) -> DataFrame:
     """Rows of the source with lineage: files when a source path is configured, else a producer."""
     landing = run.layer("landing")
-    if landing.get("source_path"):
+    if files is not None:
         options = reader_options(landing)
         drift = options.pop("header_drift", "error")
-        return read_source_files(run.spark, source_folder(run), landing["file_format"], options, drift)
+        named = [row.path for row in files.select("path").collect()] if landing.get("only_new_files") else None
+        malformed = None if str(options.get("mode") or "PERMISSIVE").upper() != "PERMISSIVE" else fixed.MALFORMED_COLUMN
+        return read_source_files(run.spark, source_folder(run), landing["file_format"], options, drift, malformed, named)
     if landing.get("notebook_path"):
         return run_producer(run.spark, landing, run.table, run.log.run_id, run.paths["landing"] + "-produced")
     raise ValueError(f"landing of '{run.table}' names neither source_path nor notebook_path; it has {sorted(landing)}")
@@ -78,11 +99,15 @@ def flat_text(df: DataFrame) -> DataFrame:
 
 
 def land(run: RunContext, rows: DataFrame | None = None) -> DataFrame:
-    """Source -> Landing CSV in one scan; returns the Landing rows as read back. Per-file counts go to the log."""
+    """Source -> Landing CSV in one scan; returns the Landing rows as read back."""
     landing = run.layer("landing")
-    df = flat_text(source_rows(run) if rows is None else rows)
+    if rows is None:
+        run.files = source_listing(run)
+        rows = source_rows(run, run.files)
+    df = flat_text(rows)
     if landing.get("pii_columns"):
-        df = encrypt_columns(df, landing["pii_columns"], run.pii_key)
+        lines = [fixed.MALFORMED_COLUMN] if fixed.MALFORMED_COLUMN in df.columns else []  # they hold the same data
+        df = encrypt_columns(df, [*landing["pii_columns"], *lines], run.pii_key)
     write_csv(df, run.paths["landing"])
     run.log.event(
         "INFO",
@@ -104,7 +129,7 @@ def land(run: RunContext, rows: DataFrame | None = None) -> DataFrame:
 def _count_landing(df: DataFrame, filled: Column, suspects: list[str], counters: dict[str, Column]):
     """All Raw needs to know about Landing in one scan: per source file first, then over all files."""
     lineage = fixed.LINEAGE_COLUMN if fixed.LINEAGE_COLUMN in df.columns else None
-    measures = {"__total": F.count("*"), "__filled": F.count_if(filled)}
+    measures = {"__total": F.count("*"), "__filled": F.count_if(filled), "__malformed": F.count(col(fixed.MALFORMED_COLUMN))}
     measures |= {f"__suspect_{i}": F.count(col(n)) for i, n in enumerate(suspects)}
     measures |= {f"__c_{i}": c for i, c in enumerate(counters.values())}
     if lineage is None:
@@ -115,7 +140,8 @@ def _count_landing(df: DataFrame, filled: Column, suspects: list[str], counters:
     return per_file.agg(
         *[(F.coalesce(F.sum(name), F.lit(0)) if is_count[name] else F.bit_and(name)).alias(name) for name in measures],
         F.count("*").alias("__files"),
-        F.array_join(F.sort_array(F.collect_list(lineage)), ", ").alias("__names"),
+        # the manifest has all names
+        F.when(F.count("*") > 2, F.concat_ws(" ... ", F.min(lineage), F.max(lineage))).otherwise(F.concat_ws(", ", F.min(lineage), F.when(F.count("*") > 1, F.max(lineage)))).alias("__names"),
     ).first()
 
 
@@ -124,12 +150,14 @@ def refine(run: RunContext, landed: DataFrame) -> DataFrame:
     removed. Two scans of Landing: one that counts, one that writes."""
     keep_methods_small(run.spark)
     settings, entries = run.layer("raw"), schema.schema_entries(run.config.get("schema"))
+    # lines of malformed rows are no column of the source
+    malformed = fixed.MALFORMED_COLUMN in landed.columns
+    landed = landed if malformed else landed.withColumn(fixed.MALFORMED_COLUMN, F.lit(None).cast("string"))
     business = clean.business_columns(landed)
     suspects = clean.headerless_columns(business)
-    names = clean.standard_names([n for n in landed.columns if n not in suspects])
+    plain = [n for n in landed.columns if n not in suspects and n != fixed.MALFORMED_COLUMN]
     renamed = landed.select(
-        *[col(n).alias(new) for n, new in zip([n for n in landed.columns if n not in suspects], names)],
-        *[col(n) for n in suspects],
+        *[col(n).alias(new) for n, new in zip(plain, clean.standard_names(plain))], *[col(n) for n in suspects], col(fixed.MALFORMED_COLUMN)
     )
     business = [n for n in clean.business_columns(renamed) if n not in suspects]
     filled = clean.any_filled(business + suspects)
@@ -158,7 +186,8 @@ def refine(run: RunContext, landed: DataFrame) -> DataFrame:
         schema.raise_on_failures(measured, entries)
     else:
         entries = schema.inferred_entries(measured)
-    kept = renamed.where(filled).drop(*suspects)
+    rejected = _malformed_rows(run, renamed, counted["__malformed"])
+    kept = renamed.where(filled & col(fixed.MALFORMED_COLUMN).isNull() if rejected else filled).drop(*suspects, fixed.MALFORMED_COLUMN)
     typed = schema.enforced(kept, entries) if enforce else schema.enforced(kept, entries).select(*kept.columns)
     dedup = clean.dedup_enabled(settings.get("deduplication"))
     write_parquet(clean.drop_duplicate_rows(typed) if dedup else typed, run.paths["raw"])
@@ -176,11 +205,42 @@ def refine(run: RunContext, landed: DataFrame) -> DataFrame:
         passed_count=final,
         total_count=total,
         empty_rows_dropped=total - counted["__filled"],
-        duplicate_rows_dropped=counted["__filled"] - final,
+        malformed_rows=counted["__malformed"],
+        duplicate_rows_dropped=counted["__filled"] - final - (counted["__malformed"] if rejected else 0),
     )
     return raw
 
 
+def _malformed_rows(run: RunContext, rows: DataFrame, count: int) -> bool:
+    """Records the rows that had more or fewer cells than their file has columns. By ``malformed_rows`` they are loaded all
+    the same ('report': missing cells are null, surplus cells are in the record only), left out ('reject'; says so by True), or
+    stop the run ('fail')."""
+    policy = run.layer("landing").get("malformed_rows") or "report"
+    if policy not in ("report", "reject", "fail"):
+        raise ValueError(f"unknown policy '{policy}' for malformed rows")
+    if not count:
+        return False
+    write_error_records(run, errors.malformed_records(rows))
+    run.log.event(
+        "WARNING", f"{run.table}: {count} malformed row(s)", function="process_raw", status="warning", table=run.table, record_count=count, layer="landing"
+    )
+    if policy == "fail":
+        raise ValueError(f"{count} row(s) of {run.table} have more or fewer cells than their files have columns")
+    return policy == "reject"
+
+
+def write_error_records(run: RunContext, records: DataFrame) -> None:
+    stamped = errors.with_envelope(
+        records,
+        now=run.now or datetime.now(timezone.utc).replace(microsecond=0),
+        job_id=run.log.job_run_id,
+        run_id=run.log.run_id,
+        job_name=run.log.job_name,
+        source_table=run.table,
+    )
+    errors.write_errors(stamped, run.paths["errors"])
+
+
 # ---- trusted -----------------------------------------------------------------------------------------------
 
 
@@ -200,16 +260,7 @@ def promote(run: RunContext, raw: DataFrame) -> int:
             validation_name=result.name,
         )
     if not all(r.passed for r in results):
-        records = errors.failure_records(run.spark, results, raw, keys)
-        stamped = errors.with_envelope(
-            records,
-            now=run.now or datetime.now(timezone.utc).replace(microsecond=0),
-            job_id=run.log.job_run_id,
-            run_id=run.log.run_id,
-            job_name=run.log.job_name,
-            source_table=run.table,
-        )
-        errors.write_errors(stamped, run.paths["errors"])
+        write_error_records(run, errors.failure_records(run.spark, results, raw, keys))
         raise ChecksFailed(run.table, results)
     version = load(
         run.spark,
@@ -219,7 +270,7 @@ def promote(run: RunContext, raw: DataFrame) -> int:
         keys,
         evolve=bool(settings.get("schema_evolution")),
         expire_missing=bool(settings.get("enable_expiration")),
-        batch_id=run.batch_id,
+        batch_id=run.batch_id or delivery_token(run),
         keys_checked=any(r.name == fixed.KEY_CHECK for r in results) and bool(keys),
         buckets=settings.get("merge_buckets"),
         name=run.catalog and f"{run.catalog}.{run.paths['trusted_name']}",
@@ -239,6 +290,13 @@ def promote(run: RunContext, raw: DataFrame) -> int:
     return version
 
 
+def delivery_token(run: RunContext) -> str | None:
+    """Names the delivery of an append from files: loaded again, say because the log could not be written or a file not be
+    moved after the commit, it replaces its own rows."""
+    appends = load_type_name(run.layer("raw_trusted").get("load_type") or "append") == "append"
+    return manifest.token_of(run.files) if run.files is not None and appends else None
+
+
 # ---- the run -----------------------------------------------------------------------------------------------
 
 
@@ -283,12 +341,16 @@ def _run_layers(run: RunContext, rows: DataFrame | None) -> int | None:
     return promote(run, df) if "raw_trusted" in wanted else None
 
 
+def write_manifest(run: RunContext) -> None:
+    landed = read_landing_csv(run.spark, run.paths["landing"])
+    files = manifest.counted(run.files, landed, run.log.run_id, run.table)
+    files.write.mode("overwrite").parquet(f"{run.paths['manifests']}/{run.log.run_id}")
+
+
 def archive_sources(run: RunContext, folder: str) -> None:
-    """Moves the source files that the Landing rows name. Files without rows, or that came meanwhile, stay."""
-    landed = read_landing_csv(run.spark, run.paths["landing"]).select(fixed.LINEAGE_COLUMN).distinct()
-    names = {row[0] for row in landed.collect()}
-    found = source_files(run.spark, source_folder(run))
-    move_into(run.spark, [file for file in found if file.rsplit("/", 1)[1] in names], folder)
+    """Moves the source files that the manifest has rows of. Files without rows, or that came meanwhile, stay."""
+    loaded = run.spark.read.schema(manifest.SCHEMA).parquet(f"{run.paths['manifests']}/{run.log.run_id}").where("rows > 0")
+    move_into(run.spark, [row.path for row in loaded.select("path").toLocalIterator()], folder)
 
 
 def run_table(
@@ -310,13 +372,16 @@ def run_table(
     Layers that are switched off are skipped; a run without Landing starts from the newest completed Landing folder,
     one without Raw from the newest completed Raw folder. ``rows`` stands in for the source (a stream's batch).
     With ``catalog``, the trusted table is there under its schema and name. With ``archive``, source files whose rows were landed are moved below it once the load is committed, so that the
-    next run does not load them again.
+    next run does not load them again. The manifest of the files is written after the commit, then the log, then files move;
+    whatever of this fails, the run may be repeated: its delivery is loaded once.
     """
     run_ts = run_ts or datetime.now(timezone.utc).strftime("%Y%m%d_%H%M%S_%f")
     log = RunLog(spark, f"{base.rstrip('/')}/run_log", config.get("job_name") or "", f"{run_ts}-{uuid.uuid4().hex[:8]}", job_run_id)
     run = RunContext(spark, config, locations(config, run_ts, base), log, pii_key, batch_id, now, catalog)
     try:
         version = _run_layers(run, rows)
+        if run.files is not None:
+            write_manifest(run)
     except Exception as failure:
         try:
             Outcome.of(failure).tell(log, run.table)
@@ -324,6 +389,6 @@ def run_table(
             failure.add_note(f"the run log could not be written: {unlogged}")
         raise
     Outcome.of(None).tell(log, run.table)
-    if archive and rows is None and enabled(run.layer("landing")) and run.layer("landing").get("source_path"):
+    if archive and run.files is not None:
         archive_sources(run, f"{archive.rstrip('/')}/{run.table.upper()}/{run_ts}")
     return version

@@ -35,6 +35,14 @@ def move_into(spark: SparkSession, files: list[str], folder: str) -> None:
             raise OSError(f"{file} could not be moved to {folder}")
 
 
+def rename(spark: SparkSession, file: str, path: str) -> None:
+    """Moves one file to ``path``; its folder is made."""
+    place, system = _system(spark, path)
+    system.mkdirs(place.getParent())
+    if not system.rename(spark._jvm.org.apache.hadoop.fs.Path(file), place):
+        raise OSError(f"{file} could not be moved to {path}")
+
+
 def latest_run(spark: SparkSession, base: str) -> str:
     """The run folder under ``base`` that was completed last; names, which may be of several kinds, settle ties."""
     markers = _statuses(spark, f"{base.rstrip('/')}/*/_SUCCESS")

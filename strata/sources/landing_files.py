@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from strata import fixed
 from strata.sources import folders
-from strata.sources.readers import format_name, read_csv, reader_for
+from strata.sources.readers import format_name, read_csv, read_csv_with_malformed, reader_for
 from strata.sources.workbook import PATH_COLUMN
 
 
@@ -46,9 +46,16 @@ def reader_options(landing: dict) -> dict:
 
 
 def read_source_files(
-    spark: SparkSession, folder: str, file_format: str, options: dict | None = None, drift: str = "error"
+    spark: SparkSession,
+    folder: str,
+    file_format: str,
+    options: dict | None = None,
+    drift: str = "error",
+    malformed: str | None = None,
+    files: list[str] | None = None,
 ) -> DataFrame:
-    """All files of one folder as one DataFrame with ``source_file_name``.
+    """All files of one folder, or those named, as one DataFrame with ``source_file_name``. ``malformed`` names a column for the
+    lines of CSV rows that have more or fewer cells than their file has columns.
 
     ``drift`` says what to do when CSV or workbook headers differ between files: 'error' fails, 'by_name' accepts
     another column order, 'allow' also accepts missing columns, which become null. CSV under 'error' is one scan, in
@@ -58,23 +65,30 @@ def read_source_files(
     if drift not in ("error", "by_name", "allow"):
         raise ValueError(f"unknown drift policy '{drift}'")
     options = dict(options or {})
-    files = folders.source_files(spark, folder)
+    places = folder if files is None else files
+    files = folders.source_files(spark, folder) if files is None else files
     if not files:
         raise FileNotFoundError(f"no input files in {folder}")
     name = format_name(file_format)
+    if name == "csv":
+        files = [f for f in files if f.lower().endswith(".csv")]
     if name == "excel":
         workbook = {**options.pop("excel_options", {}), "drift": drift}
-        df = reader_for(name)(spark, folder, workbook, **options)
+        df = reader_for(name)(spark, places, workbook, **options)
         file_name = F.element_at(F.split(F.col(PATH_COLUMN), "/"), -1)
         return df.withColumn(fixed.LINEAGE_COLUMN, file_name).drop(PATH_COLUMN)
     if name == "csv" and len(files) > 1 and _has_header(options):
         if drift != "error" or not _headers_comparable(spark, files[0], options):
-            return _csv_by_header(spark, folder, options, drift)
+            return _csv_by_header(spark, places, options, drift, malformed)
         options["enforceSchema"] = False
-    df = reader_for(name)(spark, folder, **options)
+    df = _read_csv(spark, places, options, malformed) if name == "csv" else reader_for(name)(spark, places, **options)
     return df.select("*", F.col("_metadata.file_name").alias(fixed.LINEAGE_COLUMN))
 
 
+def _read_csv(spark: SparkSession, places, options: dict, malformed: str | None) -> DataFrame:
+    return read_csv_with_malformed(spark, places, malformed, **options) if malformed else read_csv(spark, places, **options)
+
+
 def _has_header(options: dict) -> bool:
     return str({**fixed.CSV_READ_DEFAULTS, **options}.get("header")).lower() == "true"
 
@@ -85,12 +99,12 @@ def _headers_comparable(spark: SparkSession, file: str, options: dict) -> bool:
     return written is None or list(written) == read_csv(spark, file, **options).columns
 
 
-def _csv_by_header(spark: SparkSession, folder: str, options: dict, drift: str) -> DataFrame:
+def _csv_by_header(spark: SparkSession, places, options: dict, drift: str, malformed: str | None) -> DataFrame:
     settings = {**fixed.CSV_READ_DEFAULTS, **options}
     commented = F.col("value").startswith(settings["comment"]) if settings.get("comment") else F.lit(False)
     lines = (
         spark.read.option("pathGlobFilter", "*.[cC][sS][vV]")
-        .text(folder)
+        .text(places)
         .select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"))
         .where((F.col("start") == 0) & (F.trim("value") != "") & ~commented)
         .withColumn("at", F.monotonically_increasing_id())
@@ -105,18 +119,8 @@ def _csv_by_header(spark: SparkSession, folder: str, options: dict, drift: str)
         same = sorted(names) == sorted(expected) if drift == "by_name" else names == expected or drift == "allow"
         if not same:
             raise ValueError(f"columns differ between files: {expected} and {names} in {row['paths'][0]}")
-        part = read_csv(spark, row["paths"], **options)
+        part = _read_csv(spark, row["paths"], options, malformed)
         parts.append(part.select("*", F.col("_metadata.file_name").alias(fixed.LINEAGE_COLUMN)))
     if not parts:
-        raise FileNotFoundError(f"no file in {folder} has a header")
+        raise FileNotFoundError(f"no file in {places} has a header")
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=drift == "allow"), parts)
-
-
-def source_file_audit(df: DataFrame) -> DataFrame:
-    """Which files took part, and how many rows came from them, in one row."""
-    per_file = df.groupBy(fixed.LINEAGE_COLUMN).agg(F.count("*").alias("rows"))
-    return per_file.agg(
-        F.count("*").alias("file_count"),
-        F.array_join(F.sort_array(F.collect_list(fixed.LINEAGE_COLUMN)), ", ").alias("file_names"),
-        F.sum("rows").alias("row_count"),
-    )

@@ -12,8 +12,8 @@ from strata.operators.snapshots import SnapshotTable
 from strata.sources.workbook import read_workbooks
 
 # One option set for writing and reading Landing CSV, so that what comes back is what went in: quotes doubled, null
-# apart from the empty string, blanks kept, line breaks inside quotes allowed. A text of backslashes and an N, which
-# could be taken for null, gets one more backslash in the file.
+# apart from the empty string, blanks kept. Line breaks and backslashes are spelled with a backslash and a letter, so a line
+# of the file is a row, a file may be read by many tasks, and no text is spelled like null.
 LANDING_CSV = {
     "header": True,
     "quote": '"',
@@ -34,6 +34,14 @@ def read_csv(spark: SparkSession, path, **options) -> DataFrame:
     return spark.read.format("csv").options(**_plain(merged)).load(path)
 
 
+def read_csv_with_malformed(spark: SparkSession, path, malformed: str, **options) -> DataFrame:
+    """As ``read_csv``, and the whole line of each row that has more or fewer cells than there are columns."""
+    columns = read_csv(spark, path, **options).schema
+    merged = {**fixed.CSV_READ_DEFAULTS, "enforceSchema": True, "pathGlobFilter": "*.[cC][sS][vV]", **options, "columnNameOfCorruptRecord": malformed}
+    schema = T.StructType([*columns.fields, T.StructField(malformed, T.StringType(), True)])
+    return spark.read.format("csv").schema(schema).options(**_plain(merged)).load(path)
+
+
 def read_json(spark: SparkSession, path, **options) -> DataFrame:
     return spark.read.format("json").options(**_plain({**fixed.JSON_READ_DEFAULTS, **options})).load(path)
 
@@ -100,20 +108,26 @@ def reader_for(file_format: str):
     return READERS[name]
 
 
+SPELLED = {"\\": "\\b", "\n": "\\n", "\r": "\\r"}
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     texts = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
-    told = [_null_like(name, r"^(\\+N)$", r"\\$1") if name in texts else col(name) for name in df.columns]
+    told = [_replaced(name, SPELLED.items()) if name in texts else col(name) for name in df.columns]
     df.select(*told).write.mode(mode).options(**LANDING_CSV, emptyValue='""').csv(path)
 
 
 def read_landing_csv(spark: SparkSession, path: str) -> DataFrame:
-    df = spark.read.options(**LANDING_CSV, emptyValue="", multiLine=True, maxCharsPerColumn=-1).csv(path)
-    return df.select(*[_null_like(name, r"^\\(\\+N)$", "$1") for name in df.columns])
+    df = spark.read.options(**LANDING_CSV, emptyValue="", maxCharsPerColumn=-1).csv(path)
+    back = [(spelled, text) for text, spelled in reversed(SPELLED.items())]  # the backslash last: it may stand before any letter
+    return df.select(*[_replaced(name, back) for name in df.columns])
 
 
-def _null_like(name: str, pattern: str, into: str) -> Column:
-    text = col(name)
-    return F.when(text.startswith("\\") & text.endswith("N"), F.regexp_replace(text, pattern, into)).otherwise(text).alias(name)
+def _replaced(name: str, pairs) -> Column:
+    out = col(name)
+    for old, new in pairs:
+        out = F.replace(out, F.lit(old), F.lit(new))
+    return out.alias(name)
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
