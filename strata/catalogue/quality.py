@@ -140,6 +140,32 @@ def infer_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(kinds, "column_name string, data_type string")
 
 
+@quality.query(
+    "infer_values",
+    """SELECT o_orderkey, CAST(CAST('123456789012345678901234567890' AS DECIMAL(38,0)) + o_orderkey AS VARCHAR) AS long_number, 'decimal(30,0)' AS long_type,
+              CAST(CAST(o_totalprice AS DECIMAL(18,2)) + CAST('1234567890123456.00000001' AS DECIMAL(30,8)) AS VARCHAR) AS exact, 'decimal(24,8)' AS exact_type,
+              CAST(o_totalprice AS DECIMAL(18,2))::DOUBLE AS price, 'double' AS price_type, CAST(9007199254740993 + o_orderkey AS BIGINT) AS big, 'bigint' AS big_type,
+              concat(repeat('9', 39), o_orderkey) AS too_long, 'string' AS too_long_type, CASE WHEN o_orderkey % 7 > 0 THEN strftime(o_orderdate, '%Y-%m-%d') END AS at
+       FROM orders""",
+)
+def infer_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The values that inferred columns hold: no digit of a long number is lost."""
+    orders, price = table(spark, sf_dir, "orders"), F.col("o_totalprice").cast("decimal(18,2)")
+    texts = orders.select(
+        F.col("o_orderkey").cast("string"),
+        (F.lit("123456789012345678901234567890").cast("decimal(38,0)") + F.col("o_orderkey")).cast("string").alias("long_number"),
+        F.concat((price + F.lit("1234567890123456.00000001").cast("decimal(30,8)")).cast("string"), F.lit(" % ")).alias("exact"),
+        price.cast("string").alias("price"),
+        (F.lit(9007199254740993) + F.col("o_orderkey")).cast("string").alias("big"),
+        F.concat(F.repeat(F.lit("9"), 39), F.col("o_orderkey").cast("string")).alias("too_long"),
+        F.when(F.col("o_orderkey") % 7 > 0, F.date_format("o_orderdate", "MM/dd/yyyy")).otherwise(F.lit("n/a")).alias("at"),
+    )
+    found = schema.infer_schema(texts)
+    kinds = {f"{f.name}_type": F.lit(f.dataType.simpleString()) for f in found.schema.fields if f.name not in ("o_orderkey", "at")}
+    typed = found.withColumns({k.replace("long_number_type", "long_type"): v for k, v in kinds.items()})
+    return typed.withColumns({"o_orderkey": F.col("o_orderkey").cast("bigint"), "long_number": F.col("long_number").cast("string"), "exact": F.col("exact").cast("string"), "at": F.date_format("at", "yyyy-MM-dd")})
+
+
 @quality.query(
     "parse_dates",
     """SELECT o_orderkey, CASE WHEN o_orderkey % 11 = 9 THEN NULL WHEN o_orderkey % 11 IN (2, 4) AND day(o_orderdate) <= 12

@@ -103,6 +103,11 @@ def whole_sql(name: str) -> str:
     return rf"CASE WHEN ({text}) RLIKE r'^\s*[+-]?\d+\s*$' THEN try_cast({text} AS bigint) END"
 
 
+def unsigned_sql(name: str) -> str:
+    """The text of a number without sign and blanks."""
+    return rf"regexp_replace(trim({number_text_sql(name)}), r'^[+-]', '')"
+
+
 def is_real_sql(name: str) -> str:
     return f"({number_text_sql(name)}) RLIKE r'{_NUMBER}'"
 

@@ -124,8 +124,11 @@ def enforce_schema(df: DataFrame, schema_config, gate: bool = True) -> DataFrame
 # ---- inference ---------------------------------------------------------------------------------------------
 
 # Every value is mapped to the set of types that accept it, one bit per type; AND over a column leaves the types that
-# accept all its values. One aggregate per column, and nothing is sampled.
-_INT, _BIGINT, _DOUBLE, _DATE, _TIMESTAMP, _MIDNIGHT = 1, 2, 4, 8, 16, 32
+# accept all its values. A double accepts every number, but is taken only where it tells all of them apart (_EXACT: at most
+# 15 significant digits); else the most digits before and behind the point make a decimal, or the column stays text.
+# Three aggregates per column, and nothing is sampled.
+_INT, _BIGINT, _DOUBLE, _DATE, _TIMESTAMP, _MIDNIGHT, _EXACT = 1, 2, 4, 8, 16, 32, 64
+_MOST_DIGITS = 38
 
 
 def text_columns(df: DataFrame) -> list[str]:
@@ -133,7 +136,8 @@ def text_columns(df: DataFrame) -> list[str]:
 
 
 def with_type_bits(df: DataFrame, names: list[str]) -> DataFrame:
-    """Adds, per named text column, the set of types that accept its value (null for a null word) as ``__bits_<i>``.
+    """Adds, per named text column, the set of types that accept its value (null for a null word) as ``__bits_<i>``, and the
+    digits of a number before and behind the point as ``__whole_digits_<i>`` and ``__scale_<i>``.
 
     Intermediate values get columns of their own step by step; as one expression they would be computed, and compiled,
     once for every use.
@@ -141,13 +145,25 @@ def with_type_bits(df: DataFrame, names: list[str]) -> DataFrame:
     if not names:
         return df
     keep_methods_small(df.sparkSession)
-    read, judged, bits = [], [], []
+    read, digits, sizes, judged, bits = [], [], [], [], []
     for i, name in enumerate(names):
         read.append(f"{parsing.whole_sql(name)} AS __whole_{i}")
         read.append(f"{parsing.moment_sql(name)} AS __instant_{i}")
+        digits.append(f"CASE WHEN __whole_{i} IS NULL AND {parsing.is_real_sql(name)} THEN {parsing.unsigned_sql(name)} END AS __real_{i}")
+        sizes.append(
+            f"""cast(CASE WHEN __whole_{i} IS NOT NULL THEN length(replace(cast(__whole_{i} AS string), '-', ''))
+                     WHEN __real_{i} RLIKE '[A-Za-z]' THEN 99 ELSE length(ltrim('0', split_part(__real_{i}, '.', 1))) END AS smallint) AS __whole_digits_{i}"""
+        )
+        sizes.append(
+            f"""cast(CASE WHEN __whole_{i} IS NOT NULL THEN 0 WHEN __real_{i} RLIKE '[A-Za-z]' THEN 99
+                     ELSE length(rtrim('0', split_part(__real_{i}, '.', 2))) END AS smallint) AS __scale_{i}"""
+        )
         judged.append(
-            f"""CASE WHEN __whole_{i} BETWEEN -2147483648 AND 2147483647 THEN {_INT | _BIGINT | _DOUBLE}
-                     WHEN __whole_{i} IS NOT NULL THEN {_BIGINT | _DOUBLE} WHEN {parsing.is_real_sql(name)} THEN {_DOUBLE} ELSE 0 END
+            f"""CASE WHEN __whole_{i} BETWEEN -2147483648 AND 2147483647 THEN {_INT | _BIGINT | _DOUBLE | _EXACT}
+                     WHEN __whole_{i} BETWEEN -{2**53} AND {2**53} THEN {_BIGINT | _DOUBLE | _EXACT}
+                     WHEN __whole_{i} IS NOT NULL THEN {_BIGINT | _DOUBLE}
+                     WHEN length(trim('0' FROM replace(regexp_replace(__real_{i}, '[eE].*$', ''), '.', ''))) <= 15 THEN {_DOUBLE | _EXACT}
+                     WHEN __real_{i} IS NOT NULL THEN {_DOUBLE} ELSE 0 END
                 | CASE WHEN __instant_{i} IS NULL THEN 0 ELSE {_DATE}
                      | CASE WHEN contains({quoted(name)}, ':') AND date_trunc('day', __instant_{i}) <> __instant_{i} THEN 0 ELSE {_MIDNIGHT} END
                      | CASE WHEN {parsing.is_timestamp_sql(name)} THEN {_TIMESTAMP} ELSE 0 END END AS __accepted_{i}"""
@@ -155,39 +171,50 @@ def with_type_bits(df: DataFrame, names: list[str]) -> DataFrame:
         bits.append(f"CASE WHEN __accepted_{i} <> 0 OR NOT {parsing.is_null_word_sql(name)} THEN __accepted_{i} END AS __bits_{i}")
     kept = [quoted(name) for name in df.columns]
     accepted = [f"__accepted_{i}" for i in range(len(names))]
-    return df.selectExpr("*", *read).selectExpr(*kept, *judged).selectExpr(*kept, *accepted, *bits).drop(*accepted)
+    measured = [f"__{kind}_{i}" for i in range(len(names)) for kind in ("whole_digits", "scale")]
+    judged_rows = df.selectExpr("*", *read).selectExpr("*", *digits).selectExpr(*kept, *sizes, *judged)
+    return judged_rows.selectExpr(*kept, *measured, *accepted, *bits).drop(*accepted)
 
 
-def type_of_bits(bits: int | None) -> str | None:
+def type_of_bits(bits: int | None, whole_digits: int | None = None, scale: int | None = None) -> str | None:
     if bits is None:
         return None
-    for bit, name in ((_INT, "int"), (_BIGINT, "bigint"), (_DOUBLE, "double")):
-        if bits & bit:
+    for bit, name in ((_INT, "int"), (_BIGINT, "bigint"), (_DOUBLE | _EXACT, "double")):
+        if bits & bit == bit:
             return name
+    if bits & _DOUBLE:
+        digits = (whole_digits or 0) + (scale or 0)
+        return f"decimal({max(digits, 1)},{scale or 0})" if digits <= _MOST_DIGITS else None
     if bits & _DATE and bits & _MIDNIGHT:
         return "date"
     return "timestamp" if bits & _TIMESTAMP else None
 
 
 def type_counters(names: list[str]) -> dict[str, Column]:
-    """AND of the type bits of each column over a DataFrame made by ``with_type_bits``."""
-    return {name: F.bit_and(F.col(f"__bits_{i}")) for i, name in enumerate(names)}
+    """Over a DataFrame made by ``with_type_bits``: AND of each column's type bits (an int), and the most digits (smallints)."""
+    counters = {}
+    for i, name in enumerate(names):
+        counters[name] = F.bit_and(F.col(f"__bits_{i}"))
+        counters[name, "whole_digits"] = F.max(F.col(f"__whole_digits_{i}"))
+        counters[name, "scale"] = F.max(F.col(f"__scale_{i}"))
+    return counters
 
 
-def inferred_entries(bits: dict[str, int | None]) -> list[dict]:
-    found = {name: type_of_bits(b) for name, b in bits.items()}
+def inferred_entries(measured: dict) -> list[dict]:
+    """Schema entries from the values of ``type_counters``."""
+    names = [name for name in measured if isinstance(name, str)]
+    found = {name: type_of_bits(measured[name], measured[name, "whole_digits"], measured[name, "scale"]) for name in names}
     return [{"column_name": name, "data_type": kind} for name, kind in found.items() if kind]
 
 
 def infer_types(df: DataFrame, columns_per_pass: int = 200) -> list[dict]:
     """Types of the text columns over all rows."""
-    names, bits = text_columns(df), {}
+    names, measured = text_columns(df), {}
     for start in range(0, len(names), columns_per_pass):
-        chunk = names[start : start + columns_per_pass]
-        counters = type_counters(chunk)
-        counted = with_type_bits(df, chunk).agg(*[c.alias(name) for name, c in counters.items()]).first()
-        bits |= counted.asDict()
-    return inferred_entries(bits)
+        counters = type_counters(names[start : start + columns_per_pass])
+        counted = with_type_bits(df, names[start : start + columns_per_pass]).agg(*[c.alias(f"c{i}") for i, c in enumerate(counters.values())]).first()
+        measured |= {name: counted[f"c{i}"] for i, name in enumerate(counters)}
+    return inferred_entries(measured)
 
 
 def infer_schema(df: DataFrame) -> DataFrame:

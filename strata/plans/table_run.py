@@ -134,11 +134,12 @@ def _count_landing(df: DataFrame, filled: Column, suspects: list[str], counters:
     measures |= {f"__c_{i}": c for i, c in enumerate(counters.values())}
     if lineage is None:
         return df.agg(*[c.alias(name) for name, c in measures.items()], F.lit(0).alias("__files"), F.lit("").alias("__names")).first()
-    # counters are either counts, which add up, or type bits, which are ANDed
+    # counters are counts, which add up, or type bits (int), which are ANDed, or digits (smallint), of which the most counts
     per_file = df.groupBy(lineage).agg(*[c.alias(name) for name, c in measures.items()])
-    is_count = {name: per_file.schema[name].dataType.simpleString() == "bigint" for name in measures}
+    merge = {"bigint": lambda name: F.coalesce(F.sum(name), F.lit(0)), "int": F.bit_and, "smallint": F.max}
+    kinds = {name: per_file.schema[name].dataType.simpleString() for name in measures}
     return per_file.agg(
-        *[(F.coalesce(F.sum(name), F.lit(0)) if is_count[name] else F.bit_and(name)).alias(name) for name in measures],
+        *[merge[kinds[name]](name).alias(name) for name in measures],
         F.count("*").alias("__files"),
         # the manifest has all names
         F.when(F.count("*") > 2, F.concat_ws(" ... ", F.min(lineage), F.max(lineage))).otherwise(F.concat_ws(", ", F.min(lineage), F.when(F.count("*") > 1, F.max(lineage)))).alias("__names"),

@@ -58,10 +58,14 @@ def _system(spark: SparkSession, path: str):
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
+    write_bytes(spark, path, text.encode())
+
+
+def write_bytes(spark: SparkSession, path: str, content: bytes) -> None:
     """A small file in one go: written beside its place and moved there."""
     beside, system = _system(spark, f"{path}.{uuid.uuid4().hex[:8]}")
     out = system.create(beside, False)
-    out.write(bytearray(text.encode()))
+    out.write(bytearray(content))
     out.close()
     place, _ = _system(spark, path)
     system.delete(place, False)

@@ -100,7 +100,7 @@ def test_long_whole_numbers_keep_their_digits(texts):
         (["1", "-2", "NA"], "int"),
         (["1", "3000000000"], "bigint"),
         (["1", "1.5", "2e3", "5%"], "double"),
-        (["99999999999999999999999"], "double"),
+        (["99999999999999999999999"], "decimal(23,0)"),
         (["2024-01-01", "05-Mar-24"], "date"),
         (["2024-01-01 00:00:00", "2024-01-02"], "date"),
         (["2024-01-01 10:00:00", "2024-01-02"], "timestamp"),
