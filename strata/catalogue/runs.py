@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from strata import fixed
 from strata.catalogue.common import Catalogue, scratch, table
 from strata.functions.pii import decrypt_columns
+from strata.functions.text import json_text
 from strata.operators.trusted import TrustedTable
+from strata.plans import config as cfg
 from strata.plans import jobs, reports
 from strata.plans.config import locations
 from strata.plans.run_log import read_log
@@ -168,3 +170,95 @@ def pii_dedup_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = trusted(spark, config, base).withColumn("stored", F.col("c_name"))
     plain = decrypt_columns(rows, ["c_name"], _KEY)
     return plain.select("c_custkey", "c_name", F.col(fixed.IS_CURRENT).alias("is_current"), (F.col("stored") != F.col("c_name")).alias("sealed"))
+
+
+_CADENCES = ["daily", "weekly", "monthly", "quarterly", "yearly"]
+
+
+@runs.query(
+    "table_ages",
+    """SELECT concat('region_', r_regionkey) AS table_name, 'SUCCESS' AS status, ['DAILY', 'WEEKLY', 'MONTHLY', 'QUARTERLY', 'YEARLY'][r_regionkey + 1] AS cadence,
+              CAST(24 * 31 * r_regionkey + 2 AS DOUBLE) AS data_age_hours, CASE WHEN 24 * 31 * r_regionkey + 2 <= [26, 170, 745, 2208, 8760][r_regionkey + 1] THEN 'FRESH' ELSE 'STALE' END AS freshness_status, CAST(n AS BIGINT) AS customers
+       FROM region JOIN (SELECT n_regionkey, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1) ON n_regionkey = r_regionkey""",
+)
+def table_ages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A job and a table of customers per region, loaded some months apart; the board takes the ages from the tables."""
+    base, now = scratch(spark, "ages"), "2024-06-30 02:00:00"
+    customer = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    columns, configs, sizes = {"c_custkey": "bigint", "c_name": "string"}, [], None
+    for k, cadence in enumerate(_CADENCES):
+        name, job = f"region_{k}", f"shop_na_us_{cadence}"
+        customer.where(F.col("n_regionkey") == k).select(*columns).write.option("header", True).csv(f"{base}/staging/{name.upper()}")
+        config = settings(f"{base}/staging", name, columns) | {"job_name": job}
+        configs.append((job, name, json.dumps(config)))
+        loaded = spark.sql(f"SELECT CAST(TIMESTAMP '{now}' - INTERVAL {31 * k} DAYS - INTERVAL 2 HOURS AS string)").first()[0]
+        run_table(spark, config, base, job_run_id="one", now=loaded)
+        size = trusted(spark, config, base).agg(F.count("*").alias("customers")).withColumn("table_name", F.lit(name))
+        sizes = size if sizes is None else sizes.unionByName(size)
+    control, board = TrustedTable(spark, f"{base}/control"), TrustedTable(spark, f"{base}/board")
+    jobs.register_configs(spark.createDataFrame(configs, "job_name string, table_name string, config string"), control, T1)
+    jobs.refresh_board(spark, control.read(), base, board, job_run_id="one", job_id="1", now=now)
+    shown = board.read().select("table_name", "status", "cadence", "data_age_hours", "freshness_status")
+    return shown.join(sizes, "table_name")
+
+
+@runs.query(
+    "config_files",
+    """SELECT concat('nation_', s_nationkey, '_daily') AS job_name, concat('t', s_suppkey) AS table_name, s_name AS region, 'append' AS load_type, 'c' AS first_column, 1 AS places
+       FROM supplier""",
+)
+def config_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A config file per supplier in a folder per job: read, flattened into control rows, and each row back into a config."""
+    base, supplier = scratch(spark, "config-files"), table(spark, sf_dir, "supplier")
+    jobs_seen = set()
+    for row in supplier.select("s_suppkey", "s_name", "s_nationkey").toLocalIterator():
+        config = settings("/in", f"t{row.s_suppkey}", {"c": "int"}) | {"region": row.s_name, "is_active": True}
+        job = f"nation_{row.s_nationkey}_daily"
+        jobs_seen.add(job)
+        folders.write_text(spark, f"{base}/{job}/t{row.s_suppkey}.json", json.dumps(config))
+    files = None
+    for job in sorted(jobs_seen):
+        part = cfg.read_config_files(spark, f"{base}/{job}")
+        files = part if files is None else files.unionByName(part)
+    back = [cfg.config_of_row(row) for row in cfg.control_rows(files, T1).toLocalIterator()]
+    told = [
+        (c["job_name"], c["table_name"], c["region"], c["ingestion_steps"]["raw_trusted"]["load_type"], c["schema"][0]["column_name"], len(c["schema"])) for c in back
+    ]
+    return spark.createDataFrame(told, "job_name string, table_name string, region string, load_type string, first_column string, places int")
+
+
+@runs.query(
+    "notify_lookup",
+    """SELECT concat('job_', n_nationkey) AS job_name, concat('nation', n_nationkey, '@example.org') AS address
+       FROM nation WHERE n_nationkey IN (SELECT c_nationkey FROM customer)""",
+)
+def notify_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The addresses of each job, from any one of its active rows, whichever Spark meets first: they are the same."""
+    active = table(spark, sf_dir, "customer").withColumn("active", F.explode(F.array(F.lit(True), F.lit(False))))
+    name = F.when(F.col("active"), F.concat(F.lit("nation"), F.col("c_nationkey"), F.lit("@example.org"))).otherwise(F.lit("off@example.org"))
+    control = active.select(
+        F.concat(F.lit("job_"), F.col("c_nationkey").cast("string")).alias("job_name"),
+        F.col("active").alias("is_active"),
+        F.to_json(F.struct(F.array(name).alias("emails"))).alias("notify"),
+    )
+    names = [row.job_name for row in control.select("job_name").distinct().collect()]
+    found = [(job, address) for job in names for address in reports.notify_settings(control, f"MAIL_{job.upper()}", "MAIL_")]
+    return spark.createDataFrame(found, "job_name string, address string")
+
+
+@runs.query(
+    "json_rows",
+    """SELECT o_orderkey, concat('{"at":"', strftime(o_orderdate, '%Y-%m-%d'), '","none":null,"status":"', o_orderstatus, '","many":[1,', o_custkey, ']}') AS row_text,
+              concat('{"at":"', strftime(o_orderdate, '%Y-%m-%d'), 'T01:30:00.000Z"}') AS moment_text FROM orders""",
+)
+def json_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows as JSON text, as error records keep them: dates and times spelled out, nulls kept."""
+    day = F.col("o_orderdate").cast("date")
+    moment = day.cast("timestamp") + F.expr("INTERVAL 90 MINUTES")
+    return table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        json_text(
+            day.alias("at"), F.lit(None).cast("int").alias("none"), F.col("o_orderstatus").alias("status"), F.array(F.lit(1).cast("long"), F.col("o_custkey").cast("long")).alias("many")
+        ).alias("row_text"),
+        json_text(moment.alias("at")).alias("moment_text"),
+    )

@@ -121,9 +121,6 @@ RESERVED_LANDING_KEYS = [
     "notebook_path",
     "parameters",
     "pii_columns",
-    "malformed_rows",
-    "other_files",
-    "only_new_files",
 ]
 
 # ---- reserved column names ---------------------------------------------------------------------------------

@@ -46,6 +46,7 @@ NO_BATCH, OPEN = "-", "open"
 
 LEAST_BUCKETS, MOST_BUCKETS, BUCKET_BYTES = 8, 4096, 64 * 2**20
 
+DEFINITION = "definition.json"
 _PROPERTY = "strata.table"
 _PATHS = "spark_catalog.strata_paths"  # namespace of tables that are known by their folder only
 
@@ -126,13 +127,13 @@ class TrustedTable:
     def _tell(self, told: Definition, schema: T.StructType) -> None:
         text = json.dumps(asdict(told))
         self.spark.sql(f"ALTER TABLE {_quoted(self.name)} SET TBLPROPERTIES ('{_PROPERTY}' = '{_literal(text)}')")
-        folders.write_text(self.spark, f"{self.root}/_definition", json.dumps({"table": asdict(told), "schema": schema.jsonValue()}))
+        folders.write_text(self.spark, f"{self.root}/{DEFINITION}", json.dumps({"table": asdict(told), "schema": schema.jsonValue()}))
 
     def _recover(self) -> None:
         if self.exists():
             if (at := self.definition().root) != self.root:
                 raise ValueError(f"{self.name} is the table in {at}, not in {self.root}")
-        elif text := folders.read_text(self.spark, f"{self.root}/_definition"):
+        elif text := folders.read_text(self.spark, f"{self.root}/{DEFINITION}"):
             kept = json.loads(text)
             told = Definition(**kept["table"] | {"keys": tuple(kept["table"]["keys"])})
             self._define(told, T.StructType.fromJson(kept["schema"]))

@@ -13,6 +13,8 @@ from strata.operators.schema import align_to
 from strata.operators.snapshots import ensure_namespace
 from strata.operators.trusted import TrustedTable
 from strata.plans import config as cfg
+from strata.plans import reports
+from strata.plans.run_log import read_log
 from strata.plans.table_run import run_table
 from strata.session import scratch_dir, session_like
 
@@ -49,6 +51,14 @@ def publish_board(rows: DataFrame, board: TrustedTable, now: str | None = None)
     return board.upsert_all(rows, ["job_id", "table_name"], now=now)
 
 
+def refresh_board(spark: SparkSession, control: DataFrame, base: str, board: TrustedTable, *, job_run_id: str, job_id: str, now: str, **shown) -> int:
+    """The status board of one run: statuses from the run log, ages from the tables themselves."""
+    statuses = reports.table_status(read_log(spark, f"{base.rstrip('/')}/run_log"), job_run_id)
+    shown = {"trigger_type": "MANUAL", "run_url": "", **shown}
+    rows = reports.monitoring_rows(control, statuses, reports.last_updates(spark, control, base), job_id=job_id, now=now, **shown)
+    return publish_board(rows, board, now)
+
+
 def run_job(spark: SparkSession, control: DataFrame, job_name: str, base: str, tables: list[str] | None = None, parallel: int = 4, **options) -> dict:
     """Runs the active tables of a job, some at a time, and returns {table: number of the load or the exception} under ``tables``.
 

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata import fixed
 from strata.functions import naming
+from strata.functions.text import namespace
 from strata.functions.wording import email_list, percent_text, score_band
+from strata.operators.trusted import DEFINITION
 from strata.plans.run_log import value_of
+from strata.sources import folders
 
 
 def latest_per(df: DataFrame, keys: list[str], newest_first: list[Column]) -> DataFrame:
@@ -162,6 +165,23 @@ def monitoring_rows(
     )
 
 
+def last_updates(spark: SparkSession, control: DataFrame, base: str) -> DataFrame:
+    """(job_name, table_name, last_table_update_time) of the control table's trusted tables below ``base``, out of the tables'
+    own definitions in one read. Tables that were never loaded are left out."""
+    pattern = f"{base.rstrip('/')}/trusted/*/*/{DEFINITION}"
+    told = "table struct<root: string, loaded_at: string>"
+    if folders.matching(spark, pattern):
+        definitions = spark.read.schema(told).option("multiLine", True).json(pattern)
+    else:
+        definitions = spark.createDataFrame([], told)
+    place = F.split("table.root", "/")
+    loaded = definitions.select(
+        F.element_at(place, -2).alias("__schema"), F.element_at(place, -1).alias("table_name"), F.col("table.loaded_at").cast("timestamp").alias("last_table_update_time")
+    )
+    wanted = control.select("job_name", "table_name", namespace(F.col("source_name"), F.col("market")).alias("__schema"))
+    return wanted.join(loaded, ["__schema", "table_name"]).drop("__schema")
+
+
 def job_name_of_run(log: DataFrame) -> DataFrame:
     """(job_run_id, job_name) from the outcome events."""
     events = log.where((F.col("function_name") == fixed.SUMMARY_FUNCTION) & F.col("job_name").isNotNull())

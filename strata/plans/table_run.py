@@ -27,7 +27,7 @@ from strata.plans.run_log import RunLog
 from strata.session import keep_methods_small
 from strata.sources import manifest
 from strata.sources.folders import latest_run, move_into, source_files
-from strata.sources.landing_files import read_source_files, reader_options
+from strata.sources.landing_files import landing_settings, read_source_files
 from strata.sources.producers import run_producer
 from strata.sources.readers import format_name, read_landing_csv, write_csv, write_parquet
 
@@ -70,10 +70,11 @@ def source_listing(run: RunContext) -> DataFrame | None:
     if not source_files(run.spark, source_folder(run)):
         raise FileNotFoundError(f"no input files in {source_folder(run)}")
     files = manifest.listed(run.spark, source_folder(run))
-    if (landing.get("other_files") or "fail") != "skip":
+    settings = landing_settings(landing)[1]
+    if (settings.get("other_files") or "fail") != "skip":
         manifest.require_read(files, landing["file_format"])
     files = files.where(manifest.is_read(landing["file_format"]))
-    if landing.get("only_new_files"):
+    if settings.get("only_new_files"):
         files = manifest.new_files(files, manifest.loaded_before(run.spark, run.paths["manifests"]))
     return files
 
@@ -82,9 +83,9 @@ def source_rows(run: RunContext, files: DataFrame | None) -> DataFrame:
     """Rows of the source with lineage: files when a source path is configured, else a producer."""
     landing = run.layer("landing")
     if files is not None:
-        options = reader_options(landing)
-        drift = options.pop("header_drift", "error")
-        named = [row.path for row in files.select("path").collect()] if landing.get("only_new_files") else None
+        options, settings = landing_settings(landing)
+        drift = settings.get("header_drift") or "error"
+        named = [row.path for row in files.select("path").collect()] if settings.get("only_new_files") else None
         malformed = None if str(options.get("mode") or "PERMISSIVE").upper() != "PERMISSIVE" else fixed.MALFORMED_COLUMN
         return read_source_files(run.spark, source_folder(run), landing["file_format"], options, drift, malformed, named)
     if landing.get("notebook_path"):
@@ -216,7 +217,7 @@ def _malformed_rows(run: RunContext, rows: DataFrame, count: int) -> bool:
     """Records the rows that had more or fewer cells than their file has columns. By ``malformed_rows`` they are loaded all
     the same ('report': missing cells are null, surplus cells are in the record only), left out ('reject'; says so by True), or
     stop the run ('fail')."""
-    policy = run.layer("landing").get("malformed_rows") or "report"
+    policy = landing_settings(run.layer("landing"))[1].get("malformed_rows") or "report"
     if policy not in ("report", "reject", "fail"):
         raise ValueError(f"unknown policy '{policy}' for malformed rows")
     if not count:

@@ -45,6 +45,16 @@ def reader_options(landing: dict) -> dict:
     return {**options, **given}
 
 
+SETTINGS = ("header_drift", "malformed_rows", "other_files", "only_new_files")
+
+
+def landing_settings(landing: dict) -> tuple[dict, dict]:
+    """Reader options of a landing config, and this engine's own settings among them. Control rows have no columns for the
+    latter, so they may stand among the format's options."""
+    options = reader_options(landing)
+    return {k: v for k, v in options.items() if k not in SETTINGS}, {k: options[k] for k in SETTINGS if k in options}
+
+
 def read_source_files(
     spark: SparkSession,
     folder: str,

@@ -20,7 +20,7 @@ from strata.functions.text import col
 from strata.operators.schema import schema_entries
 from strata.plans.table_run import run_table
 from strata.sources import folders
-from strata.sources.landing_files import reader_options
+from strata.sources.landing_files import landing_settings
 from strata.sources.readers import format_name
 from strata.sources.workbook import PATH_COLUMN, read_workbooks
 
@@ -35,7 +35,7 @@ def arriving_rows(spark: SparkSession, config: dict, columns: list[str] | None =
     """
     landing = config["ingestion_steps"]["landing"]
     folder, kind = f"{landing['source_path'].rstrip('/')}/{config['table_name'].upper()}", format_name(landing["file_format"])
-    options = {k: v for k, v in reader_options(landing).items() if k not in ("header_drift", "excel_options")}
+    options = {k: v for k, v in landing_settings(landing)[0].items() if k != "excel_options"}
     if archive:
         options |= {"cleanSource": "archive", "sourceArchiveDir": archive}
     if kind == "excel":
@@ -62,7 +62,7 @@ def arriving_rows(spark: SparkSession, config: dict, columns: list[str] | None =
 
 def workbook_rows(files: DataFrame, config: dict) -> DataFrame:
     """Rows of the workbooks of one micro-batch."""
-    options = dict(reader_options(config["ingestion_steps"]["landing"]).get("excel_options") or {})
+    options = dict(landing_settings(config["ingestion_steps"]["landing"])[0].get("excel_options") or {})
     rows = read_workbooks(files.select("path", "content"), options)
     return rows.withColumn(fixed.LINEAGE_COLUMN, F.element_at(F.split(F.col(PATH_COLUMN), "/"), -1)).drop(PATH_COLUMN)
 

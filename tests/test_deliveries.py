@@ -166,3 +166,27 @@ def test_tables_of_a_job_share_its_run_id(spark, staging, tmp_path):
     ids = [jobs.run_job(spark, table.read(), "j", str(tmp_path / "lake"))["job_run_id"] for _ in range(2)]
     logged = {r.job_run_id for r in read_log(spark, str(tmp_path / "lake" / "run_log")).select("job_run_id").distinct().collect()}
     assert len(set(ids)) == 2 and logged == set(ids)
+
+
+def test_settings_may_stand_among_the_formats_options(spark, staging, tmp_path):
+    (staging / "b.txt").write_text("x")
+    (staging / "one.csv").write_text("a,b\n1,x\n2\n")
+    told = config(staging)
+    told["ingestion_steps"]["landing"]["csv_options"] = json.dumps({"delimiter": ",", "other_files": "skip", "malformed_rows": "reject"})
+    base = str(tmp_path / "lake")
+    run_table(spark, told, base)
+    assert rows(spark, told, base) == [(1, "x")]
+
+
+def test_ages_come_from_the_tables(spark, staging, tmp_path):
+    from strata.plans import reports
+
+    base, told = str(tmp_path / "lake"), config(staging)
+    control = spark.createDataFrame(
+        [("j", "t", "SHOP", "US"), ("j", "never", "SHOP", "US")], "job_name string, table_name string, source_name string, market string"
+    )
+    assert reports.last_updates(spark, control, base).count() == 0
+    for now in ("2024-01-01 00:00:00", "2024-01-02 03:00:00"):
+        run_table(spark, told, base, now=now)
+    found = reports.last_updates(spark, control, base).collect()
+    assert [(r.job_name, r.table_name, str(r.last_table_update_time)) for r in found] == [("j", "t", "2024-01-02 03:00:00")]
