@@ -373,8 +373,9 @@ def _moment_text(now) -> str:
 
 
 def _balanced(df: DataFrame, partitions: list[str]) -> DataFrame:
-    """One task for each partition of the table; a large one gets several, several small ones share one."""
-    return df.hint("rebalance", *[F.col(p) for p in partitions])
+    """One task for each bucket of the table; a large one gets several, several small ones share one. A batch is written by the
+    tasks that have it, without a shuffle."""
+    return df.hint("rebalance", *[F.col(p) for p in partitions]) if BUCKET in partitions else df
 
 
 def _buckets(placed: DataFrame) -> list[int]:

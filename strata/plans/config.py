@@ -391,6 +391,7 @@ def locations(config: dict, run_ts: str, base: str) -> dict[str, str]:
         "raw": f"{root}/raw/{place}/{run_ts}",
         "raw_trusted": f"{root}/trusted/{schema}/{config['table_name']}",
         "manifests": f"{root}/manifests/{place}",
+        "counts": f"{root}/counts/{place}/{run_ts}",
         "trusted_name": f"{schema}.{config['table_name']}",
         "errors": f"{root}/errors/{schema}/{config['table_name']}_errors",
     }

@@ -45,6 +45,7 @@ class RunContext:
     now: str | None = None
     catalog: str | None = None
     files: DataFrame | None = None
+    counted: bool = False
 
     @property
     def table(self) -> str:
@@ -127,8 +128,8 @@ def land(run: RunContext, rows: DataFrame | None = None) -> DataFrame:
 # ---- Raw ---------------------------------------------------------------------------------------------------
 
 
-def _count_landing(df: DataFrame, filled: Column, suspects: list[str], counters: dict[str, Column]):
-    """All Raw needs to know about Landing in one scan: per source file first, then over all files."""
+def _count_landing(df: DataFrame, filled: Column, suspects: list[str], counters: dict[str, Column], path: str):
+    """All Raw needs to know about Landing in one scan: per source file first, which is written for the manifest, then over all."""
     lineage = fixed.LINEAGE_COLUMN if fixed.LINEAGE_COLUMN in df.columns else None
     measures = {"__total": F.count("*"), "__filled": F.count_if(filled), "__malformed": F.count(col(fixed.MALFORMED_COLUMN))}
     measures |= {f"__suspect_{i}": F.count(col(n)) for i, n in enumerate(suspects)}
@@ -137,6 +138,8 @@ def _count_landing(df: DataFrame, filled: Column, suspects: list[str], counters:
         return df.agg(*[c.alias(name) for name, c in measures.items()], F.lit(0).alias("__files"), F.lit("").alias("__names")).first()
     # counters are counts, which add up, or type bits (int), which are ANDed, or digits (smallint), of which the most counts
     per_file = df.groupBy(lineage).agg(*[c.alias(name) for name, c in measures.items()])
+    write_parquet(per_file, path)
+    per_file = df.sparkSession.read.schema(per_file.schema).parquet(path)
     merge = {"bigint": lambda name: F.coalesce(F.sum(name), F.lit(0)), "int": F.bit_and, "smallint": F.max}
     kinds = {name: per_file.schema[name].dataType.simpleString() for name in measures}
     return per_file.agg(
@@ -169,7 +172,8 @@ def refine(run: RunContext, landed: DataFrame) -> DataFrame:
     else:
         names = schema.text_columns(renamed.select(*[col(n) for n in business]))
         counters, counted_rows = schema.type_counters(names), schema.with_type_bits(renamed, names)
-    counted = _count_landing(counted_rows, filled, suspects, counters)
+    counted = _count_landing(counted_rows, filled, suspects, counters, run.paths["counts"])
+    run.counted = True
     measured = {name: counted[f"__c_{i}"] for i, name in enumerate(counters)}
 
     run.log.event(
@@ -344,8 +348,11 @@ def _run_layers(run: RunContext, rows: DataFrame | None) -> int | None:
 
 
 def write_manifest(run: RunContext) -> None:
-    landed = read_landing_csv(run.spark, run.paths["landing"])
-    files = manifest.counted(run.files, landed, run.log.run_id, run.table)
+    if run.counted:  # by the pass that Raw starts with
+        per_file = run.spark.read.parquet(run.paths["counts"]).select(fixed.LINEAGE_COLUMN, F.col("__total").alias("rows"))
+    else:
+        per_file = read_landing_csv(run.spark, run.paths["landing"]).groupBy(fixed.LINEAGE_COLUMN).agg(F.count("*").alias("rows"))
+    files = manifest.counted(run.files, per_file, run.log.run_id, run.table)
     files.write.mode("overwrite").parquet(f"{run.paths['manifests']}/{run.log.run_id}")
 
 

@@ -58,8 +58,7 @@ def token_of(files: DataFrame) -> str:
     return f"files-{row.n}-" + "".join(f"{int(row[f's{i}']) % 2**64:016x}" for i in range(2))
 
 
-def counted(files: DataFrame, landed: DataFrame, run_id: str, table_name: str) -> DataFrame:
-    """The manifest of a run: every file with the rows that Landing has of it."""
-    per_file = landed.groupBy(F.col(fixed.LINEAGE_COLUMN).alias("file_name")).agg(F.count("*").alias("rows"))
-    told = files.join(per_file, "file_name", "left").withColumns({"run_id": F.lit(run_id), "table_name": F.lit(table_name)})
+def counted(files: DataFrame, per_file: DataFrame, run_id: str, table_name: str) -> DataFrame:
+    """The manifest of a run: every file with the rows that Landing has of it (source_file_name, rows)."""
+    told = files.join(per_file.withColumnRenamed(fixed.LINEAGE_COLUMN, "file_name"), "file_name", "left").withColumns({"run_id": F.lit(run_id), "table_name": F.lit(table_name)})
     return told.select("run_id", "table_name", "path", "file_name", "length", "modified", F.coalesce("rows", F.lit(0).cast("long")).alias("rows"))
