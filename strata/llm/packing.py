@@ -118,8 +118,8 @@ def packed_pieces(docs: DataFrame, tokenizer: str = BYTE_BPE, end_id: int = 1, t
                 base[0] = batch.column("task")[0].as_py() << 36
             texts, doc_ids = batch.column("text"), batch.column("doc_id").to_pylist()
             sizes = np.concatenate([[0], np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))])
-            for lo, hi in slices(sizes, 2**21):
-                for name, raw in zip(doc_ids[lo:hi], encode(texts[lo:hi].to_pylist()), strict=True):
+            for lo, hi in slices(sizes, 2**22):
+                for name, raw in zip(doc_ids[lo:hi], encode(texts.slice(lo, hi - lo)), strict=True):
                     names.append(name)
                     held.append(raw + end)
                     ids += len(held[-1]) // 4

@@ -106,8 +106,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str = BYTE_BPE, end_id:
                 run = batch.column("run")[0].as_py()
             texts, names = batch.column("text"), batch.column("doc_id").to_pylist()
             sizes_of = np.concatenate([[0], np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))])
-            for lo, hi in slices(sizes_of, 2**21):
-                for name, raw in zip(names[lo:hi], encode(texts[lo:hi].to_pylist()), strict=True):
+            for lo, hi in slices(sizes_of, 2**22):
+                for name, raw in zip(names[lo:hi], encode(texts.slice(lo, hi - lo)), strict=True):
                     ids.append(name)
                     sizes.append(len(raw) // 4 + 1)
                     parts += [raw, end]

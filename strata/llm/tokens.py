@@ -2,7 +2,8 @@
 
 Byte-level BPE never merges across the start of a word, so a text may be cut before each space or line feed that follows
 a character other than white space, and the ids of the parts, one after the other, are the ids of the text. Parts repeat
-(words), so each task keeps the ids of parts it has met. The library encodes every part; only repetition is saved.
+(words), so each task keeps the ids of parts it has met. The library encodes every part; only repetition is saved. Arrow
+splits the texts of a batch and numbers their words, and ids are gathered by these numbers, so Python sees a word once a batch.
 """
 
 from __future__ import annotations
@@ -12,10 +13,13 @@ import os
 import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 BYTE_BPE = "byte_bpe_50k.json"
 
-_RARE_BLANK = re.compile("[^\\S \n]|᠎")
+# white space other than single spaces and line feeds, each after another character
+_RARE_BLANK = r"[ \n]{2}|[\t\x0B\f\r\x1C-\x1F\x{85}\x{A0}\x{1680}\x{180E}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 _CUT = re.compile("(?<=[^\\s᠎])(?=[ \n])")
 _ENDS_BLANK = re.compile("[\\s᠎]\\Z")
 
@@ -26,11 +30,6 @@ def encoder(name: str = BYTE_BPE) -> WordEncoder:
     return WordEncoder(name)
 
 
-def single_blanks(text: str) -> bool:
-    """True if no space or line feed follows white space, so that each of them begins a part."""
-    return not ("  " in text or " \n" in text or "\n " in text or "\n\n" in text or _RARE_BLANK.search(text))
-
-
 class WordEncoder:
     """Ids of texts as little-endian unsigned 32-bit integers, one bytes object per text.
 
@@ -51,27 +50,46 @@ class WordEncoder:
         self.words: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        heads, bodies = [], []
-        for text in texts:
-            if single_blanks(text):  # each word follows a space; one that follows a line feed keeps it
-                head, *body = text.replace("\n", " \n").split(" ")
-                heads.append([head] if head else [])
-                bodies.append(body)
-            else:
-                heads.append(_CUT.split(text))
-                bodies.append([])
-        return list(map(bytes.__add__, self._look_up(self.parts, heads, str), self._look_up(self.words, bodies, _behind_blank)))
-
-    def _look_up(self, table: dict[str, bytes], lists: list[list[str]], spell) -> list[bytes]:
+    def encode(self, texts: pa.Array | list[str]) -> list[bytes]:
+        column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        rare = pc.match_substring_regex(column, _RARE_BLANK).to_numpy(zero_copy_only=False)
+        out = np.empty(len(column), object)
+        if not rare.all():
+            out[~rare] = self._encode_words(column.filter(pa.array(~rare)))
+        for at in np.flatnonzero(rare).tolist():
+            out[at] = b"".join(self._ids_of(self.parts, _CUT.split(column[at].as_py()), str))
+        return out.tolist()
+
+    def _encode_words(self, column: pa.Array) -> list[bytes]:
+        """Ids of texts in which each space or line feed begins a part: words follow a space, one behind a line feed keeps it."""
+        lists = pc.split_pattern(pc.replace_substring(column, "\n", " \n"), " ")
+        starts = lists.offsets.to_numpy()
+        words = lists.flatten()
+        heads = self._ids_of(self.parts, words.take(pa.array(starts[:-1])).to_pylist(), str)
+        encoded = words.dictionary_encode()
+        bodies = self._ids_of(self.words, encoded.dictionary.to_pylist(), _behind_blank)
+        number = encoded.indices.to_numpy().astype(np.int64)
+        number[starts[:-1]] = len(bodies) + np.arange(len(heads))
+        known = bodies + heads
+        flat = np.frombuffer(b"".join(known), "<u4")
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) >> 2
+        own = sizes[number]
+        ends = np.cumsum(own)
+        at = np.repeat((np.cumsum(sizes) - sizes)[number] - (ends - own), own)
+        at += np.arange(len(at))
+        ids = flat[at]
+        cuts = np.concatenate([[0], ends])[starts].tolist()
+        return [ids[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
+    def _ids_of(self, table: dict[str, bytes], parts: list[str], spell) -> list[bytes]:
         if len(table) > self.kept_words:
             table.clear()
-        fresh: set[str] = set()
-        for words in lists:
-            fresh.update(w for w, ids in zip(words, map(table.get, words)) if ids is None)
-        names = list(fresh)
-        table.update(zip(names, self._encode_parts([spell(w) for w in names])))
-        return [b"".join(map(table.__getitem__, words)) for words in lists]
+        found = list(map(table.get, parts))
+        fresh = list({p for p, ids in zip(parts, found) if ids is None})
+        if not fresh:
+            return found
+        table.update(zip(fresh, self._encode_parts([spell(p) for p in fresh])))
+        return list(map(table.__getitem__, parts))
 
     def _encode_parts(self, parts: list[str]) -> list[bytes]:
         """Ids of each part. Parts that may follow one another are encoded as one text and told apart by their bytes."""
