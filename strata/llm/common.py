@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from contextvars import ContextVar
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -9,26 +12,54 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.session import scratch_dir, ship_package
+from strata.sources import folders
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+_TEMPORARY: ContextVar[list[str] | None] = ContextVar("temporary", default=None)
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared scratch folder and read back: cuts the lineage, and survives lost executors."""
     spark = df.sparkSession
     path = scratch_dir(spark, label)
+    if (folders_of := _TEMPORARY.get()) is not None:
+        folders_of.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def settled(spark: SparkSession, make: Callable[[], DataFrame], label: str) -> DataFrame:
+    """``make()`` written, and all folders that were written on the way to it removed: only the result takes room."""
+    token = _TEMPORARY.set(steps := [])
+    try:
+        result = make()
+        out = scratch_dir(spark, label)
+        result.write.parquet(out)
+    finally:
+        _TEMPORARY.reset(token)
+        for path in steps:
+            folders.remove(spark, path)
+    return spark.read.schema(result.schema).parquet(out)
+
+
 ROW = "__row"
 
 
-def with_row_keys(df: DataFrame) -> DataFrame:
-    """``df`` and a key ``ROW`` of each row, written once: the key tells rows apart whatever their ids and texts."""
-    return written(df.withColumn(ROW, F.monotonically_increasing_id()), "rows")
+def fresh_name(df: DataFrame, name: str) -> str:
+    """``name``, or one like it that no column of ``df`` has in any letter case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def with_row_keys(df: DataFrame, row: str = ROW) -> DataFrame:
+    """``df`` and a key ``row`` of each row, written once: the key tells rows apart whatever their ids and texts."""
+    return written(df.withColumn(row, F.monotonically_increasing_id()), "rows")
 
 
 def tasks_need_package(df: DataFrame) -> None:

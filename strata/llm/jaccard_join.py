@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import HASH_BASE, HASH_INVERSE, byte_buffer, mixed, powers, slices, tasks_need_package, written
+from strata.llm.common import HASH_BASE, HASH_INVERSE, byte_buffer, mixed, powers, settled, slices, tasks_need_package, written
 from strata.llm.links import components
 
 GROUPS, COARSE = 256, 32
@@ -401,6 +401,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100)
 def surplus_rows(docs: DataFrame, row: str, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """Keys ``row`` of all rows but one of each group that links connect. The row of the smallest doc_id stays, null last; of
     equal doc_ids that of the smallest set number, then of the smallest key. Rows without shingles all stay."""
+    return settled(docs.sparkSession, lambda: _surplus_rows(docs, row, k, num, den), "surplus")
+
+
+def _surplus_rows(docs: DataFrame, row: str, k: int, num: int, den: int) -> DataFrame:
     sets = document_sets(docs, k, row)
     final, full = _components(sets, num, den)
     rank = F.struct(F.isnull("doc_id").alias("unknown"), "doc_id", F.col("node").alias("set"), F.col(row).alias("kept"))

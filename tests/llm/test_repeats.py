@@ -222,3 +222,36 @@ def test_contexts_are_told_apart_by_all_bits(monkeypatch):
     core_hash, context, _ = repeats._unpacked(packed, n, names)
     assert context.tolist() == block.context[block.first].tolist() and core_hash.tolist() == block.core[block.first].tolist()
     assert n >= 20
+
+
+CLASHING = ["__row", "__Of", "__new", "of", "kept_text", "node", "n", "block", "rows", "kept", "Score_", "h1", "segment"]
+
+
+@pytest.mark.parametrize("stage", [name for name, _ in corpus_pipeline.STAGES[:3]])
+def test_stages_keep_columns_of_any_name(spark, tmp_path, stage):
+    passage = "".join(random.Random(13).choices("abcdefgh ", k=90))
+    rows = [(i, f"{i} {passage} {i}", "en", "s", 94, *[f"{c}{i}" for c in CLASHING]) for i in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` string" for c in CLASHING))
+    spark.createDataFrame([(1, 0), (2, 1)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    out = dict(corpus_pipeline.STAGES)[stage](spark, docs, str(tmp_path))
+    assert out.columns == docs.columns
+    for r in out.collect():
+        assert [r[c] for c in CLASHING] == [f"{c}{r.doc_id}" for c in CLASHING]
+
+
+def test_removal_without_a_length_column(spark, tmp_path):
+    passage = "".join(random.Random(14).choices("abcdefgh ", k=90))
+    docs = spark.createDataFrame([(1, passage), (2, passage + "x")], "doc_id long, text string")
+    assert sorted(tuple(r) for r in corpus_pipeline.suffix_array_dedup(spark, docs, str(tmp_path)).collect()) == [(1, passage), (2, "x")]
+
+
+def test_pipeline_over_an_empty_table(spark, tmp_path):
+    table(spark, "/root/testdata/sf0.001", "documents").limit(0).write.parquet(f"{tmp_path}/documents.parquet")
+    table(spark, "/root/testdata/sf0.001", "labels").write.parquet(f"{tmp_path}/labels.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_only_results_take_room(spark, documents, tmp_path, monkeypatch):
+    monkeypatch.setattr("strata.llm.common.scratch_dir", lambda spark, label: f"{tmp_path}/{label}-{random.randrange(10**9)}")
+    corpus_pipeline.jaccard_dedup(spark, documents(near_rows(2)), "").count()
+    assert sorted(p.name.split("-")[0] for p in tmp_path.iterdir()) == ["rows", "surplus"]
