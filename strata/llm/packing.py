@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import slices, tasks_need_package
+from strata.llm.common import slices, tasks_need_package, thrifty
 from strata.llm.tokens import BYTE_BPE, encoder
 
 TIERS = (128, 256, 512, 1024, 2048)
@@ -111,6 +111,7 @@ def packed_pieces(docs: DataFrame, tokenizer: str = BYTE_BPE, end_id: int = 1, t
     )
     end = struct.pack("<I", end_id)
 
+    @thrifty
     def pieces(batches):
         encode, names, held, ids, base = encoder(tokenizer).encode, [], [], 0, [None, 0, 0]
         for batch in batches:

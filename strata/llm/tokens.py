@@ -36,7 +36,7 @@ class WordEncoder:
     ``kept_words`` bounds the memory: a table of known words that holds more starts anew with the next call.
     """
 
-    def __init__(self, name: str = BYTE_BPE, kept_words: int = 700_000):
+    def __init__(self, name: str = BYTE_BPE, kept_words: int = 300_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         import public_tokenizers
         from tokenizers import Tokenizer
