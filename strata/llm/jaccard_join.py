@@ -90,16 +90,16 @@ def _loaded(stored: bytes) -> np.ndarray:
     return np.frombuffer(stored, "<u4", n).astype(np.uint64) << np.uint64(16) | np.frombuffer(stored, "<u2", n, 4 * n).astype(np.uint64)
 
 
-def document_sets(docs: DataFrame, k: int, row: str | None = None) -> DataFrame:
+def document_sets(docs: DataFrame, k: int, row: str | None = None, slice_bytes: int = 2**22) -> DataFrame:
     """doc_id, n (size of the set), node (number of the set), point (shingles per group), shingles, and the row key if one is
-    named; written to the shared folder."""
+    named; written to the shared folder. Texts are taken ``slice_bytes`` at a time, which takes some 50 times the memory."""
     tasks_need_package(docs)
     own = [row] if row else []
 
     def sets(batches):
         for batch in batches:
             data, starts = byte_buffer(batch.column("text"))
-            for lo, hi in slices(starts, 2**22):
+            for lo, hi in slices(starts, slice_bytes):
                 found = shingle_sets(data[starts[lo] : starts[hi]], starts[lo : hi + 1] - starts[lo], k)
                 stored = [_stored(s) for s in found]
                 nodes = [int.from_bytes(hashlib.blake2b(s, digest_size=8).digest(), "little", signed=True) for s in stored]
@@ -405,7 +405,7 @@ def surplus_rows(docs: DataFrame, row: str, k: int = 5, num: int = 80, den: int
 
 
 def _surplus_rows(docs: DataFrame, row: str, k: int, num: int, den: int) -> DataFrame:
-    sets = document_sets(docs, k, row)
+    sets = document_sets(docs, k, row, 2**20)
     final, full = _components(sets, num, den)
     rank = F.struct(F.isnull("doc_id").alias("unknown"), "doc_id", F.col("node").alias("set"), F.col(row).alias("kept"))
     one = full.groupBy("node").agg(F.min(rank).alias("best"))

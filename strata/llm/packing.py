@@ -101,8 +101,9 @@ def step_groups(used: list[int], step_ids: int = STEP_IDS) -> list[int]:
     return groups
 
 
-def packed_pieces(docs: DataFrame, tokenizer: str = BYTE_BPE, end_id: int = 1, tiers: tuple[int, ...] = TIERS) -> DataFrame:
-    """One row per piece. A sequence has sequence_length ids with padding; its number holds the task's in the upper bits."""
+def packed_pieces(docs: DataFrame, tokenizer: str = BYTE_BPE, end_id: int = 1, tiers: tuple[int, ...] = TIERS, forget: bool = False) -> DataFrame:
+    """One row per piece. A sequence has sequence_length ids with padding; its number holds the task's in the upper bits. With
+    ``forget``, workers keep no words for their next task, which takes less memory and more time."""
     if any(t & (t - 1) for t in tiers) or list(tiers) != sorted(set(tiers)):
         raise ValueError("tiers are ascending powers of two")
     tasks_need_package(docs)
@@ -129,6 +130,8 @@ def packed_pieces(docs: DataFrame, tokenizer: str = BYTE_BPE, end_id: int = 1, t
                         names, held, ids = [], [], 0
         if names:
             yield _run(names, held, tiers, base)
+        if forget:
+            encoder(tokenizer).forget()
 
     return rows.mapInArrow(pieces, PIECES)
 

@@ -60,6 +60,10 @@ class WordEncoder:
             out[at] = b"".join(self._ids_of(self.parts, _CUT.split(column[at].as_py()), str))
         return out.tolist()
 
+    def forget(self) -> None:
+        """Drops the words met so far, for workers that go on to other work."""
+        self.words, self.parts = {}, {}
+
     def _encode_words(self, column: pa.Array) -> list[bytes]:
         """Ids of texts in which each space or line feed begins a part: words follow a space, one behind a line feed keeps it."""
         lists = pc.split_pattern(pc.replace_substring(column, "\n", " \n"), " ")
