@@ -112,7 +112,6 @@ def packed_pieces(docs: DataFrame, tokenizer: str = BYTE_BPE, end_id: int = 1, t
     )
     end = struct.pack("<I", end_id)
 
-    @thrifty
     def pieces(batches):
         encode, names, held, ids, base = encoder(tokenizer).encode, [], [], 0, [None, 0, 0]
         for batch in batches:
@@ -133,7 +132,7 @@ def packed_pieces(docs: DataFrame, tokenizer: str = BYTE_BPE, end_id: int = 1, t
         if forget:
             encoder(tokenizer).forget()
 
-    return rows.mapInArrow(pieces, PIECES)
+    return rows.mapInArrow(thrifty(pieces) if forget else pieces, PIECES)
 
 
 def _run(names: list, held: list[bytes], tiers: tuple[int, ...], base: list[int]) -> pa.RecordBatch:
