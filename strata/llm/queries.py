@@ -118,12 +118,11 @@ def op9_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _merge_dropout(rows: DataFrame, keys: list[str], others: list[str] | None = None) -> DataFrame:
-    pieces = merge_dropout.decode(merge_dropout.encode(rows, keys, dropout=0.1, seed=1))
-    summed = merge_dropout.ids_crc32(pieces)
-    return summed.select(
+    passed = merge_dropout.round_trip(rows, keys, dropout=0.1, seed=1)
+    return passed.select(
         *keys,
         *(others or []),
-        F.size("piece_ids").cast("long").alias("n_pieces"),
+        "n_pieces",
         "ids_crc32",
         F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"),
         (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("lossless"),
