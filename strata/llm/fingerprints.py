@@ -7,7 +7,8 @@ characters (or fields) in a row share a chosen hash.
 
 Defined cases: a null text is empty, and empty text is one empty field or character; a text with fewer than k is one k-gram;
 rows with equal doc_id and text count as one document when the next document is looked up; a null doc_id comes last in
-descending order; an empty table gives no rows. Columns other than doc_id and text are ignored.
+descending order; an empty table gives no rows. Columns other than doc_id and text are ignored. A text of any length is
+marked stretch by stretch; its spelling, four bytes a character, is held in a task.
 """
 
 from __future__ import annotations
@@ -52,49 +53,51 @@ def chosen(text: Column, k: int = 3, window: int = 4) -> Column:
     return F.array_distinct(full)
 
 
-def rolled(text: Column, k: int = 16, window: int = 32) -> Column:
-    """As ``chosen``, over k-grams of characters. ``k`` and ``window`` are powers of two, ``k`` at least 2.
+def rolled(text: Column, k: int = 16, window: int = 32, stretch: int = 2**12) -> Column:
+    """As ``chosen``, over k-grams of characters. ``window`` and ``stretch`` are powers of two.
 
-    Four (or two) neighbouring hashes make the hash of a string four times (twice) as long, from every place on; minima
-    widen the same way. A null beyond the end counts for neither.
+    The text is spelled with four bytes a character, so a k-gram is a slice at a known place. Stretches of places are marked
+    one after the other, each reading on into the next: what a text takes besides this spelling and its marks is the arrays
+    of one stretch. Four (or two) neighbouring minima make the minimum of a window four times (twice) as long; a null beyond
+    the end does not count.
     """
-    if window & (window - 1) or k & (k - 1) or k < 2:
-        raise ValueError("k and window must be powers of two, k at least 2")
+    if window & (window - 1) or stretch & (stretch - 1) or k < 1:
+        raise ValueError("window and stretch must be powers of two, k at least 1")
 
-    def ahead(v: Column, x: Column, i: Column, step: int, times: int) -> list[Column]:
-        return [x, *[F.get(v, i + j * step) for j in range(1, times)]]
+    def least(step: int, times: int):
+        return lambda v: F.transform(v, lambda x, i: F.least(x, *[F.get(v, i + j * step) for j in range(1, times)]))
 
-    def longer(step: int, times: int, last: bool):
-        def value(v: Column):
-            def one(x: Column, i: Column) -> Column:
-                h = F.xxhash64(*ahead(v, x, i, step, times))
-                return F.pmod(h, F.lit(PRIME)) * 2**31 + (LAST - i) if last else h
+    def marked(spelled: Column, last: Column, first: Column) -> Column:
+        """Marks of the windows from place ``first`` on; the last k-gram lies at ``last``."""
+        end = F.least(first + (stretch + window - 2), last)
+        value = F.transform(
+            F.sequence(first * 4 + 1, end * 4 + 1, F.lit(4)), lambda p: F.xxhash64(F.substring(spelled, p, 4 * k)).bitwiseOR(F.lit(LAST)) - p
+        )
+        step = 1
+        while step < window:
+            times = 4 if step * 4 <= window else 2
+            value, step = bound(value, least(step, times)), step * times
+        return F.array_distinct(bound(value, lambda m: F.slice(m, F.lit(1), F.greatest(F.size(m) - (window - 1), F.lit(1)))))
 
-            return F.transform(v, one)
+    def stretches(spelled: Column) -> Column:
+        last = F.greatest(F.shiftright(F.octet_length(spelled), 2) - k, F.lit(0))
+        firsts = F.sequence(F.lit(0), F.greatest(last - (window - 1), F.lit(0)), F.lit(stretch))
+        return F.array_distinct(F.flatten(F.transform(firsts, lambda first: marked(spelled, last, first))))
 
-        return value
+    # so far a mark holds where its k-gram's bytes begin, counted from 1
+    return F.transform(bound(F.encode(text, "UTF-32"), stretches), lambda x: x + positions_of(x) - F.shiftright(positions_of(x), 2))
 
-    def least(step: int, times: int):
-        return lambda v: F.transform(v, lambda x, i: F.least(*ahead(v, x, i, step, times)))
 
-    value, step = F.split(text, ""), 1
-    while step < k:
-        times = 4 if step * 4 <= k else 2
-        value, step = bound(value, longer(step, times, step * times == k)), step * times
-    value = bound(value, lambda v: F.slice(v, F.lit(1), F.greatest(F.size(v) - (k - 1), F.lit(1))))
-    step = 1
-    while step < window:
-        times = 4 if step * 4 <= window else 2
-        value, step = bound(value, least(step, times)), step * times
-    return F.array_distinct(bound(value, lambda m: F.slice(m, F.lit(1), F.greatest(F.size(m) - (window - 1), F.lit(1)))))
+def hashes(marks: Column) -> Column:
+    return F.array_distinct(F.transform(marks, lambda x: F.shiftright(x, 32).cast("int")))  # fits 32 bits
 
 
-def hashes(marks: Column) -> Column:
-    return F.array_distinct(F.transform(marks, lambda x: F.shiftright(x, 31).cast("int")))
+def positions_of(mark: Column) -> Column:
+    return F.lit(LAST) - mark.bitwiseAND(F.lit(LAST))
 
 
 def positions(marks: Column) -> Column:
-    return F.transform(marks, lambda x: F.lit(LAST) - x % 2**31)
+    return F.transform(marks, positions_of)
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -128,45 +131,87 @@ def next_documents(ids: DataFrame) -> DataFrame:
     )
 
 
+def edited_marks(marks: Column, head_marks: Column, edited: Column, cut: Column, head: Column, k: int, window: int) -> Column:
+    """Marks of a text's first ``cut`` characters and ``head`` characters of another's: ``edited``.
+
+    Windows that lie in one of both are those of its text: ``marks`` up to the last such window's place are taken over, and so
+    are ``head_marks``, the other's. Hashed anew are the windows over the seam and those before either end that may choose a
+    later place. A short head is hashed with the seam. The chosen places never go back, so distinct marks stay in order.
+    """
+    span = k + window - 1
+
+    def anew(first: Column, n: Column) -> Column:
+        return F.transform(rolled(F.substring(edited, first + 1, n), k, window), lambda x: x - first)
+
+    short = head < 2 * span
+    first = F.greatest(cut - (span + window - 2), F.lit(0))
+    end = cut + head - (span + window - 2)
+    seam = anew(first, F.when(short, cut + head).otherwise(cut + (span - 1)) - first)
+    none = F.array().cast("array<bigint>")
+    return F.array_distinct(
+        F.concat(
+            F.filter(marks, lambda x: positions_of(x) <= cut - span),
+            seam,
+            F.when(short, none).otherwise(F.transform(head_marks, lambda x: x - cut)),
+            F.when(short, none).otherwise(anew(F.greatest(end, cut), F.lit(span + window - 2))),
+        )
+    )
+
+
 def edited_fingerprints(docs: DataFrame, k: int = 16, window: int = 32) -> DataFrame:
     """Fingerprint of each text, and of its edit: the last third replaced by the start of the next document.
 
     Returns doc_id, text, n_chars, edited_text, the marks of both, and how like the document's hashes are to those of the
-    edited text (near_edited) and of the next document (near_next). Hashes are computed after the text is shuffled: they
-    would take more room in a shuffle than the text does.
+    edited text (near_edited) and of the next document (near_next). Each text is hashed once, before it is shuffled; of
+    the edit only what ``edited_marks`` needs.
     """
-    # plain equality of (key, tie): the joins and the grouping between them then share one partitioning
-    whole = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumns(
-        {"key": F.coalesce("doc_id", F.lit(0)).cast("long"), "tie": F.xxhash64("text", F.isnull("doc_id"))}
-    )
-    ids = whole.groupBy("doc_id", "tie").agg(F.first(F.char_length("text")).cast("long").alias("n_chars"))
+    # Both joins read the same columns by the same keys, so they share one shuffle. The tie's last bit tells a null doc_id.
+    tie = F.xxhash64("text").bitwiseAND(F.lit(-2)).bitwiseOR(F.isnull("doc_id").cast("long"))
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("tie", tie)
+    ids = texts.groupBy("doc_id", "tie").agg(F.first(F.char_length("text")).cast("long").alias("n_chars"))
     ring = written(next_documents(ids), "ring")
 
-    def key(name: str):
+    def key(name: str) -> Column:
         return F.coalesce(name, F.lit(0)).cast("long")
 
+    whole = texts.select(key("doc_id").alias("key"), "tie", "text", rolled(F.col("text"), k, window).alias("marks"))
     wanted = ring.select(
-        key("doc_id").alias("for_key"), F.col("tie").alias("for_tie"), "n_chars", key("next_id").alias("key"), F.col("next_tie").alias("tie")
+        key("doc_id").alias("for_key"),
+        F.col("tie").alias("for_tie"),
+        "n_chars",
+        F.floor(F.col("n_chars") / 3).cast("int").alias("third"),
+        key("next_id").alias("key"),
+        F.col("next_tie").alias("tie"),
     )
+    # lengths come along as columns: filters over marks must not count characters once a mark
+    replaced = F.least("third", F.char_length("text"))
     heads = (
         whole.join(wanted, ["key", "tie"])
         .select(
             F.col("for_key").alias("key"),
             F.col("for_tie").alias("tie"),
             "n_chars",
-            F.expr("substring(text, 1, cast(n_chars div 3 as int))").alias("head"),
-            hashes(rolled(F.col("text"), k, window)).alias("next_hashes"),
+            (F.col("n_chars") - F.col("third")).cast("int").alias("cut"),
+            replaced.alias("head_chars"),
+            F.substring("text", F.lit(1), F.col("third")).alias("head"),
+            bound(replaced, lambda n: F.filter("marks", lambda x: positions_of(x) <= n - (k + window - 1))).alias("head_marks"),
+            hashes(F.col("marks")).alias("next_hashes"),
         )
         .dropDuplicates(["key", "tie"])
     )
-    edited = whole.join(heads, ["key", "tie"]).withColumn(
-        "edited_text", F.concat(F.expr("substring(text, 1, cast(n_chars - n_chars div 3 as int))"), "head")
-    )
-    both = edited.select(
-        "doc_id", "text", "n_chars", "edited_text", rolled(F.col("text"), k, window).alias("marks"), rolled(F.col("edited_text"), k, window).alias("edited_marks"), "next_hashes"
+    joined = whole.join(heads, ["key", "tie"]).withColumn("edited_text", F.concat(F.substring("text", F.lit(1), F.col("cut")), "head"))
+    parts = [F.col(c) for c in ("marks", "head_marks", "edited_text", "cut", "head_chars")]
+    edited = joined.select(
+        F.when(F.col("tie").bitwiseAND(F.lit(1)) == 0, F.col("key")).cast(docs.schema["doc_id"].dataType).alias("doc_id"),
+        "text",
+        "n_chars",
+        "edited_text",
+        "marks",
+        edited_marks(*parts, k, window).alias("edited_marks"),
+        "next_hashes",
     )
     own = hashes(F.col("marks"))
-    return both.select(
+    return edited.select(
         "doc_id",
         "text",
         "n_chars",

@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import zlib
 
 import pytest
@@ -137,3 +138,33 @@ def test_texts_without_spaces_stay_like_their_edits(documents):
     long = "".join(chr(0x4E00 + i * i % 2003) for i in range(900))
     rows = fingerprints.edited_fingerprints(documents([(1, long), (2, "\n".join(f"line{i}" for i in range(200)))])).collect()
     assert all(0.4 < r.near_edited < 1 and r.near_next == 0 for r in rows)
+
+
+def test_marks_of_an_edit_are_those_of_its_text(spark, documents):
+    """Taken over from both texts or hashed at the seam, they equal the marks of the whole edited text."""
+    draw = random.Random(5)
+    sizes = [0, 1, 2, 15, 16, 40, 47, 60, 93, 94, 95, 120, 141, 150, 200, 280, 285, 300, 420, 423, 426, 600, 900, 3000, 13_000]
+    texts = ["".join(draw.choices(alphabet, k=n)) for alphabet in ("ab", "abcdefgh \n中é\U0001f600", "x") for n in sizes]
+    draw.shuffle(texts)
+    for k, window in ((16, 32), (3, 4)):
+        marked = fingerprints.edited_fingerprints(documents(list(enumerate(texts))), k, window)
+        rows = marked.select("edited_text", "edited_marks", "marks", "text").collect()
+        assert len(rows) == len(texts)
+        every = spark.createDataFrame(sorted({(t,) for r in rows for t in (r.edited_text, r.text)}), "t string")
+        expected = {r.t: r.m for r in every.select("t", fingerprints.rolled(F.col("t"), k, window).alias("m")).collect()}
+        assert all(r.edited_marks == expected[r.edited_text] and r.marks == expected[r.text] for r in rows)
+
+
+def test_stretches_give_the_marks_of_the_whole(spark):
+    draw = random.Random(6)
+    texts = ["".join(draw.choices("abc é中", k=n)) for n in (0, 5, 46, 47, 48, 62, 63, 64, 65, 78, 79, 80, 127, 128, 129, 500, 1000)]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    both = rows.select(fingerprints.rolled(F.col("t"), 16, 32, 16).alias("a"), fingerprints.rolled(F.col("t")).alias("b")).collect()
+    assert all(r.a == r.b for r in both)
+
+
+def test_a_text_of_thirty_million_characters(documents):
+    """Its arrays are those of one stretch, not of the text."""
+    long = "".join(chr(97 + i * i % 23) for i in range(100_000)) * 300
+    rows = {r.doc_id: r for r in fingerprints.edited_fingerprints(documents([(1, long), (2, "short")])).select("doc_id", "n_chars", F.size("marks").alias("m")).collect()}
+    assert rows[1].n_chars == 30_000_000 and rows[1].m > 30_000_000 / 32 - 2 and rows[2].m == 1
