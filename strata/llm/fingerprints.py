@@ -71,7 +71,7 @@ def rolled(text: Column, k: int = 16, window: int = 32, stretch: int = 2**12) ->
         """Marks of the windows from place ``first`` on; the last k-gram lies at ``last``."""
         end = F.least(first + (stretch + window - 2), last)
         value = F.transform(
-            F.sequence(first * 4 + 1, end * 4 + 1, F.lit(4)), lambda p: F.xxhash64(F.substring(spelled, p, 4 * k)).bitwiseOR(F.lit(LAST)) - p
+            F.sequence(first * 4 + 1, end * 4 + 1, F.lit(4)), lambda p: F.shiftright(F.xxhash64(F.substring(spelled, p, 4 * k)), 1).bitwiseOR(F.lit(LAST)) - p
         )
         step = 1
         while step < window:
@@ -89,7 +89,7 @@ def rolled(text: Column, k: int = 16, window: int = 32, stretch: int = 2**12) ->
 
 
 def hashes(marks: Column) -> Column:
-    return F.array_distinct(F.transform(marks, lambda x: F.shiftright(x, 32).cast("int")))  # fits 32 bits
+    return F.array_distinct(F.transform(marks, lambda x: F.shiftright(x, 31).cast("int")))
 
 
 def positions_of(mark: Column) -> Column:
@@ -100,6 +100,21 @@ def positions(marks: Column) -> Column:
     return F.transform(marks, positions_of)
 
 
+def packed(marks: Column) -> list[Column]:
+    """Marks for a shuffle, which packs the positions' high parts, long runs of equal numbers: hashes, low bytes, the rest."""
+    low = F.transform(marks, lambda x: (positions_of(x).bitwiseAND(F.lit(255)) - 128).cast("tinyint"))
+    high = F.transform(marks, lambda x: F.shiftright(positions_of(x), 8).cast("int"))
+    return [F.transform(marks, lambda x: F.shiftright(x, 31).cast("int")), low, high]
+
+
+def unpacked(hashed: Column, low: Column, high: Column) -> Column:
+    def mark(x: Column, i: Column) -> Column:
+        place = F.get(high, i).cast("long") * 256 + (F.get(low, i).cast("long") + 128)
+        return x.cast("long") * 2**31 + (F.lit(LAST) - place)
+
+    return F.transform(hashed, mark)
+
+
 def likeness(a: Column, b: Column) -> Column:
     """Jaccard similarity of two sets of hashes."""
     return F.size(F.array_intersect(a, b)) / F.size(F.array_union(a, b))
@@ -174,7 +189,15 @@ def edited_fingerprints(docs: DataFrame, k: int = 16, window: int = 32) -> DataF
     def key(name: str) -> Column:
         return F.coalesce(name, F.lit(0)).cast("long")
 
-    whole = texts.select(key("doc_id").alias("key"), "tie", "text", rolled(F.col("text"), k, window).alias("marks"))
+    def narrow(df: DataFrame, marks: str) -> DataFrame:
+        parts = [part.alias(f"{marks}_{n}") for n, part in enumerate(packed(F.col(marks)))]
+        return df.select(*[c for c in df.columns if c != marks], *parts)
+
+    def wide(df: DataFrame, marks: str) -> DataFrame:
+        parts = [f"{marks}_{n}" for n in range(3)]
+        return df.withColumn(marks, unpacked(*map(F.col, parts))).drop(*parts)
+
+    whole = narrow(texts.select(key("doc_id").alias("key"), "tie", "text", rolled(F.col("text"), k, window).alias("marks")), "marks")
     wanted = ring.select(
         key("doc_id").alias("for_key"),
         F.col("tie").alias("for_tie"),
@@ -185,8 +208,15 @@ def edited_fingerprints(docs: DataFrame, k: int = 16, window: int = 32) -> DataF
     )
     # lengths come along as columns: filters over marks must not count characters once a mark
     replaced = F.least("third", F.char_length("text"))
+
+    def of_head(inside: bool):
+        def kept(n: Column) -> Column:
+            return F.filter("marks", lambda x: (positions_of(x) <= n - (k + window - 1)) == F.lit(inside))
+
+        return bound(replaced, kept)
+
     heads = (
-        whole.join(wanted, ["key", "tie"])
+        wide(whole.join(wanted, ["key", "tie"]), "marks")
         .select(
             F.col("for_key").alias("key"),
             F.col("for_tie").alias("tie"),
@@ -194,12 +224,12 @@ def edited_fingerprints(docs: DataFrame, k: int = 16, window: int = 32) -> DataF
             (F.col("n_chars") - F.col("third")).cast("int").alias("cut"),
             replaced.alias("head_chars"),
             F.substring("text", F.lit(1), F.col("third")).alias("head"),
-            bound(replaced, lambda n: F.filter("marks", lambda x: positions_of(x) <= n - (k + window - 1))).alias("head_marks"),
-            hashes(F.col("marks")).alias("next_hashes"),
+            of_head(True).alias("head_marks"),
+            hashes(of_head(False)).alias("other_hashes"),
         )
-        .dropDuplicates(["key", "tie"])
     )
-    joined = whole.join(heads, ["key", "tie"]).withColumn("edited_text", F.concat(F.substring("text", F.lit(1), F.col("cut")), "head"))
+    heads = narrow(heads, "head_marks").dropDuplicates(["key", "tie"])
+    joined = wide(wide(whole.join(heads, ["key", "tie"]), "marks"), "head_marks").withColumn("edited_text", F.concat(F.substring("text", F.lit(1), F.col("cut")), "head"))
     parts = [F.col(c) for c in ("marks", "head_marks", "edited_text", "cut", "head_chars")]
     edited = joined.select(
         F.when(F.col("tie").bitwiseAND(F.lit(1)) == 0, F.col("key")).cast(docs.schema["doc_id"].dataType).alias("doc_id"),
@@ -208,7 +238,7 @@ def edited_fingerprints(docs: DataFrame, k: int = 16, window: int = 32) -> DataF
         "edited_text",
         "marks",
         edited_marks(*parts, k, window).alias("edited_marks"),
-        "next_hashes",
+        F.array_union(hashes(F.col("head_marks")), F.col("other_hashes")).alias("next_hashes"),
     )
     own = hashes(F.col("marks"))
     return edited.select(
