@@ -17,6 +17,7 @@ from strata.plans import jobs, reports
 from strata.plans.config import locations
 from strata.plans.run_log import read_log
 from strata.plans.table_run import run_table
+from strata.session import ship_package
 from strata.sources import folders, manifest
 
 runs = Catalogue()
@@ -202,6 +203,9 @@ def table_ages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown.join(sizes, "table_name")
 
 
+CONFIG_TOLD = "job_name string, table_name string, region string, load_type string, first_column string, places int"
+
+
 @runs.query(
     "config_files",
     """SELECT concat('nation_', s_nationkey, '_daily') AS job_name, concat('t', s_suppkey) AS table_name, s_name AS region, 'append' AS load_type, 'c' AS first_column, 1 AS places
@@ -210,21 +214,24 @@ def table_ages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def config_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A config file per supplier in a folder per job: read, flattened into control rows, and each row back into a config."""
     base, supplier = scratch(spark, "config-files"), table(spark, sf_dir, "supplier")
-    jobs_seen = set()
-    for row in supplier.select("s_suppkey", "s_name", "s_nationkey").toLocalIterator():
-        config = settings("/in", f"t{row.s_suppkey}", {"c": "int"}) | {"region": row.s_name, "is_active": True}
-        job = f"nation_{row.s_nationkey}_daily"
-        jobs_seen.add(job)
-        folders.write_text(spark, f"{base}/{job}/t{row.s_suppkey}.json", json.dumps(config))
-    files = None
-    for job in sorted(jobs_seen):
-        part = cfg.read_config_files(spark, f"{base}/{job}")
-        files = part if files is None else files.unionByName(part)
-    back = [cfg.config_of_row(row) for row in cfg.control_rows(files, T1).toLocalIterator()]
-    told = [
-        (c["job_name"], c["table_name"], c["region"], c["ingestion_steps"]["raw_trusted"]["load_type"], c["schema"][0]["column_name"], len(c["schema"])) for c in back
-    ]
-    return spark.createDataFrame(told, "job_name string, table_name string, region string, load_type string, first_column string, places int")
+    ship_package(spark)
+
+    @F.udf("string")
+    def config_text(key, name):
+        return json.dumps(settings("/in", f"t{key}", {"c": "int"}) | {"region": name, "is_active": True})
+
+    @F.udf(CONFIG_TOLD)
+    def told(row):
+        c = cfg.config_of_row(row)
+        return c["job_name"], c["table_name"], c["region"], c["ingestion_steps"]["raw_trusted"]["load_type"], c["schema"][0]["column_name"], len(c["schema"])
+
+    shown = [F.coalesce(F.col(c).cast("string"), F.lit("None")) for c in ("s_nationkey", "s_suppkey")]
+    name = F.concat(F.lit("nation_"), shown[0], F.lit("_daily/t"), shown[1], F.lit(".json"))
+    rows = supplier.withColumns({"name": name, "at": F.monotonically_increasing_id()})
+    last = rows.groupBy("name").agg(F.max_by(F.struct("s_suppkey", "s_name"), "at").alias("row"))  # of rows for one file
+    folders.write_texts(last.select("name", config_text("row.s_suppkey", "row.s_name").alias("content")), base)
+    control = cfg.control_rows(cfg.read_config_files(spark, f"{base}/*"), T1)
+    return control.select(told(F.struct(*control.columns)).alias("c")).select("c.*")
 
 
 @runs.query(

@@ -36,8 +36,8 @@ CONTROL_SCHEMA = (
 
 
 def read_config_files(spark: SparkSession, folder: str) -> DataFrame:
-    """(job_name, table_name, config) of every <folder>/<table>.json; the folder name is the job. Files that are not
-    JSON keep their text and fail the rules later, by name."""
+    """(job_name, table_name, config) of every <folder>/<table>.json; the folder name is the job. A pattern of folders reads
+    those of many jobs at once. Files that are not JSON keep their text and fail the rules later, by name."""
     files = spark.read.option("pathGlobFilter", "*.json").text(folder, wholetext=True)
     path = F.split("_metadata.file_path", "/")
     found = files.select(

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strata import fixed
+from strata.catalogue import registry
 from strata.catalogue.arrivals import COLUMNS, events_config
 from strata.operators.checks import ChecksFailed
 from strata.operators.trusted import TrustedTable
@@ -11,6 +12,7 @@ from strata.plans import config as cfg
 from strata.plans import jobs, reports
 from strata.plans.run_log import LOG_SCHEMA, read_log
 from strata.plans.table_run import run_table
+from strata.sources import folders
 from strata.streaming.arrivals import ingest_arrivals
 
 CSV = 'Order Id,Amount %,when,\n1,5 %,05-Mar-2024,\n2,N/A,2024-03-06,\n2,N/A,2024-03-06,\n,,,\n'
@@ -198,3 +200,21 @@ def test_framework_tables(spark):
         jobs.ensure_table(spark, "spark_catalog.strata_frame.control", cfg.CONTROL_SCHEMA)
         jobs.ensure_table(spark, "spark_catalog.strata_frame.log", LOG_SCHEMA)
     assert spark.table("strata_frame.log").columns[0] == "timestamp"
+
+
+def test_config_files_are_written_by_tasks(spark, tmp_path, monkeypatch):
+    rows = [(1, "a", 7), (2, "b", 7), (2, "c", 7), (3, None, 8), (None, "d", None)]
+    spark.createDataFrame(rows, "s_suppkey int, s_name string, s_nationkey int").coalesce(1).write.parquet(str(tmp_path / "supplier.parquet"))
+    monkeypatch.setattr(folders, "write_text", None)  # the driver writes none
+    told = registry.all_queries()["config_files"](spark, str(tmp_path))
+    expected = {("nation_7_daily", "t1", "a"), ("nation_7_daily", "t2", "c"), ("nation_8_daily", "t3", None), ("nation_None_daily", "tNone", "d")}
+    assert {(r.job_name, r.table_name, r.region) for r in told.collect()} == expected
+
+
+def test_texts_are_written_below_paths_and_uris(spark, tmp_path):
+    files = spark.createDataFrame([("a/x y.json", "1"), ("b%20.json", "é")], "name string, content string")
+    folders.write_texts(files, str(tmp_path / "by tasks"))
+    folders.write_texts(files, f"file:{tmp_path}/uri")
+    for folder in ("by tasks", "uri"):
+        assert (tmp_path / folder / "a" / "x y.json").read_text() == "1"
+        assert (tmp_path / folder / "b%20.json").read_text() == "é"
