@@ -28,7 +28,7 @@ from datetime import datetime, timezone
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,6 +43,7 @@ BUCKET, BATCH, STATE = "load_bucket", "load_batch", "load_state"
 LAYOUTS = {"append": [BATCH], "keyed": [BUCKET], "history": [BUCKET, STATE]}
 PARTITION_TYPES = {BUCKET: T.IntegerType(), BATCH: T.StringType(), STATE: T.StringType()}
 NO_BATCH, OPEN = "-", "open"
+_SOURCE, _VERSION, _PAST = 0, 1, 2  # where a row of a history load comes from
 
 LEAST_BUCKETS, MOST_BUCKETS, BUCKET_BYTES = 8, 4096, 64 * 2**20
 
@@ -80,6 +81,12 @@ def buckets_for(df: DataFrame) -> int:
     return min(MOST_BUCKETS, max(LEAST_BUCKETS, size // BUCKET_BYTES)) if size < 2**62 else LEAST_BUCKETS
 
 
+def _slices(rows: DataFrame, buckets: int) -> int:
+    """In how many parts to deal out each bucket of these rows, by Spark's estimate of their size: a part of about BUCKET_BYTES."""
+    size = int(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return 1 + min(MOST_BUCKETS, size // (max(1, buckets) * BUCKET_BYTES)) if size < 2**62 else LEAST_BUCKETS
+
+
 def _quoted(name: str) -> str:
     return ".".join(f"`{part}`" for part in name.split("."))
 
@@ -186,11 +193,12 @@ class TrustedTable:
             folders.remove(self.spark, outdated)
         return told.loads
 
-    def _replace(self, placed: DataFrame, told: Definition, now, mode: str = "overwrite") -> int:
-        """The partitions that ``placed`` has rows for become these rows; with mode append they are added."""
+    def _replace(self, placed: DataFrame, told: Definition, now, mode: str = "overwrite", balanced: bool = False) -> int:
+        """The partitions that ``placed`` has rows for become these rows; with mode append they are added. ``balanced`` says that
+        few tasks have rows of a bucket."""
         columns = [f.name for f in self.spark.table(_quoted(self.name)).schema.fields]
         rows = placed.select(*[col(c) for c in columns])
-        _balanced(rows, LAYOUTS[told.layout]).write.mode(mode).insertInto(_quoted(self.name))
+        (rows if balanced else _balanced(rows, LAYOUTS[told.layout])).write.mode(mode).insertInto(_quoted(self.name))
         told = replace(told, loads=told.loads + 1, loaded_at=_moment_text(now))
         self._tell(told, self.schema())
         return told.loads
@@ -328,31 +336,36 @@ class TrustedTable:
             is_open = self.rows().where(F.col(STATE) == OPEN)
             touched = _buckets(source.select(BUCKET).union(is_open.where(col(fixed.IS_CURRENT)).select(BUCKET)) if expire_missing else source)
             is_open = is_open.where(F.col(BUCKET).isin(touched))
-            current, past = is_open.where(col(fixed.IS_CURRENT)), is_open.where(~F.coalesce(col(fixed.IS_CURRENT), F.lit(False)))
+            columns = is_open.columns
+
+            # versions and source meet in one shuffle, which is also that of the write: a bucket's slices go to a task each
+            complete = reduce(and_, [col(k).isNotNull() for k in keys])
+            side = F.when(F.coalesce(col(fixed.IS_CURRENT), F.lit(False)), F.lit(_VERSION)).otherwise(F.lit(_PAST))
+            rows = is_open.withColumn("__side", side).unionByName(source.select(*columns).withColumn("__side", F.lit(_SOURCE)))
+            rows = rows.withColumn("__alone", F.when(~complete, F.monotonically_increasing_id()))  # null keys match nothing
+            dealt = F.when(complete, F.hash(*[col(k) for k in keys])).otherwise(F.xxhash64("__alone"))
+            rows = rows.withColumn("__slice", F.pmod(dealt, F.lit(_slices(is_open, told.buckets)))).repartition(BUCKET, "__slice")
+            key = Window.partitionBy(BUCKET, "__slice", *[col(k) for k in keys], "__alone")
 
             offers = {name.lower() for name in df.columns}
             names = [f.name for f in schema.fields]
             shared = [n for n in hashed_columns(names, compare_exclude) if n.lower() in offers and n not in keys]
-            offered = source.select(*[col(k) for k in keys], F.struct(F.lit(1).alias("hit"), *[_comparable(schema, n) for n in shared]).alias("__offer"))
-            joined = current.join(offered, keys, "left")
-            hit = F.col("__offer").isNotNull()
+            offer = F.struct(F.lit(1).alias("hit"), *[_comparable(schema, n) for n in shared])
+            rows = rows.withColumn("__offer", F.first(F.when(F.col("__side") == _SOURCE, offer), ignorenulls=True).over(key))
             same = reduce(and_, [_comparable(schema, n).eqNullSafe(F.col("__offer")[n]) for n in shared], F.lit(True))
+            version, hit = F.col("__side") == _VERSION, F.col("__offer").isNotNull()
+            rows = rows.withColumn("__known", F.bool_or(version if expire_only else version & same).over(key))
             ends = hit if expire_only else hit & ~same
             if expire_missing:
                 ends = ends | ~hit
-            ended = {fixed.VALID_TO: F.when(F.col("__ends"), moment).otherwise(col(fixed.VALID_TO)), fixed.IS_CURRENT: ~F.col("__ends")}
-            settled = joined.withColumn("__ends", ends).withColumns(ended).select(*[col(c) for c in current.columns])
-
-            held = current.join(source.select(*[col(k) for k in keys]), keys, "left_semi")
-            held = held.select(*[col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.struct(F.lit(1).alias("hit"), *[_comparable(schema, n) for n in shared]).alias("__held"))
-            known = reduce(and_, [col(k) == F.col(f"__k{i}") for i, k in enumerate(keys)])
-            if not expire_only:
-                known = known & reduce(and_, [_comparable(schema, n).eqNullSafe(F.col("__held")[n]) for n in shared], F.lit(True))
-            added = source.join(held, known, "left_anti")
-
             older = F.date_trunc("month", col(fixed.VALID_TO)) < F.date_trunc("month", moment)
-            past = past.withColumn(STATE, F.when(older, F.lit(_closed())).otherwise(F.lit(OPEN)))
-            return self._replace(settled.unionByName(added.select(*settled.columns)).unionByName(past), told, now)
+            changed = {
+                fixed.VALID_TO: F.when(version & F.col("__ends"), moment).otherwise(col(fixed.VALID_TO)),
+                fixed.IS_CURRENT: F.when(version, ~F.col("__ends")).otherwise(col(fixed.IS_CURRENT)),
+                STATE: F.when((F.col("__side") == _PAST) & older, F.lit(_closed())).otherwise(F.lit(OPEN)),
+            }
+            kept = rows.where((F.col("__side") != _SOURCE) | ~F.col("__known")).withColumn("__ends", ends)
+            return self._replace(kept.withColumns(changed).select(*[col(c) for c in columns]), told, now, balanced=True)
 
 
 def table_exists(spark: SparkSession, target: str) -> bool:

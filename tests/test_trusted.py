@@ -178,3 +178,26 @@ def test_history_compares_values_of_any_type(spark, target):
     for day, row in enumerate([one, one, (1, {"a": 2}, *one[2:]), (1, {"a": 2}, None, one[3]), (1, {"a": 2}, None, (None, b"z"))], 1):
         load(spark, frame(spark, row, ddl=ddl), target, "scd2", ["k"], now=f"2024-01-0{day} 00:00:00")
     assert TrustedTable(spark, target).read().count() == 4
+
+
+def test_history_load_shuffles_its_rows_once(spark, tmp_path, monkeypatch):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plans, replace = [], TrustedTable._replace
+
+        def seen(self, placed, *args, **kwargs):
+            plans.append(placed._jdf.queryExecution().optimizedPlan().toString())
+            return replace(self, placed, *args, **kwargs)
+
+        monkeypatch.setattr(TrustedTable, "_replace", seen)
+        table = TrustedTable(spark, str(tmp_path / "t"))
+        schema = "k int, v string"
+        table.scd2(spark.createDataFrame([(1, None), (2, "b"), (None, "x"), (None, "x")], schema), ["k"], now="2024-01-01 00:00:00")
+        table.scd2(spark.createDataFrame([(1, "NULL"), (2, "b"), (3, "c"), (None, "x")], schema), ["k"], now="2024-03-01 00:00:00")
+        table.scd2(spark.createDataFrame([(1, "new")], schema), ["k"], expire_missing=True, now="2024-03-02 00:00:00")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    rows = [(r.k, r.v, r[fixed.IS_CURRENT], str(r[fixed.VALID_TO])[:10]) for r in table.read().collect()]
+    ended = [(None, "x", False, "2024-03-02")] * 3 + [(1, "NULL", False, "2024-03-02"), (2, "b", False, "2024-03-02"), (3, "c", False, "2024-03-02")]
+    assert sorted(rows, key=str) == sorted([(1, None, False, "2024-03-01"), (1, "new", True, "None"), *ended], key=str)
+    assert len(plans) == 2 and not any("Join" in p for p in plans) and all(p.count("RepartitionByExpression") == 1 for p in plans)
