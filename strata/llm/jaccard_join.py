@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import HASH_BASE, HASH_INVERSE, byte_buffer, mixed, powers, settled, slices, tasks_need_package, written
+from strata.llm.common import HASH_BASE, HASH_INVERSE, byte_buffer, give_back, mixed, powers, settled, slices, tasks_need_package, thrifty, written
 from strata.llm.links import components
 
 GROUPS, COARSE = 256, 32
@@ -90,12 +90,13 @@ def _loaded(stored: bytes) -> np.ndarray:
     return np.frombuffer(stored, "<u4", n).astype(np.uint64) << np.uint64(16) | np.frombuffer(stored, "<u2", n, 4 * n).astype(np.uint64)
 
 
-def document_sets(docs: DataFrame, k: int, row: str | None = None, slice_bytes: int = 2**22) -> DataFrame:
+def document_sets(docs: DataFrame, k: int, row: str | None = None, slice_bytes: int = 2**20) -> DataFrame:
     """doc_id, n (size of the set), node (number of the set), point (shingles per group), shingles, and the row key if one is
     named; written to the shared folder. Texts are taken ``slice_bytes`` at a time, which takes some 50 times the memory."""
     tasks_need_package(docs)
     own = [row] if row else []
 
+    @thrifty
     def sets(batches):
         for batch in batches:
             data, starts = byte_buffer(batch.column("text"))
@@ -119,6 +120,7 @@ def document_sets(docs: DataFrame, k: int, row: str | None = None, slice_bytes:
 def frequent_shingles(sets: DataFrame, documents: int) -> np.ndarray:
     """Shingles that many documents hold; they come last in the order. At most FREQUENT_SHARE times the mean set size."""
 
+    @thrifty
     def counted(batches):
         for batch in batches:
             parts = [_loaded(s) for s in batch.column("shingles").to_pylist()]
@@ -140,6 +142,7 @@ def _meetings(sets: DataFrame, frequent: np.ndarray, buckets: int, num: int, den
     """Star pairs (a, b), and meetings of at least three nodes as (meeting, left, right) blocks of nodes."""
     shared = sets.sparkSession.sparkContext.broadcast(frequent)
 
+    @thrifty
     def keys(batches):
         for batch in batches:
             seen, parts = set(), []
@@ -154,7 +157,7 @@ def _meetings(sets: DataFrame, frequent: np.ndarray, buckets: int, num: int, den
                     at = np.searchsorted(shared.value, found)
                     often = shared.value[np.minimum(at, len(shared.value) - 1)] == found
                     found = np.concatenate([found[~often], found[often]])
-                parts.append((found[:length], node, n))
+                parts.append((found[:length].copy(), node, n))  # a slice would keep the whole set
             if not parts:
                 continue
             key = np.concatenate([p for p, _, _ in parts])
@@ -191,11 +194,14 @@ def _meetings(sets: DataFrame, frequent: np.ndarray, buckets: int, num: int, den
             name = int.from_bytes(hashlib.blake2b(members, digest_size=8).digest(), "little", signed=True)
             rows.append((members, name, len(members) // 8))
         columns = list(zip(*rows, strict=True)) if rows else [[], [], []]
+        del parts, key, node, n, order, new, lead, star, pairs, groups
+        give_back()
         return pa.table([pa.array(columns[0], pa.binary()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.int64())], names=["nodes", "meeting", "m"])
 
     blobs = sets.select("node", "shingles").mapInArrow(keys, "bucket long, keys binary")
     met = written(blobs.groupBy("bucket").applyInArrow(meet, "nodes binary, meeting long, m long"), "meetings")
 
+    @thrifty
     def pairs_of(batches):
         for batch in batches:
             pairs = np.frombuffer(b"".join(batch.column("nodes").to_pylist()), np.int64).reshape(-1, 2)
@@ -204,6 +210,7 @@ def _meetings(sets: DataFrame, frequent: np.ndarray, buckets: int, num: int, den
     stars = met.where("meeting is null").select("nodes").mapInArrow(pairs_of, "a long, b long").distinct()
     whole = met.where("meeting is not null").dropDuplicates(["meeting"])
 
+    @thrifty
     def members_of(batches):
         for batch in batches:
             for nodes, meeting in zip(batch.column("nodes").to_pylist(), batch.column("meeting").to_pylist(), strict=True):
@@ -218,6 +225,7 @@ def _meetings(sets: DataFrame, frequent: np.ndarray, buckets: int, num: int, den
 def _bits(nodes: DataFrame) -> np.ndarray:
     """Which of 2^26 places the nodes hash to. Of fixed size at any number of nodes, so every task may have it."""
 
+    @thrifty
     def places(batches):
         for batch in batches:
             place = mixed(batch.column("node").to_numpy().view(np.uint64)) >> np.uint64(38)
@@ -239,6 +247,7 @@ def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
     def of(column: str) -> DataFrame:
         shared = spark.sparkContext.broadcast(_bits(pairs.select(F.col(column).alias("node")).distinct()))
 
+        @thrifty
         def keep(batches):
             for batch in batches:
                 place = mixed(batch.column("node").to_numpy().view(np.uint64)) >> np.uint64(38)
@@ -250,6 +259,7 @@ def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
 
     both = pairs.join(of("b"), "b").join(of("a"), "a").select("a", "b", "a_set", "b_set")
 
+    @thrifty
     def check(batches):
         for batch in batches:
             kept = []
@@ -278,6 +288,7 @@ def bounded(pairs: DataFrame, points: DataFrame, num: int, den: int) -> DataFram
     with_a = pairs.join(points.toDF("a", "na", "pa"), "a")
     both = with_a.join(points.toDF("b", "nb", "pb"), "b").select("a", "b", "na", "nb", "pa", "pb")
 
+    @thrifty
     def check(batches):
         for batch in batches:
             room = overlap_bound(_points(batch.column("pa")), _points(batch.column("pb")))
@@ -405,7 +416,7 @@ def surplus_rows(docs: DataFrame, row: str, k: int = 5, num: int = 80, den: int
 
 
 def _surplus_rows(docs: DataFrame, row: str, k: int, num: int, den: int) -> DataFrame:
-    sets = document_sets(docs, k, row, 2**20)
+    sets = document_sets(docs, k, row)
     final, full = _components(sets, num, den)
     rank = F.struct(F.isnull("doc_id").alias("unknown"), "doc_id", F.col("node").alias("set"), F.col(row).alias("kept"))
     one = full.groupBy("node").agg(F.min(rank).alias("best"))
