@@ -33,6 +33,28 @@ def test_words_give_the_ids_of_the_text(library, awkward):
             assert list(memoryview(raw).cast("I")) == ids_of(library, text), text
 
 
+def test_marks_behind_letters_and_added_tokens(library):
+    draw = random.Random(6)
+    parts = [*"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'", "a", "é", "×", "÷", "ß", "中", "'s", "'ll", " I", "7", "\n", "<|endoftext|>", "<|endof", "text|>", "€", "Ã©"]
+    texts = ["".join(draw.choices(parts, k=draw.randint(1, 30))) for _ in range(20_000)]
+    encoder = WordEncoder(kept_words=2000)
+    for at in range(0, len(texts), 500):
+        for text, raw in zip(texts[at : at + 500], encoder.encode(texts[at : at + 500]), strict=True):
+            assert list(memoryview(raw).cast("I")) == ids_of(library, text), text
+
+
+def test_the_library_sees_a_word_once(library):
+    encoder, asked = WordEncoder(kept_words=60), []
+    encode_parts = encoder._encode_parts
+    encoder._encode_parts = lambda parts: asked.extend(parts) or encode_parts(parts)
+    for n in range(20):  # words of one batch come and go, the common one stays known
+        fresh = " ".join(f"word{n}x{i}" for i in range(25))
+        text = f"Here common, common. common; (common) {fresh}"
+        assert list(memoryview(encoder.encode([text])[0]).cast("I")) == ids_of(library, text)
+    assert sum(b"common" in (p if isinstance(p, bytes) else p.encode()) for p in asked) == 2  # after a blank, and after a bracket
+    assert len(encoder.number_of) < 120
+
+
 @pytest.mark.parametrize("n", [1, 7, 511, 512, 513, 5000])
 def test_codes_round_trip_and_direct_access(n):
     ids = np.random.default_rng(n).integers(0, [300, 50_000, 2**32][n % 3], n).astype("<u4")
