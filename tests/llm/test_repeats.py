@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import os
 import random
 import re
 
@@ -96,6 +97,22 @@ def test_components_of_a_long_chain(spark):
     assert found == {i: 1 for i in range(1, 61)} | {100: 100, 200: 100, 300: 100}
 
 
+def test_suffixes_end_with_their_text():
+    """Zero bytes at an end are told from the end, and texts that follow one another in the same way are not one long repeat."""
+    draw = np.random.default_rng(8)
+    for k in range(200):
+        sizes = draw.integers(1, 40, int(draw.integers(1, 12)))
+        data = draw.integers(0, 1 + k % 3, sizes.sum()).astype(np.uint8)
+        end = np.repeat(np.cumsum(sizes), sizes)
+        room = end - np.arange(len(data))
+        order = repeats.suffix_array(data, room)
+        texts = [data[i : end[i]].tobytes() for i in range(len(data))]
+        assert order.tolist() == sorted(range(len(data)), key=lambda i: (texts[i], end[i]))
+        shared = [0] + [len(os.path.commonprefix([texts[a], texts[b]])) for a, b in zip(order[:-1], order[1:], strict=True)]
+        assert repeats.common_prefixes(data, order, 50, room).tolist() == shared
+    assert repeats.suffix_array(np.zeros(3, np.uint8)).tolist() == [2, 1, 0]
+
+
 @pytest.mark.parametrize("seed", range(40))
 def test_suffix_arrays(seed):
     rng = np.random.default_rng(seed)
