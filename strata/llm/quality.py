@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import byte_buffer, tasks_need_package, written
+from strata.llm.common import byte_buffer, tasks_need_package, thrifty, written
 
 FIT_ROWS = 8_000
 PAIRS = 2**16
@@ -53,7 +53,7 @@ def fit(df: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> bytes | N
     share = min(1.0, fit_rows / max(1, known.count()))
     chosen = known.where(F.pmod(F.xxhash64("id"), F.lit(2**30)) < int(share * 2**30))  # about fit_rows rows: may be broadcast
     rows = df.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("id")).select("text", "y")
-    examples = written(rows.mapInArrow(_examples, "y int, features binary"), "examples")
+    examples = written(rows.mapInArrow(thrifty(_examples), "y int, features binary"), "examples")
     model = examples.groupBy().applyInPandas(_train, "model binary").first()
     return bytes(model.model) if model is not None and model.model is not None else None
 
@@ -144,7 +144,7 @@ def score(df: DataFrame, model: bytes | None, text: str = "text") -> DataFrame:
                 scores = 1 / (1 + np.exp(-np.clip(slope * (np.array(sums) + constant) + offset, -500, 500)))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], names=[*columns, "score"])
 
-    return rows.mapInArrow(scored, rows.select("*", F.lit(0.0).alias("score")).schema)
+    return rows.mapInArrow(thrifty(scored), rows.select("*", F.lit(0.0).alias("score")).schema)
 
 
 def scored_documents(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:

@@ -7,6 +7,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -97,6 +98,25 @@ def test_components_of_a_long_chain(spark):
     assert found == {i: 1 for i in range(1, 61)} | {100: 100, 200: 100, 300: 100}
 
 
+def test_pipeline_stages_send_texts_in_small_batches(spark, documents, tmp_path):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    default = spark.conf.get(name)
+    try:
+        docs = documents([(i, f"{i} " + "x" * 100_000) for i in range(100)]).coalesce(1)
+        corpus_pipeline.hierarchical_packing(spark, docs, str(tmp_path))
+
+        def sizes(batches):
+            for batch in batches:
+                yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["size"])
+
+        assert max(r.size for r in docs.select("text").mapInArrow(sizes, "size long").collect()) < 5_000_000
+        spark.conf.set(name, "70000000b")  # a session's own value stays
+        corpus_pipeline.hierarchical_packing(spark, docs, str(tmp_path))
+        assert spark.conf.get(name) == "70000000b"
+    finally:
+        spark.conf.set(name, default)
+
+
 def test_suffixes_end_with_their_text():
     """Zero bytes at an end are told from the end, and texts that follow one another in the same way are not one long repeat."""
     draw = np.random.default_rng(8)
