@@ -32,6 +32,8 @@ TIERS = (128, 256, 512, 1024, 2048)
 RUN_DOCS = 4096
 RUN_IDS = 2**23
 STEP_IDS = 64 * 2048
+SLICE_BYTES, FORGETFUL_SLICE_BYTES = 2**22, 2**20  # of text that a worker encodes at a time
+FORGETFUL_WORDS = 200_000
 
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
@@ -103,7 +105,8 @@ def step_groups(used: list[int], step_ids: int = STEP_IDS) -> list[int]:
 
 def packed_pieces(docs: DataFrame, tokenizer: str = BYTE_BPE, end_id: int = 1, tiers: tuple[int, ...] = TIERS, forget: bool = False) -> DataFrame:
     """One row per piece. A sequence has sequence_length ids with padding; its number holds the task's in the upper bits. With
-    ``forget``, workers keep no words for their next task, which takes less memory and more time."""
+    ``forget``, workers keep no words for their next task, fewer within a task, and encode less at a time, which takes less
+    memory and more time."""
     if any(t & (t - 1) for t in tiers) or list(tiers) != sorted(set(tiers)):
         raise ValueError("tiers are ascending powers of two")
     tasks_need_package(docs)
@@ -111,16 +114,18 @@ def packed_pieces(docs: DataFrame, tokenizer: str = BYTE_BPE, end_id: int = 1, t
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), F.spark_partition_id().cast("long").alias("task")
     )
     end = struct.pack("<I", end_id)
+    most = FORGETFUL_SLICE_BYTES if forget else SLICE_BYTES
 
     def pieces(batches):
-        encode, names, held, ids, base = encoder(tokenizer).encode, [], [], 0, [None, 0, 0]
+        words = encoder(tokenizer, FORGETFUL_WORDS) if forget else encoder(tokenizer)
+        names, held, ids, base = [], [], 0, [None, 0, 0]
         for batch in batches:
             if base[0] is None and batch.num_rows:
                 base[0] = batch.column("task")[0].as_py() << 36
             texts, doc_ids = batch.column("text"), batch.column("doc_id").to_pylist()
             sizes = np.concatenate([[0], np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))])
-            for lo, hi in slices(sizes, 2**22):
-                for name, raw in zip(doc_ids[lo:hi], encode(texts.slice(lo, hi - lo)), strict=True):
+            for lo, hi in slices(sizes, most):
+                for name, raw in zip(doc_ids[lo:hi], words.encode(texts.slice(lo, hi - lo)), strict=True):
                     names.append(name)
                     held.append(raw + end)
                     ids += len(held[-1]) // 4
@@ -130,7 +135,7 @@ def packed_pieces(docs: DataFrame, tokenizer: str = BYTE_BPE, end_id: int = 1, t
         if names:
             yield _run(names, held, tiers, base)
         if forget:
-            encoder(tokenizer).forget()
+            words.forget()
 
     return rows.mapInArrow(thrifty(pieces) if forget else pieces, PIECES)
 

@@ -22,6 +22,7 @@ import pyarrow.compute as pc
 from strata.llm.common import byte_buffer
 
 BYTE_BPE = "byte_bpe_50k.json"
+KEPT_WORDS = 1_000_000
 
 # white space other than single spaces and line feeds, each after another character
 _RARE_BLANK = r"[ \n]{2}|[\t\x0B\f\r\x1C-\x1F\x{85}\x{A0}\x{1680}\x{180E}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
@@ -34,9 +35,9 @@ _BEFORE_MARK = " a"  # a word that a part which begins with a mark may follow
 
 
 @functools.lru_cache(maxsize=2)
-def encoder(name: str = BYTE_BPE) -> WordEncoder:
+def encoder(name: str = BYTE_BPE, kept_words: int = KEPT_WORDS) -> WordEncoder:
     """The encoder of this Python worker; it outlives a task, so the next one finds the words it knows."""
-    return WordEncoder(name)
+    return WordEncoder(name, kept_words)
 
 
 class WordEncoder:
@@ -45,7 +46,7 @@ class WordEncoder:
     ``kept_words`` bounds the memory: of more known parts, the half that the fewest batches held is dropped with the next call.
     """
 
-    def __init__(self, name: str = BYTE_BPE, kept_words: int = 1_000_000):
+    def __init__(self, name: str = BYTE_BPE, kept_words: int = KEPT_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         import public_tokenizers
         from tokenizers import Tokenizer
