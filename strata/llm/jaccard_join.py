@@ -7,10 +7,15 @@ shingles of their prefixes; frequent shingles come last in the order. Within a m
 * the node with the fewest shingles is compared with all others. After these links are verified and joined to components,
 * nodes of different components are joined by an R-tree: shingles are hashed into ``GROUPS`` groups, a node is the point
   of its group counts, pages are boxes of points, and the sum of the smaller coordinates bounds the overlap from above.
-  A meeting of many nodes is cut into blocks, each pair of blocks is joined on its own. A pair that meets often is left
-  to its first meeting where the ``FIRST_MEETINGS`` first meetings of both nodes show one; it never misses its first.
+  A pair that meets often is left to its first meeting where the ``FIRST_MEETINGS`` first meetings of both nodes show one;
+  it never misses its first.
+* This goes in turns, as a group of near copies needs few of its links to be one component. A meeting of many nodes is cut
+  into blocks. In the first turns a node is compared with the ``NEAREST`` nodes of its block that have most room, and
+  components are joined anew. Each turn cuts blocks anew. What they held back comes last: nodes outside a meeting's largest component meet all
+  its nodes, block by block, and all pairs of different components that have room are taken.
 
-All surviving pairs are verified on their sets, so a link is lost nowhere, and copies are never expanded into all pairs.
+All pairs that can join two components are verified on their sets, so no component misses a link. Neither copies nor near
+copies that are linked already are expanded into all pairs.
 
 Words are runs of bytes other than space and \\t \\n \\v \\f \\r, with A-Z lower-cased.
 
@@ -25,6 +30,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +44,7 @@ PAGE = 32
 BUCKET_KEYS = 2**20
 FREQUENT_SHARE = 2000
 FIRST_MEETINGS = 8
+NEAREST = (4, 16)  # by turn
 
 _PLACE = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB]
 
@@ -347,42 +354,104 @@ def _before(firsts: pa.ChunkedArray, meeting: int) -> np.ndarray:
     return np.minimum(out, meeting)
 
 
-def _between_components(members: DataFrame, labels: DataFrame, points: DataFrame, num: int, den: int) -> DataFrame:
-    """Candidate pairs of nodes that meet and are in different components."""
-    labelled = members.join(labels.withColumnRenamed("component", "label"), "node", "left").withColumn("label", F.coalesce("label", "node"))
-    labelled = written(labelled, "labelled")
-    mixed_groups = labelled.groupBy("meeting").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.max("block").alias("last")).where("x <> y")
-    met = written(labelled.join(mixed_groups.select("meeting", "last"), "meeting"), "open")
-    # two nodes of different components have all their meetings here
-    firsts = met.groupBy("node").agg(F.slice(F.array_sort(F.collect_list("meeting")), 1, FIRST_MEETINGS).alias("firsts"))
-    open_rows = met.join(points, "node").join(firsts, "node")
-    others = F.sequence(F.lit(0).cast("long"), F.col("last"))
-    dealt = open_rows.withColumn("other", F.explode(others)).select(
-        "meeting", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "label", "n", "point", "firsts"
-    )
+def _side(table: pa.Table) -> dict[str, np.ndarray]:
+    """The nodes of one group, with the first meetings of each."""
+    out = {c: table.column(c).to_numpy() for c in ("node", "label", "n")}
+    return out | {"point": _points(table.column("point")), "early": _before(table.column("firsts"), table.column("meeting")[0].as_py())}
+
+
+def _open_pairs(left: dict[str, np.ndarray], right: dict[str, np.ndarray], meeting: int, num: int, den: int, nearest: int | None = None) -> tuple[np.ndarray, bool]:
+    """Pairs (a, b), a < b, of a left and a right node of different labels that may reach the threshold and have not met
+    before; of each left node the ``nearest`` with most room, if a number is given, and whether more were left out."""
+    tree, out, more = CountTree(right["point"], right["n"]), [np.zeros((0, 2), np.int64)], False
+    for node, label, n, point, early in zip(*(left[c] for c in ("node", "label", "n", "point", "early")), strict=True):
+        hits = tree.search(point, int(n), num, den)
+        hits = hits[right["label"][hits] != label]
+        if not len(hits):
+            continue
+        own = early[early < meeting]
+        hits = hits[~np.isin(right["early"][hits], own).any(1)]
+        if nearest is not None and len(hits) > nearest:
+            room = overlap_bound(right["point"][hits], point) - needed(right["n"][hits], int(n), num, den)
+            hits, more = hits[np.lexsort((right["node"][hits], -room))[:nearest]], True
+        others = right["node"][hits]
+        out.append(np.column_stack([np.minimum(others, node), np.maximum(others, node)]))
+    return np.unique(np.concatenate(out), axis=0), more
+
+
+def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
+    named = members.join(labels.withColumnRenamed("component", "label"), "node", "left")
+    return named.withColumn("label", F.coalesce("label", "node"))
+
+
+def _open_meetings(labelled: DataFrame) -> DataFrame:
+    """Meetings of several components: their largest, the number of nodes outside it, and their last block."""
+    parts = labelled.groupBy("meeting", "label").agg(F.count("*").alias("c"), F.max("block").alias("last"))
+    sums = parts.groupBy("meeting").agg(F.max(F.struct("c", "label")).alias("main"), F.sum("c").alias("m"), F.max("last").alias("last"))
+    return sums.select("meeting", F.col("main.label").alias("main"), (F.col("m") - F.col("main.c")).alias("outside"), "last").where("outside > 0")
+
+
+def _nearest_pairs(met: DataFrame, num: int, den: int, nearest: int) -> DataFrame:
+    """(a, b) of different components within the blocks of ``met``, and a row of nulls and the meeting where more are left."""
 
     def join(table: pa.Table) -> pa.Table:
-        block = table.column("block").to_numpy()
-        node, label, n = (table.column(c).to_numpy() for c in ("node", "label", "n"))
-        point, meeting = _points(table.column("point")), table.column("meeting")[0].as_py()
-        early = _before(table.column("firsts"), meeting)
-        left, right = np.flatnonzero(block == block.min()), np.flatnonzero(block == block.max())
-        tree, out = CountTree(point[right], n[right]), []
-        for r in left:
-            hits = right[tree.search(point[r], int(n[r]), num, den)]
-            hits = hits[label[hits] != label[r]]
-            if not len(hits):
-                continue
-            own = early[r][early[r] < meeting]
-            met_before = np.isin(early[hits], own).any(1)
-            out += [(node[r], node[h]) for h in hits[~met_before]]
-        pairs = np.array([(min(p), max(p)) for p in out], np.int64).reshape(-1, 2)
-        pairs = np.unique(pairs, axis=0)
+        nodes, meeting = _side(table), table.column("meeting")[0].as_py()
+        labels, counts = np.unique(nodes["label"], return_counts=True)
+        outside = nodes["label"] != labels[counts.argmax()]
+        pairs, more = _open_pairs({c: x[outside] for c, x in nodes.items()}, nodes, meeting, num, den, nearest)
+        a, b, of = pairs[:, 0].tolist(), pairs[:, 1].tolist(), [None] * len(pairs)
+        if more:
+            a, b, of = [*a, None], [*b, None], [*of, meeting]
+        return pa.table([pa.array(x, pa.int64()) for x in (a, b, of)], names=["a", "b", "meeting"])
+
+    rows = met.select("meeting", "block", "node", "label", "n", "point", "firsts")
+    return rows.groupBy("meeting", "block").applyInArrow(join, "a long, b long, meeting long").distinct()
+
+
+def _remaining_pairs(met: DataFrame, num: int, den: int) -> DataFrame:
+    """All (a, b) of different components: nodes outside a meeting's largest component and its nodes, in blocks of both."""
+    outside = F.col("label") != F.col("main")
+    met = met.withColumn("parts", F.expr(f"(outside + {BLOCK} - 1) div {BLOCK}"))
+    left = met.where(outside).select("*", F.pmod(F.xxhash64("node"), "parts").alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), "last")).alias("j"))
+    right = met.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("i"), F.col("block").alias("j"))
+    columns = ["meeting", "i", "j", "node", "label", "n", "point", "firsts"]
+    dealt = left.select(*columns, F.lit(True).alias("is_left")).union(right.select(*columns, F.lit(False).alias("is_left")))
+
+    def join(table: pa.Table) -> pa.Table:
+        is_left = table.column("is_left")
+        sides = [table.filter(x) for x in (is_left, pc.invert(is_left))]
+        pairs = np.zeros((0, 2), np.int64)
+        if all(len(x) for x in sides):
+            pairs, _ = _open_pairs(*map(_side, sides), table.column("meeting")[0].as_py(), num, den)
         return pa.table([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], names=["a", "b"])
 
     return dealt.groupBy("meeting", "i", "j").applyInArrow(join, "a long, b long").distinct()
 
 
+def _joined_components(members: DataFrame, labels: DataFrame, points: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """``labels`` (node, component) after all links between nodes of different components that meet."""
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        return components(labels.toDF("a", "b").union(verified(pairs, sets, num, den)))
+
+    labelled = written(_labelled(members, labels), "labelled")
+    met = written(labelled.join(_open_meetings(labelled).select("meeting", "last"), "meeting"), "open")
+    # two nodes of different components have all their meetings here, in every turn
+    firsts = met.groupBy("node").agg(F.slice(F.array_sort(F.collect_list("meeting")), 1, FIRST_MEETINGS).alias("firsts"))
+    several_blocks = met.where("last > 0").select("meeting")
+    rows = met
+    for turn, nearest in enumerate(NEAREST):
+        found = written(_nearest_pairs(rows.join(points, "node").join(firsts, "node"), num, den, nearest), "pairs")
+        labels = linked(found.where("meeting is null").select("a", "b"))
+        rest = found.where("meeting is not null").select("meeting").union(several_blocks).distinct()
+        labelled = written(_labelled(met.select("meeting", "node", "block").join(rest, "meeting", "left_semi"), labels), "labelled")
+        rows = labelled.join(_open_meetings(labelled), "meeting")
+        if rows.isEmpty():
+            return labels
+        rows = rows.withColumn("block", F.pmod(F.xxhash64(F.lit(turn), "node"), F.col("last") + 1))  # components of a block meet those of others
+    return linked(written(_remaining_pairs(rows.join(points, "node").join(firsts, "node"), num, den), "pairs"))
+
+
 def _components(sets: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame]:
     """(node, component) of all linked nodes, and the sets' rows that have shingles."""
     sizes = sets.where("n > 0").agg(F.count("*").alias("documents"), F.coalesce(F.sum("n"), F.lit(0)).alias("total")).first()
@@ -390,10 +459,8 @@ def _components(sets: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFra
     frequent = frequent_shingles(sets, sizes.documents)
     stars, members = _meetings(sets, frequent, max(1, -(-keys // BUCKET_KEYS)), num, den)
     points = written(sets.where("n > 0").select("node", "n", "point").dropDuplicates(["node"]), "points")
-    first = written(verified(written(bounded(stars, points, num, den), "pairs"), sets, num, den), "links")
-    more = _between_components(written(members, "members"), components(first), points, num, den)
-    second = verified(written(more, "pairs"), sets, num, den)
-    return components(first.union(second)), sets.where("n > 0")
+    first = components(verified(written(bounded(stars, points, num, den), "pairs"), sets, num, den))
+    return _joined_components(written(members, "members"), first, points, sets, num, den), sets.where("n > 0")
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:

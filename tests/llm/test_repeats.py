@@ -75,6 +75,26 @@ def test_links_equal_all_pairs(documents, awkward, monkeypatch, k, num, den, blo
     assert sorted(found, key=repr) == linked(rows, k, num, den)
 
 
+@pytest.mark.parametrize("block", [1024, 50])
+def test_near_copies_are_not_compared_pair_by_pair(documents, monkeypatch, block):
+    """All near copies link with each other, but each of their meetings has a short text with the fewest shingles."""
+    draw = random.Random(4)
+    words = [f"w{i}" for i in range(100)]
+    rows = [(i, " ".join(edited(draw, words, 1))) for i in range(150)]
+    rows += [(1000 + i, " ".join(words[i : i + 30])) for i in range(0, 75, 25)]
+    asked, verified = [], jaccard_join.verified
+
+    def counted(pairs, *rest):
+        asked.append(pairs.count())
+        return verified(pairs, *rest)
+
+    monkeypatch.setattr(jaccard_join, "BLOCK", block)
+    monkeypatch.setattr(jaccard_join, "verified", counted)
+    found = [tuple(r) for r in jaccard_join.near_duplicates(documents(rows), 5, 80, 100).collect()]
+    assert sorted(found, key=repr) == linked(rows, 5, 80, 100)
+    assert sum(asked) <= 16 * len(rows), asked
+
+
 def test_no_links_in_nothing(documents):
     assert jaccard_join.near_duplicates(documents([])).count() == 0
     assert [tuple(r) for r in jaccard_join.near_duplicates(documents([(1, None), (2, "")])).orderBy("doc_id").collect()] == [(1, 0, 1), (2, 0, 2)]
