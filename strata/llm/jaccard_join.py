@@ -247,21 +247,25 @@ def _bits(nodes: DataFrame) -> np.ndarray:
     return out
 
 
+def occurring(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``rows`` without most of those whose node is not in ``nodes``, before they are shuffled."""
+    shared = rows.sparkSession.sparkContext.broadcast(_bits(nodes))
+
+    @thrifty
+    def keep(batches):
+        for batch in batches:
+            place = mixed(batch.column("node").to_numpy().view(np.uint64)) >> np.uint64(38)
+            hit = shared.value[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63)) & np.uint64(1)
+            yield batch.filter(pa.array(hit == 1))
+
+    return rows.mapInArrow(keep, rows.schema)
+
+
 def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """Those of ``pairs`` (a, b) whose sets reach the threshold. Only sets that occur in pairs are shuffled."""
-    spark = pairs.sparkSession
 
     def of(column: str) -> DataFrame:
-        shared = spark.sparkContext.broadcast(_bits(pairs.select(F.col(column).alias("node")).distinct()))
-
-        @thrifty
-        def keep(batches):
-            for batch in batches:
-                place = mixed(batch.column("node").to_numpy().view(np.uint64)) >> np.uint64(38)
-                hit = shared.value[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63)) & np.uint64(1)
-                yield batch.filter(pa.array(hit == 1))
-
-        kept = sets.select("node", "shingles").mapInArrow(keep, "node long, shingles binary")
+        kept = occurring(sets.select("node", "shingles"), pairs.select(F.col(column).alias("node")).distinct())
         return kept.dropDuplicates(["node"]).toDF(column, f"{column}_set")
 
     both = pairs.join(of("b"), "b").join(of("a"), "a").select("a", "b", "a_set", "b_set")
@@ -436,20 +440,29 @@ def _joined_components(members: DataFrame, labels: DataFrame, points: DataFrame,
 
     labelled = written(_labelled(members, labels), "labelled")
     met = written(labelled.join(_open_meetings(labelled).select("meeting", "last"), "meeting"), "open")
-    # two nodes of different components have all their meetings here, in every turn
-    firsts = met.groupBy("node").agg(F.slice(F.array_sort(F.collect_list("meeting")), 1, FIRST_MEETINGS).alias("firsts"))
+
+    def with_points(rows: DataFrame, at: DataFrame, points: DataFrame) -> DataFrame:
+        # two nodes of different components have all their meetings in met, in every turn
+        firsts = at.groupBy("node").agg(F.slice(F.array_sort(F.collect_list("meeting")), 1, FIRST_MEETINGS).alias("firsts"))
+        return rows.join(points, "node").join(firsts, "node")
+
+    def with_own_points(rows: DataFrame) -> DataFrame:
+        own = rows.select("node").distinct()
+        return with_points(rows, occurring(met.select("node", "meeting"), own), occurring(points, own))
+
     several_blocks = met.where("last > 0").select("meeting")
-    rows = met
+    rows = with_points(met, met, points)
     for turn, nearest in enumerate(NEAREST):
-        found = written(_nearest_pairs(rows.join(points, "node").join(firsts, "node"), num, den, nearest), "pairs")
+        found = written(_nearest_pairs(rows, num, den, nearest), "pairs")
         labels = linked(found.where("meeting is null").select("a", "b"))
         rest = found.where("meeting is not null").select("meeting").union(several_blocks).distinct()
         labelled = written(_labelled(met.select("meeting", "node", "block").join(rest, "meeting", "left_semi"), labels), "labelled")
         rows = labelled.join(_open_meetings(labelled), "meeting")
         if rows.isEmpty():
             return labels
-        rows = rows.withColumn("block", F.pmod(F.xxhash64(F.lit(turn), "node"), F.col("last") + 1))  # components of a block meet those of others
-    return linked(written(_remaining_pairs(rows.join(points, "node").join(firsts, "node"), num, den), "pairs"))
+        drawn = F.pmod(F.xxhash64(F.lit(turn), "node"), F.col("last") + 1)  # components of a block meet those of others
+        rows = with_own_points(rows.withColumn("block", drawn))
+    return linked(written(_remaining_pairs(rows, num, den), "pairs"))
 
 
 def _components(sets: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame]:
