@@ -37,6 +37,7 @@ from strata.functions.hashing import hashed_columns
 from strata.functions.text import col
 from strata.operators.schema import align_to, check_types, evolved_schema, schema_changes
 from strata.operators.snapshots import ensure_namespace, is_table_name, location_of
+from strata.session import LAYER_CODEC
 from strata.sources import folders
 
 BUCKET, BATCH, STATE = "load_bucket", "load_batch", "load_state"
@@ -125,7 +126,7 @@ class TrustedTable:
         columns = T.StructType(fields + [T.StructField(p, PARTITION_TYPES[p], True) for p in partitions]).toDDL()
         self.spark.sql(f"DROP TABLE IF EXISTS {_quoted(self.name)}")
         self.spark.sql(
-            f"CREATE TABLE {_quoted(self.name)} ({columns}) USING parquet OPTIONS ('partitionOverwriteMode' = 'dynamic') "
+            f"CREATE TABLE {_quoted(self.name)} ({columns}) USING parquet OPTIONS ('partitionOverwriteMode' = 'dynamic', 'compression' = '{LAYER_CODEC}') "
             f"PARTITIONED BY ({', '.join(partitions)}) LOCATION '{_literal(told.location)}'"
         )
         self.spark.sql(f"MSCK REPAIR TABLE {_quoted(self.name)}")
@@ -184,7 +185,7 @@ class TrustedTable:
         """All rows into a new folder, to which the table then points."""
         partitions = LAYOUTS[told.layout]
         location = f"{self.root}/{uuid.uuid4().hex[:12]}"
-        _balanced(placed, partitions).write.partitionBy(*partitions).parquet(location)
+        _balanced(placed, partitions).write.partitionBy(*partitions).parquet(location, compression=LAYER_CODEC)
         schema = T.StructType([f for f in placed.schema.fields if f.name not in partitions])
         told = replace(told, location=location, before=told.location or None, loads=told.loads + 1, loaded_at=_moment_text(now))
         outdated = self.definition().before if self.exists() else None

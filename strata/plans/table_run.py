@@ -24,10 +24,10 @@ from strata.operators.checks import ChecksFailed, run_checks
 from strata.operators.loads import load, load_type_name
 from strata.plans.config import enabled, locations
 from strata.plans.run_log import RunLog
-from strata.session import keep_methods_small
+from strata.session import keep_methods_small, shuffles_removed
 from strata.sources import manifest
 from strata.sources.folders import latest_run, move_into, source_files
-from strata.sources.landing_files import landing_settings, read_source_files
+from strata.sources.landing_files import landing_settings, read_source_files, reads_slices
 from strata.sources.producers import run_producer
 from strata.sources.readers import format_name, read_landing_csv, write_csv, write_parquet
 
@@ -110,7 +110,7 @@ def land(run: RunContext, rows: DataFrame | None = None) -> DataFrame:
     if landing.get("pii_columns"):
         lines = [fixed.MALFORMED_COLUMN] if fixed.MALFORMED_COLUMN in df.columns else []  # they hold the same data
         df = encrypt_columns(df, [*landing["pii_columns"], *lines], run.pii_key)
-    write_csv(df, run.paths["landing"])
+    write_csv(df, run.paths["landing"], sliced=run.files is not None and reads_slices(landing))
     run.log.event(
         "INFO",
         f"landed {run.table}",
@@ -196,7 +196,8 @@ def refine(run: RunContext, landed: DataFrame) -> DataFrame:
     kept = renamed.where(filled & col(fixed.MALFORMED_COLUMN).isNull() if rejected else filled).drop(*suspects, fixed.MALFORMED_COLUMN)
     typed = schema.enforced(kept, entries) if enforce else schema.enforced(kept, entries).select(*kept.columns)
     dedup = clean.dedup_enabled(settings.get("deduplication"))
-    write_parquet(clean.drop_duplicate_rows(typed) if dedup else typed, run.paths["raw"])
+    with shuffles_removed(run.spark):
+        write_parquet(clean.drop_duplicate_rows(typed) if dedup else typed, run.paths["raw"])
 
     raw = run.spark.read.parquet(run.paths["raw"])
     final, total = raw.count(), counted["__total"]
@@ -254,7 +255,8 @@ def promote(run: RunContext, raw: DataFrame) -> int:
     """Raw -> trusted table: checks in one pass, error records when one fails, then the load. Returns the load's number."""
     settings = run.layer("raw_trusted")
     keys = settings.get("primary_key") or []
-    results = run_checks(raw, run.config)
+    with shuffles_removed(run.spark):
+        results = run_checks(raw, run.config)
     for result in results:
         run.log.event(
             "INFO" if result.passed else "ERROR",

@@ -55,6 +55,12 @@ def landing_settings(landing: dict) -> tuple[dict, dict]:
     return {k: v for k, v in options.items() if k not in SETTINGS}, {k: options[k] for k in SETTINGS if k in options}
 
 
+def reads_slices(landing: dict) -> bool:
+    """Whether each task reads a slice of a file, as of CSV with a row a line. Compressed CSV is not read at all."""
+    options = {k.lower(): v for k, v in landing_settings(landing)[0].items()}
+    return format_name(landing.get("file_format") or "") == "csv" and str(options.get("multiline")).lower() != "true"
+
+
 def read_source_files(
     spark: SparkSession,
     folder: str,

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from strata import fixed
 from strata.functions.text import col
 from strata.operators.snapshots import SnapshotTable
+from strata.session import LAYER_CODEC
 from strata.sources.workbook import read_workbooks
 
 # One option set for writing and reading Landing CSV, so that what comes back is what went in: quotes doubled, null
@@ -110,11 +111,18 @@ def reader_for(file_format: str):
 
 SPELLED = {"\\": "\\b", "\n": "\\n", "\r": "\\r"}
 
+# Landing files where each task has a slice of the source. Rows are counted too, as lineage makes short ones many times longer.
+SLICE_ROWS = 1_000_000
+SMALL_FILES = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", sliced: bool = False) -> None:
+    """Landing CSV. ``sliced`` says that no task has more than a slice of a source file: then it writes small files, which
+    are compressed, since a compressed file is read by one task. Others may be large and stay plain, so that they can be split."""
     texts = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
     told = [_replaced(name, SPELLED.items()) if name in texts else col(name) for name in df.columns]
-    df.select(*told).write.mode(mode).options(**LANDING_CSV, emptyValue='""').csv(path)
+    small = {**SMALL_FILES, "maxRecordsPerFile": SLICE_ROWS} if sliced else {}
+    df.select(*told).write.mode(mode).options(**LANDING_CSV, emptyValue='""', **small).csv(path)
 
 
 def read_landing_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -131,4 +139,4 @@ def _replaced(name: str, pairs) -> Column:
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).parquet(path)
+    df.write.mode(mode).parquet(path, compression=LAYER_CODEC)

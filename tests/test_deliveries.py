@@ -1,16 +1,21 @@
 """What a source folder holds and what becomes of it: manifests, other files, malformed rows, repeated runs, split files."""
 
+import gzip
 import json
+import time
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from strata.catalogue import flagship
 from strata.catalogue.runs import settings
 from strata.operators.trusted import TrustedTable
 from strata.plans import config as cfg
 from strata.plans import table_run
 from strata.plans.run_log import read_log
 from strata.plans.table_run import run_table
+from strata.session import shuffles_removed
 from strata.sources import manifest, readers
 from strata.sources.landing_files import read_source_files
 
@@ -190,3 +195,121 @@ def test_ages_come_from_the_tables(spark, staging, tmp_path):
         run_table(spark, told, base, now=now)
     found = reports.last_updates(spark, control, base).collect()
     assert [(r.job_name, r.table_name, str(r.last_table_update_time)) for r in found] == [("j", "t", "2024-01-02 03:00:00")]
+
+
+def landed_files(base):
+    return sorted((base / "landing").rglob("part-*"))
+
+
+def test_landing_of_slices_is_compressed_in_files_of_few_rows(spark, staging, tmp_path, monkeypatch):
+    monkeypatch.setattr(readers, "SLICE_ROWS", 2)
+    (staging / "one.csv").write_text("a,b\n" + "".join(f'{i},"say {i}, ä"\n' for i in range(6)))
+    base, told = tmp_path / "lake", config(staging)
+    run_table(spark, told, str(base))
+    files = landed_files(base)
+    assert len(files) == 3 and all(f.name.endswith(".csv.gz") for f in files)
+    assert all(len(gzip.decompress(f.read_bytes()).splitlines()) == 3 for f in files)  # a header and two rows
+    assert rows(spark, told, str(base)) == [(i, f"say {i}, ä") for i in range(6)]
+
+
+def test_compressed_landing_spells_every_text(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(readers, "SLICE_ROWS", 3)
+    texts = ["\\", "\\b", "\\n", "\n", "\r\n", "\\N", "", None, " ", '"', ',"', "\x85"]
+    readers.write_csv(spark.createDataFrame(list(enumerate(texts)), "i int, t string").coalesce(1), str(tmp_path / "l"), sliced=True)
+    back = readers.read_landing_csv(spark, str(tmp_path / "l"))
+    assert [r.t for r in back.orderBy(F.col("i").cast("int")).collect()] == texts
+
+
+@pytest.mark.parametrize("options", [{"multiLine": True}, {"multiline": "true"}])
+def test_landing_of_whole_files_stays_plain(spark, staging, tmp_path, options):
+    told = config(staging)
+    told["ingestion_steps"]["landing"]["csv_options"] = options
+    run_table(spark, told, str(tmp_path / "lake"))
+    assert {f.name.rsplit("c000", 1)[1] for f in landed_files(tmp_path / "lake")} == {".csv"}
+
+
+def test_personal_data_is_sealed_in_compressed_landing(spark, staging, tmp_path):
+    (staging / "one.csv").write_text("a,b\n1,secret,EXTRA\n")
+    run_table(spark, config(staging, pii_columns=["b"]), str(tmp_path / "lake"), pii_key="0123456789abcdef")
+    written = b"".join(gzip.decompress(f.read_bytes()) for f in landed_files(tmp_path / "lake"))
+    assert b"one.csv" in written and b"secret" not in written
+
+
+def test_a_run_from_compressed_landing(spark, staging, tmp_path):
+    base, told = str(tmp_path / "lake"), config(staging)
+    for off in (["raw", "raw_trusted"], ["landing"]):
+        steps = {n: {**s, "enabled": n not in off} for n, s in told["ingestion_steps"].items()}
+        run_table(spark, {**told, "ingestion_steps": steps}, base)
+    assert rows(spark, told, base) == [(1, "x"), (2, "y")]
+
+
+def test_raw_and_trusted_files_are_small(spark, staging, tmp_path):
+    base, told = tmp_path / "lake", config(staging)
+    run_table(spark, told, str(base))
+    (staging / "one.csv").write_text("a,b\n3,z\n")
+    run_table(spark, told, str(base))
+    for layer in ("raw", "trusted"):
+        files = list((base / layer).rglob("*.parquet"))
+        assert len(files) > 1
+        assert {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files} == {"ZSTD"}
+    assert rows(spark, told, str(base)) == [(1, "x"), (2, "y"), (3, "z")]
+
+
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = (files.apply(i).getName() for i in range(files.size()))
+    return {n for n in names if n.startswith("shuffle_") and n.endswith(".data")}
+
+
+def test_layers_leave_no_shuffles_behind(spark, staging, tmp_path, monkeypatch):
+    (staging / "one.csv").write_text("a,b\n" + "".join(f"{i % 700},{i % 700}\n" for i in range(1000)))
+    told, seen = config(staging), {}
+    told["ingestion_steps"]["raw"]["deduplication"] = True
+
+    def writes(df, path, write=table_run.write_parquet):
+        before = shuffle_files(spark)
+        write(df, path)
+        until = time.time() + 10
+        while (left := shuffle_files(spark) - before) and path.find("/raw/") > 0 and time.time() < until:
+            time.sleep(0.1)
+        seen[path.split("/lake/")[1].split("/")[0]] = left
+
+    monkeypatch.setattr(table_run, "write_parquet", writes)
+    run_table(spark, told, str(tmp_path / "lake"))
+    assert seen["raw"] == set() and len(rows(spark, told, str(tmp_path / "lake"))) == 700
+
+
+def test_removing_shuffles_is_for_a_while_and_keeps_the_sessions_own_value(spark):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    assert spark.conf.get(name, None) is None
+    with pytest.raises(KeyError), shuffles_removed(spark):
+        assert spark.conf.get(name) == "true"
+        twice = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+        assert sorted(twice.collect()) == sorted(twice.collect())
+        raise KeyError
+    assert spark.conf.get(name, None) is None
+    spark.conf.set(name, "false")
+    try:
+        with shuffles_removed(spark):
+            assert spark.conf.get(name) == "false"
+        assert spark.conf.get(name) == "false"
+    finally:
+        spark.conf.unset(name)
+
+
+def test_the_flagships_layers_take_less_room_than_its_delivery(spark, tmp_path):
+    lines = spark.range(20_000).selectExpr(
+        "id div 4 AS l_orderkey", "id * 7919 % 2000 AS l_partkey", "id * 31 % 100 AS l_suppkey", "int(id % 4) AS l_linenumber",
+        "double(id % 50 + 1) AS l_quantity", "double(id * 104729 % 9999999) / 100 AS l_extendedprice", "double(id % 11) / 100 AS l_discount",
+        "double(id % 9) / 100 AS l_tax", "substr('ANR', int(id % 3) + 1, 1) AS l_returnflag", "'O' AS l_linestatus",
+        "timestamp(date_add(date'1995-01-02', int(id % 2500))) AS l_shipdate",
+    )
+    flagship.messy_lineitem(lines).write.option("header", True).csv(str(tmp_path / "staging" / "LINE_ITEMS"))
+    trusted = flagship.ingest(spark, flagship.config(str(tmp_path / "staging")), str(tmp_path))
+    assert trusted.count() == lines.distinct().count() == 20_000
+
+    def room(folder):
+        return sum(f.stat().st_size for f in (tmp_path / folder).rglob("part-*"))
+
+    assert room("landing") < room("staging") / 2
+    assert room("trusted") < room("staging")
