@@ -24,7 +24,7 @@ from strata.operators.checks import ChecksFailed, run_checks
 from strata.operators.loads import load, load_type_name
 from strata.plans.config import enabled, locations
 from strata.plans.run_log import RunLog
-from strata.session import keep_methods_small, shuffles_removed
+from strata.session import keep_methods_small, lean_shuffles
 from strata.sources import manifest
 from strata.sources.folders import latest_run, move_into, source_files
 from strata.sources.landing_files import landing_settings, read_source_files, reads_slices
@@ -196,7 +196,7 @@ def refine(run: RunContext, landed: DataFrame) -> DataFrame:
     kept = renamed.where(filled & col(fixed.MALFORMED_COLUMN).isNull() if rejected else filled).drop(*suspects, fixed.MALFORMED_COLUMN)
     typed = schema.enforced(kept, entries) if enforce else schema.enforced(kept, entries).select(*kept.columns)
     dedup = clean.dedup_enabled(settings.get("deduplication"))
-    with shuffles_removed(run.spark):
+    with lean_shuffles(landed):
         write_parquet(clean.drop_duplicate_rows(typed) if dedup else typed, run.paths["raw"])
 
     raw = run.spark.read.parquet(run.paths["raw"])
@@ -255,7 +255,7 @@ def promote(run: RunContext, raw: DataFrame) -> int:
     """Raw -> trusted table: checks in one pass, error records when one fails, then the load. Returns the load's number."""
     settings = run.layer("raw_trusted")
     keys = settings.get("primary_key") or []
-    with shuffles_removed(run.spark):
+    with lean_shuffles(raw):
         results = run_checks(raw, run.config)
     for result in results:
         run.log.event(

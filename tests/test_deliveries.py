@@ -8,6 +8,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from strata import session
 from strata.catalogue import flagship
 from strata.catalogue.runs import settings
 from strata.operators.trusted import TrustedTable
@@ -15,7 +16,6 @@ from strata.plans import config as cfg
 from strata.plans import table_run
 from strata.plans.run_log import read_log
 from strata.plans.table_run import run_table
-from strata.session import shuffles_removed
 from strata.sources import manifest, readers
 from strata.sources.landing_files import read_source_files
 
@@ -279,22 +279,41 @@ def test_layers_leave_no_shuffles_behind(spark, staging, tmp_path, monkeypatch):
     assert seen["raw"] == set() and len(rows(spark, told, str(tmp_path / "lake"))) == 700
 
 
-def test_removing_shuffles_is_for_a_while_and_keeps_the_sessions_own_value(spark):
-    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    assert spark.conf.get(name, None) is None
-    with pytest.raises(KeyError), shuffles_removed(spark):
-        assert spark.conf.get(name) == "true"
-        twice = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+CLEANED, PARTS = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+def test_lean_shuffles_are_for_a_while_and_leave_the_sessions_own_values(spark):
+    df = spark.range(1000)
+    assert spark.conf.get(CLEANED, None) is spark.conf.get(PARTS, None) is None
+    with pytest.raises(KeyError), session.lean_shuffles(df):
+        assert spark.conf.get(CLEANED) == "true"
+        twice = df.groupBy((F.col("id") % 7).alias("k")).count()
         assert sorted(twice.collect()) == sorted(twice.collect())
         raise KeyError
-    assert spark.conf.get(name, None) is None
-    spark.conf.set(name, "false")
+    assert spark.conf.get(CLEANED, None) is spark.conf.get(PARTS, None) is None
+    spark.conf.set(CLEANED, "false")
     try:
-        with shuffles_removed(spark):
-            assert spark.conf.get(name) == "false"
-        assert spark.conf.get(name) == "false"
+        with session.lean_shuffles(df):
+            assert spark.conf.get(CLEANED) == "false"
+        assert spark.conf.get(CLEANED) == "false"
     finally:
-        spark.conf.unset(name)
+        spark.conf.unset(CLEANED)
+
+
+def test_a_large_layer_is_dealt_to_more_parts(spark, staging, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "PART_BYTES", 100)
+    (staging / "one.csv").write_text("a,b\n" + "".join(f"{i % 700},{i % 700}\n" for i in range(1000)))
+    told, dealt = config(staging), {}
+    told["ingestion_steps"]["raw"]["deduplication"] = True
+
+    def writes(df, path, write=table_run.write_parquet):
+        dealt[path.split("/lake/")[1].split("/")[0]] = int(spark.conf.get(PARTS, None) or 0)
+        write(df, path)
+
+    monkeypatch.setattr(table_run, "write_parquet", writes)
+    run_table(spark, told, str(tmp_path / "lake"))
+    assert dealt["raw"] > int(spark.conf.get("spark.sql.shuffle.partitions")) and not dealt["counts"]
+    assert len(rows(spark, told, str(tmp_path / "lake"))) == 700
 
 
 def test_the_flagships_layers_take_less_room_than_its_delivery(spark, tmp_path):
